@@ -158,13 +158,17 @@ def product_profitability(
 
 
 # --------------------------------------------------------------------- M3
-def refund_rate_trends(
+def monthly_sales_and_refunds(
     order_items: DataFrame,
     refunds: DataFrame,
     products: DataFrame,
     since: str = DEFAULT_SINCE,
-    window_rows: int = 3,
 ) -> DataFrame:
+    """Units sold per (item month, product name) left-joined on both keys to
+    refunds per (refund month, product name); refunds default to 0.
+
+    Both sides are aggregated to (month, product_id) before the product join,
+    so the join and the name re-aggregation only see pre-reduced rows."""
     names = products.select("product_id", "product_name")
     sales = (
         order_items.filter(F.col("created_at") >= ts_literal(since))
@@ -187,9 +191,19 @@ def refund_rate_trends(
         .groupBy("month", "product_name")
         .agg(F.sum("_r").alias("refunds"))
     )
-    combined = sales.join(monthly_refunds, ["month", "product_name"], "left").withColumn(
+    return sales.join(monthly_refunds, ["month", "product_name"], "left").withColumn(
         "refunds", F.coalesce(F.col("refunds"), F.lit(0))
     )
+
+
+def refund_rate_trends(
+    order_items: DataFrame,
+    refunds: DataFrame,
+    products: DataFrame,
+    since: str = DEFAULT_SINCE,
+    window_rows: int = 3,
+) -> DataFrame:
+    combined = monthly_sales_and_refunds(order_items, refunds, products, since)
     rate = pct("refunds", "units_sold_that_month")
     w = (
         Window.partitionBy("product_name")
@@ -301,6 +315,18 @@ def revenue_per_session(sessions: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- M5
+def first_purchase_join(orders: DataFrame) -> DataFrame:
+    """Each order with its user's first order time: ``min`` per user (a
+    partial aggregate, safe for a user with a huge share of orders) joined
+    back on the user; AQE splits a hot user's join partition at run time."""
+    first = (
+        orders.filter(F.col("user_id").isNotNull())
+        .groupBy("user_id")
+        .agg(F.min("created_at").alias("first_order_at"))
+    )
+    return orders.join(first, "user_id")
+
+
 def _user_months(orders: DataFrame) -> DataFrame:
     """Distinct (user, order month) with the user's cohort and month number.
 

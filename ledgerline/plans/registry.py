@@ -84,9 +84,21 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _all_queries() -> dict[str, Query]:
+    from ledgerline.plans import checks
+
+    out = dict(QUERIES)
+    out.update(checks.queries(finalize, shop_tables))
+    return out
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return _all_queries()
 
 
 def oracles() -> dict[str, str]:
-    return {k: v for k, v in O.all_oracles().items() if k in QUERIES}
+    from ledgerline.plans import checks
+
+    out = {k: v for k, v in O.all_oracles().items() if k in QUERIES}
+    out.update(checks.oracles())
+    return out
