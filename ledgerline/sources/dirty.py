@@ -67,18 +67,26 @@ def _dirty_columns(table: str) -> list[tuple[str, Column]]:
 
 def dirty_raw(df: DataFrame, table: str, messy_headers: bool = True) -> DataFrame:
     """All-text raw frame with the corruption rules applied (see module doc).
-    Column ``_dirt_seq`` (0 original, 1 exact copy, 2 near copy) is dropped
-    unless ``keep_seq``; it only orders the parts."""
+
+    One pass over the source: each row explodes into its copies (0 the
+    original, 1 an exact copy, 2 a near copy) in that order, so every copy
+    sits right after its original in the same partition."""
     spec = spec_for(table)
     k = F.col(spec.pk)
-    cols = _dirty_columns(table)
-    base = df.select(*[c.alias(n) for n, c in cols])
-    exact = df.filter(k % EXACT_DUP_MOD == 0).select(*[c.alias(n) for n, c in cols])
-    near_cols = [
-        (n, F.lit(NEAR_DUP_CREATED_AT) if n == "created_at" else c) for n, c in cols
-    ]
-    near = df.filter(k % NEAR_DUP_MOD == 0).select(*[c.alias(n) for n, c in near_cols])
-    out = base.unionByName(exact).unionByName(near)
+    copies = F.filter(
+        F.array(F.lit(0), F.lit(1), F.lit(2)),
+        lambda i: (i == 0)
+        | ((i == 1) & (k % EXACT_DUP_MOD == 0))
+        | ((i == 2) & (k % NEAR_DUP_MOD == 0)),
+    )
+    seq = F.col("_dirt_seq")
+    exploded = df.select("*", F.explode(copies).alias("_dirt_seq"))
+    cols = []
+    for n, c in _dirty_columns(table):
+        if n == "created_at":
+            c = F.when(seq == 2, F.lit(NEAR_DUP_CREATED_AT)).otherwise(c)
+        cols.append(c.alias(n))
+    out = exploded.select(*cols)
     if messy_headers:
         out = out.toDF(*[messy_header(c) for c in out.columns])
     return out
