@@ -1024,3 +1024,32 @@ def queries(finalize: Callable[[DataFrame], DataFrame], tables) -> dict:
 
 def oracles() -> dict[str, str]:
     return {k: sql for k, (_fn, sql) in CHECKS.items() if sql is not None}
+
+
+# ============================================================ streaming load
+@check(
+    "stream_incremental_load",
+    with_shop(
+        f"SELECT {_O_FINAL}, CASE WHEN created_at < {ts(CUT)} THEN {ts(RUN_TS_1)} "
+        f"ELSE {ts(RUN_TS_2)} END AS _etl_loaded_at, 'orders' AS _etl_source FROM orders"
+    ),
+)
+def q_stream_incremental_load(t: ShopTables) -> DataFrame:
+    """Two landings of order files, each consumed by an availableNow run of
+    the streaming loader: the first holds orders before the cut, the second
+    all orders again (overlap); the target ends with every order once."""
+    from ledgerline.streaming.continuous_load import landing_schema, run_available
+
+    spark = t.spark
+    landing = scratch_path(spark, "landing-orders")
+    target = scratch_path(spark, "stream-target-orders")
+    ckpt = scratch_path(spark, "stream-ckpt-orders")
+    as_text = t.orders.select(*[F.col(c).cast("string").alias(c) for c in spec_for(_O).columns])
+    as_text.filter(F.col("created_at") < F.lit(CUT)).write.mode("append").option(
+        "header", True
+    ).csv(landing)
+    schema = landing_schema(spark, landing)
+    run_available(spark, landing, _O, target, RUN_TS_1, schema, ckpt)
+    as_text.write.mode("append").option("header", True).csv(landing)
+    run_available(spark, landing, _O, target, RUN_TS_2, schema, ckpt)
+    return load.read_target(spark, target, spec_for(_O))
