@@ -25,10 +25,13 @@ exact. All steps are DataFrame operations; nothing is looped on the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerline.session import checkpoint_root
+
 _W = "_lw_weight"
 _B = "_lw_bucket"
 _BOUNDS = "_lw_bounds"
@@ -66,6 +69,7 @@ def prefix_weight_before(
     g = list(group_cols)
     if g:
         approx = F.percentile_approx(F.col(key), _probs(nb), 10000).alias(_BOUNDS)
+        checkpoint_root(spark)
         bounds = df.groupBy(*g).agg(approx).checkpoint(eager=True)
         bucketed = df.join(bounds, g).withColumn(_B, _bucket_of(F.col(key), F.col(_BOUNDS)))
         bucketed = bucketed.drop(_BOUNDS)
@@ -99,6 +103,67 @@ def _probs(nb: int) -> list[float]:
     return [i / nb for i in range(1, nb)]
 
 
+@dataclass(frozen=True)
+class RankSpec:
+    """``RANK() OVER (ORDER BY key [DESC] [NULLS FIRST|LAST])`` into ``out``."""
+
+    key: Column
+    out: str
+    descending: bool = True
+    nulls_first: bool = True
+
+
+def with_ranks(df: DataFrame, specs: Sequence[RankSpec], buckets: int | None = None) -> DataFrame:
+    """Add one ``bigint`` rank column per spec to every row of ``df``;
+    distributed (see module doc). Keys must be numeric.
+
+    ``df`` is checkpointed once (lineage cut, so the ranks never recompute
+    the plan that produced it); the range bounds and NULL counts of every
+    key ride on that same job as observed metrics, so ranking adds no extra
+    pass over the input."""
+    spark = df.sparkSession
+    nb = buckets or default_buckets(spark)
+    keys = [f"_lw_k{i}" for i in range(len(specs))]
+    keyed = df.select("*", *[s.key.alias(k) for s, k in zip(specs, keys)])
+    obs = Observation()
+    metrics = []
+    for i, (s, k) in enumerate(zip(specs, keys)):
+        sk = -F.col(k) if s.descending else F.col(k)
+        metrics += [
+            F.percentile_approx(sk, _probs(nb), 10000).alias(f"b{i}"),
+            F.count_if(F.col(k).isNull()).alias(f"n{i}"),
+            F.count_if(F.col(k).isNotNull()).alias(f"m{i}"),
+        ]
+    checkpoint_root(spark)  # the session's shared folder (set only if missing)
+    base = keyed.observe(obs, *metrics).checkpoint(eager=True)
+    stats = obs.get
+
+    out = base
+    for i, (s, k) in enumerate(zip(specs, keys)):
+        bounds = list(stats[f"b{i}"] or [])
+        n_null, n_nonnull = int(stats[f"n{i}"] or 0), int(stats[f"m{i}"] or 0)
+        sort_key = "_lw_sk"
+        freq = (
+            base.filter(F.col(k).isNotNull())
+            .groupBy(k)
+            .agg(F.count(F.lit(1)).alias(_W))
+            .withColumn(sort_key, -F.col(k) if s.descending else F.col(k))
+        )
+        ranked = prefix_weight_before(freq, [], sort_key, _W, "_lw_before", nb, global_bounds=bounds)
+        lead = n_null if s.nulls_first else 0
+        ranked = ranked.select(
+            k, (F.col("_lw_before") + F.lit(lead + 1)).cast("bigint").alias(s.out)
+        )
+        if n_null:
+            null_rank = 1 if s.nulls_first else n_nonnull + 1
+            out = out.filter(F.col(k).isNotNull()).join(ranked, k).unionByName(
+                out.filter(F.col(k).isNull()).withColumn(s.out, F.lit(null_rank).cast("bigint"))
+            )
+        else:
+            out = out.join(ranked, k)
+    return out.drop(*keys)
+
+
 def global_rank(
     df: DataFrame,
     key: Column,
@@ -107,41 +172,8 @@ def global_rank(
     nulls_first: bool = True,
     buckets: int | None = None,
 ) -> DataFrame:
-    """``RANK() OVER (ORDER BY key [DESC] [NULLS FIRST|LAST])`` as a new
-    ``bigint`` column ``out`` on every row of ``df``; distributed (see module
-    doc). ``key`` must be numeric."""
-    spark = df.sparkSession
-    nb = buckets or default_buckets(spark)
-    kname, sort_key = "_lw_key", "_lw_sk"
-    keyed = df.withColumn(kname, key)
-    freq = keyed.groupBy(kname).agg(F.count(F.lit(1)).alias(_W))
-    freq = freq.withColumn(sort_key, -F.col(kname) if descending else F.col(kname))
-    # one small job: range bounds plus NULL / non-NULL row counts
-    stats = freq.agg(
-        F.percentile_approx(F.col(sort_key), _probs(nb), 10000),
-        F.sum(F.when(F.col(kname).isNull(), F.col(_W))),
-        F.sum(F.when(F.col(kname).isNotNull(), F.col(_W))),
-    ).first()
-    bounds = list(stats[0]) if stats[0] is not None else []
-    n_null = int(stats[1] or 0)
-    n_nonnull = int(stats[2] or 0)
-
-    nonnull = freq.filter(F.col(kname).isNotNull())
-    ranked_keys = prefix_weight_before(
-        nonnull, [], sort_key, _W, "_lw_before", nb, global_bounds=bounds
-    )
-    lead = n_null if nulls_first else 0
-    ranked_keys = ranked_keys.select(
-        kname, (F.col("_lw_before") + F.lit(lead + 1)).cast("bigint").alias(out)
-    )
-    if not n_null:
-        return keyed.join(ranked_keys, kname).drop(kname)
-    null_rank = 1 if nulls_first else n_nonnull + 1
-    keyed_null = keyed.filter(F.col(kname).isNull()).withColumn(
-        out, F.lit(null_rank).cast("bigint")
-    )
-    keyed_nonnull = keyed.filter(F.col(kname).isNotNull()).join(ranked_keys, kname)
-    return keyed_nonnull.unionByName(keyed_null).drop(kname)
+    """One rank column; see ``with_ranks``."""
+    return with_ranks(df, [RankSpec(key, out, descending, nulls_first)], buckets)
 
 
 def exact_median(

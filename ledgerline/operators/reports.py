@@ -41,7 +41,7 @@ from ledgerline.functions.numeric import (
     round_half_up,
     ts_literal,
 )
-from ledgerline.functions.order_stats import exact_median, global_rank
+from ledgerline.functions.order_stats import RankSpec, exact_median, global_rank, with_ranks
 
 # The reference's report constants.
 DEFAULT_SINCE = "2013-01-01"
@@ -54,12 +54,6 @@ SEGMENT_REPEAT_GUEST = "Repeat Guest"
 SEGMENT_REPEAT_REGISTERED = "Repeat Registered"
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    """Write a small aggregated result to the shared checkpoint folder so the
-    distributed rank reads it instead of recomputing the whole report."""
-    return df.checkpoint(eager=True)
-
-
 def orders_per_session(orders: DataFrame) -> DataFrame:
     """One row per ``website_session_id`` that has orders: order count,
     revenue sum and count of priced orders (for averages)."""
@@ -107,7 +101,6 @@ def channel_performance(
         round_half_up(ratio("_revenue", "orders"), 2).alias("avg_order_value"),
         revenue.alias("total_revenue"),
     )
-    out = _materialize(out)
     return global_rank(out, F.col("conversion_rate_pct"), "conversion_rank")
 
 
@@ -151,10 +144,14 @@ def product_profitability(
         profit.alias("_profit_key"),
         double_pct_key(profit, "_revenue").alias("_margin_key"),
     )
-    out = _materialize(out)
     # PostgreSQL sorts NULL first under DESC: products without sales rank 1.
-    out = global_rank(out, F.col("_profit_key"), "profit_rank", True, True)
-    out = global_rank(out, F.col("_margin_key"), "margin_rank", True, True)
+    out = with_ranks(
+        out,
+        [
+            RankSpec(F.col("_profit_key"), "profit_rank", True, True),
+            RankSpec(F.col("_margin_key"), "margin_rank", True, True),
+        ],
+    )
     return out.drop("_profit_key", "_margin_key")
 
 
