@@ -87,7 +87,13 @@ def prefix_weight_before(
     w_in = Window.partitionBy(*g, _B).orderBy(key).rowsBetween(unb, -1)
     within = bucketed.withColumn("_lw_in", F.coalesce(F.sum(weight).over(w_in), F.lit(0)))
 
-    totals = bucketed.groupBy(*g, _B).agg(F.sum(weight).alias("_lw_bt"))
+    # Bucket totals are read off the window output (last running count plus
+    # its weight; weights are positive): the branch stays identical to
+    # ``within``, so Spark reuses its exchange, and the grouping needs none
+    # (``within`` is already clustered by bucket).
+    totals = within.groupBy(*g, _B).agg(
+        F.max(F.col("_lw_in") + F.col(weight)).alias("_lw_bt")
+    )
     w_off = (Window.partitionBy(*g) if g else Window).orderBy(_B).rowsBetween(unb, -1)
     offsets = totals.select(
         *g, _B, F.coalesce(F.sum("_lw_bt").over(w_off), F.lit(0)).alias("_lw_off")

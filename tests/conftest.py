@@ -16,13 +16,11 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from ledgerline.session import build_session
 
-    s = build_session(
-        master="local[*]",
-        app_name="ledgerline-tests",
-        shuffle_partitions=8,
-        # tests set their own shared folder only because none is configured
-        extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="ledgerline-test-ckpt-")},
-    )
+    s = build_session(master="local[*]", app_name="ledgerline-tests", shuffle_partitions=8)
+    # a shared checkpoint folder of our own only where the session has none
+    from ledgerline.session import checkpoint_root
+
+    checkpoint_root(s)
     yield s
     s.stop()
 
