@@ -74,11 +74,19 @@ def filter_new_rows(
 
 # ------------------------------------------------------------------ L3
 def anti_existing(new_rows: DataFrame, target: DataFrame | None, pk: str) -> DataFrame:
-    """Insert-if-absent: drop rows whose key exists in the target. Only the
-    key column of the target is read (column pruning reaches the scan)."""
+    """Insert-if-absent: drop rows whose key exists in the target.
+
+    Two steps, so a small increment never shuffles a large target: the
+    target's key column (the only column read) is semi-joined to the
+    incoming keys, which AQE broadcasts when the increment is small (after
+    measuring it), so the target is scanned in place; the few keys that
+    match are then anti-joined away from the increment. With a large
+    increment both joins fall back to sort-merge joins on the key."""
     if target is None:
         return new_rows
-    return new_rows.join(target.select(pk), pk, "left_anti")
+    incoming = new_rows.select(pk).filter(F.col(pk).isNotNull())
+    existing = target.select(pk).join(incoming, pk, "left_semi")
+    return new_rows.join(existing, pk, "left_anti")
 
 
 # ------------------------------------------------------------------ L4

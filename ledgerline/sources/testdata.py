@@ -47,10 +47,10 @@ class ShopTables:
 
     def _read_by(self, name: str, key: str) -> DataFrame:
         """Scan hash-partitioned on the key every consumer clusters by anyway
-        (the numbering window and the order joins): the exchange they would
-        add is moved up to the scan, so per-row work after it (casts,
-        corruption rules, partial aggregation) runs on all partitions even
-        when a test file is a single row group."""
+        (line items: the numbering window by order key). The exchange the
+        window would add is moved up to the scan, so the per-row work after
+        it runs on all partitions even when a test file is a single row
+        group, and no extra shuffle appears."""
         return self._read(name).repartition(key)
 
     @cached_property
@@ -80,13 +80,9 @@ class ShopTables:
             (price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).alias("_cogs"),
         )
 
-    @cached_property
-    def _orders_by_key(self) -> DataFrame:
-        return self._read_by("orders", "o_orderkey")
-
     @cached_property
     def _order_dates(self) -> DataFrame:
-        return self._orders_by_key.select("o_orderkey", "o_orderdate")
+        return self._read("orders").select("o_orderkey", "o_orderdate")
 
     @cached_property
     def _items_with_dates(self) -> DataFrame:
@@ -124,7 +120,7 @@ class ShopTables:
             F.max(F.when(F.col("_n") == 1, F.col("l_partkey"))).alias("_primary"),
             F.sum("_cogs").alias("_cogs"),
         )
-        o = self._orders_by_key.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+        o = self._read("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
         return o.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_orderdate").alias("created_at"),
@@ -146,7 +142,7 @@ class ShopTables:
 
     @cached_property
     def website_sessions(self) -> DataFrame:
-        o = self._orders_by_key.select(
+        o = self._read("orders").select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
         )
         j = F.col("_j")
@@ -175,7 +171,7 @@ class ShopTables:
 
     @cached_property
     def website_pageviews(self) -> DataFrame:
-        return self._read_by("events", "event_id").select(
+        return self._read("events").select(
             F.col("event_id").alias("website_pageview_id"),
             F.col("ts").alias("created_at"),
             (F.col("user_id") * 10).alias("website_session_id"),

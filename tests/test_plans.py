@@ -61,3 +61,21 @@ def test_orders_only_columns_skip_lineitem(spark):
     t = shop_tables(spark, SF_SMALL)
     plan = _plan(t.orders.select("order_id", "user_id", F.col("price_usd")))
     assert "lineitem" not in plan and "Exchange" not in plan
+
+
+def test_small_increment_does_not_shuffle_the_target(spark, tmp_dir):
+    t = shop_tables(spark, SF_SMALL)
+    target = _loaded(spark, tmp_dir, "orders", t.orders)
+    increment = clean.add_audit_columns(
+        t.orders.filter(F.col("order_id") < 100), "orders", "2024-01-02 00:00:00"
+    )
+    df = load.anti_existing(increment, target, "order_id")
+    plan = _final_plan(df)
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    # the target scan feeds the semi join directly, never an exchange
+    target_scans = [l for l in plan.splitlines() if "FileScan parquet" in l and "orders]" in l]
+    assert target_scans
+    lines = plan.splitlines()
+    for i, l in enumerate(lines):
+        if "FileScan parquet" in l and "_etl_" not in l and "ReadSchema: struct<order_id:bigint>" in l:
+            assert not any("Exchange hashpartitioning" in x for x in lines[max(0, i - 3) : i])
