@@ -225,8 +225,9 @@ def _clean_report_sql(table: str) -> str:
     return (
         f"SELECT '{table}' AS table_name, CAST(sum(_copies) AS BIGINT) AS rows_in, "
         f"CAST(sum(_copies) - count(*) AS BIGINT) AS duplicates_removed, "
-        f"count_if(TRY_CAST(created_at AS TIMESTAMP) IS NULL) AS unparseable_dates, "
-        f"count_if({pk_t} IS NULL) AS null_pk_dropped, count_if({pk_t} IS NOT NULL) AS rows_out "
+        f"count(*) FILTER (WHERE TRY_CAST(created_at AS TIMESTAMP) IS NULL) AS unparseable_dates, "
+        f"count(*) FILTER (WHERE {pk_t} IS NULL) AS null_pk_dropped, "
+        f"count(*) FILTER (WHERE {pk_t} IS NOT NULL) AS rows_out "
         f"FROM (SELECT {cols}, count(*) AS _copies FROM dirty_{table} GROUP BY ALL)"
     )
 
@@ -247,9 +248,9 @@ def _validate_sql(table: str) -> str:
     pk = spec_for(table).pk
     return (
         f"SELECT '{table}' AS table_name, '{pk}' AS pk_column, true AS pk_present, "
-        f"count(*) AS row_count, count_if({pk} IS NULL) AS null_pk_count, "
+        f"count(*) AS row_count, count(*) FILTER (WHERE {pk} IS NULL) AS null_pk_count, "
         f"count({pk}) - count(DISTINCT {pk}) AS duplicate_pk_count, "
-        f"count(*) > 0 AND count_if({pk} IS NULL) = 0 AS passed FROM typed_{table}"
+        f"count(*) > 0 AND count(*) FILTER (WHERE {pk} IS NULL) = 0 AS passed FROM typed_{table}"
     )
 
 
@@ -443,7 +444,7 @@ def _loaded_profile_sql(table: str) -> str:
     pk = spec_for(table).pk
     return (
         f"SELECT '{table}' AS table_name, count(*) AS row_count, CAST(sum({pk}) AS BIGINT) AS key_sum, "
-        f"count_if(created_at IS NULL) AS null_created_at, "
+        f"count(*) FILTER (WHERE created_at IS NULL) AS null_created_at, "
         f"count(DISTINCT created_at) AS distinct_created_at FROM kept_{table}"
     )
 
@@ -584,7 +585,8 @@ def q_row_counts(t: ShopTables) -> DataFrame:
         "\nUNION ALL\n".join(
             _profile_sql(
                 tb,
-                f"'{spec_for(tb).pk}' AS pk_column, count_if({spec_for(tb).pk} IS NULL) AS null_pk_count",
+                f"'{spec_for(tb).pk}' AS pk_column, "
+                f"count(*) FILTER (WHERE {spec_for(tb).pk} IS NULL) AS null_pk_count",
             )
             for tb in TABLE_ORDER
         )

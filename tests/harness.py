@@ -63,6 +63,33 @@ def canon(columns: list[str], rows: list[tuple]) -> tuple[list[str], list[tuple]
     return cols, out
 
 
+def _spark_kind(dt) -> str:
+    n = dt.typeName()
+    if n in ("byte", "short", "integer", "long"):
+        return f"int:{n}"
+    if n in ("float", "double"):
+        return "double"
+    if n.startswith("decimal"):
+        return "decimal"
+    return {"timestamp_ntz": "timestamp", "timestamp": "timestamp"}.get(n, n)
+
+
+def _duck_kind(t: str) -> str:
+    t = t.upper()
+    ints = {"TINYINT": "byte", "SMALLINT": "short", "INTEGER": "integer", "BIGINT": "long"}
+    if t in ints:
+        return f"int:{ints[t]}"
+    if t in ("HUGEINT", "UBIGINT", "UINTEGER"):
+        return f"int:{t.lower()}"
+    if t in ("DOUBLE", "FLOAT"):
+        return "double"
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    if t.startswith("TIMESTAMP"):
+        return "timestamp"
+    return {"VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean"}.get(t, t.lower())
+
+
 def spark_rows(df) -> tuple[list[str], list[tuple]]:
     rows = [tuple(r) for r in df.collect()]
     return list(df.columns), rows
@@ -78,14 +105,22 @@ def compare(spark, key: str, sf_dir: str, con=None) -> dict:
 
     con = con or duck(sf_dir)
     t0 = time.time()
-    s_cols, s_rows = spark_rows(E.queries()[key](spark, sf_dir))
+    sdf = E.queries()[key](spark, sf_dir)
+    s_types = {f.name: _spark_kind(f.dataType) for f in sdf.schema.fields}
+    s_cols, s_rows = spark_rows(sdf)
     t1 = time.time()
     res = {"key": key, "spark_rows": len(s_rows), "spark_sec": round(t1 - t0, 2)}
     sql = E.oracle_sql().get(key)
     if sql is None:
         res["oracle"] = "none"
         return res
-    d_cols, d_rows = duck_rows(con, sql)
+    rel = con.sql(sql)
+    d_types = {c: _duck_kind(str(t)) for c, t in zip(rel.columns, rel.types)}
+    d_cols, d_rows = list(rel.columns), rel.fetchall()
+    type_diff = {c: (s_types.get(c), d_types.get(c)) for c in d_types if s_types.get(c) != d_types.get(c)}
+    res["types_match"] = not type_diff
+    if type_diff:
+        res["type_diff"] = type_diff
     res["oracle_rows"] = len(d_rows)
     sc, sr = canon(s_cols, s_rows)
     dc, dr = canon(d_cols, d_rows)
@@ -99,7 +134,7 @@ def compare(spark, key: str, sf_dir: str, con=None) -> dict:
         diff_d = [r for r in dr if r not in set(sr)][:3]
         res["spark_only"] = diff_s
         res["oracle_only"] = diff_d
-    res["ok"] = bool(sc == dc and sr == dr)
+    res["ok"] = bool(sc == dc and sr == dr and not type_diff)
     return res
 
 

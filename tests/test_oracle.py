@@ -25,6 +25,7 @@ def test_query_matches_oracle(spark, con, key):
     assert res["columns_match"], res
     assert res["spark_rows"] == res["oracle_rows"], res
     assert res["values_match"], res
+    assert res["types_match"], res
 
 
 def test_entry_smoke(spark):
