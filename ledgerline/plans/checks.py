@@ -427,9 +427,18 @@ def q_load_full_refresh(t: ShopTables) -> DataFrame:
 
 
 def _export_dirty_csv(t: ShopTables) -> str:
+    """Write the six corrupted raw tables as CSV landing files (concurrent
+    jobs, one per table)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     folder = scratch_path(t.spark, "csv-src")
-    for tb in TABLE_ORDER:
-        csv_source.write_csv(_dirty(t, tb), csv_source.csv_path(folder, tb))
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        list(
+            pool.map(
+                lambda tb: csv_source.write_csv(_dirty(t, tb), csv_source.csv_path(folder, tb)),
+                TABLE_ORDER,
+            )
+        )
     return folder
 
 
