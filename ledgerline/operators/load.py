@@ -3,10 +3,12 @@ insert-if-absent, into Parquet targets.
 
 A target is a Parquet folder holding the declared columns plus the two audit
 columns. The incremental path reads one scalar back to the driver (the high
-water mark, as a string so no time zone touches it), filters strictly newer
-rows, drops rows whose key the target already holds (``left_anti`` join, the
-``ON CONFLICT DO NOTHING`` of the reference) and appends. Re-running the same
-load therefore appends nothing.
+water mark, as a string so no time zone touches it; kept in a one-row state
+file beside the data so no run scans the target for it), filters strictly
+newer rows, drops rows whose key the target already holds (semi-join of the
+target keys to the increment, then ``left_anti``: the ``ON CONFLICT DO
+NOTHING`` of the reference) and appends. Re-running the same load therefore
+appends nothing.
 
 Writes go through Spark's file commit protocol: a failed or retried task
 leaves no partial output, and the append becomes visible at job commit. A
@@ -16,6 +18,7 @@ after the write succeeded, so a failed refresh never leaves an empty table.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from dataclasses import dataclass
 
@@ -51,6 +54,42 @@ def watermark_value(target: DataFrame | None, column: str = "created_at") -> str
     return row[0] if row else None
 
 
+# The high water mark of a target, kept next to its data. Written after every
+# committed append from metrics observed on that same append, so reading it
+# costs one tiny file instead of a scan of ``created_at`` over the whole
+# target. The folder starts with '_' and is therefore invisible to readers of
+# the target. If it is missing (older targets) the scan is the fallback; if a
+# write of it ever failed after a commit, the stale (lower) value only makes
+# the next run re-read rows, which insert-if-absent then skips.
+STATE_DIR = "_state/high_water_mark"
+_STATE_SCHEMA = "high_water_mark string"
+
+
+def _state_path(target_path: str) -> str:
+    return f"{target_path.rstrip('/')}/{STATE_DIR}"
+
+
+def stored_watermark(spark: SparkSession, target_path: str) -> tuple[bool, str | None]:
+    """(found, value) of the high water mark kept with a target."""
+    p = _state_path(target_path)
+    if not path_exists(spark, p):
+        return False, None
+    row = spark.read.schema(_STATE_SCHEMA).json(p).first()
+    return True, (row[0] if row else None)
+
+
+def store_watermark(spark: SparkSession, target_path: str, value: str | None) -> None:
+    spark.createDataFrame([(value,)], _STATE_SCHEMA).coalesce(1).write.mode("overwrite").json(
+        _state_path(target_path)
+    )
+
+
+def _later(a: str | None, b: str | None) -> str | None:
+    if a is None or b is None:
+        return a if b is None else b
+    return a if dt.datetime.fromisoformat(a) >= dt.datetime.fromisoformat(b) else b
+
+
 # ------------------------------------------------------------------ L2
 def filter_new_rows(
     df: DataFrame,
@@ -192,13 +231,23 @@ def load_table(
         return LoadResult(table, FULL_REFRESH, "loaded", int(obs.get["rows"]), None)
 
     target = read_target(spark, target_path, spec)
-    wm = watermark_value(target)
+    known, wm = (True, None) if target is None else stored_watermark(spark, target_path)
+    if not known:
+        wm = watermark_value(target)  # no stored mark yet: one scan, then kept
     new = filter_new_rows(aligned, wm, inclusive=inclusive, lateness=lateness)
     if spec is not None:
         new = anti_existing(new, target, spec.pk)
-    out, obs = _count_observed(new)
+    obs = Observation()
+    out = new.observe(
+        obs,
+        F.count(F.lit(1)).alias("rows"),
+        F.max("created_at").cast("string").alias("max_created_at"),
+    )
     out.write.mode("append").parquet(target_path)
     n = int(obs.get["rows"])
+    new_wm = _later(wm, obs.get["max_created_at"]) if n else wm
+    if n or not known:
+        store_watermark(spark, target_path, new_wm)
     return LoadResult(table, INCREMENTAL, "loaded" if n else "nothing new", n, wm)
 
 

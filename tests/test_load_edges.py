@@ -193,3 +193,20 @@ def test_nan_to_null(spark):
     df = spark.createDataFrame([(1, float("nan")), (2, 1.5)], "id int, v double")
     assert [r["v"] for r in load.nan_to_null(df).orderBy("id").collect()] == [None, 1.5]
     assert load.nan_to_null(df).filter(F.col("v").isNull()).count() == 1
+
+
+def test_stored_watermark_tracks_appends(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "orders")
+    load.load_table(spark, _orders_df(spark, [order(1, "2012-01-01 10:00:00")]), "orders", target)
+    assert load.stored_watermark(spark, target) == (True, "2012-01-01 10:00:00")
+    load.load_table(
+        spark,
+        _orders_df(spark, [order(2, "2012-03-01 00:00:00.5"), order(3, "2012-02-01 00:00:00")]),
+        "orders",
+        target,
+    )
+    found, wm = load.stored_watermark(spark, target)
+    assert found and wm.startswith("2012-03-01 00:00:00.5")
+    # the stored mark equals a scan of the target, and the target reader ignores it
+    assert wm == load.watermark_value(load.read_target(spark, target, TABLES["orders"]))
+    assert load.read_target(spark, target, TABLES["orders"]).count() == 3
