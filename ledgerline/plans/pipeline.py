@@ -39,6 +39,7 @@ SUMMARY_SCHEMA = T.StructType(
         T.StructField("rows_inserted", T.LongType()),
         T.StructField("watermark", T.StringType()),
         T.StructField("message", T.StringType()),
+        T.StructField("seconds", T.DoubleType()),
     ]
 )
 
@@ -53,6 +54,7 @@ class TableRun:
     rows_inserted: int | None = None
     watermark: str | None = None
     message: str = ""
+    seconds: float | None = None
 
     def row(self) -> tuple:
         return (
@@ -64,6 +66,7 @@ class TableRun:
             self.rows_inserted,
             self.watermark,
             self.message,
+            self.seconds,
         )
 
 
@@ -112,7 +115,22 @@ def _run_table(
     run_ts: str,
     on_duplicate: str,
 ) -> TableRun:
-    """Extract -> clean -> validate -> load for one table; never raises."""
+    """Extract -> clean -> validate -> load for one table, timed; never
+    raises."""
+    t0 = time.perf_counter()
+    run = _load_one(spark, table, source_dir, target_dir, run_ts, on_duplicate)
+    run.seconds = round(time.perf_counter() - t0, 3)
+    return run
+
+
+def _load_one(
+    spark: SparkSession,
+    table: str,
+    source_dir: str,
+    target_dir: str,
+    run_ts: str,
+    on_duplicate: str,
+) -> TableRun:
     strategy = strategy_for(table)
     path = csv_path(source_dir, table)
     if not path_exists(spark, path):
