@@ -58,12 +58,14 @@ def prefix_weight_before(
     out: str = "_before",
     buckets: int | None = None,
     global_bounds: list | None = None,
+    total_out: str | None = None,
 ) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over rows of the same group whose ``key``
     is strictly smaller. ``df`` holds one row per (group, key), key not NULL.
 
     With no group columns the caller may pass ``global_bounds`` (already
-    collected range bounds) to save one job."""
+    collected range bounds) to save one job. ``total_out`` adds the group's
+    total weight, read off the same small per-bucket stage."""
     spark = df.sparkSession
     nb = buckets or default_buckets(spark)
     g = list(group_cols)
@@ -95,9 +97,11 @@ def prefix_weight_before(
         F.max(F.col("_lw_in") + F.col(weight)).alias("_lw_bt")
     )
     w_off = (Window.partitionBy(*g) if g else Window).orderBy(_B).rowsBetween(unb, -1)
-    offsets = totals.select(
-        *g, _B, F.coalesce(F.sum("_lw_bt").over(w_off), F.lit(0)).alias("_lw_off")
-    )
+    off_cols = [*g, _B, F.coalesce(F.sum("_lw_bt").over(w_off), F.lit(0)).alias("_lw_off")]
+    if total_out:
+        whole = Window.partitionBy(*g) if g else Window.partitionBy()
+        off_cols.append(F.sum("_lw_bt").over(whole).alias(total_out))
+    offsets = totals.select(*off_cols)
     return (
         within.join(offsets, [*g, _B])
         .withColumn(out, F.col("_lw_off") + F.col("_lw_in"))
@@ -200,9 +204,7 @@ def exact_median(
         .groupBy(*g, value)
         .agg(F.count(F.lit(1)).alias(_W))
     )
-    pos = prefix_weight_before(freq, g, value, _W, "_lw_before", buckets)
-    sizes = freq.groupBy(*g).agg(F.sum(_W).alias("_lw_n"))
-    pos = pos.join(sizes, g)
+    pos = prefix_weight_before(freq, g, value, _W, "_lw_before", buckets, total_out="_lw_n")
     lo = F.floor((F.col("_lw_n") - 1) / 2)
     hi = F.floor(F.col("_lw_n") / 2)
     start = F.col("_lw_before")
