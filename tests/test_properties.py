@@ -122,3 +122,34 @@ def test_keep_first_output_keys_unique(spark):
     df = li.select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("k"), "l_partkey", "l_quantity")
     out = validate.keep_first(df, "k", ["l_partkey", "l_quantity"])
     assert out.count() == out.select("k").distinct().count() == df.select("k").distinct().count()
+
+
+def test_keep_first_matches_pandas_across_many_splits(spark, tmp_dir):
+    """One CSV file read in many splits: keep-first by the file-order key must
+    equal pandas' drop_duplicates(keep='first') on the same file."""
+    import pandas as pd
+
+    rng = random.Random(7)
+    path = os.path.join(tmp_dir, "orders.csv")
+    with open(path, "w") as fh:
+        fh.write("order_id,created_at,price_usd\n")
+        for i in range(20000):
+            key = rng.randint(1, 3000)  # many repeats, spread over the whole file
+            fh.write(f"{key},2012-01-01 00:00:00,{i}.00\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")  # ~25 splits
+    try:
+        from ledgerline.sources.csv import read_csv
+
+        raw = read_csv(spark, path, with_order=True)
+        assert raw.rdd.getNumPartitions() > 10
+        cleaned = clean.clean_dataframe(raw, "orders", "2024-01-01 00:00:00", order_col="_file_order")
+        got = {
+            r["order_id"]: str(r["price_usd"])
+            for r in validate.keep_first(cleaned, "order_id", ["_file_order"]).collect()
+        }
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    pdf = pd.read_csv(path).drop_duplicates(subset=["order_id"], keep="first")
+    want = {int(k): f"{v:.2f}" for k, v in zip(pdf.order_id, pdf.price_usd)}
+    assert got == want
