@@ -65,3 +65,18 @@ def materialize(
         writer.parquet(path)
         paths[name] = path
     return paths
+
+
+def register_all(
+    raw: dict[str, DataFrame],
+    since: str = reports.DEFAULT_SINCE,
+    min_sessions: int = 100,
+) -> list[str]:
+    """Expose raw tables (their own names), staging (``stg_*``) and marts
+    (``mrt_*``) as temp views, so ad-hoc SQL runs with ``spark.sql``. The
+    views are lazy: a query over a mart runs the mart's plan."""
+    views = dict(raw)
+    views.update(stage_all(raw))
+    views.update(build_marts(raw, since, min_sessions))
+    register_views(views)
+    return sorted(views)
