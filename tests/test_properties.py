@@ -153,3 +153,13 @@ def test_keep_first_matches_pandas_across_many_splits(spark, tmp_dir):
     pdf = pd.read_csv(path).drop_duplicates(subset=["order_id"], keep="first")
     want = {int(k): f"{v:.2f}" for k, v in zip(pdf.order_id, pdf.price_usd)}
     assert got == want
+
+
+def test_order_stats_on_empty_and_all_null_input(spark):
+    empty = spark.createDataFrame([], "id int, v double")
+    assert global_rank(empty, F.col("v"), "r").collect() == []
+    nulls = spark.createDataFrame([(1, None), (2, None)], "id int, v double")
+    assert sorted(r["r"] for r in global_rank(nulls, F.col("v"), "r").collect()) == [1, 1]
+    assert exact_median(spark.createDataFrame([], "g int, v decimal(12,2)"), ["g"], "v", "m").collect() == []
+    whole = spark.createDataFrame([(1, 1.0), (1, 3.0)], "g int, v double")
+    assert exact_median(whole, [], "v", "m").first()["m"] == 2.0
