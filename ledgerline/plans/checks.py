@@ -791,7 +791,8 @@ def q_join_three_way(t: ShopTables) -> DataFrame:
 @check(
     "join_left_two_keys",
     with_shop(
-        "SELECT CAST(month AS DATE) AS month, product_name, units_sold_that_month, refunds FROM combined",
+        "SELECT CAST(mon AS DATE) AS month, pname AS product_name, units AS units_sold_that_month, "
+        "n_ref AS refunds FROM monthly",
         *O.REFUND_RATE_TRENDS_CTES,
     ),
 )
@@ -921,13 +922,9 @@ def q_window_rank(t: ShopTables) -> DataFrame:
 @check(
     "window_rolling_avg",
     with_shop(
-        "SELECT CAST(month AS DATE) AS month, product_name, units_sold_that_month, "
-        + R(
-            "avg(units_sold_that_month) OVER (PARTITION BY product_name ORDER BY month "
-            "ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)",
-            4,
-        )
-        + " AS rolling_3_units FROM monthly_sales",
+        "SELECT CAST(mon AS DATE) AS month, pname AS product_name, units AS units_sold_that_month, "
+        + R("avg(units) OVER (PARTITION BY pname ORDER BY mon ROWS 2 PRECEDING)", 4)
+        + " AS rolling_3_units FROM sold",
         *O.REFUND_RATE_TRENDS_CTES[:1],
     ),
 )
