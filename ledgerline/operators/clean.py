@@ -135,13 +135,23 @@ def cast_declared(df: DataFrame, spec: TableSpec | None) -> DataFrame:
 
 
 def clean_dataframe(
-    df: DataFrame, table: str, run_ts: str, order_col: str | None = None
+    df: DataFrame,
+    table: str,
+    run_ts: str,
+    order_col: str | None = None,
+    drop_exact_duplicates: bool = True,
 ) -> DataFrame:
     """C1 -> C7 for one raw table (``order_col``: optional file-order key,
-    carried through for keep-first de-duplication of keys)."""
+    carried through for keep-first de-duplication of keys).
+
+    ``drop_exact_duplicates=False`` skips C2 for callers that keep the first
+    row per primary key anyway: identical rows share their key, so keep-first
+    removes them too and yields the same rows, and one full shuffle of every
+    column is saved."""
     spec = spec_for(table)
     out = normalize_columns(df)
-    out = drop_duplicate_rows(out, order_col)
+    if drop_exact_duplicates:
+        out = drop_duplicate_rows(out, order_col)
     out = cast_timestamps(out)
     out = cast_numeric(out)
     out = strip_text_columns(out)

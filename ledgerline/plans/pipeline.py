@@ -78,12 +78,19 @@ def stage_clean_table(
     run_ts: str,
 ) -> tuple[int, int, int]:
     """Clean, keep the first row per key (file order), write to
-    ``staging_path``. Returns (rows after cleaning, NULL keys, duplicate
-    keys) from metrics observed on that single write."""
+    ``staging_path``. Returns (rows after cleaning, NULL keys, duplicates)
+    from metrics observed on that single write.
+
+    With a primary key, exact-row de-duplication is folded into keep-first
+    (the first row of a key is the first copy of its row), so the data is
+    shuffled once, by key; "duplicates" then counts exact copies and
+    repeated keys together (rows after cleaning minus rows kept)."""
     spec = spec_for(table)
     order = FILE_ORDER if FILE_ORDER in raw.columns else None
-    cleaned = clean_dataframe(raw, table, run_ts, order_col=order)
     pk = spec.pk if spec else None
+    cleaned = clean_dataframe(
+        raw, table, run_ts, order_col=order, drop_exact_duplicates=pk is None
+    )
     if pk and pk not in cleaned.columns:
         raise KeyError(f"primary key column {pk!r} missing")
     seen = Observation()

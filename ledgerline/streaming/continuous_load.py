@@ -56,7 +56,13 @@ class StreamLoad:
                 F.monotonically_increasing_id().alias("pos"),
             ),
         ).drop("_file", "_block")
-        cleaned = clean_dataframe(batch, self.table, self.run_ts, order_col=FILE_ORDER)
+        cleaned = clean_dataframe(
+            batch,
+            self.table,
+            self.run_ts,
+            order_col=FILE_ORDER,
+            drop_exact_duplicates=spec is None,  # keep-first removes exact copies too
+        )
         if spec is not None:
             cleaned = keep_first(cleaned, spec.pk, [FILE_ORDER], keep_null_keys=False)
         self.results.append(
