@@ -79,3 +79,26 @@ def test_small_increment_does_not_shuffle_the_target(spark, tmp_dir):
     for i, l in enumerate(lines):
         if "FileScan parquet" in l and "_etl_" not in l and "ReadSchema: struct<order_id:bigint>" in l:
             assert not any("Exchange hashpartitioning" in x for x in lines[max(0, i - 3) : i])
+
+
+def test_exchange_budget_without_broadcasts(spark, tmp_dir):
+    """With broadcasts off (the shape on a large cluster), the session-anchored
+    reports and the cohort report shuffle exactly three times."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        t = shop_tables(spark, SF_SMALL)
+        s = _loaded(spark, tmp_dir, "website_sessions", t.website_sessions)
+        o = _loaded(spark, tmp_dir, "orders", t.orders)
+        for df in (
+            reports.visitor_segments(s, o),  # orders by session, sessions, segments
+            reports.conversion_for_period(s, o),
+            reports.revenue_per_session(s, o),
+            reports.cohort_retention(o),  # (user, month), user window, cohort
+        ):
+            assert _plan(df).count("Exchange ") == 3
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
