@@ -85,7 +85,7 @@ def test_exchange_budget_without_broadcasts(spark, tmp_dir):
     """With broadcasts off (the shape on a large cluster), the session-anchored
     reports and the cohort report shuffle exactly three times."""
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    old = {k: spark.conf.get(k) for k in keys}
+    old = {k: spark.conf.get(k, None) for k in keys}
     try:
         for k in keys:
             spark.conf.set(k, "-1")
@@ -101,4 +101,7 @@ def test_exchange_budget_without_broadcasts(spark, tmp_dir):
             assert _plan(df).count("Exchange ") == 3
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
