@@ -59,6 +59,7 @@ def prefix_weight_before(
     buckets: int | None = None,
     global_bounds: list | None = None,
     total_out: str | None = None,
+    nulls_first: bool = True,
 ) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over rows of the same group whose ``key``
     is strictly smaller. ``df`` holds one row per (group, key), key not NULL.
@@ -81,12 +82,17 @@ def prefix_weight_before(
             global_bounds = list(row[0]) if row is not None and row[0] is not None else []
         if global_bounds:
             lit_bounds = F.array(*[F.lit(v) for v in global_bounds])
-            bucketed = df.withColumn(_B, _bucket_of(F.col(key), lit_bounds))
+            bucket = _bucket_of(F.col(key), lit_bounds)
         else:
-            bucketed = df.withColumn(_B, F.lit(0))
+            bucket = F.lit(0)
+        # a NULL key (allowed only here) sorts before or after every value:
+        # it goes to the first or last range and takes part in the prefix sum
+        null_bucket = F.lit(0 if nulls_first else len(global_bounds))
+        bucketed = df.withColumn(_B, F.when(F.col(key).isNull(), null_bucket).otherwise(bucket))
 
     unb = Window.unboundedPreceding
-    w_in = Window.partitionBy(*g, _B).orderBy(key).rowsBetween(unb, -1)
+    order = F.col(key).asc_nulls_first() if nulls_first else F.col(key).asc_nulls_last()
+    w_in = Window.partitionBy(*g, _B).orderBy(order).rowsBetween(unb, -1)
     within = bucketed.withColumn("_lw_in", F.coalesce(F.sum(weight).over(w_in), F.lit(0)))
 
     # Bucket totals are read off the window output (last running count plus
@@ -128,22 +134,20 @@ def with_ranks(df: DataFrame, specs: Sequence[RankSpec], buckets: int | None = N
     distributed (see module doc). Keys must be numeric.
 
     ``df`` is checkpointed once (lineage cut, so the ranks never recompute
-    the plan that produced it); the range bounds and NULL counts of every
-    key ride on that same job as observed metrics, so ranking adds no extra
-    pass over the input."""
+    the plan that produced it); the range bounds of every key ride on that
+    same job as observed metrics. The bounds only balance the ranges, they
+    never change a rank: NULL keys and all counts come from the data itself,
+    so a re-executed stage (which can inflate observed metrics) cannot make
+    a rank wrong."""
     spark = df.sparkSession
     nb = buckets or default_buckets(spark)
     keys = [f"_lw_k{i}" for i in range(len(specs))]
     keyed = df.select("*", *[s.key.alias(k) for s, k in zip(specs, keys)])
     obs = Observation()
-    metrics = []
-    for i, (s, k) in enumerate(zip(specs, keys)):
-        sk = -F.col(k) if s.descending else F.col(k)
-        metrics += [
-            F.percentile_approx(sk, _probs(nb), 10000).alias(f"b{i}"),
-            F.count_if(F.col(k).isNull()).alias(f"n{i}"),
-            F.count_if(F.col(k).isNotNull()).alias(f"m{i}"),
-        ]
+    metrics = [
+        F.percentile_approx(-F.col(k) if s.descending else F.col(k), _probs(nb), 10000).alias(f"b{i}")
+        for i, (s, k) in enumerate(zip(specs, keys))
+    ]
     checkpoint_root(spark)  # the session's shared folder (set only if missing)
     base = keyed.observe(obs, *metrics).checkpoint(eager=True)
     stats = obs.get
@@ -151,26 +155,18 @@ def with_ranks(df: DataFrame, specs: Sequence[RankSpec], buckets: int | None = N
     out = base
     for i, (s, k) in enumerate(zip(specs, keys)):
         bounds = list(stats[f"b{i}"] or [])
-        n_null, n_nonnull = int(stats[f"n{i}"] or 0), int(stats[f"m{i}"] or 0)
         sort_key = "_lw_sk"
         freq = (
-            base.filter(F.col(k).isNotNull())
-            .groupBy(k)
+            base.groupBy(k)
             .agg(F.count(F.lit(1)).alias(_W))
             .withColumn(sort_key, -F.col(k) if s.descending else F.col(k))
         )
-        ranked = prefix_weight_before(freq, [], sort_key, _W, "_lw_before", nb, global_bounds=bounds)
-        lead = n_null if s.nulls_first else 0
-        ranked = ranked.select(
-            k, (F.col("_lw_before") + F.lit(lead + 1)).cast("bigint").alias(s.out)
+        ranked = prefix_weight_before(
+            freq, [], sort_key, _W, "_lw_before", nb, global_bounds=bounds, nulls_first=s.nulls_first
+        ).select(
+            F.col(k).alias("_lw_rk"), (F.col("_lw_before") + 1).cast("bigint").alias(s.out)
         )
-        if n_null:
-            null_rank = 1 if s.nulls_first else n_nonnull + 1
-            out = out.filter(F.col(k).isNotNull()).join(ranked, k).unionByName(
-                out.filter(F.col(k).isNull()).withColumn(s.out, F.lit(null_rank).cast("bigint"))
-            )
-        else:
-            out = out.join(ranked, k)
+        out = out.join(ranked, F.col(k).eqNullSafe(F.col("_lw_rk"))).drop("_lw_rk")
     return out.drop(*keys)
 
 
