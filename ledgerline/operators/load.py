@@ -62,7 +62,7 @@ def watermark_value(target: DataFrame | None, column: str = "created_at") -> str
 # write of it ever failed after a commit, the stale (lower) value only makes
 # the next run re-read rows, which insert-if-absent then skips.
 STATE_DIR = "_state/high_water_mark"
-_STATE_SCHEMA = "high_water_mark string"
+_NO_MARK = ""  # stored for a target whose rows all lack created_at
 
 
 def _state_path(target_path: str) -> str:
@@ -70,18 +70,34 @@ def _state_path(target_path: str) -> str:
 
 
 def stored_watermark(spark: SparkSession, target_path: str) -> tuple[bool, str | None]:
-    """(found, value) of the high water mark kept with a target."""
-    p = _state_path(target_path)
-    if not path_exists(spark, p):
+    """(found, value) of the high water mark kept with a target: one line of
+    text read through the session's Hadoop file system (no Spark job)."""
+    fs, p, jvm = _fs(spark, _state_path(target_path))
+    if not fs.exists(p):
         return False, None
-    row = spark.read.schema(_STATE_SCHEMA).json(p).first()
-    return True, (row[0] if row else None)
+    stream = fs.open(p)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return True, (line or None)
 
 
 def store_watermark(spark: SparkSession, target_path: str, value: str | None) -> None:
-    spark.createDataFrame([(value,)], _STATE_SCHEMA).coalesce(1).write.mode("overwrite").json(
-        _state_path(target_path)
-    )
+    """Write the mark to a temporary file, then rename it into place, so a
+    reader sees the old or the new value, never a partial one."""
+    final = _state_path(target_path)
+    fs, dst, jvm = _fs(spark, final)
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{final}.tmp-{uuid.uuid4().hex[:8]}")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray((value or _NO_MARK).encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(dst):
+        fs.delete(dst, False)
+    if not fs.rename(tmp, dst):
+        raise OSError(f"could not store the high water mark of {target_path}")
 
 
 def _later(a: str | None, b: str | None) -> str | None:
