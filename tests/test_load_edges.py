@@ -211,3 +211,27 @@ def test_stored_watermark_tracks_appends(spark, tmp_dir):
     # the stored mark equals a scan of the target, and the target reader ignores it
     assert wm == load.watermark_value(load.read_target(spark, target, TABLES["orders"]))
     assert load.read_target(spark, target, TABLES["orders"]).count() == 3
+
+
+def test_command_line_load_and_verify(spark, tmp_dir, capsys):
+    from ledgerline.__main__ import main
+
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    _write(
+        os.path.join(src, "orders.csv"),
+        b"order_id,created_at,website_session_id,price_usd\n1,2012-04-02 00:00:00,10,5.00\n",
+    )
+    _write(
+        os.path.join(src, "website_sessions.csv"),
+        b"website_session_id,created_at,device_type\n10,2012-04-01 00:00:00,mobile\n11,2012-04-03 00:00:00,desktop\n",
+    )
+    wh = os.path.join(tmp_dir, "wh")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:  # the command line reuses this session (getOrCreate) and sets its own partitions
+        assert main(["--shuffle-partitions", "4", "load", src, wh]) == 1  # four tables have no file
+        assert main(["--shuffle-partitions", "4", "verify", wh]) == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    out = capsys.readouterr().out
+    assert "website_sessions" in out and "50.0" in out  # 1 order / 2 sessions in April 2012
