@@ -75,6 +75,17 @@ def channel_performance(
     since: str = DEFAULT_SINCE,
     min_sessions: int = DEFAULT_MIN_SESSIONS,
 ) -> DataFrame:
+    out = channel_metrics(sessions, orders, since, min_sessions)
+    return global_rank(out, F.col("conversion_rate_pct"), "conversion_rank")
+
+
+def channel_metrics(
+    sessions: DataFrame,
+    orders: DataFrame,
+    since: str = DEFAULT_SINCE,
+    min_sessions: int = DEFAULT_MIN_SESSIONS,
+) -> DataFrame:
+    """M1 before ranking: one row per channel above the session threshold."""
     s = sessions.filter(F.col("created_at") >= ts_literal(since)).select(
         "website_session_id",
         F.coalesce(F.col("utm_source"), F.lit(SOURCE_DEFAULT)).alias("utm_source"),
@@ -101,13 +112,30 @@ def channel_performance(
         round_half_up(ratio("_revenue", "orders"), 2).alias("avg_order_value"),
         revenue.alias("total_revenue"),
     )
-    return global_rank(out, F.col("conversion_rate_pct"), "conversion_rank")
+    return out
 
 
 # --------------------------------------------------------------------- M2
 def product_profitability(
     products: DataFrame, order_items: DataFrame, refunds: DataFrame
 ) -> DataFrame:
+    out = product_metrics(products, order_items, refunds)
+    # PostgreSQL sorts NULL first under DESC: products without sales rank 1.
+    out = with_ranks(
+        out,
+        [
+            RankSpec(F.col("_profit_key"), "profit_rank", True, True),
+            RankSpec(F.col("_margin_key"), "margin_rank", True, True),
+        ],
+    )
+    return out.drop("_profit_key", "_margin_key")
+
+
+def product_metrics(
+    products: DataFrame, order_items: DataFrame, refunds: DataFrame
+) -> DataFrame:
+    """M2 before ranking: one row per product with the two rank keys
+    (unrounded profit, margin as a ratio of doubles)."""
     # Sales are reduced per product map-side (partial aggregation: only one
     # small row per product and task is shuffled). Refunds need the item's
     # product, so only the two key columns of the items meet the refunds,
@@ -149,15 +177,7 @@ def product_profitability(
         profit.alias("_profit_key"),
         double_pct_key(profit, "_revenue").alias("_margin_key"),
     )
-    # PostgreSQL sorts NULL first under DESC: products without sales rank 1.
-    out = with_ranks(
-        out,
-        [
-            RankSpec(F.col("_profit_key"), "profit_rank", True, True),
-            RankSpec(F.col("_margin_key"), "margin_rank", True, True),
-        ],
-    )
-    return out.drop("_profit_key", "_margin_key")
+    return out
 
 
 # --------------------------------------------------------------------- M3
