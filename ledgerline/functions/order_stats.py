@@ -13,8 +13,11 @@ Here the position is computed as a distributed prefix sum:
    bounds (one small array per group, fixed once: collected for a global
    order, checkpointed for a grouped one, so a recomputed task sees the same
    bounds);
-3. inside each range a window computes the running count; across ranges a
-   window over ``B`` bucket totals per group gives the offsets;
+3. inside each range a window computes the running count; the offsets of
+   the ranges come from their totals: for a global order that is at most
+   ``B`` numbers, computed by one exact aggregation and applied as a literal
+   array (no further shuffle); per group, a window over the ``B`` totals of
+   each group;
 4. position = offset of the bucket + running count before the key.
 
 Ties always fall into the same range because the range is a function of the
@@ -89,6 +92,7 @@ def prefix_weight_before(
         # it goes to the first or last range and takes part in the prefix sum
         null_bucket = F.lit(0 if nulls_first else len(global_bounds))
         bucketed = df.withColumn(_B, F.when(F.col(key).isNull(), null_bucket).otherwise(bucket))
+        return _global_prefix(bucketed, key, weight, out, total_out, nulls_first, len(global_bounds) + 1)
 
     unb = Window.unboundedPreceding
     order = F.col(key).asc_nulls_first() if nulls_first else F.col(key).asc_nulls_last()
@@ -115,6 +119,38 @@ def prefix_weight_before(
     )
 
 
+def _global_prefix(
+    bucketed: DataFrame,
+    key: str,
+    weight: str,
+    out: str,
+    total_out: str | None,
+    nulls_first: bool,
+    n_buckets: int,
+) -> DataFrame:
+    """Prefix sums over one global order. The per-range totals are at most
+    ``n_buckets`` numbers: one small, exact aggregation brings them to the
+    driver, and the range offsets become a literal array looked up per row,
+    so the only shuffles left are the one into ranges and the caller's."""
+    totals = {
+        int(r[0]): int(r[1] or 0)
+        for r in bucketed.groupBy(_B).agg(F.sum(weight)).collect()
+    }
+    offsets, running = [], 0
+    for b in range(n_buckets):
+        offsets.append(running)
+        running += totals.get(b, 0)
+    order = F.col(key).asc_nulls_first() if nulls_first else F.col(key).asc_nulls_last()
+    w_in = Window.partitionBy(_B).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.element_at(F.array(*[F.lit(x).cast("bigint") for x in offsets]), F.col(_B) + 1)
+    result = bucketed.withColumn(
+        out, offset + F.coalesce(F.sum(weight).over(w_in), F.lit(0))
+    )
+    if total_out:
+        result = result.withColumn(total_out, F.lit(running).cast("bigint"))
+    return result.drop(_B)
+
+
 def _probs(nb: int) -> list[float]:
     return [i / nb for i in range(1, nb)]
 
