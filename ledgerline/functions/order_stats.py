@@ -77,7 +77,9 @@ def prefix_weight_before(
         approx = F.percentile_approx(F.col(key), _probs(nb), 10000).alias(_BOUNDS)
         checkpoint_root(spark)
         bounds = df.groupBy(*g).agg(approx).checkpoint(eager=True)
-        bucketed = df.join(bounds, g).withColumn(_B, _bucket_of(F.col(key), F.col(_BOUNDS)))
+        bucketed = _join_groups(df, bounds, g).withColumn(
+            _B, _bucket_of(F.col(key), F.col(_BOUNDS))
+        )
         bucketed = bucketed.drop(_BOUNDS)
     else:
         if global_bounds is None:
@@ -113,7 +115,7 @@ def prefix_weight_before(
         off_cols.append(F.sum("_lw_bt").over(whole).alias(total_out))
     offsets = totals.select(*off_cols)
     return (
-        within.join(offsets, [*g, _B])
+        _join_groups(within, offsets, [*g, _B])
         .withColumn(out, F.col("_lw_off") + F.col("_lw_in"))
         .drop("_lw_off", "_lw_in", _B)
     )
@@ -151,6 +153,20 @@ def _global_prefix(
     return result.drop(_B)
 
 
+def _join_groups(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Inner join on ``cols`` where NULL matches NULL (a NULL group, e.g. a
+    month of rows without a date, is a group like any other)."""
+    renamed = right.select(
+        *[F.col(c).alias(f"_lw_r_{c}") for c in cols],
+        *[c for c in right.columns if c not in cols],
+    )
+    cond = None
+    for c in cols:
+        term = F.col(c).eqNullSafe(F.col(f"_lw_r_{c}"))
+        cond = term if cond is None else cond & term
+    return left.join(renamed, cond).drop(*[f"_lw_r_{c}" for c in cols])
+
+
 def _probs(nb: int) -> list[float]:
     return [i / nb for i in range(1, nb)]
 

@@ -224,3 +224,10 @@ def test_sql_over_registered_views(spark):
     op = reports.conversion_for_period(t.website_sessions, t.orders, "1998-04-01", "1998-05-01").first()
     assert (sql["sessions"], sql["orders"]) == (op["sessions"], op["orders"])
     assert spark.sql("SELECT count(*) AS n FROM mrt_channel_performance").first()["n"] > 0
+
+
+def test_median_of_a_month_without_dates(spark):
+    # orders with no created_at form their own (NULL) month, as GROUP BY does
+    orders = [order(1, None, price=10.0), order(2, None, price=30.0), order(3, "2014-01-05 00:00:00", price=5.0)]
+    got = {r["month"]: r["median_order_value"] for r in reports.order_value_trends_orders_only(frame(spark, "orders", orders)).collect()}
+    assert got == {None: 20.0, __import__("datetime").date(2014, 1, 1): 5.0}
