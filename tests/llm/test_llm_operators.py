@@ -1,0 +1,476 @@
+"""Each operator against a brute-force version, on small tables that hold the awkward cases."""
+
+import hashlib
+import json
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm import bpe, chat_format, decontamination, near_dedup, quality, repeats, secret_scan, token_files, toxicity, url_filter
+from ledgerline.llm.queries import tokenizer_path
+
+sha = lambda b: hashlib.sha256(b).hexdigest()
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def clashing(df):
+    """Extra columns with names that the operators use inside."""
+    return df.withColumns({k: F.lit(1) for k in ("id", "version", "h", "rep", "path", "component_id", "spans", "n_words", "segment", "score", "ids", "llm_key_x")})
+
+
+# 1 ------------------------------------------------------------------------------------------------
+
+
+def brute_secrets(text):
+    t = text or ""
+    out = [("assign", m.start(), m.end()) for m in re.finditer(r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", t) if len(m.group(1)) >= 8]
+    out += [("access", m.start(), m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m.group()) >= 16]
+    out += [("hex", m.start(), m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m.group()) >= 32]
+    return sorted(out, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+
+
+def test_secret_base_spans(docs):
+    got = secret_scan.digest(secret_scan.secret_scan(clashing(docs)))
+    want = Counter()
+    for d, t in rows(docs.select("doc_id", "text")):
+        s = brute_secrets(t)
+        n = Counter(k for k, _, _ in s)
+        want[(d, n["assign"], n["access"], n["hex"], sha(",".join(f"{k}:{a}:{b}" for k, a, b in s).encode()))] += 1
+    assert Counter(rows(got.drop("spans"))) == want
+    assert any("assign:" in r.spans and "access:" in r.spans for r in got.collect())
+
+
+def test_secret_network_learns_and_keeps_base(spark):
+    rng = random.Random(3)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(150)]
+    texts = [(i, f"words here token = \"{h}\" and more words") for i, h in enumerate(hexes)]
+    texts += [(200 + i, f"phone and mail ref item{i}number{i} 2024-01-{i % 28 + 1:02d}-{i:04d} end") for i in range(150)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    found = secret_scan.findings(df)
+    net = secret_scan.train(found)
+    assert net is not None and net.threshold >= 0.5
+    fresh = spark.createDataFrame([(1, "key " + "".join(rng.choice("0123456789abcdef") for _ in range(31)) + " quoted"), (2, "see item7number7 there")], "doc_id long, text string")
+    out = dict((r.doc_id, r["all"]) for r in secret_scan.spans(secret_scan.findings(fresh), net).collect())
+    assert not [s for s in out[2] if s.kind == "cnn"]
+    masked = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert not any(h in masked[i] for i, h in enumerate(hexes)) and masked[0].startswith("words here [SECRET]")
+
+
+def test_secret_empty(empty):
+    assert rows(secret_scan.digest(secret_scan.secret_scan(empty))) == []
+    assert secret_scan.redact(empty).columns == empty.columns
+
+
+# 2 ------------------------------------------------------------------------------------------------
+
+
+def brute_repeats(rows_):
+    ident = lambda r: (-(1 << 63) if r[0] is None else r[0], r[2])
+    first = {}
+    order = sorted(set((ident(r), (r[1] or "").encode()) for r in rows_))
+    for key, t in order:
+        for i in range(len(t) - 99):
+            first.setdefault(t[i : i + 100], (key, i))
+    out = Counter()
+    for r in rows_:
+        t = (r[1] or "").encode()
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - 99):
+            if first[t[i : i + 100]] != (ident(r), i):
+                gone[i : i + 100] = True
+        edge = np.diff(np.concatenate([[0], gone.astype(np.int8)]))
+        out[(r[0], len(t), int(gone.sum()), int((edge == 1).sum()), sha(np.frombuffer(t, np.uint8)[~gone].tobytes()))] += 1
+    return out
+
+
+def with_version(df):
+    return rows(df.select("doc_id", "text", F.xxhash64("text")))
+
+
+def test_repeats(docs):
+    assert Counter(rows(repeats.remove_repeats(clashing(docs)))) == brute_repeats(with_version(docs))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeats_random_passages(spark, seed, monkeypatch):
+    """Few symbols, shared passages at every offset, copies and hot surroundings."""
+    rng = random.Random(seed)
+    passages = ["".join(rng.choice("abc ") for _ in range(rng.randint(90, 260))) for _ in range(6)]
+    texts = []
+    for i in range(80):
+        parts = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 120)))]
+        for _ in range(rng.randint(0, 3)):
+            p = rng.choice(passages)
+            a = rng.randint(0, 40)
+            parts += [p[a:], "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 60)))]
+        texts.append((rng.randint(0, 1000) * 100 + i, "".join(parts)))
+    texts += [(texts[0][0] + 1, texts[0][1])] * 2 + [(5, "xyz" * 200), (6, "q" * 300)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert Counter(rows(repeats.remove_repeats(df))) == brute_repeats(with_version(df))
+
+
+def test_repeats_empty(empty):
+    assert rows(repeats.remove_repeats(empty)) == []
+
+
+# 3, 7 ---------------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def test_bpe_equals_library(docs, library):
+    want = Counter()
+    for d, t in rows(docs.select("doc_id", "text")):
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want[(d, len(ids), sha(np.array(ids, "<u4").tobytes()), sha(library.decode(ids, skip_special_tokens=False).encode()))] += 1
+    assert Counter(rows(bpe.round_trip(clashing(docs), tokenizer_path()))) == want
+    tokens = bpe.encode_documents(docs, tokenizer_path())
+    assert Counter(rows(bpe.decode_documents(tokens, tokenizer_path()))) == Counter((d, t or "") for d, t in rows(docs.select("doc_id", "text")))
+
+
+def test_bpe_equals_library_on_characters(library):
+    v = bpe.Vocabulary(tokenizer_path())
+    rng = random.Random(5)
+    some = [chr(c) for c in range(0x3000) if not 0xD800 <= c < 0xE000] + ["\U0001f600", "\U00020000", "\x00"]
+    texts = [f"a{c}b {c} 1{c}" for c in some]
+    alphabet = "abest'  \n\t1239!?.,éñ漢字ßdlrmv \x1c\x85́²½"
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    texts += ["it's 's  's don't we've!'s", "I'll'll 'll ''s's'd", "<|endoftext|><|endoftext|> a<|endoftext|>", "<|endoftext", "x" * 3000]
+    raw = [t.encode() for t in texts]
+    off = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    ids, o = v.encode(np.frombuffer(b"".join(raw), np.uint8), off)
+    for i, e in enumerate(library.encode_batch(texts, add_special_tokens=False)):
+        assert ids[o[i] : o[i + 1]].tolist() == e.ids, repr(texts[i])
+        assert v.decode(ids[o[i] : o[i + 1]]) == raw[i]
+
+
+def test_bpe_cache_starts_anew(library, monkeypatch):
+    monkeypatch.setattr(bpe.WordCache, "WORDS", 8)
+    v = bpe.Vocabulary(tokenizer_path())
+    for k in range(5):
+        t = " ".join(f"word{k}{i}" for i in range(20))
+        ids, _ = v.encode(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))
+        assert ids.tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_token_files(spark, docs, library, tmp_path):
+    out = str(tmp_path / "tokens")
+    token_files.write(clashing(docs), out, tokenizer_path(), files=4, row_group_bytes=1 << 16, page_bytes=1 << 12)
+    got = rows(token_files.digest(token_files.read(spark, out)))
+    given = sorted(rows(docs.select("doc_id", "text", F.xxhash64("text"))), key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
+    start, want = 0, Counter()
+    for d, t, _ in given:
+        ids = library.encode(t or "", add_special_tokens=False).ids + [2]
+        want[(d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))] += 1
+        start += len(ids)
+    assert Counter(got) == want
+    import pyarrow.parquet as pq
+
+    files = [p for p in (tmp_path / "tokens").iterdir() if p.name.endswith(".parquet")]
+    columns = [pq.ParquetFile(p).metadata.row_group(0).column(4) for p in files]
+    assert all(c.has_offset_index and c.has_column_index for c in columns)
+    assert all({"RLE_DICTIONARY", "DELTA_BINARY_PACKED"} & set(c.encodings) for c in columns)
+
+
+def test_token_files_empty(spark, empty, tmp_path):
+    token_files.write(empty, str(tmp_path / "t"), tokenizer_path(), files=2)
+    assert rows(token_files.digest(token_files.read(spark, str(tmp_path / "t")))) == []
+    assert rows(bpe.round_trip(empty, tokenizer_path())) == []
+
+
+# 4 ------------------------------------------------------------------------------------------------
+
+
+def brute_quality(t):
+    t = t or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    seen, dup = set(), 0
+    for line in t.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    tri = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    n = Counter(tri)
+    hit = {i + k for i, x in enumerate(tri) if n[x] > 1 for k in range(3)}
+    failed = len(w) < 50 or 100 * len(hit) > 50 * len(w)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(hit), failed
+
+
+def test_quality_counts(docs):
+    got = quality.quality(clashing(docs)).drop("kept")
+    assert Counter(rows(got)) == Counter((d, *brute_quality(t)) for d, t in rows(docs.select("doc_id", "text")))
+
+
+def test_quality_cutoffs_are_adaptive(spark):
+    """Where symbols are usual they pass; the same text among plain ones fails."""
+    rng = random.Random(2)
+    plain = lambda: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(80))
+    code = lambda: " ".join(f"w{rng.randint(0, 9999)} ##|" for _ in range(60))
+    data = [(i, plain(), "en", "prose", 0) for i in range(100)] + [(1000 + i, code(), "en", "code", 0) for i in range(100)] + [(5000, code(), "en", "prose", 0), (5001, plain(), "xx", "small", 0)]
+    kept = {r.doc_id: r.kept for r in quality.quality(spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    assert not kept.pop(5000)
+    assert all(kept.values())
+
+
+def test_quality_empty(empty):
+    assert rows(quality.quality(empty)) == []
+
+
+# 5 ------------------------------------------------------------------------------------------------
+
+
+def bench_words(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+
+
+def brute_decontamination(docs_, items):
+    windows = defaultdict(set)
+    for i, t in items:
+        w = bench_words(t)
+        for k in range(max(1, len(w) - 9)) if w else ():
+            windows[tuple(w[k : k + 10])].add(i)
+    out = Counter()
+    sizes = {len(k) for k in windows}
+    for d, t in docs_:
+        w = bench_words(t)
+        hit, found = set(), set()
+        for n in sizes:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in windows:
+                    hit.update(range(k, k + n))
+                    found |= windows[tuple(w[k : k + n])]
+        names = sorted(map(str, found))
+        out[(d, len(w), len(hit), len(names), sha(",".join(names).encode()), bool(hit))] += 1
+    return out
+
+
+@pytest.mark.parametrize("block", [8 << 20, 200])
+def test_decontamination(spark, docs, block, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+    texts = [t for _, t in rows(docs.select("doc_id", "text")) if t]
+    long = sorted(texts, key=len)[-30:]
+    items = [(i, " ".join(t.split()[3:25]).upper().lower()) for i, t in enumerate(long)] + [(100, None), (101, ""), (102, "two words"), (103, "ab"), (104, "line of"), (104, "x"), (10, "... !")]
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
+    got = decontamination.digest(decontamination.decontaminate(clashing(docs), bench))
+    assert Counter(rows(got.drop("n_near"))) == brute_decontamination(rows(docs.select("doc_id", "text")), items)
+    assert all(r.n_near >= r.n_items for r in got.collect())
+    kept = decontamination.reject_contaminated(docs, bench)
+    clean = Counter(d for (d, *_, bad), n in brute_decontamination(rows(docs.select("doc_id", "text")), items).items() for _ in range(n) if not bad)
+    assert Counter(r.doc_id for r in kept.collect()) == clean
+
+
+def test_decontamination_proximity(spark):
+    words_ = [f"w{i}" for i in range(10)]
+    shuffled = [words_[i] for i in (3, 1, 0, 2, 5, 4, 9, 8, 6, 7)]
+    df = spark.createDataFrame([(1, " ".join(shuffled)), (2, " ".join(words_)), (3, " ".join(words_[:9])), (4, " x ".join(words_[:5]) + " y" * 40 + " ".join(words_[5:]))], "doc_id long, text string")
+    got = {r.doc_id: (r.n_items, r.n_near) for r in decontamination.digest(decontamination.decontaminate(df, spark.createDataFrame([(1, " ".join(words_))], "item_id long, text string"))).collect()}
+    assert got == {1: (0, 1), 2: (1, 1), 3: (0, 0), 4: (0, 0)}
+
+
+def test_decontamination_empty(spark, docs, empty):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert {r.n_hit for r in decontamination.digest(decontamination.decontaminate(docs, none)).collect()} == {0}
+    assert rows(decontamination.digest(decontamination.decontaminate(empty, none))) == []
+
+
+# 6 ------------------------------------------------------------------------------------------------
+
+
+def test_toxicity_held_out(spark):
+    rng = random.Random(4)
+    fill = lambda n: " ".join("".join(rng.choice(["th", "er", "on", "an", "in"]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+    data, labels = [], []
+    for i in range(700):
+        bad = i % 4 == 0
+        w = fill(rng.randint(10, 80)).split()
+        for _ in range(3 if bad else 0):
+            w.insert(rng.randrange(len(w)), rng.choice(["idiot", "moron", "scum"]))
+        data.append((i, " ".join(w)))
+        labels.append((i, 1, int(bad)))
+    data += [(None, "idiot"), (9999, None), (9998, "")]
+    df, lab = spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(labels + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity(clashing(df), lab).collect()
+    assert len(got) == len(data) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    held = [(r.predicted, int(r.doc_id % 4 == 0)) for r in got if r.held_out and r.doc_id < 9000]
+    assert np.mean([a == b for a, b in held]) > 0.95
+    kept = {r.doc_id for r in toxicity.reject_toxic(df, lab).collect()}
+    assert kept == {r.doc_id for r in got if not r.predicted}
+
+
+def test_toxicity_without_labels(spark, docs, empty):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r.score for r in toxicity.toxicity(docs, none).collect()} == {0.0}
+    assert rows(toxicity.toxicity(empty, none)) == []
+
+
+# 8 ------------------------------------------------------------------------------------------------
+
+
+def brute_url(url):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.sub("[A-Z]", lambda m: m.group().lower(), re.split(r"[/?#]", rest)[0])
+        path = re.split(r"[?#]", rest)[0][len(host) :]
+    fits = [(len(h) + len(p), h + p, v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    if fits:
+        _, rule, verdict = max(fits)
+        return host, path, rule, verdict
+    bad = bool(host) and re.search(r"\.spam-|-farm\.|\.cheap-|-pills\.", "." + host)
+    return host, path, None, "block" if bad else "allow"
+
+
+def test_url_filter(spark):
+    rng = random.Random(1)
+    hosts = ["example.com", "www.example.com", "a.WWW.example.com", "xexample.com", "x.net", "net", "spam-farm.example.org", "a.cheap-pills.org", "com", "", "host", "münchen.net", "a.spam-.b"]
+    paths = ["", "/", "/en", "/en/", "/en/x?y#z", "/es/1", "/fr/", "?q=/en/", "#://x/en/", "//en/", "/é/"]
+    urls = [f"{s}{h}{p}" for s in ("http://", "HTTPS://", "://", "x", "") for h in hosts for p in paths] + [None, "", "://", "a://b://c/en/"]
+    data = [(i if rng.random() < 0.95 else None, u, "<html>") for i, u in enumerate(urls + urls[:20])]
+    got = rows(url_filter.judge_urls(clashing(spark.createDataFrame(data, "page_id long, url string, html string"))))
+    assert Counter(got) == Counter((i, *brute_url(u)) for i, u, _ in data)
+    assert rows(url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string"))) == []
+
+
+def test_shift_and_equals_regex():
+    rng = random.Random(8)
+    globs = ["".join(rng.choice("ab*") for _ in range(rng.randint(0, 7))) for _ in range(60)] + ["*" * 5, "a" * 70, "*".join("ab" * 20)]
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 9))).encode() for _ in range(200)] + [b"a" * 70, b"ab" * 30]
+    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    got = url_filter.ShiftAnd(globs).match(np.frombuffer(b"".join(texts), np.uint8), off)
+    for i, t in enumerate(texts):
+        for j, g in enumerate(globs):
+            assert got[i, j] == bool(re.fullmatch(g.replace("*", ".*"), t.decode())), (g, t)
+
+
+# 9 ------------------------------------------------------------------------------------------------
+
+
+def brute_chat(turns, part=chat_format.PART):
+    convs = defaultdict(list)
+    for c, n, r, t in turns:
+        convs[c].append((n if n is not None else (1 << 63) - 1, r if r is not None else "unknown", t or "", -1 if n is None else n // part))
+    out = Counter()
+    for c, ts in convs.items():
+        for who in {r for _, r, _, _ in ts} - {"system"}:
+            for p in {x[3] for x in ts}:
+                text, mask = "", []
+                own = sorted(x for x in ts if x[3] == p)
+                for _, r, t, _ in own:
+                    text += chat_format.OPEN + ("assistant" if r == who else "system" if r == "system" else f"user name={r}") + "\n"
+                    if r == who:
+                        mask.append(f"{len(text)}:{len(text) + len(t)}")
+                    text += t + chat_format.CLOSE
+                out[(c, who, p, len(own), text, ",".join(mask))] += 1
+    return out
+
+
+def test_chat_format(spark):
+    rng = random.Random(6)
+    turns = [(rng.choice([1, 2, 3, None]), rng.choice([*range(6), 64, 200, None]), rng.choice(["ann", "bob", "cy", "system", None]), rng.choice(["hi", "é漢", "", None, "x\ny"])) for _ in range(120)]
+    turns += [(9, 0, "system", "only")] + turns[:5]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumns({"speaker": F.lit(1), "part": F.lit(2)})
+    assert Counter(rows(chat_format.perspectives(df))) == brute_chat(turns)
+    assert rows(chat_format.perspectives(df.limit(0))) == []
+
+
+def test_chat_format_runs_no_python(spark):
+    df = chat_format.perspectives(spark.createDataFrame([(1, 0, "a", "b")], "conv_id long, turn long, role string, text string"))
+    assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString().replace("PythonRDD", ""))
+
+
+# 10 -----------------------------------------------------------------------------------------------
+
+
+def shingles(t, n):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
+
+
+def brute_components(data, n, percent=80):
+    """data: doc_id -> text."""
+    sets = {d: shingles(t, n) for d, t in data.items()}
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            inter = len(sets[a] & sets[b])
+            if inter and 100 * inter >= percent * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {d: (len(sets[d]), find(d)) for d in ids}
+
+
+def check_components(spark, data, n=2):
+    df = spark.createDataFrame(list(data.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(clashing(df), n).collect()}
+    assert got == brute_components(data, n)
+
+
+def test_near_dedup(spark, docs):
+    data = {}
+    for d, t in rows(docs.select("doc_id", "text")):
+        if d is not None and d != 7:
+            data[d] = t
+    check_components(spark, data)
+    got = near_dedup.near_duplicates(docs)
+    assert got.count() == docs.count()
+    assert {tuple(r) for r in got.where("doc_id is null").select("component_id", "kept").collect()} == {(None, True)}
+    kept = near_dedup.keep_first(docs, 2)
+    assert kept.columns == docs.columns
+    gone = {d for d, (_, c) in brute_components(data, 2).items() if c != d}
+    assert {r.doc_id for r in kept.collect()} - {7, None} == set(data) - gone
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_near_dedup_chains_and_large_groups(spark, seed, monkeypatch):
+    """Chains at the threshold, a group far over the node size, very common shingles, exact copies."""
+    monkeypatch.setattr(near_dedup, "NODE", 8)
+    monkeypatch.setattr(near_dedup, "LEVELS", 3)
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(60)]
+    data, k = {}, 0
+    for _ in range(6):  # drifting chains
+        w = [rng.choice(vocab) for _ in range(rng.randint(12, 50))]
+        for _ in range(15):
+            data[k] = " ".join(w)
+            k += 1
+            w = list(w)
+            w[rng.randrange(len(w))] = rng.choice(vocab)
+    base = [rng.choice(vocab) for _ in range(60)]
+    for _ in range(60):  # near copies of one text
+        w = list(base)
+        for _ in range(rng.randint(0, 4)):
+            w[rng.randrange(len(w))] = f"e{rng.randint(0, 99)}"
+        data[k] = " ".join(w)
+        k += 1
+    for _ in range(60):  # all begin alike
+        data[k] = "the common begin of all " + " ".join(rng.choice(vocab) for _ in range(rng.randint(0, 12)))
+        k += 1
+    shuffled = list(data)
+    rng.shuffle(shuffled)
+    check_components(spark, {i: data[j] for i, j in enumerate(shuffled)})
+
+
+def test_near_dedup_empty(empty):
+    assert rows(near_dedup.near_duplicates(empty)) == []
+    assert near_dedup.trees_for(near_dedup.RECALL, 0.8) == 3
