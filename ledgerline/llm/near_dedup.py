@@ -8,16 +8,17 @@ together in a child with probability s, so the branching process of a pair has m
 BRANCHES * s; at s = 0.8 and 3 branches a tree loses a pair with probability q = (0.2 + 0.8q)^3 =
 0.0083 at most (over any depth), three trees with 6e-7. ``trees_for`` derives the number of trees from the target recall.
 
-Nodes of at most ``NODE`` members are compared exhaustively (by 128-bit one-bit minwise sketches
-whose bar lies over 5 standard deviations below the expectation at the threshold; what passes is a candidate link).
-A larger node first tries to link every member to the node's smallest id. Members confirmed as linked need no
-comparison with each other (they are in one component); the node goes on branching only if
-unlinked members are left, and children without an unlinked member end. So a group of near copies
-of any size costs one link per member, never all pairs. Nodes still large after ``LEVELS`` levels are finished exactly:
-their unlinked members, in blocks, against every member.
-
-Candidates are confirmed on full shingle sets: first a spanning forest of each small node, then
-only those that still join different components. Components come from alternating large-star / small-star rounds of joins.
+Nodes of at most ``NODE`` members are compared exhaustively inside a task, by two-bit minwise sketches of 128
+functions whose bar lies 4.5 standard deviations beyond the mean at the threshold. In a first round each member
+offers one pair a node, its first similar member; these pairs are confirmed on full shingle sets
+and joined into components. A second round over the same nodes offers every similar pair that lies in
+different components, so what is skipped cannot change a component. A larger node first tries to link
+every member to the node's smallest id. Members confirmed as linked need no comparison with each other;
+the node goes on branching only if unlinked members are left, and children without an unlinked
+member end. So a group of near copies of any size costs about one link per member, never all pairs. Nodes still
+large after ``LEVELS`` levels are finished exactly: their unlinked members, in blocks, against every member.
+
+Components come from alternating large-star / small-star rounds of joins.
 
 Defined results: null or empty text, or no word: empty set, linked with nothing, its own component; fewer
 words than a shingle: the whole sequence is the one shingle; rows that repeat a doc_id count as one
@@ -37,10 +38,14 @@ from pyspark.sql.window import Window
 
 from ledgerline.llm import textbuf as tb
 
-BRANCHES, LEVELS, NODE = 3, 6, 64
+BRANCHES, LEVELS, NODE = 3, 4, 2048
 RECALL = 0.999999
 SKETCH = 128
+DEVIATIONS = 4.5
+#: nodes up to this size are compared all at once, larger ones member by member
+SMALL = 24
 BLOCK = 256
+MAX_BROADCAST_NODES = 200_000
 
 _g = np.random.RandomState(99)
 _SKETCH_MUL = _g.randint(0, 1 << 32, SKETCH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -58,9 +63,9 @@ def trees_for(recall: float, similarity: float, branches: int = BRANCHES) -> int
 
 
 def sketch_bar(similarity: float) -> int:
-    """Differing sketch bits allowed: the mean at the threshold plus five and a half standard deviations."""
-    p = (1 - similarity) / 2
-    return math.ceil(SKETCH * p + 5.5 * math.sqrt(SKETCH * p * (1 - p)))
+    """Differing two-bit sketch values allowed: equal sets' minima agree, others by chance in one of four."""
+    p = (1 - similarity) * 0.75
+    return math.ceil(SKETCH * p + DEVIATIONS * math.sqrt(SKETCH * p * (1 - p)))
 
 
 def shingle_hashes(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,32 +119,34 @@ def _signatures(n: int, trees: int):
             size = np.diff(o)
             full = size > 0
             k1, k2 = np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
-            s0, s1 = np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
+            sketch = np.zeros((4, len(size)), np.uint64)
             coords = [b""] * len(size)
             if full.any():
                 first = o[:-1][full]
                 with np.errstate(over="ignore"):
                     k1[full] = np.add.reduceat(tb.mix64(x), first)
                     k2[full] = np.add.reduceat(tb.mix64(x ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first)
-                bits = (tb.mix64(_minwise(x, first, _SKETCH_MUL, _SKETCH_ADD).astype(np.uint64)) >> np.uint64(17)).astype(np.uint8) & 1
-                packed = np.packbits(bits, axis=1).view(np.uint64)
-                s0[full], s1[full] = packed[:, 0], packed[:, 1]
+                minima = tb.mix64(_minwise(x, first, _SKETCH_MUL, _SKETCH_ADD).astype(np.uint64))
+                for plane, shift in ((0, 17), (2, 29)):
+                    bits = (minima >> np.uint64(shift)).astype(np.uint8) & 1
+                    sketch[plane : plane + 2, full] = np.packbits(bits, axis=1).view(np.uint64).T
                 c = _minwise(x, first, _PATH_MUL[:need], _PATH_ADD[:need])
                 for i, r in zip(np.flatnonzero(full), c):
                     coords[i] = r.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), rows.column("version"), pa.array(size, pa.int64()), *(pa.array(v.view(np.int64)) for v in (k1, k2, s0, s1)), pa.array(coords, pa.binary())],
-                ["doc_id", "version", "n_shingles", "k1", "k2", "s0", "s1", "coords"],
+                [rows.column("doc_id"), rows.column("version"), pa.array(size, pa.int64()), *(pa.array(v.view(np.int64)) for v in (k1, k2, *sketch)), pa.array(coords, pa.binary())],
+                ["doc_id", "version", "n_shingles", "k1", "k2", *PLANES, "coords"],
             )
 
     return run
 
 
-SIGNATURE = "doc_id long, version long, n_shingles long, k1 long, k2 long, s0 long, s1 long, coords binary"
+SIGNATURE = "doc_id long, version long, n_shingles long, k1 long, k2 long, s0 long, s1 long, s2 long, s3 long, coords binary"
+PLANES = ("s0", "s1", "s2", "s3")
 
 
 def _expand(trees: int, level: int):
-    """Child nodes of rows (path, rep, n, s0, s1, u, coords) on a level."""
+    """Child nodes of rows (path, tree, rep, n, sketch, u, coords) on a level; the root has all trees."""
 
     def run(batches):
         for b in batches:
@@ -148,76 +155,90 @@ def _expand(trees: int, level: int):
             c = np.frombuffer(b"".join(x.as_py() for x in b.column("coords")), np.uint32).reshape(b.num_rows, -1)
             path = b.column("path").to_numpy().view(np.uint64)
             tree = b.column("tree").to_numpy()
-            out, who, trees_of = [], [], []
-            for j in range(BRANCHES):
-                for t in range(trees) if level == 0 else (None,):
-                    which = (np.full(b.num_rows, t) if t is not None else tree) * BRANCHES * LEVELS + level * BRANCHES + j
+            row = np.arange(b.num_rows)
+            for t in range(trees) if level == 0 else (tree,):
+                for j in range(BRANCHES):
+                    which = np.broadcast_to(t, b.num_rows).astype(np.int64) * (BRANCHES * LEVELS) + level * BRANCHES + j
                     with np.errstate(over="ignore"):
-                        out.append(tb.mix64(path * np.uint64(0x9E3779B97F4A7C15) + c[np.arange(b.num_rows), which].astype(np.uint64) * np.uint64(0x100000001B3) + which.astype(np.uint64)))
-                    who.append(np.arange(b.num_rows))
-                    trees_of.append(np.full(b.num_rows, t) if t is not None else tree)
-            take = pa.array(np.concatenate(who))
-            cols = {k: b.column(k).take(take) for k in ("rep", "n", "s0", "s1", "u", "coords")}
-            yield pa.RecordBatch.from_pydict({"path": pa.array(np.concatenate(out).view(np.int64)), "tree": pa.array(np.concatenate(trees_of).astype(np.int32))} | cols)
+                        child = tb.mix64(path * np.uint64(0x9E3779B97F4A7C15) + c[row, which].astype(np.uint64) * np.uint64(0x100000001B3) + which.astype(np.uint64))
+                    yield pa.RecordBatch.from_pydict(
+                        {"path": pa.array(child.view(np.int64)), "tree": pa.array(np.broadcast_to(t, b.num_rows).astype(np.int32))} | {k: b.column(k) for k in ("rep", "n", *PLANES, "u")}
+                    )
 
     return run
 
 
-FRONTIER = "path long, tree int, rep long, n long, s0 long, s1 long, u boolean, coords binary"
-
-
-def _bits(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x)
-
-
-def _compare_nodes(similarity: float, bar: int):
-    """Small nodes, sorted by path: candidate links (a < b) and whether a spanning forest needs them."""
-
-    def node(rep, n, s0, s1, u, out):
-        order = np.argsort(rep, kind="stable")
-        rep, n, s0, s1, u = rep[order], n[order], s0[order], s1[order], u[order]
-        root = np.arange(len(rep))
-        for i in range(1, len(rep)):
-            near = (_bits(s0[:i] ^ s0[i]) + _bits(s1[:i] ^ s1[i]) <= bar) & (np.minimum(n[:i], n[i]) >= similarity * np.maximum(n[:i], n[i]) - 1e-9) & (u[:i] | u[i]) & (rep[:i] != rep[i])
-            for j in np.flatnonzero(near):
-                tree = root[j] != root[i]
-                if tree:
-                    root[root == root[i]] = root[j]
-                out.append((rep[j], rep[i], bool(tree)))
+FRONTIER = "path long, tree int, rep long, n long, s0 long, s1 long, s2 long, s3 long, u boolean"
+
+
+def _compare_nodes(similarity: float, bar: int, across: bool):
+    """Rows sorted by (path, rep): pairs (a < b) of similar members of a node. One a member, its first similar one; or,
+    ``across`` components, all that lie in different ones."""
+
+    def near(c, i, j):
+        ok = np.bitwise_count((c["s0"][i] ^ c["s0"][j]) | (c["s2"][i] ^ c["s2"][j])).astype(np.int16)
+        ok = ok + np.bitwise_count((c["s1"][i] ^ c["s1"][j]) | (c["s3"][i] ^ c["s3"][j])) <= bar
+        a, b = c["n"][i], c["n"][j]
+        ok &= np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9
+        ok &= (c["u"][i] | c["u"][j]) & (c["rep"][i] != c["rep"][j])
+        return ok & (c["comp"][i] != c["comp"][j]) if across else ok
+
+    def pairs(c: dict):
+        path = c["path"]
+        cut = np.flatnonzero(path[1:] != path[:-1]) + 1
+        lo, hi = np.concatenate([[0], cut]), np.concatenate([cut, [len(path)]])
+        end = np.repeat(hi, hi - lo)
+        row = np.arange(len(path))
+        small = end - np.repeat(lo, hi - lo) <= SMALL
+        best = np.full(len(path), -1, np.int64)
+        found = []
+        for d in range(1, SMALL):
+            i = row[small & (row + d < end)]
+            if not len(i):
+                break
+            i = i[near(c, i, i + d)]
+            if across:
+                found.append((i, i + d))
+            else:
+                best[i + d] = i  # a larger distance is an earlier member
+        for a, b in zip(lo, hi):
+            if b - a <= SMALL:
+                continue
+            for j in range(a + 1, b):
+                hit = a + np.flatnonzero(near(c, slice(a, j), j))
+                if not len(hit):
+                    continue
+                if across:
+                    found.append((hit, np.full(len(hit), j)))
+                else:
+                    best[j] = hit[0]
+        if not across:
+            j = np.flatnonzero(best >= 0)
+            found = [(best[j], j)]
+        i = np.concatenate([x for x, _ in found]) if found else row[:0]
+        j = np.concatenate([y for _, y in found]) if found else row[:0]
+        x, y = c["rep"][i], c["rep"][j]
+        both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+    names = ("path", "rep", "n", *PLANES, "u", *(("comp",) if across else ()))
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
-        out: list = []
-
-        def flush(t: pa.Table):
-            path = t.column("path").to_numpy()
-            cut = np.flatnonzero(np.diff(path)) + 1
-            lo = np.concatenate([[0], cut])
-            hi = np.concatenate([cut, [len(path)]])
-            cols = [t.column(k).to_numpy() for k in ("rep", "n", "s0", "s1", "u")]
-            for a, b in zip(lo[hi - lo > 1], hi[hi - lo > 1]):
-                node(*(c[a:b] for c in cols), out)
-
-        def emit():
-            a, b, s = zip(*out)
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.bool_())], ["a", "b", "span"])
-
+        held: list[dict] = []
+        rows = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            t = pa.Table.from_batches([*held, batch])
-            path = t.column("path").to_numpy()
-            last = int(np.searchsorted(path, path[-1]))
-            if last:
-                flush(t.slice(0, last))
-            held = t.slice(last).to_batches()
-            if len(out) > 10_000:
-                yield emit()
+            held.append({k: batch.column(k).to_numpy(zero_copy_only=False) for k in names})
+            rows += batch.num_rows
+            if held[0]["path"][0] == held[-1]["path"][-1]:
+                continue  # one node so far
+            c = {k: np.concatenate([h[k] for h in held]) for k in names}
+            last = int(np.flatnonzero(c["path"] != c["path"][-1])[-1]) + 1
+            yield pairs({k: v[:last] for k, v in c.items()})
+            held = [{k: v[last:] for k, v in c.items()}]
         if held:
-            flush(pa.Table.from_batches(held))
-        if out:
-            yield emit()
+            yield pairs({k: np.concatenate([h[k] for h in held]) for k in names})
 
     return run
 
@@ -285,56 +306,80 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         seen = now
 
 
-def links(reps: DataFrame, texts: DataFrame, n: int, percent: int, trees: int) -> DataFrame:
-    """Confirmed links (a, b) among representatives, enough of them for the right components."""
+def _nodes(rows: DataFrame, similarity: float, bar: int, across: bool) -> DataFrame:
+    """Candidate pairs of the small nodes in ``rows``."""
+    tasks = tb.shuffle_tasks(rows.sparkSession)
+    sorted_rows = rows.repartition(tasks, "path").sortWithinPartitions("path", "rep")
+    return sorted_rows.mapInArrow(_compare_nodes(similarity, bar, across), "a long, b long").distinct()
+
+
+def links(classes: DataFrame, texts: DataFrame, n: int, percent: int, trees: int) -> tuple[DataFrame, DataFrame]:
+    """Links among class representatives that decide the components: (node, component) of a first round of
+    confirmed links, and the confirmed links (a, b) of the second round between those components.
+
+    ``classes``: doc_id, n_shingles, sketch and coords of each representative; ``texts``: rep, text."""
     similarity = percent / 100
     bar = sketch_bar(similarity)
-    near = f"bit_count(s0 ^ p0) + bit_count(s1 ^ p1) <= {bar} and least(n, pn) >= {similarity!r} * greatest(n, pn) - 1e-9"
-    frontier = reps.select(F.lit(0).cast("long").alias("path"), F.lit(0).alias("tree"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "s0", "s1", F.lit(True).alias("u"), "coords")
-    candidates, confirmed = [], []
+    near = lambda x, q: (
+        f"bit_count(({x}s0 ^ {q}0) | ({x}s2 ^ {q}2)) + bit_count(({x}s1 ^ {q}1) | ({x}s3 ^ {q}3)) <= {bar} "
+        f"and least({x}n, {q}n) >= {similarity!r} * greatest({x}n, {q}n) - 1e-9"
+    )
+    reps = classes.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), *PLANES)
+    coords = classes.select(F.col("doc_id").alias("rep"), "coords")
+    grown = classes.select(F.lit(0).cast("long").alias("path"), F.lit(0).alias("tree"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), *PLANES, F.lit(True).alias("u"), "coords")
+    small, confirmed, frontier = [], [], None
     for level in range(LEVELS):
-        frontier = tb.materialized(frontier.mapInArrow(_expand(trees, level), FRONTIER), "frontier")
-        nodes = frontier.groupBy("path").agg(F.count("*").alias("c"), F.max("u").alias("open"), F.min_by(F.struct("rep", "n", "s0", "s1"), "rep").alias("pivot")).where("c > 1 and open")
-        nodes = tb.materialized(nodes, "nodes")
-        heavy = tb.checked_broadcast(nodes.where(F.col("c") > NODE).select("path", F.col("pivot.rep").alias("p"), F.col("pivot.n").alias("pn"), F.col("pivot.s0").alias("p0"), F.col("pivot.s1").alias("p1")), 200_000)
-        light = nodes.where(F.col("c") <= NODE).select("path")
-        small = frontier.drop("coords", "tree").join(light, "path", "left_semi")
-        found = small.repartition(tb.shuffle_tasks(reps.sparkSession), "path").sortWithinPartitions("path").mapInArrow(_compare_nodes(similarity, bar), "a long, b long, span boolean")
-        candidates.append(tb.materialized(found.groupBy("a", "b").agg(F.max("span").alias("span")), "candidates"))
-        large = frontier.join(heavy, "path")
-        if nodes.where(F.col("c") > NODE).isEmpty():
+        frontier = tb.materialized(grown.mapInArrow(_expand(trees, level), FRONTIER), "frontier")
+        big = tb.materialized(frontier.groupBy("path").agg(F.count("*").alias("c"), F.max("u").alias("open"), F.min("rep").alias("p")).where(F.col("c") > NODE), "large-nodes")
+        paths = tb.checked_broadcast(big.select("path"), MAX_BROADCAST_NODES)
+        small.append(frontier.join(paths, "path", "left_anti"))
+        pivots = big.where("open").select("path", "p").join(reps.select(F.col("rep").alias("p"), F.col("n").alias("pn"), *[F.col(x).alias(f"p{x[1]}") for x in PLANES]), "p")
+        pivots = tb.materialized(pivots, "pivots")
+        if pivots.isEmpty():
             frontier = None
             break
-        stars = large.where("rep <> p").where(near).select(F.col("p").alias("a"), F.col("rep").alias("b")).distinct()
+        large = frontier.join(tb.checked_broadcast(pivots, MAX_BROADCAST_NODES), "path")
+        stars = large.where("rep <> p").where(near("", "p")).select(F.col("p").alias("a"), F.col("rep").alias("b")).distinct()
         linked = tb.materialized(confirm(stars, texts, n, percent), "stars")
         confirmed.append(linked)
-        state = large.join(linked.select(F.col("a").alias("p"), F.col("b").alias("rep"), F.lit(False).alias("open")), ["p", "rep"], "left").withColumn("u", F.coalesce("open", F.col("rep") != F.col("p")))
-        state = tb.materialized(state.select("path", "tree", "rep", "n", "s0", "s1", "u", "coords"), "state")
-        # the pivot itself counts as linked; nodes without an unlinked member are finished
-        going = state.where("u").select("path").distinct()
-        frontier = state.join(tb.checked_broadcast(going, 200_000), "path", "left_semi")
-        if going.isEmpty():
-            frontier = None
-            break
+        done = linked.select(F.col("a").alias("p"), F.col("b").alias("rep"), F.lit(False).alias("open"))
+        state = large.join(done, ["p", "rep"], "left").withColumn("u", F.coalesce("open", F.col("rep") != F.col("p")))
+        state = tb.materialized(state.select("path", "tree", "rep", "n", *PLANES, "u"), "state")
+        # nodes whose members are all linked to the pivot are finished
+        going = tb.checked_broadcast(state.where("u").select("path").distinct(), MAX_BROADCAST_NODES)
+        frontier = state.join(going, "path", "left_semi")
+        grown = frontier.join(coords, "rep")
     if frontier is not None:
-        rest = frontier.where("u").select("path", F.struct(F.col("rep").alias("r"), F.col("n").alias("pn"), F.col("s0").alias("p0"), F.col("s1").alias("p1")).alias("m"))
-        tasks = tb.shuffle_tasks(reps.sparkSession)
+        m = F.struct(F.col("rep").alias("r"), F.col("n").alias("n"), *[F.col(x).alias(x[1]) for x in PLANES])
+        rest = frontier.where("u").select("path", m.alias("m")).withColumn("salt", F.pmod(F.xxhash64("m.r"), F.lit(tb.shuffle_tasks(classes.sparkSession))))
         block = F.floor(F.row_number().over(Window.partitionBy("path", "salt").orderBy("m.r")) / BLOCK)
-        blocks = rest.withColumn("salt", F.pmod(F.xxhash64("m.r"), F.lit(tasks))).withColumn("block", block).groupBy("path", "salt", "block").agg(F.collect_list("m").alias("ms"))
-        hits = frontier.drop("coords").join(blocks, "path").select(
-            "rep", F.explode(F.expr(f"filter(ms, m -> m.r <> rep and bit_count(s0 ^ m.p0) + bit_count(s1 ^ m.p1) <= {bar} and least(n, m.pn) >= {similarity!r} * greatest(n, m.pn) - 1e-9)")).alias("m")
-        )
-        candidates.append(tb.materialized(hits.select(F.least("rep", "m.r").alias("a"), F.greatest("rep", "m.r").alias("b"), F.lit(True).alias("span")).distinct(), "rest"))
-    merge = lambda parts: parts[0] if len(parts) == 1 else merge([parts[0].unionByName(parts[1]), *parts[2:]])
-    every = merge(candidates).groupBy("a", "b").agg(F.max("span").alias("span"))
-    every = tb.materialized(every, "candidates-all")
-    first = tb.materialized(confirm(every.where("span").select("a", "b"), texts, n, percent), "spanning")
-    done = merge([*confirmed, first])
-    so_far = components(done)
+        blocks = rest.withColumn("block", block).groupBy("path", "salt", "block").agg(F.collect_list("m").alias("ms"))
+        test = near("", "m.").replace("m.0", "m.`0`").replace("m.1", "m.`1`").replace("m.2", "m.`2`").replace("m.3", "m.`3`")
+        hits = frontier.join(blocks, "path").select("rep", F.explode(F.expr(f"filter(ms, m -> m.r <> rep and {test})")).alias("m"))
+        confirmed.append(tb.materialized(confirm(hits.select(F.least("rep", "m.r").alias("a"), F.greatest("rep", "m.r").alias("b")).distinct(), texts, n, percent), "rest"))
+    rows = _all(small)
+    first = _nodes(rows, similarity, bar, across=False)
+    confirmed.append(tb.materialized(confirm(first, texts, n, percent), "first-links"))
+    so_far = tb.materialized(components(_all(confirmed)), "first-components")
+    known = rows.join(so_far.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
+    second = confirm(_nodes(known, similarity, bar, across=True), texts, n, percent)
+    return so_far, tb.materialized(second, "second-links")
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def component_of(so_far: DataFrame, more: DataFrame) -> DataFrame:
+    """node, component over both rounds: the second one's links are joined as links of first components."""
     side = lambda k: so_far.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
-    open_ = every.where("not span").join(side("a"), "a", "left").join(side("b"), "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
-    second = tb.materialized(confirm(open_, texts, n, percent), "others")
-    return done.unionByName(second)
+    between = more.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    upper = tb.materialized(components(between), "second-components")
+    moved = so_far.join(upper.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return moved.unionByName(upper.join(moved, "node", "left_anti"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, recall: float = RECALL) -> DataFrame:
@@ -344,11 +389,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, recall
     signed = tb.materialized(texts.withColumn("version", F.xxhash64("text")).mapInArrow(_signatures(shingle, trees), SIGNATURE), "signatures")
     known = signed.where("doc_id is not null and n_shingles > 0")
     # one text for each id, one representative for each distinct set
-    document = known.groupBy("doc_id").agg(F.max_by(F.struct("n_shingles", "k1", "k2", "s0", "s1", "coords"), "version").alias("s")).select("doc_id", "s.*")
-    classes = document.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first(F.struct("n_shingles", "s0", "s1", "coords")).alias("s"))
+    document = known.groupBy("doc_id").agg(F.max_by(F.struct("n_shingles", "k1", "k2", *PLANES, "coords"), "version").alias("s")).select("doc_id", "s.*")
+    classes = document.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first(F.struct("n_shingles", *PLANES, "coords")).alias("s"))
     classes = tb.materialized(classes.select("k1", "k2", F.col("rep").alias("doc_id"), "s.*"), "classes")
-    found = links(classes, texts.select(F.col("doc_id").alias("rep"), "text"), shingle, percent, trees)
-    comp = components(found)
+    comp = component_of(*links(classes, texts.select(F.col("doc_id").alias("rep"), "text"), shingle, percent, trees))
     named = classes.select("k1", "k2", F.col("doc_id").alias("node")).join(comp, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id"))
     of_id = known.groupBy("doc_id").agg(F.max_by(F.struct("k1", "k2"), "version").alias("k")).select("doc_id", "k.*").join(named, ["k1", "k2"]).select("doc_id", "component_id")
     return (
