@@ -36,7 +36,9 @@ from ledgerline.llm import textbuf as tb
 LENGTH, GRAM = 100, 32
 SPREAD = LENGTH - GRAM + 1
 SIDE = (LENGTH - GRAM) // 2
-CELLS_A_GROUP = 200_000
+CELLS_A_GROUP = 100_000
+#: bytes hashed at a time; a dozen 8-byte arrays of that length are alive
+SLICE = 1 << 19
 NO_ID = -(1 << 63)
 #: low bits of a packed (hash, position): a slice is under 2 GB, as any text is
 PLACE_BITS = 31
@@ -149,7 +151,7 @@ def _top(h: np.ndarray, bits: int) -> np.ndarray:
 
 def _distribute(bits: int):
     def run(batches):
-        for rows, data, off in tb.text_slices(batches):
+        for rows, data, off in tb.text_slices(batches, SLICE):
             c, _ = cells(data, off)
             if c is None or not len(c["row"]):
                 continue
@@ -223,7 +225,7 @@ def _strings(bits: int):
     """Rows (id, version, text, wanted cells) -> the 100-byte strings of those cells, dealt by their hash."""
 
     def run(batches):
-        for rows, data, off in tb.text_slices(batches):
+        for rows, data, off in tb.text_slices(batches, SLICE):
             w = _window_hashes(data)
             if 64 not in w:
                 continue
@@ -275,7 +277,7 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _remove(batches):
-    for rows, data, off in tb.text_slices(batches):
+    for rows, data, off in tb.text_slices(batches, SLICE):
         spans = rows.column("spans")
         out = []
         for i in range(rows.num_rows):
