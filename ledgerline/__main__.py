@@ -36,6 +36,9 @@ def main(argv: list[str] | None = None) -> int:
     p_load = sub.add_parser("load", help="extract -> clean -> validate -> load every table")
     p_load.add_argument("landing")
     p_load.add_argument("warehouse")
+    p_load.add_argument("--multiline", action="store_true", help="quoted fields may span lines")
+    p_load.add_argument("--malformed", choices=["fail", "count"], default="fail", help="rows with surplus fields")
+    p_load.add_argument("--on-bad-value", choices=["keep", "fail"], default="keep", help="unparseable keys and money")
     p_load.add_argument("--serial", action="store_true", help="one table at a time")
     p_ver = sub.add_parser("verify", help="post-load checks")
     p_ver.add_argument("warehouse")
@@ -44,12 +47,19 @@ def main(argv: list[str] | None = None) -> int:
     p_mart.add_argument("warehouse")
     p_mart.add_argument("out")
     p_mart.add_argument("--since", default=reports.DEFAULT_SINCE)
+    p_mart.add_argument("--ordered", action="store_true", help="write each mart in its display order")
     args = ap.parse_args(argv)
 
     spark = _session(args.shuffle_partitions)
     if args.cmd == "load":
         summary = run_pipeline(
-            spark, args.landing, args.warehouse, parallel_tables=1 if args.serial else 3
+            spark,
+            args.landing,
+            args.warehouse,
+            parallel_tables=1 if args.serial else 3,
+            malformed=args.malformed,
+            on_bad_value=args.on_bad_value,
+            multiline=args.multiline,
         )
         summary.show(truncate=False)
         failed = summary.filter("status = 'failed'").count()
@@ -64,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
                 tables["website_sessions"], tables["orders"], *args.period
             ).show(truncate=False)
         return 0
-    paths = materialize(spark, tables, args.out, since=args.since)
+    paths = materialize(spark, tables, args.out, since=args.since, ordered=args.ordered)
     for name, path in paths.items():
         print(f"{name}\t{path}")
     return 0

@@ -5,24 +5,20 @@ need the position of a value within an ordered set. Spark's own operators do
 that in one task per window partition / aggregation group, which does not
 hold when the set is large or one group carries a large share of the rows.
 
-Here the position is computed as a distributed prefix sum:
+Here the position is a distributed prefix sum over value ranges that are a fixed,
+monotone function of the value itself (``ordered_range``: ``RANGES_PER_OCTAVE`` ranges
+between any number and its double), so no bounds are estimated, nothing is collected and every
+recomputed task sees the same ranges:
 
 1. collapse the input to distinct keys with a multiplicity (partial
    aggregation absorbs hot keys);
-2. cut the distinct keys into ``B`` value ranges using approximate quantile
-   bounds (one small array per group, fixed once: collected for a global
-   order, checkpointed for a grouped one, so a recomputed task sees the same
-   bounds);
-3. inside each range a window computes the running count; the offsets of
-   the ranges come from their totals: for a global order that is at most
-   ``B`` numbers, computed by one exact aggregation and applied as a literal
-   array (no further shuffle); per group, a window over the ``B`` totals of
-   each group;
-4. position = offset of the bucket + running count before the key.
+2. total the multiplicities of each range (a small aggregate);
+3. a window over the range totals of each group gives every range its offset; their number is bounded by the
+   ranges between the smallest and the largest value, whatever the number of rows;
+4. position = offset of the range + running count before the key inside it.
 
-Ties always fall into the same range because the range is a function of the
-key value, so ``RANK`` semantics (equal keys, equal rank; next rank skips) are
-exact. All steps are DataFrame operations; nothing is looped on the driver.
+Equal keys always fall into the same range, so ``RANK`` semantics (equal keys, equal rank; next rank
+skips) are exact. All steps are lazy DataFrame operations.
 """
 
 from __future__ import annotations
@@ -30,27 +26,51 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.session import checkpoint_root
-
 _W = "_lw_weight"
-_B = "_lw_bucket"
-_BOUNDS = "_lw_bounds"
+_R = "_lw_range"
+
+#: ranges between a number and its double: neighbours differ by 0.07 %
+RANGES_PER_OCTAVE = 1024
+_SHIFT = RANGES_PER_OCTAVE * 1100  # above the exponent of any double
+
 
+def ordered_range(key: Column, nulls_first: bool = True) -> Column:
+    """Range number of a numeric value, non-decreasing in the value; a NULL is below or above all.
 
-def default_buckets(spark: SparkSession) -> int:
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - defensive
-        n = 200
-    return max(2, min(n, 4096))
+    Non-zero values take the sign times (shifted binary logarithm in steps of 1 / RANGES_PER_OCTAVE); the
+    logarithm is monotone, so a larger value never gets a smaller number."""
+    x = key.cast("double")
+    size = F.floor(F.log2(F.abs(x)) * RANGES_PER_OCTAVE) + _SHIFT
+    number = F.when(x == 0, F.lit(0)).when(x > 0, size).otherwise(-size).cast("bigint")
+    return F.when(key.isNull(), F.lit(-2 * _SHIFT if nulls_first else 2 * _SHIFT)).otherwise(number).cast("bigint")
 
 
-def _bucket_of(key: Column, bounds: Column) -> Column:
-    # number of bounds strictly below the key: 0 .. B-1
-    return F.size(F.filter(bounds, lambda b: b < key))
+def _match(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``cols`` where NULL matches NULL (a NULL group, e.g. a
+    month of rows without a date, is a group like any other)."""
+    renamed = right.select(
+        *[F.col(c).alias(f"_lw_r_{c}") for c in cols],
+        *[c for c in right.columns if c not in cols],
+    )
+    cond = None
+    for c in cols:
+        term = F.col(c).eqNullSafe(F.col(f"_lw_r_{c}"))
+        cond = term if cond is None else cond & term
+    return left.join(renamed, cond, how).drop(*[f"_lw_r_{c}" for c in cols])
+
+
+def _range_offsets(freq: DataFrame, group_cols: Sequence[str], weight: str) -> DataFrame:
+    """group, range, weight of the range, weight of the smaller ranges, weight of the group."""
+    g = list(group_cols)
+    totals = freq.groupBy(*g, _R).agg(F.sum(weight).alias("_lw_rt"))
+    w = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
+    before = F.sum("_lw_rt").over(w.orderBy(_R).rowsBetween(Window.unboundedPreceding, -1))
+    return totals.select(
+        *g, _R, "_lw_rt", F.coalesce(before, F.lit(0)).alias("_lw_off"), F.sum("_lw_rt").over(w).alias("_lw_n")
+    )
 
 
 def prefix_weight_before(
@@ -59,116 +79,23 @@ def prefix_weight_before(
     key: str,
     weight: str,
     out: str = "_before",
-    buckets: int | None = None,
-    global_bounds: list | None = None,
     total_out: str | None = None,
     nulls_first: bool = True,
 ) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over rows of the same group whose ``key``
-    is strictly smaller. ``df`` holds one row per (group, key), key not NULL.
-
-    With no group columns the caller may pass ``global_bounds`` (already
-    collected range bounds) to save one job. ``total_out`` adds the group's
-    total weight, read off the same small per-bucket stage."""
-    spark = df.sparkSession
-    nb = buckets or default_buckets(spark)
+    is strictly smaller (NULL keys first or last). ``df`` holds one row per (group, key).
+    ``total_out`` adds the group's total weight."""
     g = list(group_cols)
-    if g:
-        approx = F.percentile_approx(F.col(key), _probs(nb), 10000).alias(_BOUNDS)
-        checkpoint_root(spark)
-        bounds = df.groupBy(*g).agg(approx).checkpoint(eager=True)
-        bucketed = _join_groups(df, bounds, g).withColumn(
-            _B, _bucket_of(F.col(key), F.col(_BOUNDS))
-        )
-        bucketed = bucketed.drop(_BOUNDS)
-    else:
-        if global_bounds is None:
-            row = df.agg(F.percentile_approx(F.col(key), _probs(nb), 10000)).first()
-            global_bounds = list(row[0]) if row is not None and row[0] is not None else []
-        if global_bounds:
-            lit_bounds = F.array(*[F.lit(v) for v in global_bounds])
-            bucket = _bucket_of(F.col(key), lit_bounds)
-        else:
-            bucket = F.lit(0)
-        # a NULL key (allowed only here) sorts before or after every value:
-        # it goes to the first or last range and takes part in the prefix sum
-        null_bucket = F.lit(0 if nulls_first else len(global_bounds))
-        bucketed = df.withColumn(_B, F.when(F.col(key).isNull(), null_bucket).otherwise(bucket))
-        return _global_prefix(bucketed, key, weight, out, total_out, nulls_first, len(global_bounds) + 1)
-
-    unb = Window.unboundedPreceding
+    ranged = df.withColumn(_R, ordered_range(F.col(key), nulls_first))
+    offsets = _range_offsets(ranged, g, weight)
     order = F.col(key).asc_nulls_first() if nulls_first else F.col(key).asc_nulls_last()
-    w_in = Window.partitionBy(*g, _B).orderBy(order).rowsBetween(unb, -1)
-    within = bucketed.withColumn("_lw_in", F.coalesce(F.sum(weight).over(w_in), F.lit(0)))
-
-    # Bucket totals are read off the window output (last running count plus
-    # its weight; weights are positive): the branch stays identical to
-    # ``within``, so Spark reuses its exchange, and the grouping needs none
-    # (``within`` is already clustered by bucket).
-    totals = within.groupBy(*g, _B).agg(
-        F.max(F.col("_lw_in") + F.col(weight)).alias("_lw_bt")
+    inside = Window.partitionBy(*g, _R).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = _match(ranged, offsets, [*g, _R]).withColumn(
+        out, F.col("_lw_off") + F.coalesce(F.sum(weight).over(inside), F.lit(0))
     )
-    w_off = (Window.partitionBy(*g) if g else Window).orderBy(_B).rowsBetween(unb, -1)
-    off_cols = [*g, _B, F.coalesce(F.sum("_lw_bt").over(w_off), F.lit(0)).alias("_lw_off")]
     if total_out:
-        whole = Window.partitionBy(*g) if g else Window.partitionBy()
-        off_cols.append(F.sum("_lw_bt").over(whole).alias(total_out))
-    offsets = totals.select(*off_cols)
-    return (
-        _join_groups(within, offsets, [*g, _B])
-        .withColumn(out, F.col("_lw_off") + F.col("_lw_in"))
-        .drop("_lw_off", "_lw_in", _B)
-    )
-
-
-def _global_prefix(
-    bucketed: DataFrame,
-    key: str,
-    weight: str,
-    out: str,
-    total_out: str | None,
-    nulls_first: bool,
-    n_buckets: int,
-) -> DataFrame:
-    """Prefix sums over one global order. The per-range totals are at most
-    ``n_buckets`` numbers: one small, exact aggregation brings them to the
-    driver, and the range offsets become a literal array looked up per row,
-    so the only shuffles left are the one into ranges and the caller's."""
-    totals = {
-        int(r[0]): int(r[1] or 0)
-        for r in bucketed.groupBy(_B).agg(F.sum(weight)).collect()
-    }
-    offsets, running = [], 0
-    for b in range(n_buckets):
-        offsets.append(running)
-        running += totals.get(b, 0)
-    order = F.col(key).asc_nulls_first() if nulls_first else F.col(key).asc_nulls_last()
-    w_in = Window.partitionBy(_B).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.element_at(F.array(*[F.lit(x).cast("bigint") for x in offsets]), F.col(_B) + 1)
-    result = bucketed.withColumn(
-        out, offset + F.coalesce(F.sum(weight).over(w_in), F.lit(0))
-    )
-    if total_out:
-        result = result.withColumn(total_out, F.lit(running).cast("bigint"))
-    return result.drop(_B)
-
-
-def _join_groups(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Inner join on ``cols`` where NULL matches NULL (a NULL group, e.g. a
-    month of rows without a date, is a group like any other)."""
-    renamed = right.select(
-        *[F.col(c).alias(f"_lw_r_{c}") for c in cols],
-        *[c for c in right.columns if c not in cols],
-    )
-    cond = None
-    for c in cols:
-        term = F.col(c).eqNullSafe(F.col(f"_lw_r_{c}"))
-        cond = term if cond is None else cond & term
-    return left.join(renamed, cond).drop(*[f"_lw_r_{c}" for c in cols])
-
-
-def _probs(nb: int) -> list[float]:
-    return [i / nb for i in range(1, nb)]
+        placed = placed.withColumn(total_out, F.col("_lw_n"))
+    return placed.drop(_R, "_lw_rt", "_lw_off", "_lw_n")
 
 
 @dataclass(frozen=True)
@@ -181,41 +108,20 @@ class RankSpec:
     nulls_first: bool = True
 
 
-def with_ranks(df: DataFrame, specs: Sequence[RankSpec], buckets: int | None = None) -> DataFrame:
-    """Add one ``bigint`` rank column per spec to every row of ``df``;
-    distributed (see module doc). Keys must be numeric.
-
-    ``df`` is checkpointed once (lineage cut, so the ranks never recompute
-    the plan that produced it); the range bounds of every key ride on that
-    same job as observed metrics. The bounds only balance the ranges, they
-    never change a rank: NULL keys and all counts come from the data itself,
-    so a re-executed stage (which can inflate observed metrics) cannot make
-    a rank wrong."""
-    spark = df.sparkSession
-    nb = buckets or default_buckets(spark)
+def with_ranks(df: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
+    """Add one ``bigint`` rank column per spec to every row of ``df``; distributed and lazy (see
+    module doc). Keys must be numeric."""
     keys = [f"_lw_k{i}" for i in range(len(specs))]
-    keyed = df.select("*", *[s.key.alias(k) for s, k in zip(specs, keys)])
-    obs = Observation()
-    metrics = [
-        F.percentile_approx(-F.col(k) if s.descending else F.col(k), _probs(nb), 10000).alias(f"b{i}")
-        for i, (s, k) in enumerate(zip(specs, keys))
-    ]
-    checkpoint_root(spark)  # the session's shared folder (set only if missing)
-    base = keyed.observe(obs, *metrics).checkpoint(eager=True)
-    stats = obs.get
-
+    base = df.select("*", *[s.key.alias(k) for s, k in zip(specs, keys)])
     out = base
-    for i, (s, k) in enumerate(zip(specs, keys)):
-        bounds = list(stats[f"b{i}"] or [])
+    for s, k in zip(specs, keys):
         sort_key = "_lw_sk"
         freq = (
             base.groupBy(k)
             .agg(F.count(F.lit(1)).alias(_W))
             .withColumn(sort_key, -F.col(k) if s.descending else F.col(k))
         )
-        ranked = prefix_weight_before(
-            freq, [], sort_key, _W, "_lw_before", nb, global_bounds=bounds, nulls_first=s.nulls_first
-        ).select(
+        ranked = prefix_weight_before(freq, [], sort_key, _W, "_lw_before", nulls_first=s.nulls_first).select(
             F.col(k).alias("_lw_rk"), (F.col("_lw_before") + 1).cast("bigint").alias(s.out)
         )
         out = out.join(ranked, F.col(k).eqNullSafe(F.col("_lw_rk"))).drop("_lw_rk")
@@ -228,10 +134,9 @@ def global_rank(
     out: str,
     descending: bool = True,
     nulls_first: bool = True,
-    buckets: int | None = None,
 ) -> DataFrame:
     """One rank column; see ``with_ranks``."""
-    return with_ranks(df, [RankSpec(key, out, descending, nulls_first)], buckets)
+    return with_ranks(df, [RankSpec(key, out, descending, nulls_first)])
 
 
 def exact_median(
@@ -239,29 +144,30 @@ def exact_median(
     group_cols: Sequence[str],
     value: str,
     out: str,
-    buckets: int | None = None,
 ) -> DataFrame:
     """``PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY value)`` per group, exact.
 
     Returns one row per group (groups whose values are all NULL are absent)
     with ``out`` = (lower middle + upper middle) / 2, in the value's own
-    exact type widened by one decimal."""
+    exact type widened by one decimal. Only the one or two ranges that hold the middle
+    positions (0.07 % of the value's scale each) are ordered within."""
     g = list(group_cols)
     freq = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(*g, value)
+        .select(*g, value, ordered_range(F.col(value)).alias(_R))
+        .groupBy(*g, _R, value)
         .agg(F.count(F.lit(1)).alias(_W))
     )
-    pos = prefix_weight_before(freq, g, value, _W, "_lw_before", buckets, total_out="_lw_n")
-    lo = F.floor((F.col("_lw_n") - 1) / 2)
-    hi = F.floor(F.col("_lw_n") / 2)
-    start = F.col("_lw_before")
-    end = F.col("_lw_before") + F.col(_W) - 1
+    lo, hi = F.floor((F.col("_lw_n") - 1) / 2), F.floor(F.col("_lw_n") / 2)
+    middle = _range_offsets(freq, g, _W).filter((F.col("_lw_off") <= hi) & (F.col("_lw_off") + F.col("_lw_rt") > lo))
+    near = _match(freq, middle, [*g, _R])
+    inside = Window.partitionBy(*g, _R).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    placed = near.withColumn("_lw_at", F.col("_lw_off") + F.coalesce(F.sum(_W).over(inside), F.lit(0)))
 
     def covers(p: Column) -> Column:
-        return (start <= p) & (p <= end)
+        return (F.col("_lw_at") <= p) & (p < F.col("_lw_at") + F.col(_W))
 
-    picked = pos.groupBy(*g).agg(
+    picked = placed.groupBy(*g).agg(
         F.max(F.when(covers(lo), F.col(value))).alias("_lw_lo"),
         F.max(F.when(covers(hi), F.col(value))).alias("_lw_hi"),
     )

@@ -30,8 +30,13 @@ _PY_WHITESPACE = "".join(
     ch for ch in map(chr, range(sys.maxunicode + 1)) if ch.isspace()
 )
 
-# Extra wall-clock formats accepted after ISO 8601 (spreadsheet exports).
-FALLBACK_TS_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy")
+# Extra wall-clock formats accepted after ISO 8601 (spreadsheet exports): M/d/yyyy, with
+# H:mm or H:mm:ss after a space. Each is rewritten as ISO text and cast as such.
+SPREADSHEET_FORMS = (
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}:\d{2}:\d{2})$", "$3-$1-$2 $4"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}:\d{2})$", "$3-$1-$2 $4:00"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
+)
 
 
 def normalize_header(name: str) -> str:
@@ -60,10 +65,11 @@ def drop_duplicate_rows(df: DataFrame, order_col: str | None = None) -> DataFram
 
 
 def parse_timestamp(c: Column) -> Column:
-    """Text -> ``timestamp_ntz``; NULL when nothing parses."""
+    """Text -> ``timestamp_ntz``; NULL when nothing parses. No step passes through a zoned timestamp, so
+    wall-clock times that a session zone skips or repeats stay as they are."""
     s = c.cast("string")
     parsed = [s.try_cast("timestamp_ntz")]
-    parsed += [F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz") for fmt in FALLBACK_TS_FORMATS]
+    parsed += [F.regexp_replace(s, form, iso).try_cast("timestamp_ntz") for form, iso in SPREADSHEET_FORMS]
     return F.coalesce(*parsed)
 
 

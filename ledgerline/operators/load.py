@@ -10,10 +10,14 @@ target keys to the increment, then ``left_anti``: the ``ON CONFLICT DO
 NOTHING`` of the reference) and appends. Re-running the same load therefore
 appends nothing.
 
+A load keeps one row per key of the batch itself (``unique_keys=True`` skips that
+step for callers that did it), so keys stay unique whatever is handed in.
+
 Writes go through Spark's file commit protocol: a failed or retried task
 leaves no partial output, and the append becomes visible at job commit. A
-full refresh writes the new snapshot next to the target and swaps it in only
-after the write succeeded, so a failed refresh never leaves an empty table.
+full refresh writes the new snapshot next to the target, sets the old one aside,
+moves the new one in and then drops the old one; a crash at any point is
+mended by the next reader (``files.recover_path``).
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.operators.validate import keep_first
 from ledgerline.schemas import (
     AUDIT_LOADED_AT,
     AUDIT_SOURCE,
@@ -35,7 +40,7 @@ from ledgerline.schemas import (
     spec_for,
     strategy_for,
 )
-from ledgerline.sources.csv import path_exists
+from ledgerline.sources.files import delete_path, path_exists, read_line, recover_path, replace_path, write_line
 
 
 # ------------------------------------------------------------------ L1
@@ -71,33 +76,26 @@ def _state_path(target_path: str) -> str:
 
 def stored_watermark(spark: SparkSession, target_path: str) -> tuple[bool, str | None]:
     """(found, value) of the high water mark kept with a target: one line of
-    text read through the session's Hadoop file system (no Spark job)."""
-    fs, p, jvm = _fs(spark, _state_path(target_path))
-    if not fs.exists(p):
-        return False, None
-    stream = fs.open(p)
-    try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return True, (line or None)
+    text read through the session's file system (no Spark job)."""
+    line = read_line(spark, _state_path(target_path))
+    return line is not None, line or None
 
 
 def store_watermark(spark: SparkSession, target_path: str, value: str | None) -> None:
-    """Write the mark to a temporary file, then rename it into place, so a
-    reader sees the old or the new value, never a partial one."""
-    final = _state_path(target_path)
-    fs, dst, jvm = _fs(spark, final)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{final}.tmp-{uuid.uuid4().hex[:8]}")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray((value or _NO_MARK).encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    if not fs.rename(tmp, dst):
-        raise OSError(f"could not store the high water mark of {target_path}")
+    """A reader sees the old or the new value, never a partial one and never none."""
+    write_line(spark, _state_path(target_path), value or _NO_MARK)
+
+
+def _mark_of(spark: SparkSession, target_path: str, target: DataFrame | None) -> tuple[bool, str | None]:
+    if target is None:
+        return True, None
+    known, wm = stored_watermark(spark, target_path)
+    return known, wm if known else watermark_value(target)  # no stored mark yet: one scan, then kept
+
+
+def target_watermark(spark: SparkSession, target_path: str, spec: TableSpec | None) -> str | None:
+    """The mark that the next load of this target filters by."""
+    return _mark_of(spark, target_path, read_target(spark, target_path, spec))[1]
 
 
 def _later(a: str | None, b: str | None) -> str | None:
@@ -128,20 +126,28 @@ def filter_new_rows(
 
 
 # ------------------------------------------------------------------ L3
+#: keys of an increment (8 bytes each) up to which they are broadcast to the target's scan
+MAX_BROADCAST_KEYS = 2_000_000
+
+
 def anti_existing(new_rows: DataFrame, target: DataFrame | None, pk: str) -> DataFrame:
     """Insert-if-absent: drop rows whose key exists in the target.
 
-    Two steps, so a small increment never shuffles a large target: the
-    target's key column (the only column read) is semi-joined to the
-    incoming keys, which AQE broadcasts when the increment is small (after
-    measuring it), so the target is scanned in place; the few keys that
-    match are then anti-joined away from the increment. With a large
-    increment both joins fall back to sort-merge joins on the key."""
+    One aggregation over the increment's key column gives its smallest and largest key
+    and their number. The bounds go to the target scan as literals, so files and row groups
+    without such keys are skipped; only the key column is read. Up to ``MAX_BROADCAST_KEYS`` keys are
+    broadcast to that scan (the target is not shuffled), and the few keys found are broadcast
+    back; larger increments join by key. Hand in a stored increment: it is read twice."""
     if target is None:
         return new_rows
     incoming = new_rows.select(pk).filter(F.col(pk).isNotNull())
-    existing = target.select(pk).join(incoming, pk, "left_semi")
-    return new_rows.join(existing, pk, "left_anti")
+    low, high, n = incoming.agg(F.min(pk), F.max(pk), F.count(F.lit(1))).first()
+    if not n:
+        return new_rows
+    held = target.select(pk).filter((F.col(pk) >= F.lit(low)) & (F.col(pk) <= F.lit(high)))
+    small = n <= MAX_BROADCAST_KEYS
+    existing = held.join(F.broadcast(incoming) if small else incoming, pk, "left_semi")
+    return new_rows.join(F.broadcast(existing) if small else existing, pk, "left_anti")
 
 
 # ------------------------------------------------------------------ L4
@@ -178,6 +184,8 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ targets
 def read_target(spark: SparkSession, path: str, spec: TableSpec | None) -> DataFrame | None:
+    """The target, or None if there is none. File-system errors are raised: they never read as "no target"."""
+    recover_path(spark, path)
     if not path_exists(spark, path):
         return None
     reader = spark.read
@@ -186,27 +194,11 @@ def read_target(spark: SparkSession, path: str, spec: TableSpec | None) -> DataF
     return reader.parquet(path)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf), p, jvm
-
-
-def replace_dir(spark: SparkSession, staged: str, target: str) -> None:
-    """Swap a fully written folder in place of the target."""
-    fs, src, jvm = _fs(spark, staged)
-    dst = jvm.org.apache.hadoop.fs.Path(target)
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    if not fs.rename(src, dst):
-        raise OSError(f"could not move {staged} to {target}")
-
-
-def delete_dir(spark: SparkSession, path: str) -> None:
-    fs, p, _ = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
+def create_target(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """S7: an empty target of the declared columns, unless it is there; returns the target."""
+    if read_target(spark, path, spec) is None:
+        spark.createDataFrame([], spec.full_schema).write.mode("ignore").parquet(path)
+    return read_target(spark, path, spec)
 
 
 # ------------------------------------------------------------------ L6, S5, S6
@@ -225,6 +217,12 @@ def _count_observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def one_row_per_key(df: DataFrame, pk: str) -> DataFrame:
+    """One row of each key of a batch without a stated order: the smallest by its columns. NULL keys
+    cannot be loaded and are dropped."""
+    return keep_first(df, pk, [c for c in df.columns if c != pk], keep_null_keys=False)
+
+
 def load_table(
     spark: SparkSession,
     df: DataFrame,
@@ -232,26 +230,39 @@ def load_table(
     target_path: str,
     inclusive: bool = False,
     lateness: str | None = None,
+    unique_keys: bool = False,
+    watermark: tuple[str | None] | None = None,
+    stored: bool = False,
 ) -> LoadResult:
     """Strategy dispatch for one cleaned, validated frame (unknown tables are
-    incremental). Returns how many rows were written."""
+    incremental). Returns how many rows were written.
+
+    ``unique_keys``: the frame holds a key once. ``watermark``: a one-tuple with the mark to filter by
+    instead of the stored one (a stream fixes it for a whole run). ``stored``: the frame is a scan
+    of a stored table, cheap to read again."""
     spec = spec_for(table)
     strategy = strategy_for(table)
     aligned = align_columns(nan_to_null(df), spec)
+    if spec is not None and not unique_keys:
+        aligned = one_row_per_key(aligned, spec.pk)
 
     if strategy == FULL_REFRESH:
         staged = f"{target_path.rstrip('/')}.__refresh-{uuid.uuid4().hex[:10]}"
         out, obs = _count_observed(aligned)
         out.write.mode("overwrite").parquet(staged)
-        replace_dir(spark, staged, target_path)
+        replace_path(spark, staged, target_path)
         return LoadResult(table, FULL_REFRESH, "loaded", int(obs.get["rows"]), None)
 
     target = read_target(spark, target_path, spec)
-    known, wm = (True, None) if target is None else stored_watermark(spark, target_path)
-    if not known:
-        wm = watermark_value(target)  # no stored mark yet: one scan, then kept
-    new = filter_new_rows(aligned, wm, inclusive=inclusive, lateness=lateness)
-    if spec is not None:
+    known, wm = _mark_of(spark, target_path, target)
+    new = filter_new_rows(aligned, wm if watermark is None else watermark[0], inclusive=inclusive, lateness=lateness)
+    staged = None
+    if spec is not None and target is not None:
+        # the increment is read three times below: cut its lineage at a stored copy
+        if not stored:
+            staged = f"{target_path.rstrip('/')}.__increment-{uuid.uuid4().hex[:10]}"
+            new.write.parquet(staged)
+            new = spark.read.schema(new.schema).parquet(staged)
         new = anti_existing(new, target, spec.pk)
     obs = Observation()
     out = new.observe(
@@ -259,7 +270,11 @@ def load_table(
         F.count(F.lit(1)).alias("rows"),
         F.max("created_at").cast("string").alias("max_created_at"),
     )
-    out.write.mode("append").parquet(target_path)
+    try:
+        out.write.mode("append").parquet(target_path)
+    finally:
+        if staged:
+            delete_path(spark, staged)
     n = int(obs.get["rows"])
     new_wm = _later(wm, obs.get["max_created_at"]) if n else wm
     if n or not known:

@@ -465,7 +465,9 @@ def conversion_for_period(
     s = sessions.filter(
         (F.col("created_at") >= ts_literal(start)) & (F.col("created_at") < ts_literal(end))
     ).select("website_session_id")
-    g = s.join(orders_per_session(orders), "website_session_id", "left").agg(
+    # orders of other periods go before anything is grouped
+    wanted = orders.join(s, "website_session_id", "left_semi")
+    g = s.join(orders_per_session(wanted), "website_session_id", "left").agg(
         F.count("website_session_id").alias("sessions"),
         F.coalesce(F.sum("_orders"), F.lit(0)).alias("orders"),
     )

@@ -36,7 +36,7 @@ from ledgerline.schemas import (
 from ledgerline.session import scratch_path
 from ledgerline.sources import csv as csv_source
 from ledgerline.sources.dirty import dirty_raw, dirty_sql, strip_sql
-from ledgerline.sources.testdata import ShopTables, read_table
+from ledgerline.sources.testdata import ShopTables, item_key, read_table
 
 # Fixed parameters of the load checks.
 RUN_TS_1 = "2024-01-01 00:00:00"
@@ -278,7 +278,7 @@ def _order_lines(t: ShopTables) -> DataFrame:
     """Lines keyed by (order, line number): a natural key with real repeats."""
     li = read_table(t.spark, t.sf_dir, "lineitem")
     return li.select(
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("order_line_id"),
+        item_key("l_orderkey", "l_linenumber").alias("order_line_id"),
         "l_orderkey",
         "l_linenumber",
         *_LINE_ORDER,
@@ -286,7 +286,7 @@ def _order_lines(t: ShopTables) -> DataFrame:
 
 
 _ORDER_LINES_SQL = (
-    "order_lines AS (SELECT l_orderkey * 100 + l_linenumber AS order_line_id, "
+    "order_lines AS (SELECT l_orderkey * 1000000 + l_linenumber AS order_line_id, "
     + ", ".join(["l_orderkey", "l_linenumber", *_LINE_ORDER])
     + " FROM lineitem)"
 )
@@ -318,10 +318,10 @@ def _orders_typed(t: ShopTables) -> DataFrame:
 
 @check(
     "load_high_water_mark",
-    with_shop(f"SELECT max(created_at) AS high_water_mark FROM orders WHERE created_at < {ts(CUT)}"),
+    with_shop("SELECT max(created_at) AS high_water_mark FROM orders"),
 )
 def q_load_high_water_mark(t: ShopTables) -> DataFrame:
-    return load.high_water_mark(t.orders.filter(F.col("created_at") < ts_literal(CUT)))
+    return load.high_water_mark(t.orders)
 
 
 @check(
@@ -449,23 +449,33 @@ def _kept_sql(table: str) -> str:
     )
 
 
-def _loaded_profile_sql(table: str) -> str:
-    pk = spec_for(table).pk
-    return (
-        f"SELECT '{table}' AS table_name, count(*) AS row_count, CAST(sum({pk}) AS BIGINT) AS key_sum, "
-        f"count(*) FILTER (WHERE created_at IS NULL) AS null_created_at, "
-        f"count(DISTINCT created_at) AS distinct_created_at FROM kept_{table}"
-    )
+def _loaded_rows_sql(table: str) -> str:
+    """Every cell of the loaded rows, as text: one list a row."""
+    cells = ", ".join(f"coalesce(CAST({_final(f.name, f.dataType)} AS VARCHAR), '-')" for f in spec_for(table).schema.fields)
+    return f"SELECT '{table}' AS table_name, CAST({spec_for(table).pk} AS BIGINT) AS key, concat_ws('|', {cells}) AS row_text FROM kept_{table}"
+
+
+def _loaded_rows(df: DataFrame, table: str) -> DataFrame:
+    cells = []
+    for f in spec_for(table).schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double")
+        elif isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType)):
+            c = c.cast("bigint")
+        cells.append(F.coalesce(c.cast("string"), F.lit("-")))
+    return df.select(F.lit(table).alias("table_name"), F.col(spec_for(table).pk).cast("bigint").alias("key"), F.concat_ws("|", *cells).alias("row_text"))
 
 
 @check(
     "pipeline_end_to_end",
     with_shop(
-        "\nUNION ALL\n".join(_loaded_profile_sql(tb) for tb in TABLE_ORDER),
+        "\nUNION ALL\n".join(_loaded_rows_sql(tb) for tb in TABLE_ORDER),
         *[c for tb in TABLE_ORDER for c in clean_ctes(tb) + [_kept_sql(tb)]],
     ),
 )
 def q_pipeline_end_to_end(t: ShopTables) -> DataFrame:
+    """Every row of the six loaded targets."""
     spark = t.spark
     src = _export_dirty_csv(t)
     target = scratch_path(spark, "pipeline-target")
@@ -474,38 +484,23 @@ def q_pipeline_end_to_end(t: ShopTables) -> DataFrame:
     if failed:
         raise RuntimeError(f"pipeline failures: {failed}")
     loaded = read_loaded(spark, target)
-    parts = []
-    for tb in TABLE_ORDER:
-        pk = spec_for(tb).pk
-        parts.append(
-            loaded[tb].agg(
-                F.lit(tb).alias("table_name"),
-                F.count(F.lit(1)).alias("row_count"),
-                F.sum(pk).cast("bigint").alias("key_sum"),
-                F.count_if(F.col("created_at").isNull()).alias("null_created_at"),
-                F.count_distinct("created_at").alias("distinct_created_at"),
-            )
-        )
-    return _union(parts)
-
-
-def _typed_all_cte(table: str) -> str:
-    """Cleaned rows without exact-row de-duplication (copies kept)."""
-    spec = spec_for(table)
-    exprs = ", ".join(f"{_typed_expr(table, c)} AS {c}" for c in spec.columns)
-    return (
-        f"typedall_{table} AS (SELECT * FROM (SELECT {exprs} FROM dirty_{table}) "
-        f"WHERE {spec.pk} IS NOT NULL)"
-    )
+    return _union([_loaded_rows(loaded[tb], tb) for tb in TABLE_ORDER])
 
 
 def _summary_sql(table: str) -> str:
-    pk = spec_for(table).pk
-    strategy = spec_for(table).strategy
+    """The counts by their definitions: rows scanned; less exact copies; text that casts to nothing; keys missing or
+    not numeric; what is left; its repeated keys."""
+    spec = spec_for(table)
+    money = [c for c in spec.columns if c in NUMERIC_COLUMNS]
+    lost = " + ".join(f"count(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS DECIMAL(10,2)) IS NULL)" for c in money) or "0"
+    key = _typed_expr(table, spec.pk)
     return (
-        f"SELECT '{table}' AS table_name, '{strategy}' AS strategy, 'loaded' AS status, "
-        f"count(*) AS rows_clean, count(*) - count(DISTINCT {pk}) AS duplicate_pks, "
-        f"count(DISTINCT {pk}) AS rows_inserted FROM typedall_{table}"
+        f"SELECT '{table}' AS table_name, '{spec.strategy}' AS strategy, 'loaded' AS status, CAST(0 AS BIGINT) AS malformed_rows, "
+        f"(SELECT count(*) FROM dirty_{table}) AS rows_in, (SELECT count(*) FROM dirty_{table}) - count(*) AS exact_duplicates, "
+        f"count(*) FILTER (WHERE created_at IS NOT NULL AND TRY_CAST(created_at AS TIMESTAMP) IS NULL) AS bad_dates, "
+        f"{lost} AS bad_money, count(*) FILTER (WHERE {spec.pk} IS NULL) AS null_keys, "
+        f"count(*) FILTER (WHERE {spec.pk} IS NOT NULL AND {key} IS NULL) AS bad_keys, count({key}) AS rows_clean, "
+        f"count({key}) - count(DISTINCT {key}) AS duplicate_pks, count(DISTINCT {key}) AS rows_inserted FROM dedup_{table}"
     )
 
 
@@ -513,7 +508,7 @@ def _summary_sql(table: str) -> str:
     "load_summary",
     with_shop(
         "\nUNION ALL\n".join(_summary_sql(tb) for tb in TABLE_ORDER),
-        *[c for tb in TABLE_ORDER for c in (dirty_cte(tb), _typed_all_cte(tb))],
+        *[c for tb in TABLE_ORDER for c in clean_ctes(tb)],
     ),
 )
 def q_load_summary(t: ShopTables) -> DataFrame:
@@ -521,8 +516,71 @@ def q_load_summary(t: ShopTables) -> DataFrame:
     src = _export_dirty_csv(t)
     target = scratch_path(spark, "pipeline-target")
     summary = run_pipeline(spark, src, target, run_ts=RUN_TS_1)
-    return summary.select(
-        "table_name", "strategy", "status", "rows_clean", "duplicate_pks", "rows_inserted"
+    return summary.drop("watermark", "message", "seconds")
+
+
+@check(
+    "load_duplicate_batch",
+    with_shop(
+        "SELECT DISTINCT l_orderkey AS order_id, CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS BIGINT) AS website_session_id, "
+        "CAST(NULL AS BIGINT) AS user_id, CAST(NULL AS BIGINT) AS primary_product_id, CAST(NULL AS BIGINT) AS items_purchased, "
+        "min(CAST(l_extendedprice AS DOUBLE)) AS price_usd, CAST(NULL AS DOUBLE) AS cogs_usd "
+        "FROM lineitem GROUP BY l_orderkey"
+    ),
+)
+def q_load_duplicate_batch(t: ShopTables) -> DataFrame:
+    """One batch that repeats most keys (every line as an "order"), loaded twice: each key once, its smallest row."""
+    spark = t.spark
+    target = scratch_path(spark, "load-repeats")
+    lines = read_table(spark, t.sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_extendedprice").cast("decimal(10,2)").alias("price_usd")
+    )
+    for run_ts in (RUN_TS_1, RUN_TS_2):
+        load.load_table(spark, _with_audit(lines, _O, run_ts), _O, target)
+    return load.read_target(spark, target, spec_for(_O)).drop("_etl_loaded_at", "_etl_source")
+
+
+@check(
+    "load_create_target",
+    with_shop(
+        "\nUNION ALL\n".join(
+            f"SELECT '{tb}' AS table_name, CAST({i} AS BIGINT) AS position, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS column_type, "
+            f"(SELECT count(*) FROM {tb}) AS rows_loaded"
+            for tb in TABLE_ORDER
+            for i, f in enumerate(spec_for(tb).full_schema.fields)
+        )
+    ),
+)
+def q_load_create_target(t: ShopTables) -> DataFrame:
+    """S7: targets created from their declarations, created again (kept), then loaded; their stored columns and rows."""
+    spark = t.spark
+    parts = []
+    for tb in TABLE_ORDER:
+        target = scratch_path(spark, f"declared-{tb}")
+        load.create_target(spark, target, spec_for(tb))
+        load.create_target(spark, target, spec_for(tb))
+        load.load_table(spark, _with_audit(t.table(tb), tb, RUN_TS_1), tb, target, unique_keys=True)
+        stored = spark.read.parquet(target)
+        columns = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("column_type")) for i, f in enumerate(stored.schema.fields)])
+        parts.append(
+            stored.agg(F.count(F.lit(1)).alias("rows_loaded")).select(F.lit(tb).alias("table_name"), F.explode(columns).alias("c"), "rows_loaded").select("table_name", "c.*", "rows_loaded")
+        )
+    return _union(parts)
+
+
+@check(
+    "view_sql",
+    with_shop(
+        "SELECT device_type, count(*) AS sessions, count(user_id) AS known_users FROM website_sessions "
+        "WHERE is_repeat_session = 1 GROUP BY device_type"
+    ),
+)
+def q_view_sql(t: ShopTables) -> DataFrame:
+    """S8: SQL over the registered staging view."""
+    staging.register_views(staging.stage_all(t.all()))
+    return t.spark.sql(
+        "SELECT device_type, count(*) AS sessions, count(user_id) AS known_users FROM stg_website_sessions "
+        "WHERE is_repeat_session GROUP BY device_type"
     )
 
 
@@ -535,23 +593,52 @@ _MART_SQL = {
 }
 
 
+# per mart: key columns (as text), then the numbers
+_MART_COLUMNS = {
+    "mrt_channel_performance": (["utm_source", "utm_campaign"], ["sessions", "orders", "revenue", "conversion_rate_pct", "avg_order_value", "conversion_rank"]),
+    "mrt_product_profitability": (
+        ["product_name"],
+        ["units_sold", "total_cogs", "gross_revenue", "gross_profit", "profit_margin_pct", "refund_count", "total_refund_amount", "profit_rank", "margin_rank"],
+    ),
+    "mrt_refund_rate_trends": (["refund_month", "product_name"], ["refunds", "units_sold_that_month", "refund_rate_pct", "rolling_3m_avg_refund_rate_pct"]),
+    "mrt_order_value_trends": (["month"], ["sessions", "orders", "aov", "median_order_value", "monthly_revenue", "pct_multi_item", "revenue_per_session"]),
+    "mrt_cohort_retention": (["cohort_month"], ["customers_in_cohort", *[f"month_{k}" for k in range(7)], "retention_m1_pct", "retention_m6_pct"]),
+}
+
+
+def _mart_row(name: str, text: str) -> str:
+    """Select list of one mart's rows in the common shape of all marts."""
+    keys, numbers = _MART_COLUMNS[name]
+    wide = max(len(n) for _, n in _MART_COLUMNS.values())
+    values = [f"CAST({c} AS DOUBLE) AS n{i}" for i, c in enumerate(numbers)] + [f"CAST(NULL AS DOUBLE) AS n{i}" for i in range(len(numbers), wide)]
+    return f"'{name}' AS mart, concat_ws('|', {', '.join(f'CAST({k} AS {text})' for k in keys)}) AS key, " + ", ".join(values)
+
+
 @check(
     "mart_materialize",
-    "\nUNION ALL\n".join(
-        f"SELECT '{name}' AS mart, count(*) AS row_count FROM ({sql})"
-        for name, sql in _MART_SQL.items()
-    ),
+    "\nUNION ALL\n".join(f"SELECT {_mart_row(name, 'VARCHAR')} FROM ({sql})" for name, sql in _MART_SQL.items()),
 )
 def q_mart_materialize(t: ShopTables) -> DataFrame:
+    """Every row of the written marts."""
     spark = t.spark
     out = scratch_path(spark, "marts")
     paths = marts.materialize(spark, t.all(), out, since=O.SINCE, min_sessions=O.MIN_SESSIONS)
-    return _union(
-        [
-            spark.read.parquet(p).agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("row_count"))
-            for name, p in paths.items()
-        ]
-    )
+    parts = []
+    for name, p in paths.items():
+        spark.read.parquet(p).createOrReplaceTempView(f"written_{name}")
+        parts.append(spark.sql(f"SELECT {_mart_row(name, 'STRING')} FROM written_{name}"))
+    return _union(parts)
+
+
+@check(
+    "mart_ordered",
+    "SELECT row_number() OVER (ORDER BY refund_month DESC, product_name) AS position, refund_month, product_name, refunds "
+    "FROM (" + O.REFUND_RATE_TRENDS + ")",
+)
+def q_mart_ordered(t: ShopTables) -> DataFrame:
+    """O1: a mart in its display order, its positions made a column."""
+    built = marts.build_marts(t.all(), since=O.SINCE, min_sessions=O.MIN_SESSIONS)
+    return marts.with_positions(built["mrt_refund_rate_trends"], "mrt_refund_rate_trends").select("position", "refund_month", "product_name", "refunds")
 
 
 # CSV scan: NA tokens injected into text columns (fixed rule values).
@@ -585,6 +672,21 @@ def q_csv_scan_roundtrip(t: ShopTables) -> DataFrame:
     return clean.normalize_columns(csv_source.read_csv(t.spark, path))
 
 
+@check(
+    "csv_scan_quoted",
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN text || suffix IN ('NULL') THEN NULL ELSE '\"' || replace(text, 'e', ',\"') || '\\' || chr(10) || suffix END AS body "
+    "FROM (SELECT doc_id, text, CAST(doc_id % 7 AS VARCHAR) AS suffix FROM documents)",
+)
+def q_csv_scan_quoted(t: ShopTables) -> DataFrame:
+    """Whole texts with commas, quotes, backslashes and newlines, written as standard CSV, scanned back."""
+    docs = read_table(t.spark, t.sf_dir, "documents")
+    suffix = (F.col("doc_id") % 7).cast("string")
+    body = F.concat(F.lit('"'), F.replace("text", F.lit("e"), F.lit(',"')), F.lit("\\\n"), suffix)
+    path = scratch_path(t.spark, "csv-quoted")
+    csv_source.write_csv(docs.select(F.col("doc_id").cast("string").alias("doc_id"), body.alias("body")), path)
+    return csv_source.read_csv(t.spark, path, multiline=True)
+
+
 # ============================================================ verification
 def _profile_sql(table: str, what: str) -> str:
     return f"SELECT '{table}' AS table_name, {what} FROM {table}"
@@ -1013,10 +1115,9 @@ def q_scalar_month_trunc(t: ShopTables) -> DataFrame:
 @check(
     "scalar_month_index",
     with_shop(
-        "SELECT r.order_item_refund_id, CAST(extract(year FROM age(date_trunc('month', r.created_at), "
-        "date_trunc('month', oi.created_at))) * 12 + extract(month FROM age(date_trunc('month', r.created_at), "
-        "date_trunc('month', oi.created_at))) AS BIGINT) AS months_to_refund "
-        "FROM order_item_refunds r JOIN order_items oi ON r.order_item_id = oi.order_item_id"
+        "SELECT order_item_refund_id, (year(f.created_at) - year(i.created_at)) * 12 "
+        "+ month(f.created_at) - month(i.created_at) AS months_to_refund "
+        "FROM order_item_refunds f JOIN order_items i USING (order_item_id)"
     ),
 )
 def q_scalar_month_index(t: ShopTables) -> DataFrame:

@@ -1,31 +1,50 @@
 """The staging -> mart DAG as plain function composition, and its
 materialisation (staging as temp views, marts as Parquet tables).
 
-One Catalyst plan spans source, staging and mart, so staging costs nothing.
-Marts with a month column are written partitioned by it (readers filtering
-on a month prune whole folders).
+One Catalyst plan spans source, staging and mart, so staging costs nothing, and every mart is a lazy plan.
+Marts hold a row per channel, product or month: they are written unpartitioned.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from ledgerline.operators import reports
 from ledgerline.operators.staging import register_views, stage_all
 
-MART_PARTITION = {
-    "mrt_refund_rate_trends": "refund_month",
-    "mrt_order_value_trends": "month",
-    "mrt_cohort_retention": "cohort_month",
+#: O1: the display order of each mart, as (column, descending); later columns make it total
+MART_ORDER = {
+    "mrt_channel_performance": [("conversion_rate_pct", True), ("utm_source", False), ("utm_campaign", False)],
+    "mrt_product_profitability": [("gross_profit", True), ("product_name", False)],
+    "mrt_refund_rate_trends": [("refund_month", True), ("product_name", False)],
+    "mrt_order_value_trends": [("month", True)],
+    "mrt_cohort_retention": [("cohort_month", True)],
 }
 
 
+def order_of(mart: str) -> list:
+    """Sort expressions of a mart; NULLs come first under DESC and last under ASC."""
+    return [F.col(c).desc_nulls_first() if down else F.col(c).asc_nulls_last() for c, down in MART_ORDER[mart]]
+
+
+def in_order(df: DataFrame, mart: str) -> DataFrame:
+    """The mart in its display order."""
+    return df.orderBy(*order_of(mart))
+
+
+def with_positions(df: DataFrame, mart: str) -> DataFrame:
+    """The mart with its display position (1 ..) as a column. Meant for what is shown: all of a mart's rows
+    (channels, products, months) are numbered in one task."""
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*order_of(mart))))
+
+
 def build_marts(
-    raw: dict[str, DataFrame], since: str = reports.DEFAULT_SINCE, min_sessions: int = 100
+    raw: dict[str, DataFrame], since: str = reports.DEFAULT_SINCE, min_sessions: int = 100, ordered: bool = False
 ) -> dict[str, DataFrame]:
-    """The five marts over the staging views of ``raw`` (lazy)."""
+    """The five marts over the staging views of ``raw`` (lazy plans), on request in display order."""
     stg = stage_all(raw)
     builders: dict[str, Callable[[], DataFrame]] = {
         "mrt_channel_performance": lambda: reports.channel_performance(
@@ -42,7 +61,7 @@ def build_marts(
         ),
         "mrt_cohort_retention": lambda: reports.cohort_retention(stg["stg_orders"]),
     }
-    return {name: b() for name, b in builders.items()}
+    return {name: in_order(b(), name) if ordered else b() for name, b in builders.items()}
 
 
 def materialize(
@@ -51,18 +70,15 @@ def materialize(
     out_dir: str,
     since: str = reports.DEFAULT_SINCE,
     min_sessions: int = 100,
+    ordered: bool = False,
 ) -> dict[str, str]:
     """Register staging views and write every mart as a table under
     ``out_dir``; returns mart -> path."""
     register_views(stage_all(raw))
     paths = {}
-    for name, df in build_marts(raw, since, min_sessions).items():
+    for name, df in build_marts(raw, since, min_sessions, ordered).items():
         path = f"{out_dir.rstrip('/')}/{name}"
-        writer = df.write.mode("overwrite")
-        part = MART_PARTITION.get(name)
-        if part:
-            writer = writer.partitionBy(part)
-        writer.parquet(path)
+        df.write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
 

@@ -1,14 +1,14 @@
 """End-to-end load (L7) with its run summary (L8).
 
-Per table: CSV scan -> clean -> validate -> load. The cleaned, key-unique
-frame is written once to a staging folder next to the targets while its
-validation metrics are gathered with ``observe`` on that same write; the
-decision (empty table, NULL keys, duplicate keys under ``on_duplicate='fail'``)
-is taken from those metrics, and the load then reads the staged Parquet.
-So the CSV is scanned once, and the staged copy cuts the lineage before the
-load job (a lost executor re-reads Parquet, not the CSV pipeline).
-
-A table that fails (missing file, no rows, bad key, write error) is reported
+Per table: CSV scan -> clean -> validate -> load. Which rows are kept is decided on a narrow frame
+(two row hashes, key, time, file position, a few flags): exact copies collapse, then the first row of
+each key in file order wins. Full rows move only if they win *and* lie above the target's
+high water mark, so an incremental run shuffles 60 bytes of each old row and nothing of its columns.
+The winners are written once to a staging folder next to the targets; the load then reads that
+Parquet (a lost executor re-reads it, not the CSV pipeline). All counts of the summary are exact
+aggregates of the stored narrow rows.
+
+A table that fails (missing file, malformed row, no rows, bad key, write error) is reported
 and does not stop the others.
 """
 
@@ -17,25 +17,45 @@ from __future__ import annotations
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.clean import clean_dataframe
-from ledgerline.operators.load import delete_dir, load_table
-from ledgerline.operators.validate import FAIL, KEEP_FIRST, keep_first
-from ledgerline.schemas import TABLE_ORDER, spec_for, strategy_for
-from ledgerline.sources.csv import FILE_ORDER, csv_path, path_exists, read_csv
+from ledgerline.operators.clean import (
+    add_audit_columns,
+    cast_declared,
+    cast_numeric,
+    cast_timestamps,
+    normalize_columns,
+    strip_text_columns,
+)
+from ledgerline.operators.load import filter_new_rows, load_table, read_target, target_watermark
+from ledgerline.operators.validate import FAIL, KEEP_FIRST
+from ledgerline.schemas import INCREMENTAL, NUMERIC_COLUMNS, TABLE_ORDER, TIMESTAMP_COLUMNS, spec_for, strategy_for
+from ledgerline.sources import csv as csv_source
+from ledgerline.sources.csv import CORRUPT, FILE_ORDER, csv_path, read_csv
+from ledgerline.sources.files import delete_path, path_exists
 
+KEEP = "keep"
+_COUNTS = (
+    "malformed_rows",
+    "rows_in",
+    "exact_duplicates",
+    "bad_dates",
+    "bad_money",
+    "null_keys",
+    "bad_keys",
+    "rows_clean",
+    "duplicate_pks",
+)
 SUMMARY_SCHEMA = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
         T.StructField("strategy", T.StringType()),
         T.StructField("status", T.StringType()),
-        T.StructField("rows_clean", T.LongType()),
-        T.StructField("duplicate_pks", T.LongType()),
+        *[T.StructField(c, T.LongType()) for c in _COUNTS],
         T.StructField("rows_inserted", T.LongType()),
         T.StructField("watermark", T.StringType()),
         T.StructField("message", T.StringType()),
@@ -44,30 +64,43 @@ SUMMARY_SCHEMA = T.StructType(
 )
 
 
+@dataclass
+class Counts:
+    """What cleaning saw, in the order of the steps. ``rows_in`` leaves malformed rows out; bad dates and money
+    (text that does not parse or fit, now NULL), NULL keys and unparseable keys (both dropped) are counted after
+    exact copies are removed; ``rows_clean`` is what is left; ``duplicate_pks`` are its repeated keys."""
+
+    malformed_rows: int = 0
+    rows_in: int = 0
+    exact_duplicates: int = 0
+    bad_dates: int = 0
+    bad_money: int = 0
+    null_keys: int = 0
+    bad_keys: int = 0
+    rows_clean: int = 0
+    duplicate_pks: int = 0
+
+
 @dataclass
 class TableRun:
     table_name: str
     strategy: str
     status: str
-    rows_clean: int | None = None
-    duplicate_pks: int | None = None
+    counts: Counts | None = None
     rows_inserted: int | None = None
     watermark: str | None = None
     message: str = ""
     seconds: float | None = None
 
     def row(self) -> tuple:
-        return (
-            self.table_name,
-            self.strategy,
-            self.status,
-            self.rows_clean,
-            self.duplicate_pks,
-            self.rows_inserted,
-            self.watermark,
-            self.message,
-            self.seconds,
-        )
+        counts = astuple(self.counts) if self.counts else (None,) * len(_COUNTS)
+        return (self.table_name, self.strategy, self.status, *counts, self.rows_inserted, self.watermark, self.message, self.seconds)
+
+
+def _row_hashes(columns) -> list:
+    """Two 64-bit hashes of a raw row; NULL and its position count."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns]
+    return [F.xxhash64(*cells).alias("_h1"), F.xxhash64(F.lit(1), *cells).alias("_h2")]
 
 
 def stage_clean_table(
@@ -76,89 +109,134 @@ def stage_clean_table(
     table: str,
     staging_path: str,
     run_ts: str,
-) -> tuple[int, int, int]:
-    """Clean, keep the first row per key (file order), write to
-    ``staging_path``. Returns (rows after cleaning, NULL keys, duplicates)
-    from metrics observed on that single write.
-
-    With a primary key, exact-row de-duplication is folded into keep-first
-    (the first row of a key is the first copy of its row), so the data is
-    shuffled once, by key; "duplicates" then counts exact copies and
-    repeated keys together (rows after cleaning minus rows kept)."""
+    watermark: str | None = None,
+) -> Counts:
+    """Clean ``raw`` (with its file order), keep the first row per key, write the rows above
+    ``watermark`` (all without one) to ``staging_path``; returns the counts."""
     spec = spec_for(table)
-    order = FILE_ORDER if FILE_ORDER in raw.columns else None
     pk = spec.pk if spec else None
-    cleaned = clean_dataframe(
-        raw, table, run_ts, order_col=order, drop_exact_duplicates=pk is None
-    )
-    if pk and pk not in cleaned.columns:
+    marks = [c for c in (FILE_ORDER, CORRUPT) if c in raw.columns]
+    plain = normalize_columns(raw.drop(*marks))
+    columns = plain.columns
+    if pk and pk not in columns:
         raise KeyError(f"primary key column {pk!r} missing")
-    seen = Observation()
-    cleaned = cleaned.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(pk).isNull() if pk else F.lit(False)).alias("null_pks"),
+    named = raw.select(*[F.col(f"`{a}`").alias(b) for a, b in zip(raw.drop(*marks).columns, columns)], *marks)
+    if CORRUPT not in marks:
+        named = named.withColumn(CORRUPT, F.lit(None).cast("string"))
+    if FILE_ORDER not in marks:
+        named = named.withColumn(FILE_ORDER, F.monotonically_increasing_id())
+
+    before = [f"_raw_{c}" for c in columns]
+    kept_raw = named.select("*", *[F.col(c).alias(b) for c, b in zip(columns, before)])
+    typed = cast_declared(strip_text_columns(cast_numeric(cast_timestamps(kept_raw))), spec)
+    lost = lambda c: F.col(f"_raw_{c}").isNotNull() & F.col(c).isNull()
+    dates = [c for c in TIMESTAMP_COLUMNS if c in columns]
+    money = [c for c in NUMERIC_COLUMNS if c in columns]
+    total = lambda cs: sum((lost(c).cast("int") for c in cs), F.lit(0))
+    created = F.col("created_at") if "created_at" in columns else F.lit(None).cast("timestamp_ntz")
+    narrow = typed.select(
+        *_row_hashes(before),
+        (F.col(pk) if pk else F.lit(0)).alias("_pk"),
+        created.alias("created_at"),
+        FILE_ORDER,
+        F.col(CORRUPT).isNotNull().alias("_malformed"),
+        total(dates).alias("_dates"),
+        total(money).alias("_money"),
+        (F.col(f"_raw_{pk}").isNull() if pk else F.lit(False)).alias("_null_key"),
+        (lost(pk) if pk else F.lit(False)).alias("_bad_key"),
+    )
+    flags = ("_pk", "created_at", "_malformed", "_dates", "_money", "_null_key", "_bad_key")
+    # equal rows have equal flags: any copy's will do
+    distinct = narrow.groupBy("_h1", "_h2").agg(
+        F.min(FILE_ORDER).alias("_at"), F.count(F.lit(1)).alias("_copies"), *[F.first(c).alias(c) for c in flags]
     )
-    kept = Observation()
+    distinct.drop("_h1", "_h2").write.mode("overwrite").parquet(f"{staging_path}.__rows")
+    rows = spark.read.schema(distinct.drop("_h1", "_h2").schema).parquet(f"{staging_path}.__rows")
+    good = rows.filter(~F.col("_malformed"))
+    clean = good.filter(F.col("_pk").isNotNull()) if pk else good
     if pk:
-        tiebreak = [order] if order else [c for c in cleaned.columns if c != pk]
-        deduped = keep_first(cleaned, pk, tiebreak, keep_null_keys=False)
+        per_key = clean.groupBy("_pk").agg(F.min(F.struct("_at", "created_at")).alias("_first"))
+        winners = per_key.select("_first.*")
+        keys = per_key.count()
     else:
-        deduped = cleaned
-    deduped = deduped.observe(kept, F.count(F.lit(1)).alias("rows"))
-    if order:
-        deduped = deduped.drop(order)
-    deduped.write.mode("overwrite").parquet(staging_path)
-    rows = int(seen.get["rows"])
-    nulls = int(seen.get["null_pks"])
-    return rows, nulls, rows - int(kept.get["rows"])
+        winners, keys = clean.select("_at", "created_at"), clean.count()
+    winners = filter_new_rows(winners, watermark).select(F.col("_at").alias(FILE_ORDER))
+    full = filter_new_rows(add_audit_columns(typed.drop(CORRUPT, *before), table, run_ts), watermark)
+    full.join(winners, FILE_ORDER, "left_semi").drop(FILE_ORDER).write.mode("overwrite").parquet(staging_path)
+
+    ok = ~F.col("_malformed")
+    seen = rows.agg(
+        F.sum(F.when(ok, 0).otherwise(F.col("_copies"))).alias("malformed"),
+        F.sum(F.when(ok, F.col("_copies")).otherwise(0)).alias("rows_in"),
+        F.count_if(ok).alias("rows"),
+        F.sum(F.when(ok, F.col("_dates"))).alias("dates"),
+        F.sum(F.when(ok, F.col("_money"))).alias("money"),
+        F.count_if(ok & F.col("_null_key")).alias("null_keys"),
+        F.count_if(ok & F.col("_bad_key")).alias("bad_keys"),
+        F.count_if(ok & F.col("_pk").isNotNull()).alias("clean"),
+    ).first()
+    n = {k: int(v or 0) for k, v in seen.asDict().items()}
+    delete_path(spark, f"{staging_path}.__rows")
+    return Counts(
+        n["malformed"],
+        n["rows_in"],
+        n["rows_in"] - n["rows"],
+        n["dates"],
+        n["money"],
+        n["null_keys"],
+        n["bad_keys"],
+        n["clean"],
+        n["clean"] - keys,
+    )
 
 
-def _run_table(
-    spark: SparkSession,
-    table: str,
-    source_dir: str,
-    target_dir: str,
-    run_ts: str,
-    on_duplicate: str,
-) -> TableRun:
+@dataclass(frozen=True)
+class Options:
+    """Load options of one run. ``malformed``: rows with surplus fields ``fail`` the table or ``count`` (and stay
+    out). ``on_bad_value``: with ``fail``, unparseable keys and money that does not fit fail the table;
+    with ``keep`` they are dropped / NULL, and counted. ``multiline``: quoted fields may span lines."""
+
+    on_duplicate: str = KEEP_FIRST
+    malformed: str = csv_source.FAIL
+    on_bad_value: str = KEEP
+    multiline: bool = False
+
+
+def _run_table(spark: SparkSession, table: str, source_dir: str, target_dir: str, run_ts: str, options: Options) -> TableRun:
     """Extract -> clean -> validate -> load for one table, timed; never
     raises."""
     t0 = time.perf_counter()
-    run = _load_one(spark, table, source_dir, target_dir, run_ts, on_duplicate)
+    run = _load_one(spark, table, source_dir, target_dir, run_ts, options)
     run.seconds = round(time.perf_counter() - t0, 3)
     return run
 
 
-def _load_one(
-    spark: SparkSession,
-    table: str,
-    source_dir: str,
-    target_dir: str,
-    run_ts: str,
-    on_duplicate: str,
-) -> TableRun:
+def _load_one(spark: SparkSession, table: str, source_dir: str, target_dir: str, run_ts: str, options: Options) -> TableRun:
     strategy = strategy_for(table)
     path = csv_path(source_dir, table)
-    if not path_exists(spark, path):
-        return TableRun(table, strategy, "failed", message="file not found")
+    target_path = f"{target_dir}/{table}"
     staging = f"{target_dir}/_staging/{table}-{uuid.uuid4().hex[:10]}"
+    failed = lambda message, counts=None: TableRun(table, strategy, "failed", counts, message=message)
     try:
-        raw = read_csv(spark, path, with_order=True)
-        rows, nulls, dups = stage_clean_table(spark, raw, table, staging, run_ts)
-        if rows == 0:
-            return TableRun(table, strategy, "failed", 0, 0, message="no rows")
-        if nulls:
-            return TableRun(table, strategy, "failed", rows, dups, message=f"{nulls} NULL keys")
-        if dups and on_duplicate == FAIL:
-            return TableRun(table, strategy, "failed", rows, dups, message="duplicate keys")
-        res = load_table(spark, spark.read.parquet(staging), table, f"{target_dir}/{table}")
-        return TableRun(table, res.strategy, res.status, rows, dups, res.rows_inserted, res.watermark)
+        if not path_exists(spark, path):
+            return failed("file not found")
+        spec = spec_for(table)
+        mark = target_watermark(spark, target_path, spec) if strategy == INCREMENTAL else None
+        raw = read_csv(spark, path, with_order=True, multiline=options.multiline, malformed=options.malformed)
+        counts = stage_clean_table(spark, raw, table, staging, run_ts, mark)
+        if counts.rows_clean == 0:
+            return failed("no rows", counts)
+        if options.on_duplicate == FAIL and counts.duplicate_pks:
+            return failed("duplicate keys", counts)
+        if options.on_bad_value == FAIL and (counts.bad_keys or counts.bad_money):
+            return failed(f"{counts.bad_keys} bad keys, {counts.bad_money} bad money values", counts)
+        res = load_table(spark, spark.read.parquet(staging), table, target_path, unique_keys=True, stored=True)
+        return TableRun(table, res.strategy, res.status, counts, res.rows_inserted, res.watermark)
     except Exception as exc:  # one table's failure does not stop the rest
-        return TableRun(table, strategy, "failed", message=f"{type(exc).__name__}: {exc}"[:500])
+        return failed(f"{type(exc).__name__}: {exc}")
     finally:
         try:
-            delete_dir(spark, staging)
+            delete_path(spark, staging)
         except Exception:  # pragma: no cover - best effort cleanup
             pass
 
@@ -171,10 +249,13 @@ def run_pipeline(
     run_ts: str | None = None,
     on_duplicate: str = KEEP_FIRST,
     parallel_tables: int = 3,
+    malformed: str = csv_source.FAIL,
+    on_bad_value: str = KEEP,
+    multiline: bool = False,
 ) -> DataFrame:
     """Load every table of ``tables`` from ``source_dir/<table>.csv`` into
     ``target_dir/<table>``; returns the run summary as a DataFrame (in
-    ``tables`` order).
+    ``tables`` order). The options are those of ``Options``.
 
     Tables are independent, so up to ``parallel_tables`` of them run as
     concurrent Spark jobs (submitted from driver threads; the scheduler
@@ -183,11 +264,12 @@ def run_pipeline(
     run_ts = run_ts or time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime())
     target_dir = target_dir.rstrip("/")
     tables = list(tables)
+    options = Options(on_duplicate, malformed, on_bad_value, multiline)
     workers = max(1, min(parallel_tables, len(tables)))
     with ThreadPoolExecutor(max_workers=workers) as pool:
         runs = list(
             pool.map(
-                lambda t: _run_table(spark, t, source_dir, target_dir, run_ts, on_duplicate),
+                lambda t: _run_table(spark, t, source_dir, target_dir, run_ts, options),
                 tables,
             )
         )
@@ -196,9 +278,5 @@ def run_pipeline(
 
 def read_loaded(spark: SparkSession, target_dir: str, tables=TABLE_ORDER) -> dict[str, DataFrame]:
     """The loaded targets as DataFrames (tables that exist)."""
-    out = {}
-    for t in tables:
-        p = f"{target_dir.rstrip('/')}/{t}"
-        if path_exists(spark, p):
-            out[t] = spark.read.schema(spec_for(t).full_schema).parquet(p)
-    return out
+    found = {t: read_target(spark, f"{target_dir.rstrip('/')}/{t}", spec_for(t)) for t in tables}
+    return {t: df for t, df in found.items() if df is not None}

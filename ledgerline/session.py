@@ -51,7 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Read from the session; a folder of our own is set only where none is
-    configured (single-machine tests)."""
+    configured and everything runs on one machine (tests). On a cluster a missing setting is an error:
+    executors would not see a folder of the driver."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
@@ -59,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             "spark.checkpoint.dir", None
         )
         if not conf_dir:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             conf_dir = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         sc.setCheckpointDir(conf_dir)
         root = sc.getCheckpointDir()

@@ -5,14 +5,18 @@ No schema is supplied and nothing is inferred: columns are named from the
 header (a supplied schema would bind by position; the loader binds by name)
 and typed later by the cleaner with ``try_cast``. Undecodable bytes become
 U+FFFD, as with ``encoding_errors='replace'``.
+
+Quoting is the standard one: fields in double quotes, a quote inside as two, backslashes as
+they are; with ``multiline`` a quoted field may span lines. Rows with more fields than the header, and quoted
+fields that never close, are malformed: a scan fails on them (as the reference's reader does), or
+keeps them apart in ``CORRUPT`` for the caller to count.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # pandas' default NA tokens for read_csv (na_values default set).
 PANDAS_NA_TOKENS = (
@@ -56,12 +60,39 @@ def na_to_null(df: DataFrame, tokens=PANDAS_NA_TOKENS, skip=(FILE_ORDER,)) -> Da
     )
 
 
+#: standard quoting, for batch and stream readers alike
+CSV_OPTIONS = {
+    "header": "true",
+    "encoding": "UTF-8",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    # quoted empty fields come as '' (the NA tokens make them NULL), other empty ones as NULL
+    "emptyValue": "",
+    "nullValue": "\0",
+}
+#: text of the first field beyond the header, on malformed rows
+CORRUPT = "_surplus_field"
+FAIL, COUNT = "fail", "count"
+
+
+def header_columns(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a CSV file or folder, from its header."""
+    return spark.read.options(**CSV_OPTIONS).option("inferSchema", False).csv(path).columns
+
+
+def string_schema(columns) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     na_tokens=PANDAS_NA_TOKENS,
     with_order: bool = False,
     multiline: bool = False,
+    malformed: str = FAIL,
 ) -> DataFrame:
     """Scan one CSV file (or a folder of CSV parts) as all-string columns.
 
@@ -69,17 +100,11 @@ def read_csv(
     order they appear in the files (path, split start, position in the
     split), taken on the scan itself before any shuffle. ``multiline``
     (quoted fields spanning lines) makes each file a single split, so it is
-    off unless a source needs it."""
-    raw = (
-        spark.read.option("header", True)
-        .option("encoding", "UTF-8")
-        .option("inferSchema", False)
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    off unless a source needs it. ``malformed``: ``fail`` raises on a row with too many
+    fields; ``count`` keeps such rows, with the surplus text in ``_surplus_field`` (NULL on good rows).
+    Short rows are filled with NULL, as pandas does."""
+    columns = header_columns(spark, path)
+    raw = spark.read.schema(string_schema([*columns, CORRUPT])).options(**CSV_OPTIONS).option("multiLine", multiline).csv(path)
     if with_order:
         raw = raw.withColumn(
             FILE_ORDER,
@@ -89,26 +114,22 @@ def read_csv(
                 F.monotonically_increasing_id().alias("pos"),
             ),
         )
-    return na_to_null(raw, na_tokens)
+    if malformed == FAIL:
+        raw = fail_on_malformed(raw)
+    return na_to_null(raw, na_tokens, skip=(FILE_ORDER, CORRUPT))
 
 
-def csv_path(folder: str, table: str) -> str:
-    return f"{folder.rstrip('/')}/{table}.csv"
+def fail_on_malformed(raw: DataFrame) -> DataFrame:
+    """A filter that raises on rows with too many fields, whichever columns are read later."""
+    error = F.raise_error(F.concat(F.lit("malformed CSV row: more fields than the header, from "), F.col(CORRUPT)))
+    return raw.filter(F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(error.cast("boolean"))).drop(CORRUPT)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system of the session (works
-    for cluster file systems as well as local paths)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(conf).exists(p))
-    except Exception:  # pragma: no cover - no JVM access (e.g. Connect)
-        return os.path.exists(path)
+def csv_path(folder: str, table: str) -> str:
+    return f"{folder.rstrip('/')}/{table}.csv"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write a DataFrame as a header CSV folder (the same layout ``read_csv``
+    """Write a DataFrame as a header CSV folder (standard quoting, the layout ``read_csv``
     scans). NULL is written as an empty field."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the derivation (channel and device mapping).
@@ -28,6 +28,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: lines an order may have; item keys are order key * LINES_PER_ORDER + line number
+LINES_PER_ORDER = 1_000_000
+
+
+def item_key(order: str, line: str) -> Column:
+    """Key of an order line; fails on a line number that would run into the next order's keys."""
+    n = F.col(line)
+    too_many = F.raise_error(F.lit(f"an order has {LINES_PER_ORDER} lines or more")).cast("bigint")
+    return F.when(n < LINES_PER_ORDER, F.col(order) * LINES_PER_ORDER + n).otherwise(too_many)
+
+
 def _mapped(column: str, mapping: dict[str, str]):
     expr = None
     for k, v in mapping.items():
@@ -93,7 +104,7 @@ class ShopTables:
     @cached_property
     def order_items(self) -> DataFrame:
         return self._items_with_dates.select(
-            (F.col("l_orderkey") * 100 + F.col("_n")).alias("order_item_id"),
+            item_key("l_orderkey", "_n").alias("order_item_id"),
             F.col("o_orderdate").alias("created_at"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").cast("int").alias("product_id"),
@@ -104,7 +115,7 @@ class ShopTables:
 
     @cached_property
     def order_item_refunds(self) -> DataFrame:
-        item_id = F.col("l_orderkey") * 100 + F.col("_n")
+        item_id = item_key("l_orderkey", "_n")
         return self._items_with_dates.filter(F.col("l_returnflag") == "R").select(
             item_id.alias("order_item_refund_id"),
             F.greatest("o_orderdate", "l_shipdate").alias("created_at"),

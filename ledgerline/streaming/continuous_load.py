@@ -8,9 +8,14 @@ were consumed, so a restarted query neither skips nor re-reads a file; and
 because the append is insert-if-absent on the primary key, a micro-batch
 replayed after a failure writes nothing twice.
 
+The watermark is taken once, when a run starts, and kept beside the stream's checkpoint until the
+run has ended well; every micro-batch of the run filters by it. Files are consumed in the order they
+landed, and within a batch the first row of a key in that order wins, so the result does
+not depend on how the files are split into batches.
+
 ``trigger(availableNow=True)`` processes everything that has landed and
 stops, which is the scheduled-batch behaviour of the reference; a
-processing-time trigger turns the same code into a continuous loader.
+processing-time trigger turns the same code into a continuous loader (one run, one watermark).
 """
 
 from __future__ import annotations
@@ -22,18 +27,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators.clean import clean_dataframe
-from ledgerline.operators.load import LoadResult, load_table
+from ledgerline.operators.load import LoadResult, load_table, target_watermark
 from ledgerline.operators.validate import keep_first
 from ledgerline.schemas import spec_for
 from ledgerline.session import scratch_path
-from ledgerline.sources.csv import FILE_ORDER, na_to_null
+from ledgerline.sources.csv import CORRUPT, CSV_OPTIONS, FILE_ORDER, fail_on_malformed, header_columns, na_to_null, string_schema
+from ledgerline.sources.files import delete_path, read_line, write_line
 
 
 def landing_schema(spark: SparkSession, sample_path: str) -> T.StructType:
     """All-string schema named from the CSV header (streams need a schema
     up front; reading only the header of existing files gives it)."""
-    cols = spark.read.option("header", True).option("inferSchema", False).csv(sample_path).columns
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
+    return string_schema(header_columns(spark, sample_path))
 
 
 @dataclass
@@ -41,6 +46,7 @@ class StreamLoad:
     table: str
     target_path: str
     run_ts: str
+    watermark: str | None = None
     results: list[LoadResult] = field(default_factory=list)
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
@@ -51,11 +57,12 @@ class StreamLoad:
         batch = batch.withColumn(
             FILE_ORDER,
             F.struct(
+                F.col("_landed").alias("landed"),
                 F.col("_file").alias("file"),
                 F.col("_block").alias("block"),
                 F.monotonically_increasing_id().alias("pos"),
             ),
-        ).drop("_file", "_block")
+        ).drop("_landed", "_file", "_block")
         cleaned = clean_dataframe(
             batch,
             self.table,
@@ -66,10 +73,30 @@ class StreamLoad:
         if spec is not None:
             cleaned = keep_first(cleaned, spec.pk, [FILE_ORDER], keep_null_keys=False)
         self.results.append(
-            load_table(spark, cleaned.drop(FILE_ORDER), self.table, self.target_path)
+            load_table(
+                spark,
+                cleaned.drop(FILE_ORDER),
+                self.table,
+                self.target_path,
+                unique_keys=spec is not None,
+                watermark=(self.watermark,),
+            )
         )
 
 
+def _mark_path(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}.run-mark"
+
+
+def _run_mark(spark: SparkSession, checkpoint: str, table: str, target_path: str) -> str | None:
+    """The watermark of the run: that of an unfinished run, else the target's, noted for a restart."""
+    line = read_line(spark, _mark_path(checkpoint))
+    if line is None:
+        line = target_watermark(spark, target_path, spec_for(table)) or ""
+        write_line(spark, _mark_path(checkpoint), line)
+    return line or None
+
+
 def start_stream_load(
     spark: SparkSession,
     landing_dir: str,
@@ -80,26 +107,21 @@ def start_stream_load(
     checkpoint: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    multiline: bool = False,
 ):
     """Start the loader; returns (StreamingQuery, StreamLoad)."""
-    reader = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
+    checkpoint = checkpoint or scratch_path(spark, f"stream-{table}")
+    reader = spark.readStream.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).options(**CSV_OPTIONS).option("multiLine", multiline)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(landing_dir)
-    raw = raw.withColumn("_file", F.col("_metadata.file_path")).withColumn(
-        "_block", F.col("_metadata.file_block_start")
-    )
-    sink = StreamLoad(table, target_path, run_ts)
+    raw = fail_on_malformed(reader.csv(landing_dir))
+    marks = {"_landed": "file_modification_time", "_file": "file_path", "_block": "file_block_start"}
+    raw = raw.withColumns({k: F.col(f"_metadata.{v}") for k, v in marks.items()})
+    sink = StreamLoad(table, target_path, run_ts, _run_mark(spark, checkpoint, table, target_path))
     writer = (
-        na_to_null(raw, skip=("_file", "_block"))
+        na_to_null(raw, skip=tuple(marks))
         .writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{table}"))
+        .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute"
@@ -115,12 +137,22 @@ def run_available(
     run_ts: str,
     schema: T.StructType,
     checkpoint: str,
+    max_files_per_trigger: int | None = None,
 ) -> list[LoadResult]:
     """Process every file that has landed since the last run, then stop."""
     query, sink = start_stream_load(
-        spark, landing_dir, table, target_path, run_ts, schema, checkpoint, available_now=True
+        spark,
+        landing_dir,
+        table,
+        target_path,
+        run_ts,
+        schema,
+        checkpoint,
+        available_now=True,
+        max_files_per_trigger=max_files_per_trigger,
     )
     query.awaitTermination()
     if query.exception() is not None:  # pragma: no cover - surfaced to caller
         raise query.exception()
+    delete_path(spark, _mark_path(checkpoint))
     return sink.results

@@ -179,8 +179,9 @@ def test_pipeline_missing_file_and_bad_table_do_not_stop_others(spark, tmp_dir):
     target = os.path.join(tmp_dir, "target")
     summary = {r["table_name"]: r for r in run_pipeline(spark, src, target, run_ts="2024-01-01 00:00:00").collect()}
     assert summary["orders"]["status"] == "loaded" and summary["orders"]["rows_inserted"] == 2
-    # an exact copy of key 1 and a second row for key 2 (keep-first removes both)
-    assert summary["orders"]["duplicate_pks"] == 2
+    # an exact copy of key 1, and a second row for key 2
+    o = summary["orders"]
+    assert (o["rows_in"], o["exact_duplicates"], o["rows_clean"], o["duplicate_pks"]) == (4, 1, 3, 1)
     assert summary["products"]["status"] == "failed"
     assert summary["website_sessions"]["message"] == "file not found"
     loaded = read_loaded(spark, target)
@@ -235,3 +236,128 @@ def test_command_line_load_and_verify(spark, tmp_dir, capsys):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     out = capsys.readouterr().out
     assert "website_sessions" in out and "50.0" in out  # 1 order / 2 sessions in April 2012
+
+
+def _csv(path, rows):
+    import csv
+
+    with open(path, "w", newline="", encoding="utf-8") as fh:
+        csv.writer(fh).writerows(rows)
+
+
+def test_standard_csv_quoting(spark, tmp_dir):
+    """Files as Python's csv module writes them: doubled quotes, commas, backslashes, newlines."""
+    p = os.path.join(tmp_dir, "q.csv")
+    values = ['He said "hi", ok', "line1\nline2", "ends with \\", '\\"', '""', " pad ", "a,b,c"]
+    _csv(p, [["id", "v", "w"], *[[str(i), v, "x"] for i, v in enumerate(values)]])
+    got = {r["id"]: (r["v"], r["w"]) for r in read_csv(spark, p, multiline=True).collect()}
+    assert got == {str(i): (v, "x") for i, v in enumerate(values)}
+
+
+def test_malformed_rows_fail_or_are_counted(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    _write(
+        os.path.join(src, "orders.csv"),
+        b"order_id,created_at,price_usd\n1,2012-01-01 00:00:00,1.00\n2,2012-01-02 00:00:00,2.00,surplus\n3,2012-01-03 00:00:00\n4,2012-01-04 00:00:00,,\n",
+    )
+    run = lambda name, **kw: {r["table_name"]: r for r in run_pipeline(spark, src, os.path.join(tmp_dir, name), tables=["orders"], **kw).collect()}["orders"]
+    failed = run("a")
+    assert failed["status"] == "failed" and "malformed CSV row" in failed["message"]
+    counted = run("b", malformed="count")
+    assert (counted["status"], counted["malformed_rows"], counted["rows_in"], counted["rows_inserted"]) == ("loaded", 1, 3, 3)
+    with pytest.raises(Exception, match="malformed"):
+        read_csv(spark, os.path.join(src, "orders.csv")).select("order_id").collect()
+
+
+def test_lost_values_are_counted_and_can_fail(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    _write(
+        os.path.join(src, "orders.csv"),
+        b"order_id,created_at,price_usd\nX7,2012-01-01 00:00:00,1\n,2012-01-01 00:00:00,1\n1,2012-01-01 00:00:00,99999999999\n2,soon,5\n2,soon,5\n",
+    )
+    r = run_pipeline(spark, src, os.path.join(tmp_dir, "keep"), tables=["orders"]).first()
+    counts = {k: r[k] for k in ("rows_in", "exact_duplicates", "bad_dates", "bad_money", "null_keys", "bad_keys", "rows_clean", "duplicate_pks", "rows_inserted")}
+    assert counts == dict(rows_in=5, exact_duplicates=1, bad_dates=1, bad_money=1, null_keys=1, bad_keys=1, rows_clean=2, duplicate_pks=0, rows_inserted=2)
+    r = run_pipeline(spark, src, os.path.join(tmp_dir, "fail"), tables=["orders"], on_bad_value="fail").first()
+    assert r["status"] == "failed" and "1 bad keys, 1 bad money" in r["message"]
+
+
+def test_failure_message_is_whole(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    surplus = "s" * 3000
+    _write(os.path.join(src, "orders.csv"), f"order_id,created_at\n1,2012-01-01 00:00:00,{surplus}\n".encode())
+    assert surplus in run_pipeline(spark, src, os.path.join(tmp_dir, "t"), tables=["orders"]).first()["message"]
+
+
+def test_batch_with_repeated_keys_loads_each_once(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "orders")
+    rows = [order(1, "2012-01-01 00:00:00", price=5), order(1, "2012-01-01 00:00:00", price=2), order(2, "2012-01-02 00:00:00", price=1)]
+    assert load.load_table(spark, _orders_df(spark, rows), "orders", target).rows_inserted == 2
+    assert load.load_table(spark, _orders_df(spark, [order(9, "2013-01-01 00:00:00", price=5)] * 3), "orders", target).rows_inserted == 1
+    got = sorted((r["order_id"], int(r["price_usd"])) for r in load.read_target(spark, target, TABLES["orders"]).collect())
+    assert got == [(1, 2), (2, 1), (9, 5)]
+
+
+def test_file_system_errors_fail_the_load(spark, tmp_dir, monkeypatch):
+    target = os.path.join(tmp_dir, "orders")
+    df = _orders_df(spark, [order(1, "2012-01-01 00:00:00", price=5)])
+    load.load_table(spark, df, "orders", target)
+
+    def broken(*_):
+        raise OSError("name node is down")
+
+    monkeypatch.setattr(load, "path_exists", broken)
+    with pytest.raises(OSError):
+        load.load_table(spark, df, "orders", target)
+    monkeypatch.undo()
+    assert load.read_target(spark, target, TABLES["orders"]).count() == 1
+
+
+@pytest.mark.parametrize("crash", ["before", "between", "after"])
+def test_refresh_killed_at_any_point_recovers(spark, tmp_dir, crash, monkeypatch):
+    from ledgerline.sources import files
+
+    target = os.path.join(tmp_dir, "products")
+    old = clean.add_audit_columns(frame(spark, "products", [{"product_id": 1, "product_name": "a"}]), "products", "2024-01-01 00:00:00")
+    new = clean.add_audit_columns(frame(spark, "products", [{"product_id": 2, "product_name": "b"}]), "products", "2024-01-02 00:00:00")
+    load.load_table(spark, old, "products", target)
+    staged = os.path.join(tmp_dir, "staged")
+    new.write.parquet(staged)
+    # the state on disk that a kill at each point leaves
+    if crash == "between":
+        os.rename(target, target + ".__old")
+    if crash == "after":
+        os.rename(target, target + ".__old")
+        os.rename(staged, target)
+    names = [r["product_name"] for r in load.read_target(spark, target, TABLES["products"]).collect()]
+    assert names == (["b"] if crash == "after" else ["a"])
+    assert not os.path.exists(target + ".__old")
+    load.load_table(spark, new, "products", target)
+    assert [r["product_name"] for r in load.read_target(spark, target, TABLES["products"]).collect()] == ["b"]
+    assert files.path_exists(spark, target)
+
+
+def test_spreadsheet_times_ignore_the_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([("3/11/2012 2:30",), ("3/11/2012 2:30:05",), ("11/4/2012",), ("2012-03-11 02:30:00",), ("13/45/2012",)], "created_at string")
+            got = [r[0] for r in clean.cast_timestamps(df).selectExpr("cast(created_at as string)").collect()]
+            assert got == ["2012-03-11 02:30:00", "2012-03-11 02:30:05", "2012-11-04 00:00:00", "2012-03-11 02:30:00", None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from ledgerline.session import checkpoint_root
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(SimpleNamespace(sparkContext=context, conf=conf))
