@@ -75,7 +75,3 @@ def ts_literal(value: str) -> Column:
     """A wall-clock timestamp literal, independent of the session zone."""
     return F.lit(value).cast("timestamp_ntz")
 
-
-def money(c: Column | str) -> Column:
-    """Final projection of an exact money value."""
-    return col(c).cast("double")

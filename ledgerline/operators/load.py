@@ -270,6 +270,9 @@ def load_table(
         F.count(F.lit(1)).alias("rows"),
         F.max("created_at").cast("string").alias("max_created_at"),
     )
+    if spec is not None:
+        # neighbours in time share row groups, so ranges of time (and of keys, which grow with it) prune them
+        out = out.sortWithinPartitions(spec.watermark_column, spec.pk)
     try:
         out.write.mode("append").parquet(target_path)
     finally:

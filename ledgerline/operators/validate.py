@@ -20,24 +20,6 @@ KEEP_FIRST = "keep_first"
 FAIL = "fail"
 
 
-def file_order_columns(df: DataFrame) -> list[Column]:
-    """A total order equal to the order rows appear in the scanned files:
-    (file path, block start, position within the task). Inside one split
-    ``monotonically_increasing_id`` grows with the file offset; splits of one
-    file are ordered by their start. Must be taken directly on the scan."""
-    return [
-        F.col("_metadata.file_path"),
-        F.col("_metadata.file_block_start"),
-        F.monotonically_increasing_id(),
-    ]
-
-
-def with_file_order(df: DataFrame, name: str = "_file_order") -> DataFrame:
-    """Attach the file-order key as one struct column (call right after the
-    CSV / Parquet scan, before any shuffle)."""
-    return df.withColumn(name, F.struct(*file_order_columns(df)))
-
-
 def keep_first(
     df: DataFrame, pk: str, order_by: Sequence[str | Column], keep_null_keys: bool = True
 ) -> DataFrame:
@@ -46,7 +28,8 @@ def keep_first(
 
     Implemented as ``min_by(row, order)`` per key: a partial aggregate, so a
     key repeated millions of times is reduced on the map side to one
-    candidate per task before the shuffle (no per-key sort, no hot task).
+    candidate per task before the shuffle (no hot task). Spark runs it as a sort aggregate on both sides of
+    the exchange; where only few rows are wanted, decide on narrow rows first, as ``plans.pipeline`` does.
     Rows with a NULL key are kept as they are (the NULL-key rule is separate).
     """
     cols = df.columns
