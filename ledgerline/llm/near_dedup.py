@@ -168,6 +168,12 @@ def _expand(trees: int, level: int):
     return run
 
 
+def _array(column: pa.Array, name: str) -> np.ndarray:
+    """Sketch words as unsigned: the bit count of a negative number is that of its absolute value."""
+    x = column.to_numpy(zero_copy_only=False)
+    return x.view(np.uint64) if name in PLANES else x
+
+
 FRONTIER = "path long, tree int, rep long, n long, s0 long, s1 long, s2 long, s3 long, u boolean"
 
 
@@ -229,7 +235,7 @@ def _compare_nodes(similarity: float, bar: int, across: bool):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append({k: batch.column(k).to_numpy(zero_copy_only=False) for k in names})
+            held.append({k: _array(batch.column(k), k) for k in names})
             rows += batch.num_rows
             if held[0]["path"][0] == held[-1]["path"][-1]:
                 continue  # one node so far

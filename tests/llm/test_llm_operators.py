@@ -92,7 +92,7 @@ def brute_repeats(rows_):
 
 
 def with_version(df):
-    return rows(df.select("doc_id", "text", F.xxhash64("text")))
+    return rows(df.select("doc_id", "text", F.hash("text")))
 
 
 def test_repeats(docs):
@@ -471,6 +471,21 @@ def test_near_dedup_chains_and_large_groups(spark, seed, monkeypatch):
     check_components(spark, {i: data[j] for i, j in enumerate(shuffled)})
 
 
+def test_near_dedup_long_copies(spark):
+    """Copies with scattered edits at similarities around the threshold, over long texts: sketches of all bit patterns."""
+    rng = random.Random(12)
+    data, k = {}, 0
+    for _ in range(40):
+        base = [f"v{rng.randint(0, 5000)}" for _ in range(rng.randint(100, 400))]
+        for edits in (0, 0.02, 0.05, 0.08):
+            w = list(base)
+            for _ in range(int(edits * len(w))):
+                w[rng.randrange(len(w))] = f"e{rng.randint(0, 5000)}"
+            data[k] = " ".join(w)
+            k += 1
+    check_components(spark, data)
+
+
 def test_near_dedup_empty(empty):
     assert rows(near_dedup.near_duplicates(empty)) == []
     assert near_dedup.trees_for(near_dedup.RECALL, 0.8) == 3
