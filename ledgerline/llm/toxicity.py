@@ -118,28 +118,38 @@ def log_count_ratios(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return r.astype(np.float32), n
 
 
+#: documents whose features are expanded at a time while fitting
+CHUNK = 100
+
+
 def fit(samples: list[tuple[bytes, int]], r: np.ndarray, steps: int = 40, l2: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on r-scaled, length-normalised features: full-batch Adam."""
-    active = [features(np.frombuffer(t, np.uint8)) for t, _ in samples]
+    """Logistic regression on r-scaled, length-normalised features: full-batch Adam, gradients summed over
+    chunks of documents, so that memory is 4 bytes a feature of the sample."""
     y = np.array([v for _, v in samples], np.float32)
-    idx = np.concatenate(active).astype(np.int32)
-    row = np.repeat(np.arange(len(active), dtype=np.int32), [len(a) for a in active])
-    val = r[idx]
-    keep = val != 0
-    idx, row, val = idx[keep], row[keep], val[keep]
-    val = val / np.sqrt(np.array([len(a) + 1 for a in active], np.float32))[row]
+    weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)).astype(np.float32)
+    chunks = []
+    for lo in range(0, len(samples), CHUNK):
+        active, scale = [], []
+        for t, _ in samples[lo : lo + CHUNK]:
+            f = features(np.frombuffer(t, np.uint8))
+            scale.append(1 / np.sqrt(len(f) + 1))
+            active.append(f[r[f] != 0].astype(np.int32))
+        chunks.append((slice(lo, lo + len(active)), np.concatenate(active), [len(a) for a in active], np.array(scale, np.float32)))
     w, b = np.ones(len(r), np.float32), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)).astype(np.float32)
     for t in range(1, steps + 1):
-        z = np.bincount(row, val * w[idx], len(active)) + b
-        g = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight).astype(np.float32)
-        grad = np.bincount(idx, val * g[row], len(r)).astype(np.float32) + l2 * (w - 1) / len(y)
-        gb = float(g.sum())
+        grad, gb = l2 * (w - 1) / len(y), 0.0
+        scaled = w * r
+        for at, idx, sizes, scale in chunks:
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            z = np.bincount(row, scaled[idx], len(sizes)) * scale + b
+            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[at]) * weight[at]
+            grad += np.bincount(idx, (g * scale)[row], len(r)) * r
+            gb += float(g.sum())
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
-        w -= 0.3 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        w = (w - 0.3 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
         b -= 0.1 * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.99**t)) + 1e-8)
     return (w * r).astype(np.float32), b
 
@@ -159,14 +169,33 @@ class Model:
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """text, toxic of the labelled documents outside the held-out fold. Labels that repeat an id
     with differing values count by their larger value."""
-    by_id = (
+    by_id = training_labels(labels)
+    return tb.id_text(docs).join(tb.checked_broadcast(by_id, MAX_BROADCAST_LABELS), "doc_id")
+
+
+def training_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, toxic outside the held-out fold, each id once."""
+    return (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where("doc_id is not null and toxic in (0, 1)")
         .where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    return tb.id_text(docs).join(tb.checked_broadcast(by_id, MAX_BROADCAST_LABELS), "doc_id")
+
+
+def sample_of(rows: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> list[tuple[bytes, int]]:
+    """Texts and labels of at most ``per_class`` rows of each class, the smallest by a hash of the id. The hashes are ranked
+    first, without texts; then the chosen rows are fetched."""
+    h = F.xxhash64("doc_id")
+    chosen = {k: [x[0] for x in rows.where(F.col("toxic") == k).select(h.alias("h")).orderBy("h").limit(per_class).collect()] for k in (0, 1)}
+    out = []
+    for k, hashes in chosen.items():
+        if hashes:
+            texts = rows.where((F.col("toxic") == k) & (h <= hashes[-1])).select(h.alias("h"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("text"))
+            # rows that repeat the last id's hash are cut, so the bound holds
+            out += [(bytes(x["text"]), k) for x in sorted(texts.limit(2 * per_class).collect(), key=lambda x: (x["h"], bytes(x["text"])))[:per_class]]
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -175,9 +204,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     r, n = log_count_ratios(rows)
     if n.min() == 0:
         return None
-    ranked = rows.select(F.xxhash64("doc_id").alias("h"), "toxic", F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("text"))
-    sample = [(bytes(x["text"]), k) for k in (0, 1) for x in ranked.where(F.col("toxic") == k).orderBy("h").limit(SAMPLE_PER_CLASS).collect()]
-    weights, b = fit(sample, r)
+    weights, b = fit(sample_of(rows), r)
     return Model(weights, b)
 
 
