@@ -68,6 +68,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this process has made, once no frame that reads them is needed;
+    returns their number."""
+    from ledgerline.sources.files import delete_path
+
+    done = 0
+    while _SCRATCH:
+        delete_path(spark, _SCRATCH.pop())
+        done += 1
+    return done

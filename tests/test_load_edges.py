@@ -361,3 +361,13 @@ def test_cluster_without_shared_folder_is_an_error():
     context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(SimpleNamespace(sparkContext=context, conf=conf))
+
+
+def test_scratch_is_cleared(spark):
+    from ledgerline.session import clear_scratch, scratch_path
+
+    path = scratch_path(spark, "some")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert clear_scratch(spark) >= 1
+    assert not os.path.exists(path.removeprefix("file:"))
