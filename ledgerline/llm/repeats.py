@@ -107,7 +107,8 @@ def cells(data: np.ndarray, off: np.ndarray):
     first, last = np.flatnonzero(head), np.flatnonzero(tail)
     p = anchor[first]
     shape = ((p - first) << 8 | (last - first)).astype(np.uint64)
-    gram = w[32][p]
+    # the smallest of 69 hashes is a small number: mixed again, its top bits deal evenly
+    gram = tb.mix64(w[32][p])
     cell = _join(_join(string_hashes(w, first), string_hashes(w, last)), shape)
     has_left, has_right = p - first >= SIDE, last + LENGTH - (p + GRAM) >= SIDE
     left, right = np.zeros(len(p), np.uint16), np.zeros(len(p), np.uint16)
@@ -117,7 +118,7 @@ def cells(data: np.ndarray, off: np.ndarray):
     return {"row": row[first], "start": (first - off[row[first]]).astype(np.int32), "size": (last - first + 1).astype(np.uint8), "gram": gram, "cell": cell, "left": left, "right": right}, w
 
 
-_PARTS = (("gram", np.uint64), ("cell", np.uint64), ("doc", np.int64), ("version", np.int64), ("start", np.int32), ("size", np.uint8), ("left", np.uint16), ("right", np.uint16), ("kind", np.uint8))
+_PARTS = (("gram", np.uint64), ("cell", np.uint64), ("doc", np.int64), ("version", np.int32), ("start", np.int32), ("size", np.uint8), ("left", np.uint16), ("right", np.uint16), ("kind", np.uint8))
 
 
 def _first_of(c: dict, *keys: str) -> tuple[dict, np.ndarray, np.ndarray]:
@@ -211,13 +212,13 @@ def _refine(key, table):
     look = {k: v[shared] for k, v in lead.items()}
     col = lambda k: np.concatenate([settled[k], repeat[k], look[k]])
     kinds = np.concatenate([settled["kind"], np.full(len(repeat["doc"]), REPEAT), np.full(len(look["doc"]), LOOK)]).astype(np.int8)
-    return pa.table({"kind": pa.array(kinds, pa.int8()), "id": pa.array(col("doc"), pa.int64()), "version": pa.array(col("version"), pa.int64()), "start": pa.array(col("start"), pa.int32()), "size": pa.array(col("size"), pa.int16())})
+    return pa.table({"kind": pa.array(kinds, pa.int8()), "id": pa.array(col("doc"), pa.int64()), "version": pa.array(col("version"), pa.int32()), "start": pa.array(col("start"), pa.int32()), "size": pa.array(col("size"), pa.int16())})
 
 
-SPANS = "kind byte, id long, version long, start int, size short"
+SPANS = "kind byte, id long, version int, start int, size short"
 
 
-_STRING = (("h", np.uint64), ("doc", np.int64), ("version", np.int64), ("start", np.int32), ("kind", np.uint8))
+_STRING = (("h", np.uint64), ("doc", np.int64), ("version", np.int32), ("start", np.int32), ("kind", np.uint8))
 PACKED_STRINGS = "digit int, " + ", ".join(f"{k} binary" for k, _ in _STRING)
 
 
@@ -260,7 +261,7 @@ def _late(key, table):
     late = ~first & ~again
     col = lambda k: np.concatenate([settled[k], c[k][late]])
     n = len(settled["doc"]) + int(late.sum())
-    return pa.table({"id": pa.array(col("doc"), pa.int64()), "version": pa.array(col("version"), pa.int64()), "start": pa.array(col("start"), pa.int32()), "size": pa.array(np.ones(n), pa.int16())})
+    return pa.table({"id": pa.array(col("doc"), pa.int64()), "version": pa.array(col("version"), pa.int32()), "start": pa.array(col("start"), pa.int32()), "size": pa.array(np.ones(n), pa.int16())})
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -296,7 +297,7 @@ def _remove(batches):
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return tb.id_text(docs).select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("version"), "text")
+    return tb.id_text(docs).select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.coalesce(F.hash("text"), F.lit(0)).alias("version"), "text")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -311,7 +312,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = tb.materialized(packed.groupBy("digit").applyInArrow(_refine, SPANS), "repeat-cells")
     wanted = found.where(F.col("kind") == LOOK).groupBy("id", "version").agg(F.collect_list(F.struct("start", F.col("size").cast("int").alias("size"))).alias("wanted"))
     strings = texts.join(wanted, ["id", "version"]).mapInArrow(_strings(bits), PACKED_STRINGS)
-    late = strings.groupBy("digit").applyInArrow(_late, "id long, version long, start int, size short")
+    late = strings.groupBy("digit").applyInArrow(_late, "id long, version int, start int, size short")
     return found.where(F.col("kind") == REPEAT).select("id", "version", "start", "size").unionByName(late)
 
 
