@@ -12,7 +12,9 @@ Nodes of at most ``NODE`` members are compared exhaustively inside a task, by tw
 functions whose bar lies 4.5 standard deviations beyond the mean at the threshold. In a first round each member
 offers one pair a node, its first similar member; these pairs are confirmed on full shingle sets
 and joined into components. A second round over the same nodes offers every similar pair that lies in
-different components, so what is skipped cannot change a component. A larger node first tries to link
+different components, so what is skipped cannot change a component; a node in which such pairs are many (documents that are
+similar, but not enough) offers its members instead, and their full sets are compared inside one task by products of
+their incidence matrix, at most NODE rows wide. A larger node first tries to link
 every member to the node's smallest id. Members confirmed as linked need no comparison with each other;
 the node goes on branching only if unlinked members are left, and children without an unlinked
 member end. So a group of near copies of any size costs about one link per member, never all pairs. Nodes still
@@ -43,7 +45,9 @@ RECALL = 0.999999
 SKETCH = 128
 DEVIATIONS = 4.5
 #: nodes up to this size are compared all at once, larger ones member by member
-SMALL = 24
+SMALL = 12
+#: a node with more candidate pairs a member in the second round is compared on full sets as a whole
+DENSE = 4
 BLOCK = 256
 MAX_BROADCAST_NODES = 200_000
 
@@ -179,7 +183,7 @@ FRONTIER = "path long, tree int, rep long, n long, s0 long, s1 long, s2 long, s3
 
 def _compare_nodes(similarity: float, bar: int, across: bool):
     """Rows sorted by (path, rep): pairs (a < b) of similar members of a node. One a member, its first similar one; or,
-    ``across`` components, all that lie in different ones."""
+    ``across`` components, all that lie in different ones. Of nodes with very many such pairs, the members: (a, null, path)."""
 
     def near(c, i, j):
         ok = np.bitwise_count((c["s0"][i] ^ c["s0"][j]) | (c["s2"][i] ^ c["s2"][j])).astype(np.int16)
@@ -207,17 +211,24 @@ def _compare_nodes(similarity: float, bar: int, across: bool):
                 found.append((i, i + d))
             else:
                 best[i + d] = i  # a larger distance is an earlier member
+        dense = []
         for a, b in zip(lo, hi):
             if b - a <= SMALL:
                 continue
+            own, offered = [], 0
             for j in range(a + 1, b):
                 hit = a + np.flatnonzero(near(c, slice(a, j), j))
                 if not len(hit):
                     continue
                 if across:
-                    found.append((hit, np.full(len(hit), j)))
+                    own.append((hit, np.full(len(hit), j)))
+                    offered += len(hit)
                 else:
                     best[j] = hit[0]
+            if offered > DENSE * (b - a):
+                dense.append(np.unique(np.concatenate([k for pair in own for k in pair])))
+            else:
+                found += own
         if not across:
             j = np.flatnonzero(best >= 0)
             found = [(best[j], j)]
@@ -225,7 +236,15 @@ def _compare_nodes(similarity: float, bar: int, across: bool):
         j = np.concatenate([y for _, y in found]) if found else row[:0]
         x, y = c["rep"][i], c["rep"][j]
         both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+        members = np.concatenate(dense) if dense else row[:0]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([both[:, 0], c["rep"][members]])),
+                pa.concat_arrays([pa.array(both[:, 1]), pa.nulls(len(members), pa.int64())]),
+                pa.concat_arrays([pa.nulls(len(both), pa.int64()), pa.array(path[members])]),
+            ],
+            ["a", "b", "path"],
+        )
 
     names = ("path", "rep", "n", *PLANES, "u", *(("comp",) if across else ()))
 
@@ -275,6 +294,34 @@ def _confirm(n: int, percent: int):
     return run
 
 
+def _compare_sets(n: int, percent: int):
+    """A node's members with texts: its links between components, on full sets."""
+
+    def run(key, table):
+        rep, comp = table.column("rep").to_numpy(), table.column("comp").to_numpy()
+        x, o = shingle_hashes(*tb.buffers(pa.concat_arrays(table.column("text").chunks)), n)
+        size = np.diff(o)
+        _, column, df = np.unique(x, return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(rep)), size)
+        shared = df[column] > 1
+        _, column = np.unique(column[shared], return_inverse=True)
+        row = row[shared]
+        inter = np.zeros((len(rep), len(rep)), np.float32)
+        width = 2048
+        block = column // width
+        for k in range(int(block.max()) + 1 if len(block) else 0):
+            own = block == k
+            m = np.zeros((len(rep), width), np.float32)
+            m[row[own], column[own] - k * width] = 1
+            inter += m @ m.T
+        near = (inter > 0) & (100 * inter >= percent * (size[:, None] + size[None] - inter))
+        near &= (comp[:, None] != comp[None]) & (rep[:, None] < rep[None])
+        i, j = np.nonzero(near)
+        return pa.table({"a": pa.array(rep[i], pa.int64()), "b": pa.array(rep[j], pa.int64())})
+
+    return run
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Pairs (a, b) of representatives confirmed on the full sets. ``texts``: rep, text. Only texts of documents
     that some pair names are shuffled."""
@@ -316,7 +363,7 @@ def _nodes(rows: DataFrame, similarity: float, bar: int, across: bool) -> DataFr
     """Candidate pairs of the small nodes in ``rows``."""
     tasks = tb.shuffle_tasks(rows.sparkSession)
     sorted_rows = rows.repartition(tasks, "path").sortWithinPartitions("path", "rep")
-    return sorted_rows.mapInArrow(_compare_nodes(similarity, bar, across), "a long, b long").distinct()
+    return sorted_rows.mapInArrow(_compare_nodes(similarity, bar, across), "a long, b long, path long").distinct()
 
 
 def links(classes: DataFrame, texts: DataFrame, n: int, percent: int, trees: int) -> tuple[DataFrame, DataFrame]:
@@ -365,10 +412,16 @@ def links(classes: DataFrame, texts: DataFrame, n: int, percent: int, trees: int
         confirmed.append(tb.materialized(confirm(hits.select(F.least("rep", "m.r").alias("a"), F.greatest("rep", "m.r").alias("b")).distinct(), texts, n, percent), "rest"))
     rows = _all(small)
     first = _nodes(rows, similarity, bar, across=False)
-    confirmed.append(tb.materialized(confirm(first, texts, n, percent), "first-links"))
+    confirmed.append(tb.materialized(confirm(first.select("a", "b"), texts, n, percent), "first-links"))
     so_far = tb.materialized(components(_all(confirmed)), "first-components")
     known = rows.join(so_far.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
-    second = confirm(_nodes(known, similarity, bar, across=True), texts, n, percent)
+    found = tb.materialized(_nodes(known, similarity, bar, across=True), "second-candidates")
+    pairs = confirm(found.where("path is null").select("a", "b").distinct(), texts, n, percent)
+    members = found.where("path is not null").select("path", F.col("a").alias("rep"))
+    named = texts.join(members.select("rep").distinct(), "rep", "left_semi").groupBy("rep").agg(F.max_by("text", F.xxhash64("text")).alias("text"))
+    members = members.join(so_far.withColumnRenamed("node", "rep"), "rep", "left").select("path", "rep", F.coalesce("component", "rep").alias("comp"))
+    dense = members.join(named, "rep").groupBy("path").applyInArrow(_compare_sets(n, percent), "a long, b long").distinct()
+    second = pairs.unionByName(dense)
     return so_far, tb.materialized(second, "second-links")
 
 

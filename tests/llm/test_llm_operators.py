@@ -486,6 +486,21 @@ def test_near_dedup_long_copies(spark):
     check_components(spark, data)
 
 
+def test_near_dedup_similar_but_not_enough(spark):
+    """A large cluster just below the threshold, with a few links inside: compared on full sets as a node."""
+    rng = random.Random(3)
+    base = [f"v{i}" for i in range(120)]
+    data = {}
+    for k in range(70):
+        w = list(base)
+        for _ in range(7):
+            w[rng.randrange(len(w))] = f"e{k}x{rng.randint(0, 99)}"
+        data[k] = " ".join(w)
+    for k in range(5):
+        data[100 + k] = data[k * 9] + f" tail{k}"
+    check_components(spark, data)
+
+
 def test_near_dedup_empty(empty):
     assert rows(near_dedup.near_duplicates(empty)) == []
     assert near_dedup.trees_for(near_dedup.RECALL, 0.8) == 3
