@@ -45,6 +45,8 @@ PLACE_BITS = 31
 #: a gram with more first cells in one slice goes straight to the last digit
 HOT = 8
 CELL, REPEAT, LOOK, MARK = 0, 1, 2, 3
+#: ids (12 bytes each) that are broadcast at most; beyond, the same join shuffles
+MAX_BROADCAST_IDS = 2_000_000
 
 
 def _window_hashes(data: np.ndarray) -> dict[int, np.ndarray]:
@@ -311,7 +313,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     packed = texts.mapInArrow(_distribute(bits), PACKED)
     found = tb.materialized(packed.groupBy("digit").applyInArrow(_refine, SPANS), "repeat-cells")
     wanted = found.where(F.col("kind") == LOOK).groupBy("id", "version").agg(F.collect_list(F.struct("start", F.col("size").cast("int").alias("size"))).alias("wanted"))
-    strings = texts.join(wanted, ["id", "version"]).mapInArrow(_strings(bits), PACKED_STRINGS)
+    # texts that hold no such cell stay where they are as long as the others' ids can be sent to the scan
+    named = tb.checked_broadcast(wanted.select("id", "version"), MAX_BROADCAST_IDS)
+    strings = texts.join(named, ["id", "version"], "left_semi").join(wanted, ["id", "version"]).mapInArrow(_strings(bits), PACKED_STRINGS)
     late = strings.groupBy("digit").applyInArrow(_late, "id long, version int, start int, size short")
     return found.where(F.col("kind") == REPEAT).select("id", "version", "start", "size").unionByName(late)
 
