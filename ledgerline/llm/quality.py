@@ -3,7 +3,9 @@
 Method. Word, symbol, line and repetition counts of every whole text. Instead of fixed cutoffs, every
 (language, source) gets its own: KLL sketches (mergeable, built map-side and merged in the shuffle, so a source
 with a third of all rows is reduced before it moves) of four ratios give their quartiles, and the cutoff
-is the far fence Q3 + FENCE * max(Q3 - Q1, floor), Q1 - ... for the lower side. A joined filter then judges every row against
+is the far fence Q3 + FENCE * max(Q3 - Q1, floor), Q1 - ... for the lower side. The shares (repeated lines of the lines with a word,
+words in repeated windows of the words) cannot pass a top (1, and the base rule's 0.5), so their fence is halfway from
+Q3 to that top at most: every rule can fire in every group. With Q3 = Q1 = 0 that is 0.3 of the lines and 0.24 of the words. A joined filter then judges every row against
 the cutoffs of its group. Groups of fewer than ``MIN_ROWS`` rows, and rows without language or source, take the cutoffs of all rows.
 
 Defined results: null or empty texts have no words and fail the base rule; null language or source is a group
@@ -24,8 +26,10 @@ MIN_ROWS = 30
 SKETCH_K = 400
 MAX_BROADCAST_GROUPS = 100_000
 _SYMBOL = tb.lookup(256, b"#*$%&|<>")
-#: ratio -> (smallest spread counted, share of the lower fence; None: upper fence only)
-RATIOS = {"symbol_ratio": 0.05, "dup_line_ratio": 0.1, "repeat_ratio": 0.1, "word_length": 0.5}
+#: ratio -> smallest spread counted
+RATIOS = {"symbol_ratio": 0.05, "dup_line_ratio": 0.05, "repeat_ratio": 0.04, "word_length": 0.5}
+#: ratio -> the most it can be in a row that passes the base rule
+TOPS = {"dup_line_ratio": 1.0, "repeat_ratio": 0.5}
 
 
 def _counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
@@ -44,6 +48,7 @@ def _counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     w = np.concatenate([[0], np.cumsum(member)])
     has = w[le] > w[ls]
     ls, le, lr = ls[has], le[has], lr[has]
+    out["n_lines"] = count(lr)
     out["n_dup_lines"] = count(lr[_repeated(tb.run_hashes(data, ls, le), lr, later=True)])
     # words in three-word windows found twice or more in the text
     h = tb.run_hashes(data, s, e)
@@ -77,13 +82,14 @@ def _repeated(h: np.ndarray, row: np.ndarray, later: bool) -> np.ndarray:
 
 
 NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-SCHEMA = "doc_id long, lang string, source string, " + ", ".join(f"{k} long" for k in NAMES)
+MEASURES = (*NAMES, "n_lines")
+SCHEMA = "doc_id long, lang string, source string, " + ", ".join(f"{k} long" for k in MEASURES)
 
 
 def _measure(batches):
     for rows, data, off in tb.text_slices(batches):
         c = _counts(data, off)
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("lang"), rows.column("source"), *(pa.array(c[k], pa.int64()) for k in NAMES)], ["doc_id", "lang", "source", *NAMES])
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("lang"), rows.column("source"), *(pa.array(c[k], pa.int64()) for k in MEASURES)], ["doc_id", "lang", "source", *MEASURES])
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -96,7 +102,7 @@ def _with_ratios(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "symbol_ratio": F.col("n_symbols") / words,
-            "dup_line_ratio": F.col("n_dup_lines") / words,
+            "dup_line_ratio": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
             "repeat_ratio": F.col("n_repeat_words") / words,
             "word_length": F.col("word_chars") / words,
         }
@@ -106,9 +112,11 @@ def _with_ratios(df: DataFrame) -> DataFrame:
 def _fences(sketches: DataFrame) -> DataFrame:
     q = lambda k, p: F.kll_sketch_get_quantile_double(F.col(k), F.lit(p))
     spread = lambda k: F.greatest(q(k, 0.75) - q(k, 0.25), F.lit(RATIOS[k]))
+    far = lambda k: q(k, 0.75) + FENCE * spread(k)
+    upper = lambda k: F.least(far(k), (q(k, 0.75) + F.lit(TOPS[k])) / 2) if k in TOPS else far(k)
     keys = [c for c in sketches.columns if c not in RATIOS and c != "n"]
     return sketches.select(
-        *keys, "n", *((q(k, 0.75) + FENCE * spread(k)).alias(f"{k}_max") for k in RATIOS), (q("word_length", 0.25) - FENCE * spread("word_length")).alias("word_length_min")
+        *keys, "n", *(upper(k).alias(f"{k}_max") for k in RATIOS), (q("word_length", 0.25) - FENCE * spread("word_length")).alias("word_length_min")
     )
 
 

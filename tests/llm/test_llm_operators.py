@@ -225,6 +225,32 @@ def test_quality_cutoffs_are_adaptive(spark):
     assert all(kept.values())
 
 
+def test_quality_every_rule_rejects(spark):
+    """One planted outlier for each rule passes the base rule and the other fences, also where the group's own spread is wide."""
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randint(1000, 9999)}"
+    line = lambda n: " ".join(word() for _ in range(n))
+    phrases = lambda n, words: " ".join([f"of the same {line(2)}" for _ in range(n)] + [line(words - 5 * n)])
+    planted = {
+        1: line(80) + " " + " ".join(f"{word()}$$$$$$" for _ in range(30)),
+        2: "".join(f"Read more\n{line(6)}\n" for _ in range(10)),
+        3: phrases(12, 100),
+        4: " ".join("".join(rng.choice("abcdefgh") for _ in range(14)) for _ in range(60)),
+        5: " ".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(60)),
+    }
+    data = [(100 + i, line(80), "en", "plain") for i in range(100)] + [(k, t, "en", "plain") for k, t in planted.items()]
+    # a source whose rows hold 0 to 30 % of words in repeated windows
+    data += [(300 + i, phrases(i % 11, 100), "en", "wide") for i in range(110)] + [(6, phrases(16, 100), "en", "wide")]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.quality(df).collect()}
+    assert not any(got[k].base_failed or got[k].kept for k in (*planted, 6))
+    assert all(r.kept for k, r in got.items() if k >= 100)
+    measured = quality.measures(df)
+    fence = quality.cutoffs(measured)[0].where("source = 'plain'").first()
+    out = {r.doc_id: {k for k in quality.RATIOS if r[k] > fence[f"{k}_max"]} | ({"short"} if r.word_length < fence.word_length_min else set()) for r in quality._with_ratios(measured.where("doc_id < 6")).collect()}
+    assert out == {1: {"symbol_ratio"}, 2: {"dup_line_ratio"}, 3: {"repeat_ratio"}, 4: {"word_length"}, 5: {"short"}}
+
+
 def test_quality_empty(empty):
     assert rows(quality.quality(empty)) == []
 
