@@ -64,6 +64,24 @@ def test_secret_network_learns_and_keeps_base(spark):
     assert not any(h in masked[i] for i, h in enumerate(hexes)) and masked[0].startswith("words here [SECRET]")
 
 
+def test_secret_sample_counts_copies_once(spark, monkeypatch):
+    """However often a candidate is repeated, it is one of the sample and on one side of the split."""
+    monkeypatch.setattr(secret_scan, "TRAIN_PER_CLASS", 40)
+    rng = random.Random(5)
+    texts = [f"we keep token = \"{rng.getrandbits(160):040x}\" here" for _ in range(40)] + [f"the order number {rng.getrandbits(50):016d} is paid" for _ in range(40)]
+    copies = [t for t in texts for _ in range(60)]
+    found = secret_scan.findings(spark.createDataFrame(list(enumerate(copies)), "doc_id long, text string"))
+    got = secret_scan.sample(found)
+    assert Counter(r["label"] for r in got) == {0: 40, 1: 40} and len({r["context"] for r in got}) == 80
+    few = [r for r in got if r["label"] == 0][:2] + [r for r in got if r["label"] == 1][:2]
+    for part in (got, few):
+        held = secret_scan.held_out(part)
+        keys = [{(r["context"], r["at"]) for r, m in zip(part, held) if m == k} for k in (True, False)]
+        assert keys[0] and keys[1] and not keys[0] & keys[1]
+    one = spark.createDataFrame([(i, t) for i, t in enumerate([texts[0], texts[-1]] * 50)], "doc_id long, text string")
+    assert secret_scan.train(secret_scan.findings(one)) is None
+
+
 def test_secret_empty(empty):
     assert rows(secret_scan.digest(secret_scan.secret_scan(empty))) == []
     assert secret_scan.redact(empty).columns == empty.columns
