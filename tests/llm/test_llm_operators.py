@@ -82,6 +82,38 @@ def test_secret_sample_counts_copies_once(spark, monkeypatch):
     assert secret_scan.train(secret_scan.findings(one)) is None
 
 
+def test_secret_network_finds_what_the_base_misses(spark):
+    """Secrets without a keyword are found, also where training saw such ones unlabelled; the recall bar holds on fresh rows."""
+    rng = random.Random(12)
+    prose = lambda: " ".join("".join(rng.choice("aeiounrstl") for _ in range(rng.randint(2, 8))) for _ in range(8))
+    key = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    base = lambda: f'{prose()} token = "{key(40)}" {prose()}'
+    bare = lambda: f"{prose()} {key(31)} {prose()}"
+    card = lambda: f"{prose()} {rng.getrandbits(50):016d} {prose()}"
+    frame = lambda texts: spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for hidden in (0, 100):
+        net = secret_scan.train(secret_scan.findings(frame([base() for _ in range(160)] + [card() for _ in range(160)] + [bare() for _ in range(hidden)])))
+        fresh = secret_scan.spans(secret_scan.findings(frame([bare() for _ in range(200)] + [card() for _ in range(200)])), net).collect()
+        found = [any(s.kind == "cnn" for s in r["all"]) for r in sorted(fresh, key=lambda r: r.doc_id)]
+        assert sum(found[:200]) >= 180 and sum(found[200:]) <= 10
+    held = [r for f in secret_scan.findings(frame([base() for _ in range(200)])).collect() for r in f.findings if r.kind == "cnn"]
+    p = net.probability(net.encode([r.context for r in held], [r["at"] for r in held]))
+    assert (p >= net.threshold).mean() >= 0.95
+
+
+def test_secret_threshold_keeps_recall():
+    """The threshold is the recall quantile, however low the scores are."""
+    for p in (np.linspace(0.05, 0.3, 100), np.linspace(0.4, 1, 50), np.array([0.2])):
+        t = secret_scan.recall_threshold(p, 0.98)
+        assert 0.98 <= (p >= t).mean() <= 0.98 + 1 / len(p)
+    net = secret_scan.CharCNN()
+    rng = np.random.default_rng(1)
+    x = rng.integers(2, 90, (200, secret_scan.WINDOW))
+    y = (np.arange(200) < 20).astype(np.float32)
+    net.calibrate(x, y, [x[:20]], 0.98)
+    assert net.threshold < 0.5 and (net.probability(x[:20]) >= net.threshold).mean() >= 0.98
+
+
 def test_secret_empty(empty):
     assert rows(secret_scan.digest(secret_scan.secret_scan(empty))) == []
     assert secret_scan.redact(empty).columns == empty.columns
