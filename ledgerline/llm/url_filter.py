@@ -89,7 +89,7 @@ def host_path(url):
     rest = F.coalesce(rest, F.lit(""))
     before = F.regexp_extract(rest, r"^([^?#]*)", 1)
     host = F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    path = F.regexp_extract(before, r"^[^/]*(.*)$", 1)
+    path = F.regexp_extract(before, r"^[^/]*([\s\S]*)\z", 1)
     return host, path
 
 

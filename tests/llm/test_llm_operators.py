@@ -446,6 +446,13 @@ def test_url_filter(spark):
     assert rows(url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string"))) == []
 
 
+def test_url_filter_line_ends(spark):
+    """A path may hold any line end, also as its last character."""
+    urls = [f"http://{h}{p}" for h in ("example.com", "x.net", "a\nb.net", "") for c in ("\n", "\r", "\r\n", "\x85", "\u2028", "\u2029") for p in (f"/en/a{c}b", f"/es/{c}", f"/{c}{c}x?{c}q", f"{c}/fr/{c}#z", c)]
+    got = rows(url_filter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")))
+    assert Counter(got) == Counter((i, *brute_url(u)) for i, u in enumerate(urls))
+
+
 def test_shift_and_equals_regex():
     rng = random.Random(8)
     globs = ["".join(rng.choice("ab*") for _ in range(rng.randint(0, 7))) for _ in range(60)] + ["*" * 5, "a" * 70, "*".join("ab" * 20)]
