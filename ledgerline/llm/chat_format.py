@@ -3,8 +3,8 @@
 Method. Every participant of a conversation (each role but ``system``) in turn is the assistant: the
 dialogue is rendered with that speaker's turns under ``assistant``, the others' under ``user`` with their
 name, system turns under ``system``; the mask names the character ranges of the speaker's own words, which a
-model is trained on. A conversation is rendered in parts of ``PART`` turn numbers, so one long
-conversation is many rows of bounded size; ordinary ones are one part.
+model is trained on. A conversation is rendered in parts of ``PART`` turn numbers, each without
+the turns before it; ordinary conversations are one part. Rows with a null or a repeated turn number meet in one part, however many they are.
 
 Participants are joined to turns by conversation; both sides are reduced before (distinct roles), and AQE
 splits a conversation that holds much of the rows.
