@@ -904,8 +904,8 @@ def q_join_three_way(t: ShopTables) -> DataFrame:
     "join_left_two_keys",
     with_shop(
         "SELECT CAST(mon AS DATE) AS month, pname AS product_name, units AS units_sold_that_month, "
-        "n_ref AS refunds FROM monthly",
-        *O.REFUND_RATE_TRENDS_CTES,
+        "n_ref AS refunds FROM name_months",
+        *O.REFUND_RATE_TRENDS_CTES[:2],
     ),
 )
 def q_join_left_two_keys(t: ShopTables) -> DataFrame:
@@ -1036,8 +1036,8 @@ def q_window_rank(t: ShopTables) -> DataFrame:
     with_shop(
         "SELECT CAST(mon AS DATE) AS month, pname AS product_name, units AS units_sold_that_month, "
         + R("avg(units) OVER (PARTITION BY pname ORDER BY mon ROWS 2 PRECEDING)", 4)
-        + " AS rolling_3_units FROM sold",
-        *O.REFUND_RATE_TRENDS_CTES[:1],
+        + " AS rolling_3_units FROM name_months",
+        *O.REFUND_RATE_TRENDS_CTES[:2],
     ),
 )
 def q_window_rolling_avg(t: ShopTables) -> DataFrame:
