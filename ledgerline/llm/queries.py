@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, chat_format, decontamination, near_dedup, quality, repeats, secret_scan, token_files, toxicity, url_filter
+from ledgerline.llm import bpe, chat_format, clustering, decontamination, hard_negatives, near_dedup, quality, repeats, secret_scan, token_files, topk, toxicity, url_filter
 from ledgerline.session import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -64,6 +64,19 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), shifted)
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filter,
         op9_chat_format,
         op10_minhash_dedup,
+        op11_hard_negatives,
+        op12_exact_top_k,
+        op13_centroid_clustering,
     )
 }
 
@@ -129,8 +145,70 @@ SELECT conv_id, speaker, part, count(*) AS n_turns,
 FROM o GROUP BY conv_id, speaker, part
 """
 
+def _whole_vectors(scale: int, more: str = "", where: str = "true") -> str:
+    """CTE body: the rows that take part, with whole components ``e`` and a row number ``n``."""
+    return f"""SELECT vec_id, row_number() OVER () AS n{more},
+    list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND {where}"""
+
+
+_SCORE = "CAST(list_inner_product(q.e, c.e) AS BIGINT)"
+
+TOP_K_SQL = f"""
+WITH v AS ({_whole_vectors(1024)}),
+s AS (SELECT q.vec_id AS query_id, q.n, c.vec_id, {_SCORE} AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.n <> c.n),
+r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id NULLS LAST) AS place FROM s)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 10
+"""
+
+HARD_NEGATIVES_SQL = f"""
+WITH v AS ({_whole_vectors(256, ", CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l", "label IS NOT NULL")}),
+s AS (SELECT q.vec_id AS anchor_id, q.n, c.vec_id, q.l = c.l AS same, {_SCORE} AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.n <> c.n),
+p AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id NULLS LAST) AS place FROM s WHERE same),
+w AS (SELECT p.anchor_id, p.n, p.place, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.n, p.place ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
+  FROM p JOIN s ON p.n = s.n AND NOT s.same AND p.place <= 5
+    AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM w WHERE rank <= 5
+"""
+
+
+def _clustering_sql(rounds: int = 3) -> str:
+    ctes = [
+        f"v AS MATERIALIZED ({_whole_vectors(64, where='len(embedding) = 64')})",
+        """c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h NULLS LAST, e) - 1 AS INTEGER) AS k, e
+  FROM (SELECT sha256('1:' || vec_id) AS h, e FROM v ORDER BY h NULLS LAST, e LIMIT 16))""",
+    ]
+    for t in range(rounds + 1):
+        ctes.append(f"""a{t} AS MATERIALIZED (SELECT n, any_value(vec_id) AS vec_id, any_value(v.e) AS e, min(struct_pack(d := d, k := k)) AS best
+  FROM (SELECT v.n, v.vec_id, v.e, c.k,
+      CAST(list_inner_product(v.e, v.e) - 2 * list_inner_product(v.e, c.e) + list_inner_product(c.e, c.e) AS BIGINT) AS d
+    FROM v, c{t} c) v GROUP BY n)""")
+        if t < rounds:
+            ctes.append(f"""c{t + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.e, c.e) AS e FROM c{t} c LEFT JOIN (
+    SELECT k, list(mean ORDER BY i) AS e FROM (
+      SELECT best.k AS k, i, floor(CAST(sum(CAST(e[i] AS DECIMAL(18,0))) AS DOUBLE) / count(*)) AS mean
+      FROM a{t}, range(1, 65) r(i) GROUP BY 1, 2) GROUP BY k) m ON m.k = c.k)""")
+    last = f"a{rounds}"
+    return f"""WITH {", ".join(ctes)}
+SELECT vec_id, best.k AS cluster, best.d AS distance,
+  CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+  sha256(list_aggregate(list_transform(c.e, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), 'string_agg', ',')) AS centroid_sha256
+FROM {last} JOIN c{rounds} c ON c.k = best.k"""
+
+
+CLUSTERING_SQL = _clustering_sql()
+
 #: contract columns that SQL expresses; the other queries are tested against brute force
-ORACLES: dict[str, str] = {"op8_url_filter": URL_FILTER_SQL, "op9_chat_format": CHAT_FORMAT_SQL}
+ORACLES: dict[str, str] = {
+    "op8_url_filter": URL_FILTER_SQL,
+    "op9_chat_format": CHAT_FORMAT_SQL,
+    "op11_hard_negatives": HARD_NEGATIVES_SQL,
+    "op12_exact_top_k": TOP_K_SQL,
+    "op13_centroid_clustering": CLUSTERING_SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -144,6 +144,14 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``materialized`` wrote and nothing reads any more."""
+    from ledgerline.sources.files import delete_path
+
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
+        delete_path(df.sparkSession, path)
+
+
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it holds at most ``max_rows`` rows; otherwise as it is,
     for a shuffle join. The caller's columns are a few fixed-width values, so rows bound bytes."""
