@@ -15,9 +15,8 @@ step for callers that did it), so keys stay unique whatever is handed in.
 
 Writes go through Spark's file commit protocol: a failed or retried task
 leaves no partial output, and the append becomes visible at job commit. A
-full refresh writes the new snapshot next to the target, sets the old one aside,
-moves the new one in and then drops the old one; a crash at any point is
-mended by the next reader (``files.recover_path``).
+full-refresh target is versioned: the new snapshot is written beside the old one and published by one
+log entry, so a reader at any moment, and after a crash at any point, sees the old or the new rows in full.
 """
 
 from __future__ import annotations
@@ -40,7 +39,7 @@ from ledgerline.schemas import (
     spec_for,
     strategy_for,
 )
-from ledgerline.sources.files import delete_path, path_exists, read_line, recover_path, replace_path, write_line
+from ledgerline.sources.files import current_snapshot, delete_path, path_exists, holds_table, publish_snapshot, read_line, write_line, write_snapshot
 
 
 # ------------------------------------------------------------------ L1
@@ -125,6 +124,11 @@ def filter_new_rows(
     return df.filter(F.col(column) >= bound if inclusive else F.col(column) > bound)
 
 
+def above_mark(watermark: str | None, column: str = "created_at") -> Column:
+    """Whether a row is new, as ``filter_new_rows`` decides."""
+    return F.lit(True) if watermark is None else F.coalesce(F.col(column) > F.lit(watermark).cast("timestamp_ntz"), F.lit(False))
+
+
 # ------------------------------------------------------------------ L3
 #: keys of an increment (8 bytes each) up to which they are broadcast to the target's scan
 MAX_BROADCAST_KEYS = 2_000_000
@@ -184,20 +188,22 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ targets
 def read_target(spark: SparkSession, path: str, spec: TableSpec | None) -> DataFrame | None:
-    """The target, or None if there is none. File-system errors are raised: they never read as "no target"."""
-    recover_path(spark, path)
+    """The target's current rows, or None if there is none. File-system errors are raised: they never read as "no target"."""
     if not path_exists(spark, path):
         return None
+    at = current_snapshot(spark, path)
+    if at == path.rstrip("/") and not holds_table(spark, at):
+        return None  # a first refresh has not been published yet
     reader = spark.read
     if spec is not None:
         reader = reader.schema(spec.full_schema)
-    return reader.parquet(path)
+    return reader.parquet(at)
 
 
 def create_target(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """S7: an empty target of the declared columns, unless it is there; returns the target."""
     if read_target(spark, path, spec) is None:
-        spark.createDataFrame([], spec.full_schema).write.mode("ignore").parquet(path)
+        spark.createDataFrame([], spec.full_schema).write.mode("append").parquet(path)
     return read_target(spark, path, spec)
 
 
@@ -247,10 +253,8 @@ def load_table(
         aligned = one_row_per_key(aligned, spec.pk)
 
     if strategy == FULL_REFRESH:
-        staged = f"{target_path.rstrip('/')}.__refresh-{uuid.uuid4().hex[:10]}"
         out, obs = _count_observed(aligned)
-        out.write.mode("overwrite").parquet(staged)
-        replace_path(spark, staged, target_path)
+        publish_snapshot(spark, target_path, write_snapshot(out, target_path))
         return LoadResult(table, FULL_REFRESH, "loaded", int(obs.get["rows"]), None)
 
     target = read_target(spark, target_path, spec)

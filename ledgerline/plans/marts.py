@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import reports
 from ledgerline.operators.staging import register_views, stage_all
+from ledgerline.sources.files import current_snapshot, delete_path, publish_snapshot, write_snapshot
 
 #: O1: the display order of each mart, as (column, descending); later columns make it total
 MART_ORDER = {
@@ -72,15 +73,27 @@ def materialize(
     min_sessions: int = 100,
     ordered: bool = False,
 ) -> dict[str, str]:
-    """Register staging views and write every mart as a table under
-    ``out_dir``; returns mart -> path."""
+    """Register staging views and write every mart as a versioned table under ``out_dir``; returns mart -> folder of
+    its rows. All marts are written before the first one is published, so a mart that cannot be
+    written leaves every mart as it was, and readers (``read_mart``) see a mart's old or new rows in full."""
     register_views(stage_all(raw))
-    paths = {}
-    for name, df in build_marts(raw, since, min_sessions, ordered).items():
-        path = f"{out_dir.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        paths[name] = path
-    return paths
+    out_dir = out_dir.rstrip("/")
+    written: dict[str, str] = {}
+    try:
+        for name, df in build_marts(raw, since, min_sessions, ordered).items():
+            written[name] = write_snapshot(df, f"{out_dir}/{name}")
+    except BaseException:
+        for snapshot in written.values():
+            delete_path(spark, snapshot)
+        raise
+    for name, snapshot in written.items():
+        publish_snapshot(spark, f"{out_dir}/{name}", snapshot)
+    return written
+
+
+def read_mart(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    """The current rows of a materialised mart."""
+    return spark.read.parquet(current_snapshot(spark, f"{out_dir.rstrip('/')}/{name}"))
 
 
 def register_all(

@@ -1,10 +1,11 @@
 """End-to-end load (L7) with its run summary (L8).
 
-Per table: CSV scan -> clean -> validate -> load. Which rows are kept is decided on a narrow frame
-(two row hashes, key, time, file position, a few flags): exact copies collapse, then the first row of
+Per table: CSV scan -> clean -> validate -> load. The source is scanned once: cleaned rows are stored with two row
+hashes, a few flags and their place in the files, and both steps read that table, so a row has one identity however
+the scan was split. Which rows are kept is decided on its narrow columns: exact copies collapse, then the first row of
 each key in file order wins. Full rows move only if they win *and* lie above the target's
 high water mark, so an incremental run shuffles 60 bytes of each old row and nothing of its columns.
-The winners are written once to a staging folder next to the targets; the load then reads that
+The winners are written once to a staging folder next to the targets, and their number is checked; the load then reads that
 Parquet (a lost executor re-reads it, not the CSV pipeline). All counts of the summary are exact
 aggregates of the stored narrow rows.
 
@@ -19,7 +20,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,11 +32,11 @@ from ledgerline.operators.clean import (
     normalize_columns,
     strip_text_columns,
 )
-from ledgerline.operators.load import filter_new_rows, load_table, read_target, target_watermark
-from ledgerline.operators.validate import FAIL, KEEP_FIRST
+from ledgerline.operators.load import above_mark, filter_new_rows, load_table, read_target, target_watermark
+from ledgerline.operators.validate import FAIL, KEEP_FIRST, first_positions
 from ledgerline.schemas import INCREMENTAL, NUMERIC_COLUMNS, TABLE_ORDER, TIMESTAMP_COLUMNS, spec_for, strategy_for
 from ledgerline.sources import csv as csv_source
-from ledgerline.sources.csv import CORRUPT, FILE_ORDER, csv_path, read_csv
+from ledgerline.sources.csv import CORRUPT, FILE_ORDER, csv_path, read_csv, with_file_position
 from ledgerline.sources.files import delete_path, path_exists
 
 KEEP = "keep"
@@ -103,28 +104,21 @@ def _row_hashes(columns) -> list:
     return [F.xxhash64(*cells).alias("_h1"), F.xxhash64(F.lit(1), *cells).alias("_h2")]
 
 
-def stage_clean_table(
-    spark: SparkSession,
-    raw: DataFrame,
-    table: str,
-    staging_path: str,
-    run_ts: str,
-    watermark: str | None = None,
-) -> Counts:
-    """Clean ``raw`` (with its file order), keep the first row per key, write the rows above
-    ``watermark`` (all without one) to ``staging_path``; returns the counts."""
-    spec = spec_for(table)
+def _store_decoded(spark: SparkSession, raw: DataFrame, spec, path: str) -> tuple[DataFrame, list[str]]:
+    """Write the cleaned rows of a scan once, with their hashes, flags and file position; returns that table and the
+    names of its data columns. Whatever follows reads it: a second scan of the source may be cut into other splits
+    (executors come and go), and then no row number of the first one means the same row."""
     pk = spec.pk if spec else None
     marks = [c for c in (FILE_ORDER, CORRUPT) if c in raw.columns]
-    plain = normalize_columns(raw.drop(*marks))
-    columns = plain.columns
+    columns = normalize_columns(raw.drop(*marks)).columns
     if pk and pk not in columns:
         raise KeyError(f"primary key column {pk!r} missing")
     named = raw.select(*[F.col(f"`{a}`").alias(b) for a, b in zip(raw.drop(*marks).columns, columns)], *marks)
     if CORRUPT not in marks:
         named = named.withColumn(CORRUPT, F.lit(None).cast("string"))
     if FILE_ORDER not in marks:
-        named = named.withColumn(FILE_ORDER, F.monotonically_increasing_id())
+        order = F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("block"), F.monotonically_increasing_id().alias("pos"))
+        named = named.withColumn(FILE_ORDER, order)
 
     before = [f"_raw_{c}" for c in columns]
     kept_raw = named.select("*", *[F.col(c).alias(b) for c, b in zip(columns, before)])
@@ -133,50 +127,79 @@ def stage_clean_table(
     dates = [c for c in TIMESTAMP_COLUMNS if c in columns]
     money = [c for c in NUMERIC_COLUMNS if c in columns]
     total = lambda cs: sum((lost(c).cast("int") for c in cs), F.lit(0))
-    created = F.col("created_at") if "created_at" in columns else F.lit(None).cast("timestamp_ntz")
-    narrow = typed.select(
+    decoded = typed.select(
+        *columns,
         *_row_hashes(before),
-        (F.col(pk) if pk else F.lit(0)).alias("_pk"),
-        created.alias("created_at"),
-        FILE_ORDER,
         F.col(CORRUPT).isNotNull().alias("_malformed"),
         total(dates).alias("_dates"),
         total(money).alias("_money"),
         (F.col(f"_raw_{pk}").isNull() if pk else F.lit(False)).alias("_null_key"),
         (lost(pk) if pk else F.lit(False)).alias("_bad_key"),
+        FILE_ORDER,
     )
-    flags = ("_pk", "created_at", "_malformed", "_dates", "_money", "_null_key", "_bad_key")
-    # equal rows have equal flags: any copy's will do
-    distinct = narrow.groupBy("_h1", "_h2").agg(
-        F.min(FILE_ORDER).alias("_at"), F.count(F.lit(1)).alias("_copies"), *[F.first(c).alias(c) for c in flags]
-    )
-    distinct.drop("_h1", "_h2").write.mode("overwrite").parquet(f"{staging_path}.__rows")
-    rows = spark.read.schema(distinct.drop("_h1", "_h2").schema).parquet(f"{staging_path}.__rows")
-    good = rows.filter(~F.col("_malformed"))
-    clean = good.filter(F.col("_pk").isNotNull()) if pk else good
-    if pk:
-        per_key = clean.groupBy("_pk").agg(F.min(F.struct("_at", "created_at")).alias("_first"))
-        winners = per_key.select("_first.*")
-        keys = per_key.count()
-    else:
-        winners, keys = clean.select("_at", "created_at"), clean.count()
-    winners = filter_new_rows(winners, watermark).select(F.col("_at").alias(FILE_ORDER))
-    full = filter_new_rows(add_audit_columns(typed.drop(CORRUPT, *before), table, run_ts), watermark)
-    full.join(winners, FILE_ORDER, "left_semi").drop(FILE_ORDER).write.mode("overwrite").parquet(staging_path)
-
-    ok = ~F.col("_malformed")
-    seen = rows.agg(
-        F.sum(F.when(ok, 0).otherwise(F.col("_copies"))).alias("malformed"),
-        F.sum(F.when(ok, F.col("_copies")).otherwise(0)).alias("rows_in"),
-        F.count_if(ok).alias("rows"),
-        F.sum(F.when(ok, F.col("_dates"))).alias("dates"),
-        F.sum(F.when(ok, F.col("_money"))).alias("money"),
-        F.count_if(ok & F.col("_null_key")).alias("null_keys"),
-        F.count_if(ok & F.col("_bad_key")).alias("bad_keys"),
-        F.count_if(ok & F.col("_pk").isNotNull()).alias("clean"),
-    ).first()
+    decoded.write.mode("overwrite").parquet(path)
+    return with_file_position(spark.read.schema(decoded.schema).parquet(path), "_at"), columns
+
+
+def stage_clean_table(
+    spark: SparkSession,
+    raw: DataFrame,
+    table: str,
+    staging_path: str,
+    run_ts: str,
+    watermark: str | None = None,
+) -> Counts:
+    """Clean ``raw`` (with its file order), keep the first row per key, write the rows above
+    ``watermark`` (all without one) to ``staging_path``; returns the counts. Fails if it staged another number of rows than
+    it decided on."""
+    spec = spec_for(table)
+    pk = spec.pk if spec else None
+    decoded_path, rows_path = f"{staging_path}.__decoded", f"{staging_path}.__rows"
+    try:
+        stored, columns = _store_decoded(spark, raw, spec, decoded_path)
+        has_time = "created_at" in columns
+        flags = ("_pk", "created_at", "_malformed", "_dates", "_money", "_null_key", "_bad_key")
+        narrow = stored.select(
+            "_h1",
+            "_h2",
+            "_at",
+            (F.col(pk) if pk else F.lit(0)).alias("_pk"),
+            (F.col("created_at") if has_time else F.lit(None).cast("timestamp_ntz")).alias("created_at"),
+            *flags[2:],
+        )
+        # equal rows have equal flags: any copy's will do
+        distinct = narrow.groupBy("_h1", "_h2").agg(
+            F.min("_at").alias("_at"), F.count(F.lit(1)).alias("_copies"), *[F.first(c).alias(c) for c in flags]
+        )
+        distinct = distinct.drop("_h1", "_h2")
+        distinct.write.mode("overwrite").parquet(rows_path)
+        rows = spark.read.schema(distinct.schema).parquet(rows_path)
+        good = rows.filter(~F.col("_malformed"))
+        clean = good.filter(F.col("_pk").isNotNull()) if pk else good
+        winners = first_positions(clean, "_pk", "_at", "created_at") if pk else clean.select("_at", "created_at")
+        decided = winners.agg(F.count(F.lit(1)), F.count_if(above_mark(watermark))).first()
+        winners = filter_new_rows(winners, watermark).select("_at")
+        full = filter_new_rows(add_audit_columns(stored.select(*columns, "_at"), table, run_ts), watermark)
+        staged = Observation()
+        full.join(winners, "_at", "left_semi").drop("_at").observe(staged, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(staging_path)
+        if staged.get["n"] != decided[1]:
+            raise RuntimeError(f"{table}: {staged.get['n']} rows staged of {decided[1]}")
+
+        ok = ~F.col("_malformed")
+        seen = rows.agg(
+            F.sum(F.when(ok, 0).otherwise(F.col("_copies"))).alias("malformed"),
+            F.sum(F.when(ok, F.col("_copies")).otherwise(0)).alias("rows_in"),
+            F.count_if(ok).alias("rows"),
+            F.sum(F.when(ok, F.col("_dates"))).alias("dates"),
+            F.sum(F.when(ok, F.col("_money"))).alias("money"),
+            F.count_if(ok & F.col("_null_key")).alias("null_keys"),
+            F.count_if(ok & F.col("_bad_key")).alias("bad_keys"),
+            F.count_if(ok & F.col("_pk").isNotNull()).alias("clean"),
+        ).first()
+    finally:
+        delete_path(spark, rows_path)
+        delete_path(spark, decoded_path)
     n = {k: int(v or 0) for k, v in seen.asDict().items()}
-    delete_path(spark, f"{staging_path}.__rows")
     return Counts(
         n["malformed"],
         n["rows_in"],
@@ -186,7 +209,7 @@ def stage_clean_table(
         n["null_keys"],
         n["bad_keys"],
         n["clean"],
-        n["clean"] - keys,
+        n["clean"] - decided[0],
     )
 
 

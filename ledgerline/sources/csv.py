@@ -14,7 +14,7 @@ keeps them apart in ``CORRUPT`` for the caller to count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,6 +119,26 @@ def read_csv(
     return na_to_null(raw, na_tokens, skip=(FILE_ORDER, CORRUPT))
 
 
+#: input splits up to which their order is broadcast (some hundred bytes each)
+MAX_BROADCAST_SPLITS = 50_000
+_ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
+
+
+def with_file_position(df: DataFrame, out: str) -> DataFrame:
+    """Replace ``_file_order`` of a *stored* scan by ``out``, one long that sorts rows the same way: the rank of the row's
+    split among all (path, start), then the row's number in it. Only stored rows have a fixed order: a scan that runs
+    again may be cut into other splits."""
+    at = F.col(FILE_ORDER)
+    splits = df.select(at["file"].alias("_file"), at["block"].alias("_block")).distinct()
+    few = splits.limit(MAX_BROADCAST_SPLITS + 1).count() <= MAX_BROADCAST_SPLITS
+    # a row per input split is numbered in one task
+    ranked = splits.select("*", (F.row_number().over(Window.orderBy("_file", "_block")) - 1).alias("_split"))
+    in_split = at["pos"].bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    joined = df.withColumns({"_file": at["file"], "_block": at["block"]}).join(F.broadcast(ranked) if few else ranked, ["_file", "_block"])
+    position = F.shiftleft(F.col("_split").cast("long"), _ROW_BITS).bitwiseOR(in_split)
+    return joined.select(*[c for c in df.columns if c != FILE_ORDER], position.alias(out))
+
+
 def fail_on_malformed(raw: DataFrame) -> DataFrame:
     """A filter that raises on rows with too many fields, whichever columns are read later."""
     error = F.raise_error(F.concat(F.lit("malformed CSV row: more fields than the header, from "), F.col(CORRUPT)))

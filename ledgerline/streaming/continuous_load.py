@@ -32,7 +32,7 @@ from ledgerline.operators.validate import keep_first
 from ledgerline.schemas import spec_for
 from ledgerline.session import scratch_path
 from ledgerline.sources.csv import CORRUPT, CSV_OPTIONS, FILE_ORDER, fail_on_malformed, header_columns, na_to_null, string_schema
-from ledgerline.sources.files import delete_path, read_line, write_line
+from ledgerline.sources.files import delete_line, read_line, write_line
 
 
 def landing_schema(spark: SparkSession, sample_path: str) -> T.StructType:
@@ -154,5 +154,5 @@ def run_available(
     query.awaitTermination()
     if query.exception() is not None:  # pragma: no cover - surfaced to caller
         raise query.exception()
-    delete_path(spark, _mark_path(checkpoint))
+    delete_line(spark, _mark_path(checkpoint))
     return sink.results

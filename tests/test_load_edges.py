@@ -316,28 +316,191 @@ def test_file_system_errors_fail_the_load(spark, tmp_dir, monkeypatch):
     assert load.read_target(spark, target, TABLES["orders"]).count() == 1
 
 
-@pytest.mark.parametrize("crash", ["before", "between", "after"])
-def test_refresh_killed_at_any_point_recovers(spark, tmp_dir, crash, monkeypatch):
+def _products(spark, n, name):
+    rows = frame(spark, "products", [{"product_id": i, "product_name": name} for i in range(1, n + 1)])
+    return clean.add_audit_columns(rows, "products", "2024-01-01 00:00:00")
+
+
+def _names(spark, target):
+    df = load.read_target(spark, target, TABLES["products"])
+    return None if df is None else sorted(r["product_name"] for r in df.collect())
+
+
+class _Watched:
+    """A file system whose every call is framed by a look at the target."""
+
+    def __init__(self, fs, look):
+        self._fs, self._look = fs, look
+
+    def __getattr__(self, name):
+        call = getattr(self._fs, name)
+
+        def run(*args):
+            self._look()
+            try:
+                return call(*args)
+            finally:
+                self._look()
+
+        return run
+
+
+def test_reader_at_every_file_system_call_of_a_refresh(spark, tmp_dir, monkeypatch):
     from ledgerline.sources import files
 
     target = os.path.join(tmp_dir, "products")
-    old = clean.add_audit_columns(frame(spark, "products", [{"product_id": 1, "product_name": "a"}]), "products", "2024-01-01 00:00:00")
-    new = clean.add_audit_columns(frame(spark, "products", [{"product_id": 2, "product_name": "b"}]), "products", "2024-01-02 00:00:00")
-    load.load_table(spark, old, "products", target)
-    staged = os.path.join(tmp_dir, "staged")
-    new.write.parquet(staged)
-    # the state on disk that a kill at each point leaves
-    if crash == "between":
-        os.rename(target, target + ".__old")
-    if crash == "after":
-        os.rename(target, target + ".__old")
-        os.rename(staged, target)
-    names = [r["product_name"] for r in load.read_target(spark, target, TABLES["products"]).collect()]
-    assert names == (["b"] if crash == "after" else ["a"])
-    assert not os.path.exists(target + ".__old")
-    load.load_table(spark, new, "products", target)
-    assert [r["product_name"] for r in load.read_target(spark, target, TABLES["products"]).collect()] == ["b"]
-    assert files.path_exists(spark, target)
+    real, looking, seen = files._fs, [], []
+
+    def look():
+        if not looking:  # the reader's own calls are not watched
+            looking.append(1)
+            seen.append(_names(spark, target))
+            looking.clear()
+
+    monkeypatch.setattr(files, "_fs", lambda s, p: (lambda fs, path, jvm: (_Watched(fs, look), path, jvm))(*real(s, p)))
+    versions = [["a"] * 2, ["b"] * 3, ["c"], ["d"] * 2]
+    before = None
+    for rows in versions:
+        seen.clear()
+        load.load_table(spark, _products(spark, len(rows), rows[0]), "products", target)
+        assert len(seen) > 10 and all(x in (before, rows) for x in seen)
+        # old rows first, then the new ones for good
+        assert [x == rows for x in seen] == sorted(x == rows for x in seen) and seen[-1] == rows
+        before = rows
+    assert len(os.listdir(os.path.join(target, "_snapshots"))) == 2
+
+
+@pytest.mark.parametrize("crash", ["writing", "written", "staged entry", "published"])
+def test_refresh_killed_at_any_point(spark, tmp_dir, crash):
+    """The folders that a kill leaves: readers see the last published rows, the next refresh tidies up."""
+    from ledgerline.sources import files
+
+    target = os.path.join(tmp_dir, "products")
+    load.load_table(spark, _products(spark, 1, "a"), "products", target)
+    snapshot = files.write_snapshot(_products(spark, 1, "b"), target)
+    if crash == "writing":
+        os.remove(os.path.join(snapshot, "_SUCCESS"))
+        with pytest.raises(OSError):
+            files.publish_snapshot(spark, target, snapshot)
+    if crash == "staged entry":
+        _write(os.path.join(target, "_commits", ".entry-0"), snapshot.rsplit("/", 1)[1][:3].encode())
+    if crash == "published":
+        files.add_line(spark, f"{target}/_commits", snapshot.rsplit("/", 1)[1])
+    assert _names(spark, target) == (["b"] if crash == "published" else ["a"])
+    load.load_table(spark, _products(spark, 1, "c"), "products", target)
+    assert _names(spark, target) == ["c"]
+    left = os.listdir(os.path.join(target, "_snapshots"))
+    assert len(left) == 2 and (os.path.basename(snapshot) in left) == (crash == "published")
+
+
+def test_failed_refresh_keeps_the_rows(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "products")
+    load.load_table(spark, _products(spark, 1, "a"), "products", target)
+    bad = _products(spark, 2, "b").withColumn("product_name", F.when(F.col("product_id") > 1, F.raise_error(F.lit("disk full"))).otherwise("b"))
+    with pytest.raises(Exception, match="disk full"):
+        load.load_table(spark, bad, "products", target)
+    assert _names(spark, target) == ["a"] and len(os.listdir(os.path.join(target, "_snapshots"))) == 1
+
+
+def test_refresh_over_a_plain_folder(spark, tmp_dir):
+    """A target written before targets had versions is read as it is, then replaced."""
+    target = os.path.join(tmp_dir, "products")
+    _products(spark, 2, "old").write.parquet(target)
+    assert _names(spark, target) == ["old"] * 2
+    for name in ("new", "newer"):
+        load.load_table(spark, _products(spark, 1, name), "products", target)
+        assert _names(spark, target) == [name]
+    assert [n for n in os.listdir(target) if n.startswith("part-")] == []
+
+
+def test_state_lines_survive_readers_and_old_files(spark, tmp_dir):
+    from ledgerline.sources import files
+
+    path = os.path.join(tmp_dir, "mark")
+    assert files.read_line(spark, path) is None
+    _write(path, b"plain")
+    assert files.read_line(spark, path) == "plain"
+    for i in range(20):
+        files.write_line(spark, path, f"line {i}")
+        assert files.read_line(spark, path) == f"line {i}"
+    files.write_line(spark, path, "")
+    assert files.read_line(spark, path) == ""
+    files.delete_line(spark, path)
+    assert files.read_line(spark, path) is None
+
+
+def test_mart_that_cannot_be_written_keeps_its_rows(spark, tmp_dir, monkeypatch):
+    from ledgerline.plans import marts
+
+    versions = {"a": 1, "b": 1}
+    monkeypatch.setattr(marts, "register_views", lambda v: None)
+    monkeypatch.setattr(marts, "stage_all", lambda r: r)
+    built = lambda *_: {n: spark.createDataFrame([(v,)], "v int") for n, v in versions.items()}
+    monkeypatch.setattr(marts, "build_marts", built)
+    paths = marts.materialize(spark, {}, tmp_dir)
+    assert {n: spark.read.parquet(p).first().v for n, p in paths.items()} == versions
+    versions["a"] = 2
+    monkeypatch.setattr(marts, "build_marts", lambda *_: built() | {"b": spark.range(1).select(F.raise_error(F.lit("broken")).alias("v"))})
+    with pytest.raises(Exception, match="broken"):
+        marts.materialize(spark, {}, tmp_dir)
+    assert [marts.read_mart(spark, tmp_dir, n).first().v for n in "ab"] == [1, 1]
+    monkeypatch.setattr(marts, "build_marts", built)
+    marts.materialize(spark, {}, tmp_dir)
+    assert [marts.read_mart(spark, tmp_dir, n).first().v for n in "ab"] == [2, 1]
+
+
+def test_row_identity_does_not_depend_on_splits(spark, tmp_dir, monkeypatch):
+    """Other split sizes between the decision and the copy of the winners; several files, repeated keys and rows."""
+    from ledgerline.plans import pipeline
+
+    src = os.path.join(tmp_dir, "orders.csv")
+    os.makedirs(src)
+    want, seen = {}, set()
+    for part in range(3):
+        lines = ["order_id,created_at,price_usd"]
+        for i in range(400):
+            key = (i * 7 + part * 50) % 900
+            line = f"{key},2012-01-01 00:00:00,{part * 400 + i}.00"
+            lines += [line, line] if i % 5 == 0 else [line]
+            want.setdefault(key, f"{part * 400 + i}.00")
+            seen.add(line)
+        _write(os.path.join(src, f"part-{part}.csv"), ("\n".join(lines) + "\n").encode())
+    real, old = pipeline._store_decoded, spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def store(*args):
+        out = real(*args)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+        return out
+
+    monkeypatch.setattr(pipeline, "_store_decoded", store)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+        raw = read_csv(spark, src, with_order=True)
+        out = os.path.join(tmp_dir, "staged")
+        counts = pipeline.stage_clean_table(spark, raw, "orders", out, "2024-01-01 00:00:00")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert counts.exact_duplicates == 3 * 80 and counts.rows_clean == len(seen) and counts.duplicate_pks == len(seen) - len(want)
+    assert {r.order_id: str(r.price_usd) for r in spark.read.parquet(out).collect()} == want
+
+
+def test_too_few_staged_rows_fail_the_table(spark, tmp_dir, monkeypatch):
+    from ledgerline.plans import pipeline
+
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    _write(os.path.join(src, "orders.csv"), b"order_id,created_at\n1,2012-01-01 00:00:00\n2,2012-01-02 00:00:00\n")
+    real = pipeline.add_audit_columns
+    monkeypatch.setattr(pipeline, "add_audit_columns", lambda df, *a: real(df.limit(1), *a))
+    r = run_pipeline(spark, src, os.path.join(tmp_dir, "t"), tables=["orders"]).first()
+    assert r["status"] == "failed" and "1 rows staged of 2" in r["message"]
+
+
+def test_keep_first_at_a_position(spark):
+    df = spark.createDataFrame([(1, 5, "b"), (1, 3, "a"), (2, 9, "c"), (None, 1, "n"), (2, 10, "d")], "k long, at long, v string")
+    assert sorted(r.v for r in validate.keep_first_at(df, "k", "at").collect()) == ["a", "c"]
+    plan = validate.first_positions(df, "k", "at", "v")._jdf.queryExecution().executedPlan().toString()
+    assert validate.first_positions(df, "k", "at")._jdf.queryExecution().executedPlan().toString().count("Sort") == 0, plan
 
 
 def test_spreadsheet_times_ignore_the_session_zone(spark):
