@@ -19,6 +19,12 @@ recomputed task sees the same ranges:
 
 Equal keys always fall into the same range, so ``RANK`` semantics (equal keys, equal rank; next rank
 skips) are exact. All steps are lazy DataFrame operations.
+
+``stored_ranks`` and ``stored_median`` are the form the reports use. They run the input once, into a stored table of
+distinct keys with their weights, and refine the ranges by what that table holds: bounds are quantiles of its distinct keys, so
+a range has about ``RANGE_ROWS`` of them however closely the values lie together. Bounds and range totals (at most
+``MAX_RANGES`` numbers) become literals of the plan; they balance the work only, every position is an exact count. Tables of at most
+``RANGE_ROWS`` rows (counted) are one range.
 """
 
 from __future__ import annotations
@@ -29,11 +35,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.session import stored
+
 _W = "_lw_weight"
 _R = "_lw_range"
 
 #: ranges between a number and its double: neighbours differ by 0.07 %
 RANGES_PER_OCTAVE = 1024
+#: distinct keys of a refined range, and the number of ranges at most (beyond, ranges grow and their sort spills)
+RANGE_ROWS, MAX_RANGES = 200_000, 256
 _SHIFT = RANGES_PER_OCTAVE * 1100  # above the exponent of any double
 
 
@@ -172,3 +182,81 @@ def exact_median(
         F.max(F.when(covers(hi), F.col(value))).alias("_lw_hi"),
     )
     return picked.select(*g, ((F.col("_lw_lo") + F.col("_lw_hi")) / 2).alias(out))
+
+
+# ------------------------------------------------------------------ stored, ranges refined by weight
+def balanced_bounds(keys: DataFrame, key: str, rows: int) -> list[float]:
+    """Ascending values that cut the rows of ``keys`` (``rows`` of them) into ranges of about RANGE_ROWS."""
+    parts = min(MAX_RANGES, -(-rows // RANGE_ROWS))
+    if parts <= 1:
+        return []
+    cuts = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    found = keys.agg(F.percentile_approx(F.col(key).cast("double"), cuts, 100 * parts)).first()[0]
+    return sorted(set(found or []))
+
+
+def refined_range(key: Column, bounds: Sequence[float], nulls_first: bool = True) -> Column:
+    """Number of bounds at or below the key: non-decreasing in it; a NULL goes with the first or the last."""
+    if not bounds:
+        return F.lit(0)
+    below = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b <= key.cast("double")))
+    return F.when(key.isNull(), F.lit(0 if nulls_first else len(bounds))).otherwise(below)
+
+
+def stored_ranks(df: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
+    """``with_ranks`` over a stored copy of ``df`` (its plan runs here, once); see module doc."""
+    keys = [f"_lw_k{i}" for i in range(len(specs))]
+    base = stored(df.select("*", *[s.key.alias(k) for s, k in zip(specs, keys)]), "ranked-rows")
+    out = base
+    if base.count() <= RANGE_ROWS:
+        for s, k in zip(specs, keys):
+            key = -F.col(k) if s.descending else F.col(k)
+            order = key.asc_nulls_first() if s.nulls_first else key.asc_nulls_last()
+            out = out.withColumn(s.out, F.rank().over(Window.orderBy(order)).cast("bigint"))
+        return out.drop(*keys)
+    for s, k in zip(specs, keys):
+        signed = -F.col(k) if s.descending else F.col(k)
+        freq = stored(base.groupBy(k).agg(F.count(F.lit(1)).alias(_W)).withColumn("_lw_sk", signed), "distinct-keys")
+        bounds = balanced_bounds(freq, "_lw_sk", freq.count())
+        ranged = freq.withColumn(_R, refined_range(F.col("_lw_sk"), bounds, s.nulls_first))
+        totals = dict(ranged.groupBy(_R).agg(F.sum(_W)).collect())
+        before = [sum(v for r, v in totals.items() if r < i) for i in range(len(bounds) + 1)]
+        offset = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in before]), F.col(_R) + 1)
+        order = F.col("_lw_sk").asc_nulls_first() if s.nulls_first else F.col("_lw_sk").asc_nulls_last()
+        inside = Window.partitionBy(_R).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        place = (offset + F.coalesce(F.sum(_W).over(inside), F.lit(0)) + 1).cast("bigint")
+        ranked = ranged.withColumn(s.out, place).select(F.col(k).alias("_lw_rk"), s.out)
+        out = out.join(ranked, F.col(k).eqNullSafe(F.col("_lw_rk"))).drop("_lw_rk")
+    return out.drop(*keys)
+
+
+def stored_median(df: DataFrame, group_cols: Sequence[str], value: str, out: str) -> DataFrame:
+    """``exact_median`` over a stored table of the distinct values of each group (``df`` runs here, once). After that table
+    a plan has at most three exchanges: range totals by group and range, their prefix sums by group, and the
+    rows of the one or two ranges that hold a group's middle, by group."""
+    g = list(group_cols)
+    freq = df.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias(_W))
+    freq = stored(freq, "distinct-values")
+    lo, hi = F.floor((F.col("_lw_n") - 1) / 2), F.floor(F.col("_lw_n") / 2)
+    group = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
+    before = group.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    rows = freq.count()
+    if rows <= RANGE_ROWS:
+        placed = freq.withColumns({"_lw_n": F.sum(_W).over(group), "_lw_at": F.coalesce(F.sum(_W).over(before), F.lit(0))})
+    else:
+        bounds = balanced_bounds(freq, value, rows)
+        ranged = freq.withColumn(_R, refined_range(F.col(value), bounds))
+        middle = _range_offsets(ranged, g, _W).filter((F.col("_lw_off") <= hi) & (F.col("_lw_off") + F.col("_lw_rt") > lo))
+        near = _match(ranged, middle, [*g, _R])
+        # the one or two ranges of a group are neighbours: their running counts go on from the first one's offset
+        placed = near.withColumn("_lw_at", F.min("_lw_off").over(group) + F.coalesce(F.sum(_W).over(before), F.lit(0)))
+
+    def covers(p: Column) -> Column:
+        return (F.col("_lw_at") <= p) & (p < F.col("_lw_at") + F.col(_W))
+
+    picked = placed.groupBy(*g).agg(
+        F.max(F.when(covers(lo), F.col(value))).alias("_lw_lo"),
+        F.max(F.when(covers(hi), F.col(value))).alias("_lw_hi"),
+    )
+    picked = picked.filter(F.col("_lw_lo").isNotNull())  # a total over no rows
+    return picked.select(*g, ((F.col("_lw_lo") + F.col("_lw_hi")) / 2).alias(out))

@@ -18,7 +18,8 @@ Scale notes, shared by all reports:
   product holding a third of the rows) is collapsed map-side before the
   shuffle.
 * Unpartitioned ``RANK()`` and exact medians go through
-  ``functions.order_stats`` instead of a single task.
+  ``functions.order_stats`` instead of a single task. M1, M2, M4 and M4a run their aggregation when they are called, into
+  a stored table (a row per channel, product, or month and price); the frame they return reads that table.
 * Small dimension joins (products) are left to AQE, which broadcasts only
   after measuring the materialised side against the broadcast threshold.
 """
@@ -41,7 +42,7 @@ from ledgerline.functions.numeric import (
     round_half_up,
     ts_literal,
 )
-from ledgerline.functions.order_stats import RankSpec, exact_median, global_rank, with_ranks
+from ledgerline.functions.order_stats import RankSpec, stored_median, stored_ranks
 
 # The reference's report constants.
 DEFAULT_SINCE = "2013-01-01"
@@ -76,7 +77,7 @@ def channel_performance(
     min_sessions: int = DEFAULT_MIN_SESSIONS,
 ) -> DataFrame:
     out = channel_metrics(sessions, orders, since, min_sessions)
-    return global_rank(out, F.col("conversion_rate_pct"), "conversion_rank")
+    return stored_ranks(out, [RankSpec(F.col("conversion_rate_pct"), "conversion_rank")])
 
 
 def channel_metrics(
@@ -121,7 +122,7 @@ def product_profitability(
 ) -> DataFrame:
     out = product_metrics(products, order_items, refunds)
     # PostgreSQL sorts NULL first under DESC: products without sales rank 1.
-    out = with_ranks(
+    out = stored_ranks(
         out,
         [
             RankSpec(F.col("_profit_key"), "profit_rank", True, True),
@@ -136,31 +137,25 @@ def product_metrics(
 ) -> DataFrame:
     """M2 before ranking: one row per product with the two rank keys
     (unrounded profit, margin as a ratio of doubles)."""
-    # Sales are reduced per product map-side (partial aggregation: only one
-    # small row per product and task is shuffled). Refunds need the item's
-    # product, so only the two key columns of the items meet the refunds,
-    # which are first reduced to one row per item. This shuffles far fewer
-    # bytes than joining full item rows to refunds before one aggregation,
-    # at the price of a second (columnar, two-column) scan of the items.
-    sales = order_items.groupBy("product_id").agg(
-        F.count("order_item_id").alias("_units"),
-        F.sum("price_usd").cast("decimal(20,2)").alias("_revenue"),
-        F.sum("cogs_usd").cast("decimal(20,4)").alias("_cogs"),
-    )
+    # Items are scanned once. Refunds are reduced to a row per item, and an item meets at most one of
+    # them, so one partial aggregation per product after the join counts both sides (a hot product
+    # is collapsed map-side). Item ids are unique: the join has no hot key.
     refunds_per_item = refunds.groupBy("order_item_id").agg(
         F.count("order_item_refund_id").alias("_n"),
         F.sum("refund_amount_usd").alias("_amt"),
     )
-    refund_agg = (
-        order_items.select("order_item_id", "product_id")
-        .join(refunds_per_item, "order_item_id")
+    per_product = (
+        order_items.select("order_item_id", "product_id", "price_usd", "cogs_usd")
+        .join(refunds_per_item, "order_item_id", "left")
         .groupBy("product_id")
         .agg(
+            F.count("order_item_id").alias("_units"),
+            F.sum("price_usd").cast("decimal(20,2)").alias("_revenue"),
+            F.sum("cogs_usd").cast("decimal(20,4)").alias("_cogs"),
             F.sum("_n").alias("_refund_count"),
             F.sum("_amt").cast("decimal(20,2)").alias("_refund_amount"),
         )
     )
-    per_product = sales.join(refund_agg, "product_id", "left")
     joined = products.select("product_id", "product_name").join(per_product, "product_id", "left")
     profit = F.col("_revenue") - F.col("_cogs")
     refund_amount = F.coalesce(F.col("_refund_amount"), F.lit(0).cast("decimal(20,2)"))
@@ -260,7 +255,7 @@ def _order_month_metrics(orders: DataFrame) -> DataFrame:
             "multi_item_orders"
         ),
     )
-    median = exact_median(
+    median = stored_median(
         orders.select(month_start("created_at").alias("month"), "price_usd"),
         ["month"],
         "price_usd",

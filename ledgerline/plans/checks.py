@@ -22,7 +22,7 @@ from ledgerline.functions.numeric import (
     round_half_up,
     ts_literal,
 )
-from ledgerline.functions.order_stats import exact_median, global_rank
+from ledgerline.functions.order_stats import RankSpec, stored_median, stored_ranks
 from ledgerline.operators import clean, load, quality, reports, staging, validate
 from ledgerline.plans import marts, oracle_sql as O
 from ledgerline.plans.oracle_sql import R, ts, with_shop
@@ -264,7 +264,7 @@ def _validate_sql(table: str) -> str:
 def q_validate_report(t: ShopTables) -> DataFrame:
     return _union(
         [
-            validate.validation_report(clean.clean_dataframe(_dirty(t, tb), tb, RUN_TS_1), tb)
+            clean.raw_validation_report(_dirty(t, tb), tb)
             for tb in TABLE_ORDER
         ]
     )
@@ -1012,7 +1012,7 @@ def q_agg_median(t: ShopTables) -> DataFrame:
     items = t.order_items.select("product_id", "price_usd").join(
         t.products.select("product_id", "product_name"), "product_id"
     )
-    med = exact_median(items, ["product_name"], "price_usd", "_m")
+    med = stored_median(items, ["product_name"], "price_usd", "_m")
     return med.select("product_name", round_half_up("_m", 2).alias("median_item_price"))
 
 
@@ -1028,7 +1028,7 @@ def q_agg_median(t: ShopTables) -> DataFrame:
 def q_window_rank(t: ShopTables) -> DataFrame:
     rev = t.order_items.groupBy("product_id").agg(F.sum("price_usd").alias("revenue"))
     base = t.products.select("product_id").join(rev, "product_id", "left")
-    return global_rank(base, F.col("revenue"), "revenue_rank", True, True)
+    return stored_ranks(base, [RankSpec(F.col("revenue"), "revenue_rank", True, True)])
 
 
 @check(

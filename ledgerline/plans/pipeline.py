@@ -30,6 +30,7 @@ from ledgerline.operators.clean import (
     cast_numeric,
     cast_timestamps,
     normalize_columns,
+    row_hashes,
     strip_text_columns,
 )
 from ledgerline.operators.load import above_mark, filter_new_rows, load_table, read_target, target_watermark
@@ -98,12 +99,6 @@ class TableRun:
         return (self.table_name, self.strategy, self.status, *counts, self.rows_inserted, self.watermark, self.message, self.seconds)
 
 
-def _row_hashes(columns) -> list:
-    """Two 64-bit hashes of a raw row; NULL and its position count."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns]
-    return [F.xxhash64(*cells).alias("_h1"), F.xxhash64(F.lit(1), *cells).alias("_h2")]
-
-
 def _store_decoded(spark: SparkSession, raw: DataFrame, spec, path: str) -> tuple[DataFrame, list[str]]:
     """Write the cleaned rows of a scan once, with their hashes, flags and file position; returns that table and the
     names of its data columns. Whatever follows reads it: a second scan of the source may be cut into other splits
@@ -129,7 +124,7 @@ def _store_decoded(spark: SparkSession, raw: DataFrame, spec, path: str) -> tupl
     total = lambda cs: sum((lost(c).cast("int") for c in cs), F.lit(0))
     decoded = typed.select(
         *columns,
-        *_row_hashes(before),
+        *row_hashes(before),
         F.col(CORRUPT).isNotNull().alias("_malformed"),
         total(dates).alias("_dates"),
         total(money).alias("_money"),

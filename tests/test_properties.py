@@ -10,7 +10,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerline.functions.order_stats import exact_median, global_rank
+from ledgerline.functions import order_stats
+from ledgerline.functions.order_stats import RankSpec, exact_median, global_rank, stored_median, stored_ranks
 from ledgerline.operators import clean, load, reports, validate
 from ledgerline.plans import oracle_sql as O
 from ledgerline.schemas import TABLES
@@ -179,3 +180,57 @@ def test_order_stats_on_empty_and_all_null_input(spark):
     assert exact_median(spark.createDataFrame([], "g int, v decimal(12,2)"), ["g"], "v", "m").collect() == []
     whole = spark.createDataFrame([(1, 1.0), (1, 3.0)], "g int, v double")
     assert exact_median(whole, [], "v", "m").first()["m"] == 2.0
+
+
+def test_stored_ranks_and_medians_on_one_price_level(spark, monkeypatch):
+    """A million distinct values within 0.07 % (one cell of the fixed grid), a hot value and NULLs: no range is large."""
+    monkeypatch.setattr(order_stats, "RANGE_ROWS", 50_000)
+    n = 1_000_000
+    close = spark.range(n).select("id", (F.lit(50) + F.pmod(F.col("id") * 7919, F.lit(n)) * F.lit(1e-10)).alias("v"))
+    hot = spark.range(n, n + 500_000).select("id", F.lit(50.00005).alias("v"))
+    df = close.unionByName(hot).unionByName(spark.range(2_000_000, 2_000_040).select("id", F.lit(None).cast("double").alias("v")))
+    distinct = close.select("v").distinct()
+    bounds = order_stats.balanced_bounds(distinct, "v", n)
+    largest = distinct.groupBy(order_stats.refined_range(F.col("v"), bounds)).count().agg(F.max("count")).first()[0]
+    assert len(bounds) == 19 and largest < 1.5 * 50_000
+    vals = sorted([r.v for r in close.collect()] + [50.00005] * 500_000)
+    assert stored_median(df, [], "v", "m").first().m == statistics.median(vals)
+    by_group = {r.g: r.m for r in stored_median(df.withColumn("g", F.col("id") % 3), ["g"], "v", "m").collect()}
+    parts = {g: [] for g in range(3)}
+    for r in df.where("v is not null").toLocalIterator():
+        parts[r.id % 3].append(r.v)
+    assert by_group == {g: statistics.median(v) for g, v in parts.items()}
+    ranked = stored_ranks(df, [RankSpec(F.col("v"), "r", True, True)])
+    import bisect
+
+    got = ranked.where("id % 50021 = 0 or v is null or id = 1200000").collect()
+    assert len(got) > 60
+    for r in got:
+        assert r.r == (1 if r.v is None else 40 + 1 + len(vals) - bisect.bisect_right(vals, r.v))
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(-5, 5)), max_size=60), st.booleans(), st.booleans(), st.sampled_from([3, 1000]))
+def test_stored_ranks_and_medians_match_brute_force(spark, values, descending, nulls_first, range_rows):
+    old = order_stats.RANGE_ROWS
+    order_stats.RANGE_ROWS = range_rows
+    try:
+        df = spark.createDataFrame(list(enumerate(values)), "id int, v int")
+        got = {r.id: r.r for r in stored_ranks(df, [RankSpec(F.col("v"), "r", descending, nulls_first)]).collect()}
+        assert [got[i] for i in range(len(values))] == brute_rank(values, descending, nulls_first)
+        known = {g: [v for i, v in enumerate(values) if i % 2 == g and v is not None] for g in range(2)}
+        med = {r.g: float(r.m) for r in stored_median(df.withColumn("g", F.col("id") % 2), ["g"], "v", "m").collect()}
+        assert med == {g: statistics.median(v) for g, v in known.items() if v}
+    finally:
+        order_stats.RANGE_ROWS = old
+
+
+def test_stored_forms_on_a_null_group_and_nothing(spark):
+    none = spark.createDataFrame([], "g int, v decimal(12,2)")
+    assert stored_ranks(none, [RankSpec(F.col("v"), "r")]).collect() == [] and stored_median(none, [], "v", "m").collect() == []
+    df = spark.createDataFrame([(None, Decimal(1)), (None, Decimal(2)), (1, Decimal(5))], "g int, v decimal(12,2)")
+    old = order_stats.RANGE_ROWS
+    for rows in (1, 100):
+        order_stats.RANGE_ROWS = rows
+        assert {r.g: float(r.m) for r in stored_median(df, ["g"], "v", "m").collect()} == {None: 1.5, 1: 5.0}
+    order_stats.RANGE_ROWS = old
