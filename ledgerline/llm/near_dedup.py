@@ -22,10 +22,17 @@ large after ``LEVELS`` levels are finished exactly: their unlinked members, in b
 
 Components come from alternating large-star / small-star rounds of joins.
 
+Candidate pairs are stored before they are confirmed, one for each member in the first round (its smallest similar
+partner over all nodes). A bitmap of bounded size names the texts that pairs need to the scan, so no other text is
+shuffled; a needed one moves once, and once more for each pair.
+
+A document is a (doc_id, text): rows that repeat a doc_id with another text are documents of their own, each with the component of
+its text. Nodes carry the number of a stored class, and a component takes its smallest doc_id at the end.
+
 Defined results: null or empty text, or no word: empty set, linked with nothing, its own component; fewer
-words than a shingle: the whole sequence is the one shingle; rows that repeat a doc_id count as one
-document (of differing texts the one with the largest hash stands for it), each row returned; a null doc_id is linked with
-nothing and kept, component null.
+words than a shingle: the whole sequence is the one shingle; every row is returned; a null doc_id takes part and its component is the
+smallest id it is linked with (null and kept without one). ``keep_first`` leaves one row of each component, the one of smallest
+doc_id (of several texts the one of smallest digest, of equal rows any); rows with an empty set all stay.
 """
 
 from __future__ import annotations
@@ -138,14 +145,14 @@ def _signatures(n: int, trees: int):
                 for i, r in zip(np.flatnonzero(full), c):
                     coords[i] = r.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), rows.column("version"), pa.array(size, pa.int64()), *(pa.array(v.view(np.int64)) for v in (k1, k2, *sketch)), pa.array(coords, pa.binary())],
-                ["doc_id", "version", "n_shingles", "k1", "k2", *PLANES, "coords"],
+                [rows.column("doc_id"), rows.column("d1"), rows.column("d2"), pa.array(size, pa.int64()), *(pa.array(v.view(np.int64)) for v in (k1, k2, *sketch)), pa.array(coords, pa.binary())],
+                ["doc_id", "d1", "d2", "n_shingles", "k1", "k2", *PLANES, "coords"],
             )
 
     return run
 
 
-SIGNATURE = "doc_id long, version long, n_shingles long, k1 long, k2 long, s0 long, s1 long, s2 long, s3 long, coords binary"
+SIGNATURE = "doc_id long, d1 long, d2 long, n_shingles long, k1 long, k2 long, s0 long, s1 long, s2 long, s3 long, coords binary"
 PLANES = ("s0", "s1", "s2", "s3")
 
 
@@ -322,17 +329,31 @@ def _compare_sets(n: int, percent: int):
     return run
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of representatives confirmed on the full sets. ``texts``: rep, text. Only texts of documents
-    that some pair names are shuffled."""
-    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b"))).distinct()
-    named = texts.join(ids, "rep", "left_semi").groupBy("rep").agg(F.max_by("text", F.xxhash64("text")).alias("text"))
-    return (
-        pairs.join(named.withColumnsRenamed({"rep": "b", "text": "text_b"}), "b")
-        .join(named.withColumnsRenamed({"rep": "a", "text": "text_a"}), "a")
-        .select("a", "b", "text_a", "text_b")
-        .mapInArrow(_confirm(n, percent), "a long, b long")
-    )
+KEY = ("id", "d1", "d2")
+
+
+def one_text(texts: DataFrame, reps: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, d1, d2, text of the documents that stand for the classes ``reps``, each once; rep, id, d1, d2 of those classes).
+
+    A filter of their keys goes to the scan of the texts, so others are not shuffled, however many classes are named."""
+    named = tb.materialized(names.join(reps, "rep", "left_semi"), "named")
+    some, _ = tb.split_by_filter(texts, tb.key_filter(named, *KEY), *KEY)
+    return some.groupBy(*KEY).agg(F.first("text").alias("text")), named
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, names: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes confirmed on the full sets. ``texts``: id, d1, d2, text of all rows; ``names``: rep and the
+    key (id, d1, d2) of the document that stands for each class. A named text moves once to its key, and once for each pair to the
+    partner's."""
+    pairs = tb.materialized(pairs.select("a", "b").distinct(), "pairs")
+    reps = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    found, named = one_text(texts, reps, names)
+    key = lambda x: {"rep": x} | {k: f"{k}_{x}" for k in KEY}
+    keyed = pairs.join(named.withColumnsRenamed(key("a")), "a").join(named.withColumnsRenamed(key("b")), "b")
+    for x in ("b", "a"):
+        side = found.withColumnsRenamed({k: f"{k}_{x}" for k in KEY} | {"text": f"text_{x}"})
+        keyed = keyed.join(side, [f"{k}_{x}" for k in KEY]).drop(*[f"{k}_{x}" for k in KEY])
+    return keyed.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(n, percent), "a long, b long")
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -366,11 +387,11 @@ def _nodes(rows: DataFrame, similarity: float, bar: int, across: bool) -> DataFr
     return sorted_rows.mapInArrow(_compare_nodes(similarity, bar, across), "a long, b long, path long").distinct()
 
 
-def links(classes: DataFrame, texts: DataFrame, n: int, percent: int, trees: int) -> tuple[DataFrame, DataFrame]:
+def links(classes: DataFrame, texts: DataFrame, names: DataFrame, n: int, percent: int, trees: int) -> tuple[DataFrame, DataFrame]:
     """Links among class representatives that decide the components: (node, component) of a first round of
     confirmed links, and the confirmed links (a, b) of the second round between those components.
 
-    ``classes``: doc_id, n_shingles, sketch and coords of each representative; ``texts``: rep, text."""
+    ``classes``: doc_id (the class's number), n_shingles, sketch and coords of each; ``texts`` and ``names`` as in ``confirm``."""
     similarity = percent / 100
     bar = sketch_bar(similarity)
     near = lambda x, q: (
@@ -393,7 +414,7 @@ def links(classes: DataFrame, texts: DataFrame, n: int, percent: int, trees: int
             break
         large = frontier.join(tb.checked_broadcast(pivots, MAX_BROADCAST_NODES), "path")
         stars = large.where("rep <> p").where(near("", "p")).select(F.col("p").alias("a"), F.col("rep").alias("b")).distinct()
-        linked = tb.materialized(confirm(stars, texts, n, percent), "stars")
+        linked = tb.materialized(confirm(stars, texts, names, n, percent), "stars")
         confirmed.append(linked)
         done = linked.select(F.col("a").alias("p"), F.col("b").alias("rep"), F.lit(False).alias("open"))
         state = large.join(done, ["p", "rep"], "left").withColumn("u", F.coalesce("open", F.col("rep") != F.col("p")))
@@ -409,18 +430,19 @@ def links(classes: DataFrame, texts: DataFrame, n: int, percent: int, trees: int
         blocks = rest.withColumn("block", block).groupBy("path", "salt", "block").agg(F.collect_list("m").alias("ms"))
         test = near("", "m.").replace("m.0", "m.`0`").replace("m.1", "m.`1`").replace("m.2", "m.`2`").replace("m.3", "m.`3`")
         hits = frontier.join(blocks, "path").select("rep", F.explode(F.expr(f"filter(ms, m -> m.r <> rep and {test})")).alias("m"))
-        confirmed.append(tb.materialized(confirm(hits.select(F.least("rep", "m.r").alias("a"), F.greatest("rep", "m.r").alias("b")).distinct(), texts, n, percent), "rest"))
+        confirmed.append(tb.materialized(confirm(hits.select(F.least("rep", "m.r").alias("a"), F.greatest("rep", "m.r").alias("b")).distinct(), texts, names, n, percent), "rest"))
     rows = _all(small)
-    first = _nodes(rows, similarity, bar, across=False)
-    confirmed.append(tb.materialized(confirm(first.select("a", "b"), texts, n, percent), "first-links"))
+    # the smallest partner of every member, over all nodes
+    first = _nodes(rows, similarity, bar, across=False).groupBy("b").agg(F.min("a").alias("a"))
+    confirmed.append(tb.materialized(confirm(first, texts, names, n, percent), "first-links"))
     so_far = tb.materialized(components(_all(confirmed)), "first-components")
     known = rows.join(so_far.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
     found = tb.materialized(_nodes(known, similarity, bar, across=True), "second-candidates")
-    pairs = confirm(found.where("path is null").select("a", "b").distinct(), texts, n, percent)
+    pairs = confirm(found.where("path is null").select("a", "b"), texts, names, n, percent)
     members = found.where("path is not null").select("path", F.col("a").alias("rep"))
-    named = texts.join(members.select("rep").distinct(), "rep", "left_semi").groupBy("rep").agg(F.max_by("text", F.xxhash64("text")).alias("text"))
     members = members.join(so_far.withColumnRenamed("node", "rep"), "rep", "left").select("path", "rep", F.coalesce("component", "rep").alias("comp"))
-    dense = members.join(named, "rep").groupBy("path").applyInArrow(_compare_sets(n, percent), "a long, b long").distinct()
+    found_texts, named = one_text(texts, members.select("rep").distinct(), names)
+    dense = members.join(named.join(found_texts, list(KEY)).select("rep", "text"), "rep").groupBy("path").applyInArrow(_compare_sets(n, percent), "a long, b long").distinct()
     second = pairs.unionByName(dense)
     return so_far, tb.materialized(second, "second-links")
 
@@ -441,28 +463,57 @@ def component_of(so_far: DataFrame, more: DataFrame) -> DataFrame:
     return moved.unionByName(upper.join(moved, "node", "left_anti"))
 
 
+NO_ID = -(1 << 63)
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    """doc_id, its key (null ids as one number) with the two halves of the text's digest, and the text."""
+    text = F.coalesce("text", F.lit(""))
+    return tb.id_text(docs).select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("d1"), F.xxhash64(F.lit(1), text).alias("d2"), "text")
+
+
+def _components(docs: DataFrame, shingle: int, percent: int, recall: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, d1, d2, n_shingles, k1, k2 of every row; k1, k2, component, component_id of every class of equal sets)."""
+    trees = trees_for(recall, percent / 100)
+    texts = _documents(docs)
+    signed = tb.materialized(texts.mapInArrow(_signatures(shingle, trees), SIGNATURE), "signatures")
+    known = signed.where("n_shingles > 0")
+    # one document stands for each distinct set: any of its texts has that set
+    key = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "d1", "d2")
+    classes = known.groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.min(key).alias("key"), F.first(F.struct("n_shingles", *PLANES, "coords")).alias("s"))
+    classes = tb.materialized(classes.select(F.monotonically_increasing_id().alias("doc_id"), "k1", "k2", "least", "key.*", "s.*"), "classes")
+    names = classes.select(F.col("doc_id").alias("rep"), *KEY)
+    comp = component_of(*links(classes, texts.select(*KEY, "text"), names, shingle, percent, trees))
+    of_class = classes.select("k1", "k2", "least", F.col("doc_id").alias("node")).join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    of_class = tb.materialized(of_class.select("k1", "k2", "least", "component"), "class-components")
+    smallest = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
+    return signed.drop(*PLANES, "coords"), of_class.join(smallest, "component").select("k1", "k2", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, recall: float = RECALL) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
-    trees = trees_for(recall, percent / 100)
-    texts = tb.id_text(docs)
-    signed = tb.materialized(texts.withColumn("version", F.xxhash64("text")).mapInArrow(_signatures(shingle, trees), SIGNATURE), "signatures")
-    known = signed.where("doc_id is not null and n_shingles > 0")
-    # one text for each id, one representative for each distinct set
-    document = known.groupBy("doc_id").agg(F.max_by(F.struct("n_shingles", "k1", "k2", *PLANES, "coords"), "version").alias("s")).select("doc_id", "s.*")
-    classes = document.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first(F.struct("n_shingles", *PLANES, "coords")).alias("s"))
-    classes = tb.materialized(classes.select("k1", "k2", F.col("rep").alias("doc_id"), "s.*"), "classes")
-    comp = component_of(*links(classes, texts.select(F.col("doc_id").alias("rep"), "text"), shingle, percent, trees))
-    named = classes.select("k1", "k2", F.col("doc_id").alias("node")).join(comp, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id"))
-    of_id = known.groupBy("doc_id").agg(F.max_by(F.struct("k1", "k2"), "version").alias("k")).select("doc_id", "k.*").join(named, ["k1", "k2"]).select("doc_id", "component_id")
+    signed, comp = _components(docs, shingle, percent, recall)
+    alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return (
-        signed.select("doc_id", "n_shingles")
-        .join(of_id, "doc_id", "left")
-        .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+        signed.join(comp, ["k1", "k2"], "left")
+        .select("doc_id", "n_shingles", alone.alias("component_id"))
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
     )
 
 
 def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose id is the smallest of its component."""
-    dropped = near_duplicates(docs, shingle, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` (all columns) that stand for their component."""
+    signed, comp = _components(docs, shingle, percent, RECALL)
+    rows = signed.where("n_shingles > 0").join(comp, ["k1", "k2"]).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("doc_id").isNull().alias("unnamed"), "d1", "d2", "component")
+    documents = rows.groupBy(*KEY, "unnamed").agg(F.first("component").alias("component"), F.count("*").alias("copies"))
+    documents = tb.materialized(documents, "documents")
+    first = documents.groupBy("component").agg(F.min(F.struct("unnamed", *KEY)).alias("f")).select("f.*", F.lit(True).alias("first"))
+    judged = documents.join(first, ["unnamed", *KEY], "left").where("first is null or copies > 1")
+    # documents that go, and those that stay but occur more than once
+    marks = tb.materialized(judged.select(*KEY, F.col("first").isNull().alias("gone")), "marks")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    held = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("d1"), F.xxhash64(F.lit(1), text).alias("d2"))
+    some, untouched = tb.split_by_filter(held, tb.key_filter(marks, *KEY), *KEY)
+    met = some.join(marks, list(KEY), "left")
+    again = met.where("not gone").groupBy(*KEY).agg(F.first("row").alias("row"))
+    return _all([x.select("row.*") for x in (untouched, met.where("gone is null"), again)])

@@ -1,12 +1,14 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches.
 
 Method. Word, symbol, line and repetition counts of every whole text. Instead of fixed cutoffs, every
-(language, source) gets its own: KLL sketches (mergeable, built map-side and merged in the shuffle, so a source
-with a third of all rows is reduced before it moves) of four ratios give their quartiles, and the cutoff
+(language, source) gets its own: sketches of four ratios (counts of logarithmic bins, ``ACCURACY`` wide: mergeable by adding,
+built map-side and merged in the shuffle, so a source with a third of all rows is reduced before it moves, and the same whatever the
+partitions) give their quartiles, and the cutoff
 is the far fence Q3 + FENCE * max(Q3 - Q1, floor), Q1 - ... for the lower side. The shares (repeated lines of the lines with a word,
 words in repeated windows of the words) cannot pass a top (1, and the base rule's 0.5), so their fence is halfway from
 Q3 to that top at most: every rule can fire in every group. With Q3 = Q1 = 0 that is 0.3 of the lines and 0.24 of the words. A joined filter then judges every row against
-the cutoffs of its group. Groups of fewer than ``MIN_ROWS`` rows, and rows without language or source, take the cutoffs of all rows.
+the cutoffs of its group. A group's sketch is mixed with that of all rows, scaled to the weight of ``PRIOR`` rows: a group of a
+few rows is judged nearly as all rows are, a large one by itself, and no number of rows changes the rule.
 
 Defined results: null or empty texts have no words and fail the base rule; null language or source is a group
 value like any other; null ids and repeated rows are kept, each judged alone.
@@ -16,14 +18,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import textbuf as tb
 
 FENCE = 6.0
-MIN_ROWS = 30
-SKETCH_K = 400
+#: rows that the sketch of all rows weighs in a group's
+PRIOR = 30
+#: relative error of a quantile; ratios below SMALL are one bin
+ACCURACY, SMALL = 0.01, 1e-4
+GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 MAX_BROADCAST_GROUPS = 100_000
 _SYMBOL = tb.lookup(256, b"#*$%&|<>")
 #: ratio -> smallest spread counted
@@ -109,25 +114,71 @@ def _with_ratios(df: DataFrame) -> DataFrame:
     )
 
 
-def _fences(sketches: DataFrame) -> DataFrame:
-    q = lambda k, p: F.kll_sketch_get_quantile_double(F.col(k), F.lit(p))
-    spread = lambda k: F.greatest(q(k, 0.75) - q(k, 0.25), F.lit(RATIOS[k]))
-    far = lambda k: q(k, 0.75) + FENCE * spread(k)
-    upper = lambda k: F.least(far(k), (q(k, 0.75) + F.lit(TOPS[k])) / 2) if k in TOPS else far(k)
-    keys = [c for c in sketches.columns if c not in RATIOS and c != "n"]
-    return sketches.select(
-        *keys, "n", *(upper(k).alias(f"{k}_max") for k in RATIOS), (q("word_length", 0.25) - FENCE * spread("word_length")).alias("word_length_min")
-    )
+def _bin(c: Column) -> Column:
+    """Bin of a ratio: 0 up to SMALL, then logarithmic."""
+    return F.when(c <= SMALL, F.lit(0)).otherwise(F.ceil(F.log(c / SMALL) / float(np.log(GAMMA)))).cast("int")
+
+
+def _value(bins: np.ndarray) -> np.ndarray:
+    """The value that stands for a bin (within ACCURACY of all its values)."""
+    return np.where(bins == 0, 0.0, SMALL * GAMMA ** bins.astype(np.float64) * 2 / (1 + GAMMA))
+
+
+def _quantiles(bins: np.ndarray, weight: np.ndarray, at: tuple[float, ...]) -> list[float]:
+    """Values below which the given shares of the weight lie."""
+    order = np.argsort(bins, kind="stable")
+    total = np.cumsum(weight[order])
+    return [float(_value(bins[order])[min(np.searchsorted(total, p * total[-1] * (1 - 1e-12)), len(total) - 1)]) for p in at]
+
+
+def _limits(whole: dict[str, tuple[np.ndarray, np.ndarray]]):
+    """Sketches (lang, source, ratio -> bins and counts) -> fences, each mixed with that of all rows."""
+
+    def fences(sketch: dict) -> list[float]:
+        out = []
+        for k, spread in RATIOS.items():
+            bins, n = sketch[k]
+            all_bins, all_n = whole[k]
+            q1, q3 = _quantiles(np.concatenate([bins, all_bins]), np.concatenate([n, all_n * (PRIOR / all_n.sum())]), (0.25, 0.75))
+            wide = max(q3 - q1, spread)
+            top = q3 + FENCE * wide
+            out.append(min(top, (q3 + TOPS[k]) / 2) if k in TOPS else top)
+            if k == "word_length":
+                out.append(q1 - FENCE * wide)
+        return out
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for r in b.column("sketch").to_pylist():
+                got = {k: ([], []) for k in RATIOS}
+                for x in r:
+                    got[x["ratio"]][0].append(x["bin"])
+                    got[x["ratio"]][1].append(x["n"])
+                rows.append(fences({k: (np.array(i, np.int64), np.array(n, np.float64)) for k, (i, n) in got.items()}))
+            cols = np.array(rows, np.float64).reshape(len(rows), len(LIMITS)).T
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("source"), *(pa.array(c) for c in cols)], ["lang", "source", *LIMITS])
+
+    return run
+
+
+LIMITS = tuple(x for k in RATIOS for x in ((f"{k}_max", f"{k}_min") if k == "word_length" else (f"{k}_max",)))
 
 
-def cutoffs(measured: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(per language and source, over all rows): fences from the rows that pass the base rule."""
+def cutoffs(measured: DataFrame) -> tuple[DataFrame, dict]:
+    """(lang, source and the fences of every group with a row that passes the base rule; the sketch of all rows)."""
     rows = _with_ratios(measured).where(~base_failed())
-    sketch = [F.kll_sketch_agg_double(F.col(k), F.lit(SKETCH_K)).alias(k) for k in RATIOS]
-    by_group = rows.groupBy("lang", "source").agg(F.count("*").alias("n"), *sketch)
-    by_group = tb.materialized(by_group, "quality-sketches")
-    merged = by_group.agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(F.col(k)).alias(k) for k in RATIOS))
-    return _fences(by_group.where(F.col("n") >= MIN_ROWS)), _fences(merged.where("n > 0"))
+    one = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), _bin(F.col(k)).alias("bin")) for k in RATIOS]))
+    bins = rows.select("lang", "source", one.alias("x")).groupBy("lang", "source", "x.ratio", "x.bin").agg(F.count("*").alias("n"))
+    bins = tb.materialized(bins, "quality-sketches")
+    # the sketch of all rows: some thousand bins at most
+    whole = {k: ([], []) for k in RATIOS}
+    for r in bins.groupBy("ratio", "bin").agg(F.sum("n").alias("n")).collect():
+        whole[r.ratio][0].append(r.bin)
+        whole[r.ratio][1].append(r.n)
+    whole = {k: (np.array(i, np.int64)[np.argsort(i)], np.array(n, np.float64)[np.argsort(i)]) for k, (i, n) in whole.items()}
+    sketches = bins.groupBy("lang", "source").agg(F.collect_list(F.struct("ratio", "bin", "n")).alias("sketch"))
+    return sketches.mapInArrow(_limits(whole), "lang string, source string, " + ", ".join(f"{k} double" for k in LIMITS)), whole
 
 
 def base_failed():
@@ -137,14 +188,12 @@ def base_failed():
 def quality(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed and kept of every row."""
     measured = tb.materialized(measures(docs), "quality-measures")
-    groups, overall = cutoffs(measured)
-    groups = tb.checked_broadcast(groups.withColumnsRenamed({"lang": "g_lang", "source": "g_source", "n": "g_n"}), MAX_BROADCAST_GROUPS)
-    whole = overall.first()
+    groups = tb.materialized(cutoffs(measured)[0].withColumnsRenamed({"lang": "g_lang", "source": "g_source"}), "quality-cutoffs")
+    groups = tb.checked_broadcast(groups, MAX_BROADCAST_GROUPS)
     rows = _with_ratios(measured)
     joined = rows.join(groups, rows["lang"].eqNullSafe(groups["g_lang"]) & rows["source"].eqNullSafe(groups["g_source"]), "left")
-    limit = lambda c: F.coalesce(F.col(c), F.lit(float(whole[c]) if whole else None).cast("double"))
-    inside = F.lit(True)
+    inside = F.col("word_length") >= F.col("word_length_min")
     for k in RATIOS:
-        inside = inside & (F.col(k) <= limit(f"{k}_max"))
-    inside = inside & (F.col("word_length") >= limit("word_length_min"))
-    return joined.select("doc_id", *NAMES, base_failed().alias("base_failed"), (~base_failed() & F.coalesce(inside, F.lit(True))).alias("kept"))
+        inside = inside & (F.col(k) <= F.col(f"{k}_max"))
+    # a group without cutoffs has no row that passes the base rule
+    return joined.select("doc_id", *NAMES, base_failed().alias("base_failed"), (~base_failed() & F.coalesce(inside, F.lit(False))).alias("kept"))

@@ -15,11 +15,13 @@ about one position in 35 is an anchor. A cell is the run of strings of a documen
 
 Equal cells (and strings) within a slice are reduced to their first before the shuffle, so thousands of copies send
 a few rows each; a gram with more than ``HOT`` different first cells in a slice skips to digit 4, and a mark
-makes the others of that gram follow, so no group holds a common passage's every surrounding. Digits are 64-bit hashes; equality is decided on 64 bits beyond the anchor's 64.
+makes the others of that gram follow, so no group holds a common passage's every surrounding. Digits are 64-bit hashes; cells are equal if 128 bits agree (the anchor's and
+the cell's), strings if two independent 64-bit hashes do. Bytes are not compared again.
 
 Defined results: null and empty texts have nothing to remove; texts under 100 bytes stay whole; a null doc_id comes
 before all others; rows that repeat a doc_id with the same text count as one document and each gets its
-result; rows that repeat a doc_id with different texts are ordered by a hash of the text.
+result; rows that repeat a doc_id with different texts are ordered by the digest of the text (``version``: 60 bits of its md5,
+checked against the whole digest; other bits are taken if two texts of an id should share them).
 """
 
 from __future__ import annotations
@@ -73,6 +75,11 @@ def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return tb.mix64(a * np.uint64(0xC2B2AE3D27D4EB4F) + b)
 
 
+def other_hashes(w: dict[int, np.ndarray], start: np.ndarray) -> np.ndarray:
+    """A second hash of the same strings, from other parts of them."""
+    return _join(_join(w[4][start], w[32][start + 4]), w[64][start + 36])
+
+
 def string_hashes(w: dict[int, np.ndarray], start: np.ndarray) -> np.ndarray:
     """Hashes of the 100-byte strings at ``start``."""
     return _join(_join(w[64][start], w[32][start + 64]), w[4][start + 96])
@@ -120,7 +127,7 @@ def cells(data: np.ndarray, off: np.ndarray):
     return {"row": row[first], "start": (first - off[row[first]]).astype(np.int32), "size": (last - first + 1).astype(np.uint8), "gram": gram, "cell": cell, "left": left, "right": right}, w
 
 
-_PARTS = (("gram", np.uint64), ("cell", np.uint64), ("doc", np.int64), ("version", np.int32), ("start", np.int32), ("size", np.uint8), ("left", np.uint16), ("right", np.uint16), ("kind", np.uint8))
+_PARTS = (("gram", np.uint64), ("cell", np.uint64), ("doc", np.int64), ("version", np.int64), ("start", np.int32), ("size", np.uint8), ("left", np.uint16), ("right", np.uint16), ("kind", np.uint8))
 
 
 def _first_of(c: dict, *keys: str) -> tuple[dict, np.ndarray, np.ndarray]:
@@ -214,13 +221,13 @@ def _refine(key, table):
     look = {k: v[shared] for k, v in lead.items()}
     col = lambda k: np.concatenate([settled[k], repeat[k], look[k]])
     kinds = np.concatenate([settled["kind"], np.full(len(repeat["doc"]), REPEAT), np.full(len(look["doc"]), LOOK)]).astype(np.int8)
-    return pa.table({"kind": pa.array(kinds, pa.int8()), "id": pa.array(col("doc"), pa.int64()), "version": pa.array(col("version"), pa.int32()), "start": pa.array(col("start"), pa.int32()), "size": pa.array(col("size"), pa.int16())})
+    return pa.table({"kind": pa.array(kinds, pa.int8()), "id": pa.array(col("doc"), pa.int64()), "version": pa.array(col("version"), pa.int64()), "start": pa.array(col("start"), pa.int32()), "size": pa.array(col("size"), pa.int16())})
 
 
-SPANS = "kind byte, id long, version int, start int, size short"
+SPANS = "kind byte, id long, version long, start int, size short"
 
 
-_STRING = (("h", np.uint64), ("doc", np.int64), ("version", np.int32), ("start", np.int32), ("kind", np.uint8))
+_STRING = (("h", np.uint64), ("h2", np.uint64), ("doc", np.int64), ("version", np.int64), ("start", np.int32), ("kind", np.uint8))
 PACKED_STRINGS = "digit int, " + ", ".join(f"{k} binary" for k, _ in _STRING)
 
 
@@ -242,11 +249,12 @@ def _strings(bits: int):
             row = np.repeat(np.repeat(np.arange(len(n)), n), size)
             c = {
                 "h": string_hashes(w, off[row] + at),
+                "h2": other_hashes(w, off[row] + at),
                 "doc": rows.column("id").to_numpy()[row],
                 "version": rows.column("version").to_numpy()[row],
                 "start": at,
             }
-            c, first, again = _first_of(c, "h")
+            c, first, again = _first_of(c, "h", "h2")
             c["kind"] = np.where(first, CELL, REPEAT).astype(np.uint8)
             c = {k: v[~again] for k, v in c.items()}
             digit = np.where(c["kind"] == CELL, _top(c["h"], bits), _top(tb.mix64(c["doc"].view(np.uint64)), bits))
@@ -259,11 +267,11 @@ def _late(key, table):
     """Digit 4: every string but the first of its kind."""
     c = _unpacked(table, _STRING)
     settled = {k: v[c["kind"] == REPEAT] for k, v in c.items()}
-    c, first, again = _first_of({k: v[c["kind"] == CELL] for k, v in c.items()}, "h")
+    c, first, again = _first_of({k: v[c["kind"] == CELL] for k, v in c.items()}, "h", "h2")
     late = ~first & ~again
     col = lambda k: np.concatenate([settled[k], c[k][late]])
     n = len(settled["doc"]) + int(late.sum())
-    return pa.table({"id": pa.array(col("doc"), pa.int64()), "version": pa.array(col("version"), pa.int32()), "start": pa.array(col("start"), pa.int32()), "size": pa.array(np.ones(n), pa.int16())})
+    return pa.table({"id": pa.array(col("doc"), pa.int64()), "version": pa.array(col("version"), pa.int64()), "start": pa.array(col("start"), pa.int32()), "size": pa.array(np.ones(n), pa.int16())})
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -298,29 +306,43 @@ def _remove(batches):
         yield pa.RecordBatch.from_arrays([rows.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return tb.id_text(docs).select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.coalesce(F.hash("text"), F.lit(0)).alias("version"), "text")
+#: hex digits of the md5 that make a version: the first 60 bits, else others
+DIGITS = ((1, 15), (16, 15), (9, 15), (5, 15))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """id, version, start, size: runs of ``size`` string starts from ``start`` that occur earlier, too."""
-    spark = docs.sparkSession
-    texts = _texts(docs).select("id", "version", "text")
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, id (nulls as the smallest number), version, text; id and version are the identity of a document."""
+    rows = tb.id_text(docs).select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text")
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    for first, length in DIGITS:
+        version = F.conv(F.substring(digest, first, length), 16, 10).cast("long")
+        held = rows.select("id", version.alias("version"), digest.alias("digest"))
+        if held.groupBy("id", "version").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").isEmpty():
+            return rows.select("doc_id", "id", version.alias("version"), "text")
+    raise ValueError("texts of one doc_id share every part of their digests")
+
+
+def repeated_spans(texts: DataFrame) -> DataFrame:
+    """id, version, start, size: runs of ``size`` string starts from ``start`` that occur earlier, too. ``texts`` as of ``_texts``."""
+    spark = texts.sparkSession
+    texts = texts.select("id", "version", "text")
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = tb.shuffle_tasks(spark)
     groups = max(4 * tasks, total // 35 // CELLS_A_GROUP)
     bits = min(30, max(1, int(groups - 1).bit_length()))
     packed = texts.mapInArrow(_distribute(bits), PACKED)
     found = tb.materialized(packed.groupBy("digit").applyInArrow(_refine, SPANS), "repeat-cells")
-    wanted = found.where(F.col("kind") == LOOK).groupBy("id", "version").agg(F.collect_list(F.struct("start", F.col("size").cast("int").alias("size"))).alias("wanted"))
+    wanted = found.where(F.col("kind") == LOOK).groupBy("id", "version").agg(F.collect_set(F.struct("start", F.col("size").cast("int").alias("size"))).alias("wanted"))
     # texts that hold no such cell stay where they are as long as the others' ids can be sent to the scan
     named = tb.checked_broadcast(wanted.select("id", "version"), MAX_BROADCAST_IDS)
     strings = texts.join(named, ["id", "version"], "left_semi").join(wanted, ["id", "version"]).mapInArrow(_strings(bits), PACKED_STRINGS)
-    late = strings.groupBy("digit").applyInArrow(_late, "id long, version int, start int, size short")
+    late = strings.groupBy("digit").applyInArrow(_late, "id long, version long, start int, size short")
     return found.where(F.col("kind") == REPEAT).select("id", "version", "start", "size").unionByName(late)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
-    spans = repeated_spans(docs).groupBy("id", "version").agg(F.collect_list(F.struct("start", F.col("size").cast("int").alias("size"))).alias("spans"))
-    return _texts(docs).join(spans, ["id", "version"], "left").select("doc_id", "text", "spans").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    texts = _texts(docs)
+    # copies of a document's row send the same spans: a set of them, collapsed before the shuffle
+    spans = repeated_spans(texts).groupBy("id", "version").agg(F.collect_set(F.struct("start", F.col("size").cast("int").alias("size"))).alias("spans"))
+    return texts.join(spans, ["id", "version"], "left").select("doc_id", "text", "spans").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

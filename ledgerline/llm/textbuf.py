@@ -159,5 +159,30 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
+#: words of 64 bits of a key filter: 2^20 rows of two numbers when it is sent to a scan, whatever the number of keys
+FILTER_WORDS = 1 << 20
+
+
+def _bit(*keys: str) -> tuple[Column, Column]:
+    h = F.xxhash64(F.lit(77), *keys)
+    return F.pmod(h, F.lit(FILTER_WORDS)).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftrightunsigned(h, 40), F.lit(64)).cast("int"))
+
+
+def key_filter(keys: DataFrame, *names: str) -> DataFrame:
+    """A bitmap of hashed keys as a table (word, mask) of at most FILTER_WORDS rows, with a broadcast hint. It names every
+    key and, the more keys there are, some others; exact joins follow on what it lets through."""
+    word, bit = _bit(*names)
+    bits = keys.select(word.alias("llm_word"), bit.alias("llm_bit")).groupBy("llm_word").agg(F.bit_or("llm_bit").alias("llm_mask"))
+    return F.broadcast(materialized(bits, "key-filter"))
+
+
+def split_by_filter(df: DataFrame, bits: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be in the filter, rows whose key is not)."""
+    word, bit = _bit(*names)
+    met = df.withColumns({"llm_word": word, "llm_bit": bit}).join(bits, "llm_word", "left")
+    named = F.coalesce(F.col("llm_mask").bitwiseAND(F.col("llm_bit")) != 0, F.lit(False))
+    return met.where(named).select(*df.columns), met.where(~named).select(*df.columns)
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -3,8 +3,8 @@
 Method. Texts become sets of hashed character n-grams (orders ``ORDERS``, A-Z lower-cased,
 runs of white space as one space). The log-count ratios r = log(p/|p|) - log(q/|q|) come from the document frequencies
 over *all* labelled training rows (one distributed pass). A logistic model on the r-scaled
-features is fitted on a bounded, documented sample (``SAMPLE_PER_CLASS`` rows of each class,
-the smallest by a hash of the id); scoring reads every whole text.
+features is fitted on a bounded, documented sample (``SAMPLE_PER_CLASS`` different texts of each class,
+the smallest by a hash of the text); scoring reads every whole text.
 
 Defined results: a null or empty text scores by the intercept alone; null ids are kept and count as held in;
 repeated rows score alike; without any label of both classes every score is 0.
@@ -26,8 +26,6 @@ BITS = 18
 SAMPLE_PER_CLASS = 1500
 BLOCK = 4096
 MAX_BROADCAST_LABELS = 2_000_000
-#: buckets seen in fewer labelled training documents carry no weight
-MIN_DOCUMENTS = 3
 
 
 def _codes(text: str) -> np.ndarray:
@@ -114,7 +112,7 @@ def log_count_ratios(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             got[:, row["block"] * BLOCK : (row["block"] + 1) * BLOCK] += x.reshape(2, -1)
     p, q = got[1] + 1.0, got[0] + 1.0
     r = np.log(p / (n[1] + 2.0)) - np.log(q / (n[0] + 2.0))
-    r[got.sum(axis=0) < MIN_DOCUMENTS] = 0.0
+    r[got.sum(axis=0) == 0] = 0.0  # in no labelled document: nothing is known of it
     return r.astype(np.float32), n
 
 
@@ -185,16 +183,17 @@ def training_labels(labels: DataFrame) -> DataFrame:
 
 
 def sample_of(rows: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> list[tuple[bytes, int]]:
-    """Texts and labels of at most ``per_class`` rows of each class, the smallest by a hash of the id. The hashes are ranked
-    first, without texts; then the chosen rows are fetched."""
-    h = F.xxhash64("doc_id")
-    chosen = {k: [x[0] for x in rows.where(F.col("toxic") == k).select(h.alias("h")).orderBy("h").limit(per_class).collect()] for k in (0, 1)}
+    """At most ``per_class`` different texts of each class with their labels, the smallest by a hash of the text: copies count
+    once. The hashes are ranked first, without texts; then the chosen texts are fetched, one for each hash."""
+    text = F.coalesce("text", F.lit(""))
+    hashed = rows.select(F.xxhash64(text).alias("h"), "toxic", text.alias("text"))
     out = []
-    for k, hashes in chosen.items():
-        if hashes:
-            texts = rows.where((F.col("toxic") == k) & (h <= hashes[-1])).select(h.alias("h"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("text"))
-            # rows that repeat the last id's hash are cut, so the bound holds
-            out += [(bytes(x["text"]), k) for x in sorted(texts.limit(2 * per_class).collect(), key=lambda x: (x["h"], bytes(x["text"])))[:per_class]]
+    for k in (0, 1):
+        own = hashed.where(F.col("toxic") == k)
+        last = own.select("h").distinct().orderBy("h").limit(per_class).agg(F.max("h")).first()[0]
+        if last is not None:
+            texts = own.where(F.col("h") <= last).groupBy("h").agg(F.min(F.encode("text", "utf-8")).alias("text")).collect()
+            out += [(bytes(x["text"]), k) for x in sorted(texts, key=lambda x: x["h"])]
     return out
 
 

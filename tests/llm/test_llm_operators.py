@@ -167,7 +167,25 @@ def brute_repeats(rows_):
 
 
 def with_version(df):
-    return rows(df.select("doc_id", "text", F.hash("text")))
+    """Rows with the number that orders texts of one id: the first 60 bits of the text's md5."""
+    return [(d, t, int(hashlib.md5((t or "").encode()).hexdigest()[:15], 16)) for d, t in rows(df.select("doc_id", "text"))]
+
+
+def test_repeats_texts_of_one_id(spark, monkeypatch):
+    """Different texts of an id are different documents, also if parts of their digests agree."""
+    rng = random.Random(2)
+    a, b = ("".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(2))
+    df = spark.createDataFrame([(1, b), (5, a), (5, b)] + [(None, a[:200] + str(i)) for i in range(3)], "doc_id long, text string")
+    assert Counter(rows(repeats.remove_repeats(df))) == brute_repeats(with_version(df))
+    # the first digits tell nothing apart here: others are taken
+    monkeypatch.setattr(repeats, "DIGITS", ((1, 0), (1, 15)))
+    assert Counter(rows(repeats.remove_repeats(df))) == brute_repeats(with_version(df))
+
+
+def test_repeats_spans_of_copies_are_sent_once(spark):
+    text = "".join(random.Random(4).choice("abcdefgh ") for _ in range(400))
+    df = spark.createDataFrame([(1, text)] + [(2, text)] * 200, "doc_id long, text string").repartition(50)
+    assert Counter(rows(repeats.remove_repeats(df))) == brute_repeats(with_version(df))
 
 
 def test_repeats(docs):
@@ -326,6 +344,32 @@ def test_quality_every_rule_rejects(spark):
     assert out == {1: {"symbol_ratio"}, 2: {"dup_line_ratio"}, 3: {"repeat_ratio"}, 4: {"word_length"}, 5: {"short"}}
 
 
+def test_quality_does_not_depend_on_partitions_or_a_row_count(spark):
+    rng = random.Random(9)
+    line = lambda n: " ".join(f"w{rng.randint(0, 99)}" + "#" * (rng.random() < 0.1) for _ in range(n))
+    data = [(i, line(rng.randint(40, 200)), rng.choice(["en", None]), rng.choice(["a", "b"]) if i < 900 else f"s{i % 40}") for i in range(1000)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    runs = [sorted(rows(quality.quality(df.repartition(n))), key=repr) for n in (1, 4, 16)]
+    assert runs[0] == runs[1] == runs[2]
+    # fences move gradually as a group grows: each row moves them by less than the step from the rows of all to its own
+    whole = {k: (np.array([100]), np.array([1000.0])) for k in quality.RATIOS}
+    import pyarrow as pa
+
+    sketch = lambda n: [{"ratio": k, "bin": 300, "n": n} for k in quality.RATIOS]
+    batch = pa.RecordBatch.from_pydict({"lang": ["x"] * 3, "source": ["y"] * 3, "sketch": [sketch(n) for n in (1, 29, 30)]})
+    out = next(quality._limits(whole)([batch])).to_pydict()
+    assert out["word_length_max"][0] < out["word_length_max"][2] and out["symbol_ratio_max"][1] == out["symbol_ratio_max"][2]
+
+
+def test_quality_quantiles_are_within_the_accuracy(spark):
+    rng = random.Random(1)
+    x = sorted(rng.random() ** 3 * 20 for _ in range(5000))
+    bins = [r[0] for r in spark.createDataFrame([(v,) for v in x], "v double").select(quality._bin(F.col("v"))).collect()]
+    got = quality._quantiles(np.array(bins), np.ones(len(bins)), (0.25, 0.5, 0.75))
+    for g, p in zip(got, (0.25, 0.5, 0.75)):
+        assert abs(g - x[int(p * len(x)) - 1]) <= 1.1 * quality.ACCURACY * g + quality.SMALL
+
+
 def test_quality_empty(empty):
     assert rows(quality.quality(empty)) == []
 
@@ -412,6 +456,35 @@ def test_toxicity_held_out(spark):
     assert kept == {r.doc_id for r in got if not r.predicted}
 
 
+def test_toxicity_sample_counts_copies_once(spark):
+    data = [(1, "bad words of one kind", 1)] * 400 + [(i, f"bad words {i}", 1) for i in range(2, 40)] + [(100 + i, f"good words {i}", 0) for i in range(30)] + [(99, None, 0)]
+    df = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    sample = toxicity.sample_of(df.repartition(5), per_class=20)
+    assert Counter(k for _, k in sample) == {0: 20, 1: 20} and len(set(sample)) == 40
+    assert sample == toxicity.sample_of(df.repartition(2), per_class=20)
+    assert len(toxicity.sample_of(df, per_class=1000)) == 39 + 31
+
+
+def test_toxicity_score_is_the_linear_model(spark):
+    """Ratios from document counts, and scores from weights, against a plain version."""
+    data = [(1, "ab cd", 1), (2, "ab  AB", 1), (3, "xy", 0), (4, "", 0), (5, "ab xy zz", 0)]
+    df = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    r, n = toxicity.log_count_ratios(df)
+    grams = lambda t: set(toxicity.features(np.frombuffer(t.encode(), np.uint8)).tolist())
+    count = {k: Counter(g for _, t, y in data if y == k for g in grams(t)) for k in (0, 1)}
+    assert n.tolist() == [3, 2]
+    seen = set(count[0]) | set(count[1])
+    for g in seen:
+        assert r[g] == pytest.approx(np.log((count[1][g] + 1) / 4) - np.log((count[0][g] + 1) / 5), abs=1e-6)
+    assert not r[[g for g in range(500) if g not in seen]].any()
+    w = np.random.RandomState(0).randn(len(r)).astype(np.float32)
+    model = toxicity.Model(w, 0.25)
+    for _, t, _ in data:
+        f = sorted(grams(t))
+        z = sum(float(w[g]) for g in f) / np.sqrt(len(f) + 1) + 0.25
+        assert model.score(np.frombuffer(t.encode(), np.uint8)) == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-6)
+
+
 def test_toxicity_without_labels(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in toxicity.toxicity(docs, none).collect()} == {0.0}
@@ -534,19 +607,50 @@ def check_components(spark, data, n=2):
     assert got == brute_components(data, n)
 
 
+def brute_rows(given, n):
+    """Rows (doc_id, text) -> (doc_id, n_shingles, component_id, kept) of every row; a document is an id and a text."""
+    keys = sorted({(d is None, d or 0, t or "") for d, t in given})
+    parts = brute_components(dict(enumerate(k[2] for k in keys)), n)
+    of = {}
+    for i, k in enumerate(keys):
+        members = [keys[j] for j, (_, c) in parts.items() if c == parts[i][1]] if parts[i][0] else [k]
+        least = min((m[1] for m in members if not m[0]), default=None)
+        own = None if k[0] else k[1]
+        of[k] = (own, parts[i][0], least, least is None or own == least)
+    return of
+
+
 def test_near_dedup(spark, docs):
-    data = {}
-    for d, t in rows(docs.select("doc_id", "text")):
-        if d is not None and d != 7:
-            data[d] = t
-    check_components(spark, data)
-    got = near_dedup.near_duplicates(docs)
-    assert got.count() == docs.count()
-    assert {tuple(r) for r in got.where("doc_id is null").select("component_id", "kept").collect()} == {(None, True)}
-    kept = near_dedup.keep_first(docs, 2)
-    assert kept.columns == docs.columns
-    gone = {d for d, (_, c) in brute_components(data, 2).items() if c != d}
-    assert {r.doc_id for r in kept.collect()} - {7, None} == set(data) - gone
+    given = rows(docs.select("doc_id", "text"))
+    of = brute_rows(given, 2)
+    want = Counter(of[(d is None, d or 0, t or "")] for d, t in given)
+    assert Counter(rows(near_dedup.near_duplicates(clashing(docs)))) == want
+    assert sum(1 for d, _ in given if d == 7) == 2 and any(r[0] is None and r[2] is not None for r in want)
+
+
+@pytest.mark.parametrize("n", [2, 5])
+def test_keep_first(spark, docs, n):
+    """One row of each component: the smallest id, of its texts the smallest digest, of equal rows one; empty ones stay."""
+    given = rows(docs.select("doc_id", "text"))
+    keys = sorted({(d is None, d or 0, t or "") for d, t in given})
+    parts = brute_components(dict(enumerate(k[2] for k in keys)), n)
+    got = Counter((d is None, d or 0, t or "") for d, t in rows(near_dedup.keep_first(clashing(docs), n).select("doc_id", "text")))
+    groups = defaultdict(list)
+    for i, k in enumerate(keys):
+        if parts[i][0]:
+            groups[parts[i][1]].append(k)
+        else:
+            assert got[k] == sum(1 for d, t in given if (d is None, d or 0, t or "") == k)
+    for members in groups.values():
+        kept = [k for k in members for _ in range(got[k])]
+        assert len(kept) == 1 and kept[0][:2] == min(members)[:2]
+    assert near_dedup.keep_first(clashing(docs), n).columns == clashing(docs).columns
+
+
+def test_keep_first_of_a_repeated_id(spark):
+    a, b = "one two three four five six seven eight nine", "quite another text that is not like the first one at all"
+    df = spark.createDataFrame([(1, a), (7, a), (7, b), (9, b), (9, b), (3, None), (3, None)], "doc_id long, text string")
+    assert sorted(rows(near_dedup.keep_first(df)), key=repr) == sorted([(1, a), (7, b), (3, None), (3, None)], key=repr)
 
 
 @pytest.mark.parametrize("seed", range(2))
