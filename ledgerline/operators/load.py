@@ -203,7 +203,11 @@ def read_target(spark: SparkSession, path: str, spec: TableSpec | None) -> DataF
 def create_target(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """S7: an empty target of the declared columns, unless it is there; returns the target."""
     if read_target(spark, path, spec) is None:
-        spark.createDataFrame([], spec.full_schema).write.mode("append").parquet(path)
+        empty = spark.createDataFrame([], spec.full_schema)
+        if strategy_for(spec.name) == FULL_REFRESH:
+            publish_snapshot(spark, path, write_snapshot(empty, path))
+        else:
+            empty.write.mode("append").parquet(path)
     return read_target(spark, path, spec)
 
 

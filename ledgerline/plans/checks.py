@@ -560,7 +560,7 @@ def q_load_create_target(t: ShopTables) -> DataFrame:
         load.create_target(spark, target, spec_for(tb))
         load.create_target(spark, target, spec_for(tb))
         load.load_table(spark, _with_audit(t.table(tb), tb, RUN_TS_1), tb, target, unique_keys=True)
-        stored = spark.read.parquet(target)
+        stored = load.read_target(spark, target, None)
         columns = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("column_type")) for i, f in enumerate(stored.schema.fields)])
         parts.append(
             stored.agg(F.count(F.lit(1)).alias("rows_loaded")).select(F.lit(tb).alias("table_name"), F.explode(columns).alias("c"), "rows_loaded").select("table_name", "c.*", "rows_loaded")
