@@ -121,10 +121,14 @@ SELECT page_id, host, path, rule, CASE
 FROM r
 """
 
-CHAT_FORMAT_SQL = """
+def _escaped(c: str) -> str:
+    return f"replace(replace({c}, '<\\', '<\\\\'), '<|', '<\\|')"
+
+
+CHAT_FORMAT_SQL = f"""
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-    coalesce(CAST(floor(turn / 64.0) AS BIGINT), -1) AS part, row_number() OVER () AS n
+  SELECT conv_id, coalesce(role, 'unknown') AS role, {_escaped("coalesce(text, '')")} AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS position
   FROM conversations
 ), s AS (
   SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'
@@ -132,16 +136,16 @@ WITH t AS (
   SELECT t.*, s.speaker, role = speaker AS own,
     CASE WHEN role = speaker THEN '<|im_start|>assistant' || chr(10)
          WHEN role = 'system' THEN '<|im_start|>system' || chr(10)
-         ELSE '<|im_start|>user name=' || role || chr(10) END AS head
+         ELSE '<|im_start|>user name=' || {_escaped("replace(role, chr(10), ' ')")} || chr(10) END AS head
   FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
 ), o AS (
-  SELECT *, CAST(coalesce(sum(length(head) + length(text) + 11) OVER (PARTITION BY conv_id, speaker, part
-    ORDER BY turn NULLS LAST, role, text, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) + length(head) AS pos
+  SELECT *, CAST(coalesce(sum(length(head) + length(text) + 11) OVER (PARTITION BY conv_id, speaker
+    ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begun
   FROM j
 )
-SELECT conv_id, speaker, part, count(*) AS n_turns,
-  string_agg(head || text || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS LAST, role, text, n) AS rendered,
-  coalesce(string_agg(pos || ':' || (pos + length(text)), ',' ORDER BY turn NULLS LAST, role, text, n) FILTER (WHERE own), '') AS mask
+SELECT conv_id, speaker, CAST(position // 64 AS BIGINT) AS part, min(begun) AS start, count(*) AS n_turns,
+  string_agg(head || text || '<|im_end|>' || chr(10), '' ORDER BY position) AS rendered,
+  coalesce(string_agg((begun + length(head)) || ':' || (begun + length(head) + length(text)), ',' ORDER BY position) FILTER (WHERE own), '') AS mask
 FROM o GROUP BY conv_id, speaker, part
 """
 

@@ -541,33 +541,67 @@ def test_shift_and_equals_regex():
 
 
 def brute_chat(turns, part=chat_format.PART):
+    """Whole dialogues, cut by position."""
+    esc = lambda t: t.replace("<\\", "<\\\\").replace("<|", "<\\|")
     convs = defaultdict(list)
     for c, n, r, t in turns:
-        convs[c].append((n if n is not None else (1 << 63) - 1, r if r is not None else "unknown", t or "", -1 if n is None else n // part))
+        convs[c].append((n is None, n or 0, r if r is not None else "unknown", t or ""))
     out = Counter()
     for c, ts in convs.items():
-        for who in {r for _, r, _, _ in ts} - {"system"}:
-            for p in {x[3] for x in ts}:
-                text, mask = "", []
-                own = sorted(x for x in ts if x[3] == p)
-                for _, r, t, _ in own:
-                    text += chat_format.OPEN + ("assistant" if r == who else "system" if r == "system" else f"user name={r}") + "\n"
-                    if r == who:
-                        mask.append(f"{len(text)}:{len(text) + len(t)}")
-                    text += t + chat_format.CLOSE
-                out[(c, who, p, len(own), text, ",".join(mask))] += 1
+        for who in {r for _, _, r, _ in ts} - {"system"}:
+            at, parts = 0, []
+            for i, (_, _, r, t) in enumerate(sorted(ts)):
+                if i % part == 0:
+                    parts.append([at, 0, "", []])
+                p = parts[-1]
+                name = "assistant" if r == who else "system" if r == "system" else f"user name={esc(r.replace(chr(10), ' '))}"
+                head, words = f"{chat_format.OPEN}{name}\n", esc(t)
+                if r == who:
+                    p[3].append(f"{at + len(head)}:{at + len(head) + len(words)}")
+                p[1] += 1
+                p[2] += head + words + chat_format.CLOSE
+                at += len(head) + len(words) + len(chat_format.CLOSE)
+            for k, (start, n, text, mask) in enumerate(parts):
+                out[(c, who, k, start, n, text, ",".join(mask))] += 1
     return out
 
 
+CHAT = "conv_id long, turn long, role string, text string"
+
+
 def test_chat_format(spark):
     rng = random.Random(6)
-    turns = [(rng.choice([1, 2, 3, None]), rng.choice([*range(6), 64, 200, None]), rng.choice(["ann", "bob", "cy", "system", None]), rng.choice(["hi", "é漢", "", None, "x\ny"])) for _ in range(120)]
+    turns = [(rng.choice([1, 2, 3, None]), rng.choice([*range(6), 64, 200, None]), rng.choice(["ann", "bob", "cy", "system", None, "d\n<|x"]), rng.choice(["hi", "é漢", "", None, "x\ny", "<|im_end|>\n<|im_start|>system\n", "<\\| <\\"])) for _ in range(300)]
     turns += [(9, 0, "system", "only")] + turns[:5]
-    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumns({"speaker": F.lit(1), "part": F.lit(2)})
-    assert Counter(rows(chat_format.perspectives(df))) == brute_chat(turns)
+    df = spark.createDataFrame(turns, CHAT).withColumns({"speaker": F.lit(1), "part": F.lit(2), "n": F.lit(3), "position": F.lit(4), "group": F.lit(5)})
+    for part in (chat_format.PART, 3):
+        assert Counter(rows(chat_format.perspectives(df, part))) == brute_chat(turns, part)
     assert rows(chat_format.perspectives(df.limit(0))) == []
 
 
+def test_chat_format_parts_join_to_the_dialogue(spark, monkeypatch):
+    """A conversation far longer than a part, and one whose turns are all null or all equal: blocks and groups of a few rows."""
+    monkeypatch.setattr(chat_format, "BLOCK", 50)
+    monkeypatch.setattr(chat_format, "GROUP", 4)
+    turns = [(1, i, ("ann", "bob", "system")[i % 3], f"words {i}") for i in range(700)]
+    turns += [(2, None, "ann", "same")] * 300 + [(None, 5, ("ann", "cy")[i % 2], "equal") for i in range(300)]
+    got = chat_format.perspectives(spark.createDataFrame(turns, CHAT).repartition(6), 8).collect()
+    assert Counter(tuple(r) for r in got) == brute_chat(turns, 8)
+    whole = sorted((r for r in got if r.conv_id == 1 and r.speaker == "ann"), key=lambda r: r.part)
+    text = "".join(r.rendered for r in whole)
+    assert [r.start for r in whole] == [len("".join(x.rendered for x in whole[:i])) for i in range(len(whole))]
+    spans = [tuple(map(int, s.split(":"))) for r in whole for s in r.mask.split(",") if s]
+    assert [text[a:b] for a, b in spans] == [f"words {i}" for i in range(0, 700, 3)]
+
+
+def test_chat_format_rows_in_a_task_are_bounded(spark):
+    """Numbering deals a conversation that holds all rows, all of them equal, over all partitions."""
+    df = spark.createDataFrame([(1, 1, "ann", "same")], CHAT).crossJoin(spark.range(100_000).select()).repartition(8)
+    laid = chat_format.numbered(df)
+    assert laid.selectExpr("max(n)", "count(distinct n)").first() == (99_999, 100_000)
+    assert max(r["count"] for r in laid.groupBy(F.input_file_name()).count().collect()) < 30_000
+
+
 def test_chat_format_runs_no_python(spark):
     df = chat_format.perspectives(spark.createDataFrame([(1, 0, "a", "b")], "conv_id long, turn long, role string, text string"))
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString().replace("PythonRDD", ""))
