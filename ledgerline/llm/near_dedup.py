@@ -14,7 +14,7 @@ offers one pair a node, its first similar member; these pairs are confirmed on f
 and joined into components. A second round over the same nodes offers every similar pair that lies in
 different components, so what is skipped cannot change a component; a node in which such pairs are many (documents that are
 similar, but not enough) offers its members instead, and their full sets are compared inside one task by products of
-their incidence matrix, at most NODE rows wide. A larger node first tries to link
+their incidence matrix, at most NODE rows wide, which returns a forest of links. A larger node first tries to link
 every member to the node's smallest id. Members confirmed as linked need no comparison with each other;
 the node goes on branching only if unlinked members are left, and children without an unlinked
 member end. So a group of near copies of any size costs about one link per member, never all pairs. Nodes still
@@ -302,7 +302,8 @@ def _confirm(n: int, percent: int):
 
 
 def _compare_sets(n: int, percent: int):
-    """A node's members with texts: its links between components, on full sets."""
+    """A node's members with texts: the links on full sets that join its components, one a member at most (a forest:
+    further links would join what is joined)."""
 
     def run(key, table):
         rep, comp = table.column("rep").to_numpy(), table.column("comp").to_numpy()
@@ -322,9 +323,23 @@ def _compare_sets(n: int, percent: int):
             m[row[own], column[own] - k * width] = 1
             inter += m @ m.T
         near = (inter > 0) & (100 * inter >= percent * (size[:, None] + size[None] - inter))
-        near &= (comp[:, None] != comp[None]) & (rep[:, None] < rep[None])
-        i, j = np.nonzero(near)
-        return pa.table({"a": pa.array(rep[i], pa.int64()), "b": pa.array(rep[j], pa.int64())})
+        same = comp[:, None] == comp[None]
+        near &= ~same
+        links = []
+        left = near.any(1)
+        while left.any():
+            reached, queue = np.zeros(len(rep), bool), [int(left.argmax())]
+            reached[queue[0]] = True
+            while queue:
+                u = queue.pop()
+                mates = np.flatnonzero(same[u] & ~reached)
+                others = np.flatnonzero(near[u] & ~reached)
+                reached[mates] = reached[others] = True
+                links += [(u, v) for v in others]
+                queue += [*mates.tolist(), *others.tolist()]
+            left &= ~reached
+        i, j = (np.array(x, np.int64) for x in (zip(*links) if links else ((), ())))
+        return pa.table({"a": pa.array(np.minimum(rep[i], rep[j]), pa.int64()), "b": pa.array(np.maximum(rep[i], rep[j]), pa.int64())})
 
     return run
 
