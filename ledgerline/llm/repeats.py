@@ -16,7 +16,7 @@ about one position in 35 is an anchor. A cell is the run of strings of a documen
 Equal cells (and strings) within a slice are reduced to their first before the shuffle, so thousands of copies send
 a few rows each; a gram with more than ``HOT`` different first cells in a slice skips to digit 4, and a mark
 makes the others of that gram follow, so no group holds a common passage's every surrounding. Digits are 64-bit hashes; cells are equal if 128 bits agree (the anchor's and
-the cell's), strings if two independent 64-bit hashes do. Bytes are not compared again.
+the cell's), strings if 96 bits of two hashes do. Bytes are not compared again.
 
 Defined results: null and empty texts have nothing to remove; texts under 100 bytes stay whole; a null doc_id comes
 before all others; rows that repeat a doc_id with the same text count as one document and each gets its
@@ -76,8 +76,8 @@ def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def other_hashes(w: dict[int, np.ndarray], start: np.ndarray) -> np.ndarray:
-    """A second hash of the same strings, from other parts of them."""
-    return _join(_join(w[4][start], w[32][start + 4]), w[64][start + 36])
+    """32 more bits of hash of the same strings, from other parts of them."""
+    return (_join(_join(w[4][start], w[32][start + 4]), w[64][start + 36]) >> np.uint64(32)).astype(np.uint32)
 
 
 def string_hashes(w: dict[int, np.ndarray], start: np.ndarray) -> np.ndarray:
@@ -227,7 +227,7 @@ def _refine(key, table):
 SPANS = "kind byte, id long, version long, start int, size short"
 
 
-_STRING = (("h", np.uint64), ("h2", np.uint64), ("doc", np.int64), ("version", np.int64), ("start", np.int32), ("kind", np.uint8))
+_STRING = (("h", np.uint64), ("h2", np.uint32), ("doc", np.int64), ("version", np.int64), ("start", np.int32), ("kind", np.uint8))
 PACKED_STRINGS = "digit int, " + ", ".join(f"{k} binary" for k, _ in _STRING)
 
 
@@ -311,14 +311,23 @@ DIGITS = ((1, 15), (16, 15), (9, 15), (5, 15))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """doc_id, id (nulls as the smallest number), version, text; id and version are the identity of a document."""
+    """doc_id, id (nulls as the smallest number), version, text; id and version are the identity of a document. The version is 0 for
+    ids of one text, so it takes no room in what is shuffled."""
     rows = tb.id_text(docs).select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text")
     digest = F.md5(F.coalesce("text", F.lit("")))
+    held = rows.select("id", digest.alias("digest"))
+    several = held.groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b")
+    several = tb.materialized(several.select(F.col("id").alias("several")), "ids-of-several-texts")
+    if several.isEmpty():
+        return rows.select("doc_id", "id", F.lit(0).cast("long").alias("version"), "text")
+    several = tb.checked_broadcast(several, MAX_BROADCAST_IDS)
+    theirs = held.join(several, held["id"] == several["several"], "left_semi")
     for first, length in DIGITS:
-        version = F.conv(F.substring(digest, first, length), 16, 10).cast("long")
-        held = rows.select("id", version.alias("version"), digest.alias("digest"))
-        if held.groupBy("id", "version").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").isEmpty():
-            return rows.select("doc_id", "id", version.alias("version"), "text")
+        version = lambda d: F.conv(F.substring(d, first, length), 16, 10).cast("long")  # noqa: E731, B023
+        found = theirs.groupBy("id", version(F.col("digest")).alias("version")).agg(F.min("digest").alias("a"), F.max("digest").alias("b"))
+        if found.where("a <> b").isEmpty():
+            own = F.when(F.col("several").isNull(), F.lit(0).cast("long")).otherwise(version(digest))
+            return rows.join(several, rows["id"] == several["several"], "left").select("doc_id", "id", own.alias("version"), "text")
     raise ValueError("texts of one doc_id share every part of their digests")
 
 
