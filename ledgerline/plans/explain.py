@@ -77,9 +77,12 @@ def main(argv: list[str]) -> int:
     i, r, p = raw["order_items"], raw["order_item_refunds"], raw["products"]
     since = "1996-01-01"
     cases = {
-        "M1 channel_performance": lambda: reports.channel_performance(s, o, since=since),
-        "M2 product_profitability": lambda: reports.product_profitability(p, i, r),
+        "M1 metrics (run once, stored)": lambda: reports.channel_metrics(s, o, since),
+        "M1 channel_performance (ranks of the stored metrics)": lambda: reports.channel_performance(s, o, since=since),
+        "M2 metrics (run once, stored)": lambda: reports.product_metrics(p, i, r),
+        "M2 product_profitability (ranks of the stored metrics)": lambda: reports.product_profitability(p, i, r),
         "M3 refund_rate_trends": lambda: reports.refund_rate_trends(i, r, p, since=since),
+        # medians read a stored table of distinct prices by month (one exchange before it)
         "M4 order_value_trends": lambda: reports.order_value_trends(o, s),
         "M4a order_value_trends_orders_only": lambda: reports.order_value_trends_orders_only(o),
         "M4b revenue_per_session": lambda: reports.revenue_per_session(s, o),
