@@ -96,16 +96,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-URL_FILTER_SQL = """
+_BLOCKED = " OR ".join(f"name LIKE '{host.replace('*', '%')}'" for host, _ in url_filter.BLOCK_GLOBS)
+
+URL_FILTER_SQL = rf"""
 WITH u AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), p AS (
   SELECT page_id,
     translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(regexp_extract(coalesce(rest, ''), '^[^?#]*'), '^[^/]*(.*)$', 1) AS path
+    regexp_extract(regexp_extract(coalesce(rest, ''), '^[^?#]*'), '^[^/]*([\s\S]*)$', 1) AS path
   FROM u
 ), r AS (
-  SELECT *, CASE
+  SELECT *, '.' || regexp_replace(regexp_replace(regexp_replace(host, '^[\s\S]*@', ''), ':[0-9]*$', ''), '\.$', '') AS name, CASE
     WHEN '.' || host LIKE '%.www.example.com' AND starts_with(path, '/en/') THEN 'www.example.com/en/'
     WHEN '.' || host LIKE '%.example.com' AND starts_with(path, '/en/') THEN 'example.com/en/'
     WHEN '.' || host LIKE '%.net' AND starts_with(path, '/es/') THEN 'net/es/'
@@ -116,7 +118,7 @@ WITH u AS (
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
   WHEN rule IS NOT NULL THEN 'block'
-  WHEN '.' || host LIKE '%.spam-%' OR '.' || host LIKE '%-farm.%' OR '.' || host LIKE '%.cheap-%' OR '.' || host LIKE '%-pills.%' THEN 'block'
+  WHEN {_BLOCKED} THEN 'block'
   ELSE 'allow' END AS verdict
 FROM r
 """

@@ -1,19 +1,25 @@
 """URL filter: bit-parallel wildcard automaton over canonical URLs.
 
-Method. All glob rules are packed into the bits of a few 64-bit words. A Shift-And step moves every
+Method. All glob rules are packed into the bits of as many 64-bit words as they need. A Shift-And step moves every
 pattern at once: ``state = ((state << 1) | starts) & mask[character]``, where a ``*`` keeps its bit set on any
 character (its state bit loops) and is skipped for free (an epsilon step by one addition of the star bits).
-The automaton reads one character of all URLs of a batch at a time; after the last one the accepting bits name the rules that fit.
-Host-and-path rules compile to globs over the canonical form ``.host`` + NUL + ``path``: a rule for ``com`` and ``/`` is
-``*.com`` NUL ``/*``. Of the rules that fit, the longest decides; URLs that none fits are judged by the method's
-own block globs, which are run by the same automaton.
+The automaton reads one character of all URLs of a block at a time; after the last one the accepting bits name the rules that fit.
+Host-and-path rules compile to globs over ``.host``, a separator byte that no UTF-8 text holds, ``path``: a rule for ``com`` and
+``/`` is ``*.com`` + separator + ``/*``. Their characters are literal. Of the rules that fit, the longest decides (of rules with the same host and
+path the first); URLs that none fits are judged by the method's own block globs (host glob, path glob), run by the same
+automaton over the canonical host: without user, port and final dot.
+
+Rules and globs are parameters; ``rules_of`` reads rules from a table of at most ``MAX_RULES`` rows and ``MAX_RULE_BYTES`` (an error
+beyond: the automaton goes to every task).
 
 Defined results: null urls and urls without ``://`` have empty host and path and fit no rule; the method's globs
-need a host, so such rows are allowed; repeated rows and null ids are kept.
+need a host, so such rows are allowed; any character may stand in a url, NUL and line ends too; repeated rows and null ids are kept.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,27 +29,39 @@ from ledgerline.llm import textbuf as tb
 
 # fixed values: the rules (verdict, host, path)
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
-#: the method's own verdicts, as globs over ``.host`` NUL ``path``
-BLOCK_GLOBS = ("*.spam-*\0*", "*-farm.*\0*", "*.cheap-*\0*", "*-pills.*\0*")
-SEPARATOR = "\0"
+#: words that a label of a blocked host begins with, or ends with, beside a hyphen
+FIRST_WORDS = ("spam", "cheap", "casino", "warez", "replica", "payday")
+LAST_WORDS = ("farm", "pills", "casino", "spam", "warez", "replicas", "loans")
+#: the method's own verdicts: (glob over ``.host``, glob over the path)
+BLOCK_GLOBS = tuple((f"*.{w}-*", "*") for w in FIRST_WORDS) + tuple((f"*-{w}.*", "*") for w in LAST_WORDS)
+SEPARATOR = 0xFF
+STAR = 256
+MAX_RULES, MAX_RULE_BYTES = 20_000, 1 << 20
+#: state words of a block of URLs
+BLOCK_WORDS = 1 << 21
+
+
+def glob(text: str) -> list[int]:
+    """Bytes and STAR of a text in which ``*`` stands for anything."""
+    return [STAR if c == ord("*") else c for c in text.encode()]
 
 
 class ShiftAnd:
-    """Globs (literal characters and ``*``) over bytes, matched against whole strings."""
+    """Globs (lists of bytes and STAR) over bytes, matched against whole strings."""
 
-    def __init__(self, globs):
-        self.globs = [g.encode() for g in globs]
-        bits = sum(len(g) + 1 for g in self.globs)
-        self.words = (bits + 63) // 64
+    def __init__(self, globs: list[list[int]]):
+        self.n = len(globs)
+        bits = sum(len(g) + 1 for g in globs)
+        self.words = max(1, (bits + 63) // 64)
         mask = np.zeros((256, self.words), np.uint64)
         loop, star, start = (np.zeros(self.words, np.uint64) for _ in range(3))
         put = lambda a, b: a.__setitem__(b >> 6, a[b >> 6] | np.uint64(1 << (b & 63)))
         at, self.accept = 0, []
-        for g in self.globs:
+        for g in globs:
             # bit k of a glob: its first k characters are read
             put(start, at)
             for k, c in enumerate(g):
-                if c == ord("*"):
+                if c == STAR:
                     put(loop, at + k + 1)
                     put(star, at + k)
                 else:
@@ -68,7 +86,7 @@ class ShiftAnd:
     def match(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """rows x globs: whether the whole string fits."""
         n = np.diff(off)
-        out = np.zeros((len(n), len(self.globs)), bool)
+        out = np.zeros((len(n), self.n), bool)
         order = np.argsort(-n, kind="stable")
         state = self._skip(np.tile(self.start, (len(n), 1)))
         at = off[:-1][order]
@@ -93,27 +111,57 @@ def host_path(url):
     return host, path
 
 
+def canonical_host(host: str) -> str:
+    """The host without user, port and final dot."""
+    return re.sub(r":[0-9]*\Z", "", host.rpartition("@")[2]).removesuffix(".")
+
+
+def rules_of(table: DataFrame) -> list[tuple[str, str, str]]:
+    """(verdict, host, path) of a rule table with these columns, different ones in order; a bounded number of them."""
+    rules = table.select(*(F.col(c).cast("string").alias(c) for c in ("verdict", "host", "path"))).distinct()
+    unfit = ~F.col("verdict").isin("allow", "block") | ~F.startswith("path", F.lit("/")) | (F.col("host") == "")
+    n, size, bad = rules.agg(F.count(F.lit(1)), F.sum(F.octet_length("host") + F.octet_length("path")), F.count_if(F.coalesce(unfit, F.lit(True)))).first()
+    if bad:
+        raise ValueError(f"{bad} rules without a verdict of allow or block, a host, or a path that begins with /")
+    if n > MAX_RULES or (size or 0) > MAX_RULE_BYTES:
+        raise ValueError(f"{n} rules of {size} bytes: more than {MAX_RULES} or {MAX_RULE_BYTES}")
+    return sorted((r.verdict, r.host, r.path) for r in rules.collect())
+
+
 def _judge(rules, block_globs):
-    """Longest rule first: host length, then path length."""
+    """Longest rule first: by length of host and path, then of the host."""
     ranked = sorted(rules, key=lambda r: (len(r[1]) + len(r[2]), len(r[1])), reverse=True)
-    auto = ShiftAnd([f"*.{h}{SEPARATOR}{p}*" for _, h, p in ranked] + list(block_globs))
+    own = [[*glob(h), SEPARATOR, *glob(p)] for h, p in block_globs]
+    literal = [[STAR, *f".{h}".encode(), SEPARATOR, *p.encode(), STAR] for _, h, p in ranked]
+    everything, only_own = ShiftAnd(literal + own), ShiftAnd(own)
     names = pa.array([f"{h}{p}" for _, h, p in ranked] + [None], pa.string())
-    verdicts = np.array([v for v, _, _ in ranked])
+    verdicts = np.array([v for v, _, _ in ranked] + ["allow"])
+
+    def fits(auto, hosts, paths):
+        text = [b".%s%c%s" % (h.encode(), SEPARATOR, p.encode()) if h else b"" for h, p in zip(hosts, paths)]
+        off = np.concatenate([[0], np.cumsum([len(t) for t in text])]).astype(np.int64)
+        return auto.match(np.frombuffer(b"".join(text), np.uint8), off)
+
+    def judged(hosts, paths):
+        found = fits(everything, hosts, paths)
+        by_rule, by_glob = found[:, : len(ranked)], found[:, len(ranked) :].any(axis=1)
+        names_ = [canonical_host(h) for h in hosts]
+        odd = [i for i, (h, c) in enumerate(zip(hosts, names_)) if h != c]
+        if odd:
+            by_glob[odd] = fits(only_own, [names_[i] for i in odd], [paths[i] for i in odd]).any(axis=1)
+        none = ~by_rule.any(axis=1)
+        best = np.where(none, len(ranked), by_rule.argmax(axis=1) if len(ranked) else 0)
+        return best, np.where(none, np.where(by_glob, "block", "allow"), verdicts[best])
 
     def run(batches):
+        step = max(1, BLOCK_WORDS // everything.words)
         for batch in batches:
-            hosts = batch.column("host").to_pylist()
-            paths = batch.column("path").to_pylist()
-            text = [f".{h}{SEPARATOR}{p}".encode() if h else b"" for h, p in zip(hosts, paths)]
-            off = np.concatenate([[0], np.cumsum([len(t) for t in text])]).astype(np.int64)
-            fits = auto.match(np.frombuffer(b"".join(text), np.uint8), off)
-            by_rule, by_glob = fits[:, : len(ranked)], fits[:, len(ranked) :].any(axis=1)
-            none = ~by_rule.any(axis=1)
-            best = np.where(none, len(ranked), by_rule.argmax(axis=1) if len(ranked) else 0)
-            verdict = np.where(none, np.where(by_glob, "block", "allow"), np.append(verdicts, "allow")[best])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("host"), batch.column("path"), names.take(pa.array(best)), pa.array(verdict.tolist(), pa.string())], ["page_id", "host", "path", "rule", "verdict"]
-            )
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
+                best, verdict = judged(part.column("host").to_pylist(), part.column("path").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("page_id"), part.column("host"), part.column("path"), names.take(pa.array(best)), pa.array(verdict.tolist(), pa.string())], ["page_id", "host", "path", "rule", "verdict"]
+                )
 
     return run
 

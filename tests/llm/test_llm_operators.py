@@ -7,11 +7,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, chat_format, decontamination, near_dedup, quality, repeats, secret_scan, token_files, toxicity, url_filter
+from ledgerline.llm import bpe, chat_format, decontamination, near_dedup, quality, queries, repeats, secret_scan, token_files, toxicity, url_filter
 from ledgerline.llm.queries import tokenizer_path
 
 sha = lambda b: hashlib.sha256(b).hexdigest()
@@ -494,17 +495,18 @@ def test_toxicity_without_labels(spark, docs, empty):
 # 8 ------------------------------------------------------------------------------------------------
 
 
-def brute_url(url):
+def brute_url(url, rules=url_filter.RULES):
     host = path = ""
     if url and "://" in url:
         rest = url.split("://", 1)[1]
         host = re.sub("[A-Z]", lambda m: m.group().lower(), re.split(r"[/?#]", rest)[0])
         path = re.split(r"[?#]", rest)[0][len(host) :]
-    fits = [(len(h) + len(p), h + p, v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    fits = [(len(h) + len(p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
     if fits:
         _, rule, verdict = max(fits)
         return host, path, rule, verdict
-    bad = bool(host) and re.search(r"\.spam-|-farm\.|\.cheap-|-pills\.", "." + host)
+    name = re.sub(r"\.\Z", "", re.sub(r":[0-9]*\Z", "", re.sub(r"\A[\s\S]*@", "", host)))
+    bad = bool(host) and re.search(r"\.(spam|cheap|casino|warez|replica|payday)-|-(farm|pills|casino|spam|warez|replicas|loans)\.", "." + name)
     return host, path, None, "block" if bad else "allow"
 
 
@@ -526,12 +528,65 @@ def test_url_filter_line_ends(spark):
     assert Counter(got) == Counter((i, *brute_url(u)) for i, u in enumerate(urls))
 
 
+def odd_urls():
+    """Urls with NUL, line ends, users, ports, final dots and characters that globs and statements treat specially."""
+    hosts = ["evil.org", "x.net", "a.example.com", "user@a.payday-x.org", "b.payday-x.org:8080", "x-loans.", "x-loans.:", "c@d@e.my-warez.org.", "[::1]:80", ":80", "a*b.net", "a%_.net"]
+    paths = ["/x.com\0/y", "\0.com/en/", "\0", "/en/\0", "/es/\n", "/fr/*", "/%", ".com/"]
+    return [f"http://{h}{p}" for h in hosts for p in paths] + ["http://evil.org\0.com/z", "a\0://x.net/es/"]
+
+
+def test_url_filter_odd_characters(spark):
+    data = list(enumerate(odd_urls()))
+    got = rows(url_filter.judge_urls(spark.createDataFrame(data, "page_id long, url string")))
+    assert Counter(got) == Counter((i, *brute_url(u)) for i, u in data)
+    assert {r[4] for r in got} == {"allow", "block"} and dict((r[0], r[3]) for r in got)[0] is None
+
+
+def test_url_filter_statement_on_odd_characters(spark):
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar)")
+    urls = [u for u in odd_urls() if "\0" not in u] + [f"http://example.com/en/{c}x{c}" for c in ("\n", "\r\n", "\u2028")] + [None, "", "no url"]
+    con.executemany("insert into pages values (?, ?)", list(enumerate(urls)))
+    want = con.sql(f"select page_id, host, path, rule, verdict from ({queries.ORACLES['op8_url_filter']})").fetchall()
+    assert Counter(want) == Counter((i, *brute_url(u)) for i, u in enumerate(urls))
+
+
+def test_url_filter_rules_of_a_table(spark, monkeypatch):
+    """Hundreds of rules from a table, with wildcard characters as literals, in blocks of few urls."""
+    monkeypatch.setattr(url_filter, "BLOCK_WORDS", 1000)
+    rng = random.Random(6)
+    names = ["a", "b", "a*", "x"]
+    host = lambda: ".".join(rng.choice(names) for _ in range(rng.randint(1, 4)))
+    path = lambda: "/" + "".join(rng.choice(["a/", "b", "*", "?"]) for _ in range(rng.randint(0, 3))).replace("?", "")
+    table = {(host(), path()): rng.choice(["allow", "block"]) for _ in range(500)}
+    rules = [(v, h, p) for (h, p), v in table.items()]
+    df = spark.createDataFrame(rules + rules[:50], "verdict string, host string, path string").withColumn("note", F.lit(1))
+    got_rules = url_filter.rules_of(df)
+    assert got_rules == sorted(rules) and len(rules) > 200
+    urls = [f"http://{host()}{path()}" for _ in range(400)]
+    got = rows(url_filter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), got_rules))
+    want = []
+    for i, u in enumerate(urls):
+        h, p = u[7:].split("/", 1)
+        p = "/" + p
+        fit = max(((len(x) + len(y), len(x), x + y, v) for v, x, y in rules if f".{h}".endswith(f".{x}") and p.startswith(y)), default=(0, 0, None, "allow"))
+        want.append((i, h, p, *fit[2:]))
+    assert Counter(got) == Counter(want) and sum(r[3] is not None for r in got) > 100
+    for bad in [("deny", "a", "/"), ("allow", "", "/"), ("allow", "a", "x"), (None, "a", "/"), ("allow", None, "/")]:
+        with pytest.raises(ValueError):
+            url_filter.rules_of(spark.createDataFrame([bad], "verdict string, host string, path string"))
+    monkeypatch.setattr(url_filter, "MAX_RULES", 10)
+    with pytest.raises(ValueError):
+        url_filter.rules_of(df)
+    assert url_filter.rules_of(df.limit(0)) == []
+
+
 def test_shift_and_equals_regex():
     rng = random.Random(8)
     globs = ["".join(rng.choice("ab*") for _ in range(rng.randint(0, 7))) for _ in range(60)] + ["*" * 5, "a" * 70, "*".join("ab" * 20)]
     texts = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 9))).encode() for _ in range(200)] + [b"a" * 70, b"ab" * 30]
     off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    got = url_filter.ShiftAnd(globs).match(np.frombuffer(b"".join(texts), np.uint8), off)
+    got = url_filter.ShiftAnd([url_filter.glob(g) for g in globs]).match(np.frombuffer(b"".join(texts), np.uint8), off)
     for i, t in enumerate(texts):
         for j, g in enumerate(globs):
             assert got[i, j] == bool(re.fullmatch(g.replace("*", ".*"), t.decode())), (g, t)
