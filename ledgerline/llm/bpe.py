@@ -100,12 +100,50 @@ class HashTable:
         return out
 
 
-class WordCache:
-    """Ids of the words seen by a worker, by 63-bit word hash; starts anew once it is full.
+#: bytes of a word that its key holds as they are
+SHORT = 7
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(SHORT + 1)], np.uint64)
+
+
+def word_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A key of each word: up to SHORT bytes the bytes and their number themselves, below 2^60; longer words get 60 bits of
+    a hash above that, so equal keys of long words do not prove equal words."""
+    n = end - start
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, 8)[start]).view("<u8").ravel()
+    short = np.minimum(n, SHORT)
+    key = (eight & _KEEP[short]) | (short.astype(np.uint64) << np.uint64(56))
+    long = np.flatnonzero(n > SHORT)
+    key[long] = (tb.run_hashes(data, start[long], end[long]) >> np.uint64(4)) | np.uint64(1 << 60)
+    return key.astype(np.int64)
+
+
+def gathered(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of runs, one after the other, and the offsets of the runs in them."""
+    off = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+    return data[np.repeat(start - off[:-1], length) + np.arange(off[-1])], off
+
+
+class Growing:
+    """An array to whose end others are added."""
 
-    Words with equal hashes would share ids; with 2^20 words the chance is below 1e-7."""
+    def __init__(self, dtype, size: int = 1 << 12):
+        self.a, self.n = np.zeros(size, dtype), 0
 
-    WORDS = 1 << 20
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.a):
+            grown = np.zeros(max(2 * len(self.a), self.n + len(more)), self.a.dtype)
+            grown[: self.n] = self.a[: self.n]
+            self.a = grown
+        self.a[self.n : self.n + len(more)] = more
+        self.n += len(more)
+
+
+class WordCache:
+    """Ids of the words seen by a worker, by ``word_keys``. The bytes of long words are kept and compared, so
+    no two words share ids. Starts anew with more than WORDS words or BYTES bytes of long ones."""
+
+    WORDS, BYTES = 1 << 20, 1 << 26
 
     def __init__(self):
         self.clear()
@@ -113,25 +151,53 @@ class WordCache:
     def clear(self) -> None:
         none = np.zeros(0, np.int64)
         self.table = HashTable(none, none.astype(np.int32), 22)
-        self.ids, self.used = np.zeros(1 << 20, np.int32), 0
-        self.start, self.size, self.n = np.zeros(self.WORDS, np.int64), np.zeros(self.WORDS, np.int32), 0
-
-    def put(self, keys: np.ndarray, ids: np.ndarray, off: np.ndarray) -> None:
+        self.ids, self.bytes = Growing(np.int32, 1 << 20), Growing(np.uint8, 1 << 20)
+        self.start, self.size = Growing(np.int64), Growing(np.int32)
+        #: the bytes of a long word; 0 of them for a short one
+        self.at, self.length = Growing(np.int64), Growing(np.int64)
+        self.n = 0
+
+    def full(self) -> bool:
+        return self.n > self.WORDS or self.bytes.n > self.BYTES
+
+    def find(self, key: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Number of each word, -1 for words not seen (or whose key belongs to other bytes)."""
+        word = self.table.get(key).astype(np.int64)
+        n = end - start
+        long = np.flatnonzero((n > SHORT) & (word >= 0))
+        if len(long):
+            of = word[long]
+            word[long[self.length.a[of] != n[long]]] = -1
+            long = long[word[long] >= 0]
+            own, off = gathered(data, start[long], n[long])
+            kept, _ = gathered(self.bytes.a, self.at.a[word[long]], n[long])
+            if len(long):
+                word[long[np.logical_or.reduceat(own != kept, off[:-1])]] = -1
+        return word
+
+    def put(self, keys: np.ndarray, data: np.ndarray, off: np.ndarray, ids: np.ndarray, id_off: np.ndarray) -> np.ndarray:
+        """Add words (bytes ``data`` by ``off``) with their ids; returns their numbers. A word whose key is
+        taken gets a number, too, but is not found again."""
         k = len(keys)
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.n + k > len(self.start):
-            self.start, self.size = np.concatenate([self.start, np.zeros_like(self.start)]), np.concatenate([self.size, np.zeros_like(self.size)])
+        _, first = np.unique(keys, return_index=True)
+        first = first[self.table.get(keys[first]) < 0]
         if (self.n + k) * 2 > len(self.table.keys):
             old = self.table
             live = old.keys >= 0
             self.table = HashTable(old.keys[live], old.values[live], old.bits + 1)
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.start[self.n : self.n + k] = self.used + off[:-1]
-        self.size[self.n : self.n + k] = np.diff(off)
-        self.table.add(keys, np.arange(self.n, self.n + k, dtype=np.int32))
-        self.used += len(ids)
+        number = np.arange(self.n, self.n + k, dtype=np.int64)
+        self.table.add(keys[first], number[first].astype(np.int32))
+        n = np.diff(off)
+        n[n <= SHORT] = 0
+        kept, kept_off = gathered(data, off[:-1], n)
+        self.start.add(self.ids.n + id_off[:-1])
+        self.size.add(np.diff(id_off))
+        self.at.add(self.bytes.n + kept_off[:-1])
+        self.length.add(n)
+        self.ids.add(ids)
+        self.bytes.add(kept)
         self.n += k
+        return number
 
 
 class Vocabulary:
@@ -309,24 +375,22 @@ class Vocabulary:
             s_at, s_end, s_id = (np.array(x, np.int64) for x in zip(*special))
             k = np.maximum(np.searchsorted(s_at, start, "right") - 1, 0)
             inside = (start >= s_at[k]) & (start < s_end[k])
-        if self.words.n > WordCache.WORDS:
+        if self.words.full():
             self.words.clear()
         word = np.zeros(len(start), np.int64)
         if len(start):
-            key = (tb.run_hashes(data, start, end) >> np.uint64(1)).astype(np.int64)
-            word = self.words.table.get(key).astype(np.int64)
+            key = word_keys(data, start, end)
+            word = self.words.find(key, data, start, end)
             new = np.flatnonzero(word < 0)
             if len(new):
-                fresh, first, of = np.unique(key[new], return_index=True, return_inverse=True)
-                s, length = start[new[first]], (end - start)[new[first]]
-                u_off = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
-                flat = data[np.repeat(s - u_off[:-1], length) + np.arange(u_off[-1])]
-                ranks, r_off = self.encode_words(flat, u_off[:-1], u_off[1:])
-                base = self.words.n
-                self.words.put(fresh, self.id_of[ranks].astype(np.int32), r_off)
-                word[new] = base + of
-        size = np.where(inside, 0, self.words.size[word])
-        source = self.words.start[word]
+                _, first = np.unique(key[new], return_index=True)
+                self._learn(key, data, start, end, new[first])
+                word[new] = self.words.find(key[new], data, start[new], end[new])
+                other = np.flatnonzero(word < 0)  # long words whose key other bytes have
+                if len(other):
+                    word[other] = self._learn(key, data, start, end, other)
+        size = np.where(inside, 0, self.words.size.a[word])
+        source = self.words.start.a[word]
         if special:
             head = inside & (start == s_at[k])
             size[head] = 1
@@ -334,13 +398,19 @@ class Vocabulary:
         if total[-1]:
             shift = np.repeat(source - total[:-1], size)
             shift += np.arange(total[-1])
-            ids = self.words.ids[np.minimum(shift, len(self.words.ids) - 1)]
+            ids = self.words.ids.a[np.minimum(shift, len(self.words.ids.a) - 1)]
             if special:
                 ids[total[:-1][head]] = s_id[k[head]]
         else:
             ids = np.zeros(0, np.int32)
         return ids, total[np.searchsorted(start, off)]
 
+    def _learn(self, key: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Encode these words and keep their ids; returns their numbers."""
+        flat, off = gathered(data, start[which], (end - start)[which])
+        ranks, id_off = self.encode_words(flat, off[:-1], off[1:])
+        return self.words.put(key[which], flat, off, self.id_of[ranks].astype(np.int32), id_off)
+
     def decode(self, ids: np.ndarray) -> bytes:
         n = self.offset[ids + 1] - self.offset[ids]
         total = np.concatenate([[0], np.cumsum(n)])

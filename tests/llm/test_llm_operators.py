@@ -260,6 +260,21 @@ def test_bpe_cache_starts_anew(library, monkeypatch):
         assert ids.tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("bits", [0, 2])
+def test_bpe_compares_words(library, monkeypatch, bits):
+    """Words with equal hashes keep their own ids, within a slice, between slices, and after the cache starts anew."""
+    monkeypatch.setattr(bpe.tb, "run_hashes", lambda data, s, e: (e - s).astype(np.uint64) % (1 << bits) << np.uint64(60))
+    monkeypatch.setattr(bpe.WordCache, "BYTES", 300)
+    rng = random.Random(9)
+    v = bpe.Vocabulary(tokenizer_path())
+    words_ = ["".join(rng.choice("etaoin") for _ in range(rng.randint(1, 14))) for _ in range(60)] + ["\0", "\0\0", "a\0", "\0\0\0\0\0\0\0\0", "\0\0\0\0\0\0\0"]
+    for _ in range(12):
+        texts = [" ".join(rng.choice(words_) for _ in range(rng.randint(0, 30))) for _ in range(4)]
+        off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        ids, o = v.encode(np.frombuffer("".join(texts).encode(), np.uint8), off)
+        assert [ids[a:b].tolist() for a, b in zip(o[:-1], o[1:])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_token_files(spark, docs, library, tmp_path):
     out = str(tmp_path / "tokens")
     token_files.write(clashing(docs), out, tokenizer_path(), files=4, row_group_bytes=1 << 16, page_bytes=1 << 12)
