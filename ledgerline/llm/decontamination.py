@@ -9,9 +9,11 @@ of a shorter one) starts from the posting list of its rarest word in the segment
 further list, from rare to frequent, is intersected at its offset. What is left are the exact phrase matches.
 Proximity matches are windows all of whose words lie within ``SLOP`` words of the rarest one, in any order.
 
-The benchmark is sent to the tasks in blocks of at most ``BLOCK_BYTES`` of text (by a hash of the
-item); each block passes over the index and the documents' matches are united afterwards, so
-its size is bounded by nothing but the number of passes. Words are compared by 64-bit hashes.
+Spark cuts the benchmark into windows, reduces them to different ones, and groups windows that the same items
+hold (told by the number of items and 128 bits of their hashes), so that an item's windows found in a document are one row. Windows go to the
+tasks in blocks of about ``BLOCK_WINDOWS``, each with its group's number and without items or text: the only part of the benchmark
+that the driver holds at a time. Each block passes over the index; with several blocks each one's
+matches are stored before the next. Groups become items in a join afterwards. Words are compared by 64-bit hashes.
 
 Defined results: null or empty texts have no words and no hits; items without words have no window; a null item_id counts
 as the empty string; rows that repeat an item_id count as one item; rows that repeat a doc_id are judged each.
@@ -19,8 +21,6 @@ as the empty string; rows that repeat an item_id count as one item; rows that re
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -31,7 +31,8 @@ from ledgerline.llm import textbuf as tb
 
 WINDOW = 10
 SLOP = 15
-BLOCK_BYTES = 8 << 20
+#: query windows of a pass over the index, of WINDOW numbers each
+BLOCK_WINDOWS = 1 << 16
 
 #: bytes of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` words
 WORD_BYTE = tb.lookup(256, bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]), invert=True)
@@ -114,26 +115,43 @@ def build_index(docs: DataFrame) -> DataFrame:
     return tb.materialized(tb.id_text(docs).mapInArrow(_build, INDEX), "positional-index")
 
 
+def _cut(batches):
+    for rows, data, off in tb.text_slices(batches):
+        h, row = words(data, off)
+        n = np.bincount(row, minlength=rows.num_rows)
+        count = np.where(n > 0, np.maximum(1, n - WINDOW + 1), 0)
+        item = np.repeat(np.arange(rows.num_rows), count)
+        start = np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(np.cumsum(n) - n, count)
+        length = np.minimum(n, WINDOW)[item]
+        for lo in range(0, len(item), BLOCK_WINDOWS):
+            part = slice(lo, lo + BLOCK_WINDOWS)
+            o = np.concatenate([[0], np.cumsum(length[part])]).astype(np.int64)
+            terms = h[np.repeat(start[part] - o[:-1], length[part]) + np.arange(o[-1])].astype(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(o, pa.int32()), pa.array(terms))
+            yield pa.RecordBatch.from_arrays([rows.column("item").take(pa.array(item[part])), lists], ["item", "terms"])
+
+
+def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(terms, group) of the different windows, and (group, item)."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text")).distinct()
+    owned = tb.materialized(items.mapInArrow(_cut, "item string, terms array<long>").distinct(), "benchmark-windows")
+    owners = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("item")).alias("h"), F.bit_xor(F.xxhash64(F.lit(1), "item")).alias("g")]
+    windows = tb.materialized(owned.groupBy("terms").agg(*owners).withColumn("window", F.monotonically_increasing_id()), "benchmark-owners")
+    groups = windows.groupBy("n", "h", "g").agg(F.min("window").alias("group"))
+    grouped = tb.materialized(windows.join(groups, ["n", "h", "g"]).select("window", "terms", "group"), "benchmark-groups")
+    return grouped.select("terms", "group"), grouped.where("window = group").join(owned, "terms").select("group", "item")
+
+
 class Windows:
-    """Distinct query windows of a block of benchmark items."""
+    """Query windows of a block."""
 
-    def __init__(self, items: list[tuple[str, bytes]]):
-        data = np.frombuffer(b"".join(t for _, t in items), np.uint8)
-        off = np.concatenate([[0], np.cumsum([len(t) for _, t in items])]).astype(np.int64)
-        h, row = words(data, off)
-        n = np.bincount(row, minlength=len(items))
-        start = np.concatenate([[0], np.cumsum(n)])
-        of: dict[tuple, set] = {}
-        for i, (item, _) in enumerate(items):
-            w = h[start[i] : start[i + 1]]
-            for k in range(max(1, len(w) - WINDOW + 1)) if len(w) else ():
-                of.setdefault(tuple(w[k : k + WINDOW].tolist()), set()).add(item)
-        self.terms = np.unique(h)
-        self.length = np.array([len(k) for k in of], np.int64)
-        self.term = np.full((len(of), WINDOW), -1, np.int64)
-        for i, k in enumerate(of):
-            self.term[i, : len(k)] = np.searchsorted(self.terms, np.array(k, np.uint64))
-        self.items = [sorted(v) for v in of.values()]
+    def __init__(self, terms: pa.Array, group: np.ndarray):
+        off = terms.offsets.to_numpy().astype(np.int64)
+        h = terms.values.to_numpy().view(np.uint64)[off[0] : off[-1]]
+        self.length, self.group = np.diff(off), group
+        self.terms, place = np.unique(h, return_inverse=True)
+        self.term = np.full((len(group), WINDOW), -1, np.int64)
+        self.term[np.arange(WINDOW) < self.length[:, None]] = place
 
 
 def _lists(row: dict, terms: np.ndarray):
@@ -192,6 +210,12 @@ def matches(row: dict, q: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def _query(q: Windows):
+    groups, group_of = np.unique(q.group, return_inverse=True)
+
+    def lists(key, docs, values):
+        """The values of each document in ``docs`` (keys ascending) as an Arrow list."""
+        return pa.ListArray.from_arrays(pa.array(np.append(np.searchsorted(key, docs), len(key)), pa.int32()), values)
+
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -199,34 +223,25 @@ def _query(q: Windows):
                 if not len(w2) and not len(w):
                     continue
                 first = np.frombuffer(row["first"], np.int32).astype(np.int64)
+                doc = lambda at: np.searchsorted(first, at, "right") - 1
                 delta = np.zeros(row["span"] + 1, np.int64)
                 np.add.at(delta, start, 1)
                 np.add.at(delta, start + q.length[w], -1)
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], (np.cumsum(delta) > 0).astype(np.int8), [0]])))
                 a, b = edge[::2], edge[1::2]
-                out: dict[int, tuple[list, set, set]] = {}
-                get = lambda d: out.setdefault(int(d), ([], set(), set()))
-                for d, x, y in zip(np.searchsorted(first, a, "right") - 1, a, b):
-                    get(d)[0].append({"s": int(x - first[d]), "e": int(y - first[d])})
-                for d, k in set(zip((np.searchsorted(first, start, "right") - 1).tolist(), w.tolist())):
-                    get(d)[1].update(q.items[k])
-                for d, k in set(zip((np.searchsorted(first, near, "right") - 1).tolist(), w2.tolist())):
-                    get(d)[2].update(q.items[k])
+                exact = np.unique(doc(start) * len(groups) + group_of[w])
+                found = np.union1d(exact, doc(near) * len(groups) + group_of[w2])
+                docs = np.unique(np.concatenate([doc(a), found // len(groups)]))
+                ranges = pa.StructArray.from_arrays([pa.array(x - first[doc(a)], pa.int32()) for x in (a, b)], ["s", "e"])
+                owned = pa.StructArray.from_arrays([pa.array(groups[found % len(groups)], pa.int64()), pa.array(np.isin(found, exact))], ["group", "exact"])
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["segment"]] * len(out), pa.int64()),
-                        pa.array(list(out), pa.int32()),
-                        pa.array([v[0] for v in out.values()], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))),
-                        pa.array([sorted(v[1]) for v in out.values()], pa.list_(pa.string())),
-                        pa.array([sorted(v[2]) for v in out.values()], pa.list_(pa.string())),
-                    ],
-                    ["segment", "place", "ranges", "items", "near"],
+                    [pa.array(np.full(len(docs), row["segment"]), pa.int64()), pa.array(docs, pa.int32()), lists(doc(a), docs, ranges), lists(found // len(groups), docs, owned)], ["segment", "place", "ranges", "owned"]
                 )
 
     return run
 
 
-HITS = "segment long, place int, ranges array<struct<s:int,e:int>>, items array<string>, near array<string>"
+HITS = "segment long, place int, ranges array<struct<s:int,e:int>>, owned array<struct<group:long,exact:boolean>>"
 
 
 def _directory(batches):
@@ -244,31 +259,35 @@ def _directory(batches):
             )
 
 
-def _blocks(benchmark: DataFrame):
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "utf-8").alias("text"))
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, math.ceil(2 * size / BLOCK_BYTES)) if size > BLOCK_BYTES else 1
-    for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) if n > 1 else items
-        yield [(r["item"], bytes(r["text"])) for r in part.collect()]
+def _blocks(windows: DataFrame):
+    """The windows in blocks of about BLOCK_WINDOWS, one at a time."""
+    n = windows.count()
+    blocks = 1 if n <= BLOCK_WINDOWS else -(-2 * n // BLOCK_WINDOWS)
+    for k in range(blocks if n else 0):
+        part = (windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("terms"), F.lit(blocks)) == k)).toArrow().combine_chunks()
+        if part.num_rows:
+            terms, group = (part.column(c).combine_chunks() for c in ("terms", "group"))
+            yield Windows(terms, group.to_numpy()), blocks > 1
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, ranges (hit word ranges), items, near of every row."""
     index = build_index(docs)
-    hits = None
-    for block in _blocks(benchmark):
-        q = Windows(block)
-        if not q.items:
-            continue
+    windows, owners = benchmark_windows(benchmark)
+    hits = docs.sparkSession.createDataFrame([], HITS)
+    for q, stored in _blocks(windows):
         found = index.mapInArrow(_query(q), HITS)
-        hits = found if hits is None else hits.unionByName(found)
+        hits = hits.unionByName(tb.materialized(found, "benchmark-hits") if stored else found)
     directory = index.select("segment", "doc_ids", "nulls", "n_words").mapInArrow(_directory, "segment long, place int, doc_id long, n_words long")
-    if hits is None:
-        hits = docs.sparkSession.createDataFrame([], HITS)
-    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-    merged = hits.groupBy("segment", "place").agg(F.array_sort(F.flatten(F.collect_list("ranges"))).alias("ranges"), flat("items"), flat("near"))
-    return directory.join(merged, ["segment", "place"], "left").select("doc_id", "n_words", "ranges", *(F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in ("items", "near")))
+    own = hits.select("segment", "place", F.inline("owned")).join(owners, "group").groupBy("segment", "place", "item").agg(F.bool_or("exact").alias("exact"))
+    items = own.groupBy("segment", "place").agg(F.array_sort(F.collect_list(F.when(F.col("exact"), F.col("item")))).alias("items"), F.array_sort(F.collect_list("item")).alias("near"))
+    ranges = hits.groupBy("segment", "place").agg(F.array_sort(F.flatten(F.collect_list("ranges"))).alias("ranges"))
+    none = F.array().cast("array<string>")
+    return (
+        directory.join(ranges, ["segment", "place"], "left")
+        .join(items, ["segment", "place"], "left")
+        .select("doc_id", "n_words", "ranges", *(F.coalesce(c, none).alias(c) for c in ("items", "near")))
+    )
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -287,6 +306,6 @@ def digest(found: DataFrame) -> DataFrame:
 
 def reject_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) without any benchmark window. A row is told by its id and a hash of its text."""
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    bad = decontaminate(docs.select(key.alias("doc_id"), "text"), benchmark).where(F.size("items") > 0).select(F.col("doc_id").alias("llm_key")).distinct()
-    return docs.withColumn("llm_key", key).join(bad, "llm_key", "left_anti").select(*docs.columns)
+    key, name = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")), tb.free_name(docs, "llm_key")
+    bad = decontaminate(docs.select(key.alias("doc_id"), "text"), benchmark).where(F.size("items") > 0).select(F.col("doc_id").alias(name)).distinct()
+    return docs.withColumn(name, key).join(bad, name, "left_anti").select(*docs.columns)

@@ -135,6 +135,14 @@ def id_text(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialized(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back: later
     steps start from that table, so a lost executor costs no more than its own tasks."""

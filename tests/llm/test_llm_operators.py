@@ -418,9 +418,9 @@ def brute_decontamination(docs_, items):
     return out
 
 
-@pytest.mark.parametrize("block", [8 << 20, 200])
+@pytest.mark.parametrize("block", [1 << 16, 40])
 def test_decontamination(spark, docs, block, monkeypatch):
-    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontamination, "BLOCK_WINDOWS", block)
     texts = [t for _, t in rows(docs.select("doc_id", "text")) if t]
     long = sorted(texts, key=len)[-30:]
     items = [(i, " ".join(t.split()[3:25]).upper().lower()) for i, t in enumerate(long)] + [(100, None), (101, ""), (102, "two words"), (103, "ab"), (104, "line of"), (104, "x"), (10, "... !")]
@@ -431,6 +431,27 @@ def test_decontamination(spark, docs, block, monkeypatch):
     kept = decontamination.reject_contaminated(docs, bench)
     clean = Counter(d for (d, *_, bad), n in brute_decontamination(rows(docs.select("doc_id", "text")), items).items() for _ in range(n) if not bad)
     assert Counter(r.doc_id for r in kept.collect()) == clean
+    clash = docs.withColumns({"llm_key": F.lit("mine"), "LLM_key_": F.lit(2)})
+    own = decontamination.reject_contaminated(clash, bench)
+    assert own.columns == clash.columns and {r.llm_key for r in own.collect()} == {"mine"} and Counter(r.doc_id for r in own.collect()) == clean
+
+
+def test_decontamination_shared_windows(spark, monkeypatch):
+    """Items that share windows with each other, repeated items and repeated windows, against brute force."""
+    rng = random.Random(13)
+    some = lambda n: " ".join(rng.choice("abcdefghijkl") * rng.randint(1, 3) for _ in range(n))
+    head, tail = some(14), some(12)
+    items = [(f"i{k}", f"{head} {some(rng.randint(0, 9))} {tail if k % 3 else ''}") for k in range(40)]
+    items += items[:9] + [("i3", tail), ("i0", some(30)), (None, head), ("same", f"{head} {head}"), ("one", "zz"), ("one", "")]
+    data = [(k, f"{some(8)} {rng.choice([head, tail, items[k][1], some(10)])} {some(8)} {rng.choice(['zz', tail, ''])}") for k in range(40)]
+    df, bench = spark.createDataFrame(data, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id string, text string")
+    want = brute_decontamination(data, [("" if i is None else i, t) for i, t in items])
+    for block in (1 << 16, 25):
+        monkeypatch.setattr(decontamination, "BLOCK_WINDOWS", block)
+        assert Counter(rows(decontamination.digest(decontamination.decontaminate(df, bench)).drop("n_near"))) == want
+    windows, owners = decontamination.benchmark_windows(bench)
+    assert windows.distinct().count() == windows.count() and windows.select("group").distinct().count() < windows.count()
+    assert owners.distinct().count() == owners.count()
 
 
 def test_decontamination_proximity(spark):
