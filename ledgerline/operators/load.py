@@ -6,7 +6,7 @@ columns. The incremental path reads one scalar back to the driver (the high
 water mark, as a string so no time zone touches it; kept in a one-row state
 file beside the data so no run scans the target for it), filters strictly
 newer rows, drops rows whose key the target already holds (semi-join of the
-target keys to the increment, then ``left_anti``: the ``ON CONFLICT DO
+keys of those files that may hold one (``key_ranges``) to the increment, then ``left_anti``: the ``ON CONFLICT DO
 NOTHING`` of the reference) and appends. Re-running the same load therefore
 appends nothing.
 
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.operators import key_ranges
 from ledgerline.operators.validate import keep_first
 from ledgerline.schemas import (
     AUDIT_LOADED_AT,
@@ -271,7 +272,7 @@ def load_table(
             staged = f"{target_path.rstrip('/')}.__increment-{uuid.uuid4().hex[:10]}"
             new.write.parquet(staged)
             new = spark.read.schema(new.schema).parquet(staged)
-        new = anti_existing(new, target, spec.pk)
+        new = anti_existing(new, key_ranges.may_hold(target, target_path, new, spec), spec.pk)
     obs = Observation()
     out = new.observe(
         obs,
@@ -290,6 +291,8 @@ def load_table(
     new_wm = _later(wm, obs.get["max_created_at"]) if n else wm
     if n or not known:
         store_watermark(spark, target_path, new_wm)
+    if n and spec is not None:
+        key_ranges.add_new_files(spark, target_path, spec)
     return LoadResult(table, INCREMENTAL, "loaded" if n else "nothing new", n, wm)
 
 
