@@ -12,7 +12,7 @@ Proximity matches are windows all of whose words lie within ``SLOP`` words of th
 Spark cuts the benchmark into windows, reduces them to different ones, and groups windows that the same items
 hold (told by the number of items and 128 bits of their hashes), so that an item's windows found in a document are one row. Windows go to the
 tasks in blocks of about ``BLOCK_WINDOWS``, each with its group's number and without items or text: the only part of the benchmark
-that the driver holds at a time. Each block passes over the index; with several blocks each one's
+that the driver holds at a time. Each block passes over the index once, and its
 matches are stored before the next. Groups become items in a join afterwards. Words are compared by 64-bit hashes.
 
 Defined results: null or empty texts have no words and no hits; items without words have no window; a null item_id counts
@@ -267,7 +267,7 @@ def _blocks(windows: DataFrame):
         part = (windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("terms"), F.lit(blocks)) == k)).toArrow().combine_chunks()
         if part.num_rows:
             terms, group = (part.column(c).combine_chunks() for c in ("terms", "group"))
-            yield Windows(terms, group.to_numpy()), blocks > 1
+            yield Windows(terms, group.to_numpy())
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -275,9 +275,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     index = build_index(docs)
     windows, owners = benchmark_windows(benchmark)
     hits = docs.sparkSession.createDataFrame([], HITS)
-    for q, stored in _blocks(windows):
-        found = index.mapInArrow(_query(q), HITS)
-        hits = hits.unionByName(tb.materialized(found, "benchmark-hits") if stored else found)
+    for q in _blocks(windows):
+        hits = hits.unionByName(tb.materialized(index.mapInArrow(_query(q), HITS), "benchmark-hits"))
     directory = index.select("segment", "doc_ids", "nulls", "n_words").mapInArrow(_directory, "segment long, place int, doc_id long, n_words long")
     own = hits.select("segment", "place", F.inline("owned")).join(owners, "group").groupBy("segment", "place", "item").agg(F.bool_or("exact").alias("exact"))
     items = own.groupBy("segment", "place").agg(F.array_sort(F.collect_list(F.when(F.col("exact"), F.col("item")))).alias("items"), F.array_sort(F.collect_list("item")).alias("near"))
