@@ -9,15 +9,19 @@ surroundings is longer than the network's ``WINDOW`` gets windows every ``STEP``
 highest score counts. Texts without the
 literal beginnings of a pattern skip the regular expressions (a necessary condition, so
 nothing is lost). A character CNN (embedding, two convolution widths, max-pooling, logistic output;
-numpy only) is trained on labelled findings: candidates inside base spans (the part inside the base finding's value) are positive, the others
-unlabelled; ``TRAIN_PER_CLASS`` different ones of each (copies count once), the smallest by a hash. A positive is shown as it is
+numpy only) is trained on all different labelled findings (copies count once): candidates inside base spans (the part inside the base
+finding's value) are positive, the others unlabelled. A positive is shown as it is
 and with the surroundings of an unlabelled candidate, so that its shape has to be learnt and not the base keyword.
 Unlabelled candidates may be secrets that the base patterns miss: those that a network fitted on the other
 half of them scores like the positives are left out, the rest are the negatives.
-Its scores are calibrated by a logistic (Platt) fit on a quarter of the sample that training did not see, and the threshold
+Its scores are calibrated by a logistic (Platt) fit on the quarter of the candidates that training did not see, and the threshold
 is the highest that keeps a recall of ``RECALL`` there, among the positives as they are and among those in other surroundings.
 Candidates at or above it become ``cnn`` spans.
 
+Training is shared out: candidates are dealt by hash into parts of about ``TRAIN_PER_CLASS`` of a class, a task fits the network on its
+part, and the mean of the parts' weights starts the next of ``ROUNDS`` rounds (one round if there is one part). Bars and the threshold are
+exact order statistics of all scores, counted in two histograms. The driver sees weights, counts and histograms only.
+
 Defined results: null or empty texts have no spans; without two different findings of both classes the network adds
 nothing; null ids and repeated rows are kept, each row judged alone.
 """
@@ -40,7 +44,10 @@ from ledgerline.llm import textbuf as tb
 CONTEXT = 24
 WINDOW = 96
 STEP = 24
-TRAIN_PER_CLASS = 1000
+#: candidates of a class in a part of the training rows, about; a class with fewer than ``PART_LEAST`` a part is dealt more than once
+TRAIN_PER_CLASS, PART_LEAST = 1000, 16
+#: times that the parts' weights are averaged
+ROUNDS = 3
 RECALL = 0.98
 KINDS = ("assign", "access", "hex", "cnn")
 #: letters in a row that make a run without digits a candidate
@@ -264,9 +271,9 @@ class CharCNN:
                 np.add.at(g["embed"], x[rows, top + k], back[:, :, k * self.DIM : (k + 1) * self.DIM])
         return g
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, batch: int = 64, rate: float = 0.003, steps: int = 400) -> None:
-        """Adam steps: ``epochs`` times over the rows, ``steps`` at least (small samples are not seen often enough otherwise)."""
-        g = np.random.default_rng(11)
+    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, batch: int = 64, rate: float = 0.003, steps: int = 400, seed: int = 11) -> None:
+        """Adam steps: ``epochs`` times over the rows, ``steps`` at least (few rows are not seen often enough otherwise)."""
+        g = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         s = {k: np.zeros_like(v) for k, v in self.p.items()}
         t = 0
@@ -281,15 +288,28 @@ class CharCNN:
                     self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
 
     def calibrate(self, x: np.ndarray, y: np.ndarray, views: list[np.ndarray], recall: float) -> None:
-        """Platt scaling by gradient steps, then the highest threshold with that recall in each view of the positives."""
-        z = self.forward(x)
+        """Platt scaling, then the highest threshold with that recall in each view of the positives."""
+        self.platt(self.forward(x), y)
+        self.threshold = min(recall_threshold(self.probability(v), recall) for v in views)
+
+    def platt(self, z: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> None:
+        """Slope and offset of the scores ``z`` (each ``n`` times) by gradient steps."""
         a, b = 1.0, 0.0
         for _ in range(300):
             d = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30))) - y
-            a -= 0.05 * float((d * z).mean())
-            b -= 0.5 * float(d.mean())
+            a -= 0.05 * float(np.average(d * z, weights=n))
+            b -= 0.5 * float(np.average(d, weights=n))
         self.slope, self.offset = a, b
-        self.threshold = min(recall_threshold(self.probability(v), recall) for v in views)
+
+    def weights(self) -> np.ndarray:
+        return np.concatenate([v.ravel() for v in self.p.values()])
+
+    def load(self, weights) -> "CharCNN":
+        at = 0
+        for k, v in self.p.items():
+            self.p[k] = np.asarray(weights[at : at + v.size], np.float32).reshape(v.shape)
+            at += v.size
+        return self
 
     def scores(self, rows: list) -> np.ndarray:
         """Probability of each candidate (context, at, length): the highest over the windows of its run."""
@@ -303,9 +323,16 @@ class CharCNN:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.forward(x) + self.offset, -30, 30)))
 
 
+def candidates(found: DataFrame) -> DataFrame:
+    """context, at, length, label and a hash of all different candidates."""
+    c = found.select(F.explode("findings").alias("f")).where("f.kind = 'cnn'").select("f.context", "f.at", (F.col("f.end") - F.col("f.start")).alias("length"), "f.label")
+    return c.where("label != 2").distinct().withColumn("h", F.xxhash64("context", "at"))
+
+
 def sample(found: DataFrame) -> list:
-    """Of each label ``TRAIN_PER_CLASS`` different candidates (context, at, length, label), the smallest by hash."""
-    c = found.select(F.explode("findings").alias("f")).where("f.kind = 'cnn'").select("f.context", "f.at", (F.col("f.end") - F.col("f.start")).alias("length"), "f.label").distinct().withColumn("h", F.xxhash64("context", "at"))
+    """Of each label the ``TRAIN_PER_CLASS`` first candidates by hash. Nothing is learnt from them as such: ``dealt`` puts them on both sides
+    where the hash alone leaves a side without a class (of a few candidates then)."""
+    c = candidates(found)
     return [r for k in (0, 1) for r in c.where(F.col("label") == k).orderBy("h", "context", "at", "length").limit(TRAIN_PER_CLASS).collect()]
 
 
@@ -334,7 +361,7 @@ def recall_threshold(p: np.ndarray, recall: float) -> float:
 def elsewhere(positive: list, others: list) -> list[dict]:
     """Each positive's characters between those around one of ``others``."""
     out = []
-    for i, r in enumerate(positive):
+    for i, r in enumerate(positive if others else []):
         o = others[i % len(others)]
         left, right = o["context"][: o["at"]], o["context"][o["at"] + o["length"] :]
         out.append({"context": left + r["context"][r["at"] : r["at"] + r["length"]] + right, "at": o["at"], "length": r["length"]})
@@ -350,45 +377,159 @@ def _codes(rows: list) -> np.ndarray:
     return CharCNN.encode([c for c, _ in picked], [a for _, a in picked])
 
 
-def _fitted(positive: list, others: list, negative: np.ndarray) -> CharCNN:
-    """A network fitted on ``negative`` against the positives as they are and in the surroundings of ``others``."""
-    x = np.concatenate([_codes(positive), _codes(elsewhere(positive, others)), negative])
-    net = CharCNN()
-    net.fit(x, (np.arange(len(x)) < 2 * len(positive)).astype(np.float32))
-    return net
+def dealt(found: DataFrame) -> tuple[DataFrame, int, bool] | None:
+    """All different candidates with the side they are on (``held`` for calibration) and their part, the number of parts, and whether
+    there are enough to judge the unlabelled ones. None if a class is missing on a side."""
+    c = tb.materialized(candidates(found), "secret-candidates")
+    held = F.col("h") % 4 == 0
+    seen = c.groupBy("label", held.alias("held")).count().collect()
+    n = {k: sum(r["count"] for r in seen if r["label"] == k) for k in (0, 1)}
+    if not all(n.values()):
+        return None
+    if len(seen) < 4:
+        few = sample(found)
+        side = {r["h"]: bool(m) for r, m in zip(few, held_out(few))}
+        held = F.when(F.col("h").isin(list(side)), F.col("h").isin([h for h, m in side.items() if m])).otherwise(held)
+        if c.select("label", held.alias("held")).distinct().count() < 4:
+            return None
+    parts = -(-max(n.values()) // TRAIN_PER_CLASS)
+    copies = {k: min(parts, -(-PART_LEAST * parts // n[k])) for k in (0, 1)}
+    copy = F.explode(F.sequence(F.lit(0), F.when(F.col("label") == 1, copies[1] - 1).otherwise(copies[0] - 1)))
+    rows = c.select("*", held.alias("held"), copy.alias("copy"))
+    part = F.pmod(F.pmod(F.xxhash64(F.lit(5), "h"), F.lit(parts)) + F.col("copy"), F.lit(parts)).cast("int")
+    return rows.select("context", "at", "length", "label", "h", "held", F.lit(True).alias("sure"), part.alias("part")), parts, min(n.values()) >= 4
+
+
+def _by_part(rows: DataFrame, run, schema: str) -> DataFrame:
+    """What ``run`` (rows of a part in order -> dicts) makes of each part."""
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def one(table: pa.Table) -> pa.Table:
+        given = sorted(table.to_pylist(), key=lambda r: (r["held"], r["h"], r["context"], r["at"], r["length"]))
+        out = list(run(given))
+        types = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "string": pa.string(), "array<float>": pa.list_(pa.float32())}
+        return pa.table({k: pa.array([r[k] for r in out], types[f.split()[1]]) for k, f in zip(names, schema.split(", "))})
+
+    return rows.groupBy("part").applyInArrow(one, schema)
+
+
+def _class(given: list, label: int, held: bool | None = None) -> list:
+    return [r for r in given if r["label"] == label and held in (None, r["held"])]
+
+
+def _halves(rows: list, parts: int) -> tuple[list, list]:
+    """Every second row; the copies of a row in several parts have one half."""
+    if parts == 1:
+        return rows[::2], rows[1::2]
+    return [r for r in rows if not r["h"] >> 8 & 1], [r for r in rows if r["h"] >> 8 & 1]
+
+
+def _fitted(rows: DataFrame, parts: int, sets, nets: int) -> list[CharCNN]:
+    """``nets`` networks fitted on what ``sets`` names of a part's rows: for each the positives, the unlabelled candidates that lend
+    their surroundings, and the negatives."""
+    start = [CharCNN().weights()] * nets
+    rounds = 1 if parts == 1 else ROUNDS
+
+    for turn in range(rounds):
+
+        def fit(given):
+            for k, (positive, others, negative) in enumerate(sets(given)):
+                x = np.concatenate([_codes(positive), _codes(elsewhere(positive, others)), _codes(negative)])
+                if len(x):
+                    net = CharCNN().load(start[k])
+                    y = (np.arange(len(x)) < len(x) - len(negative)).astype(np.float32)
+                    net.fit(x, y, epochs=-(-6 // rounds), steps=-(-400 // rounds), seed=11 + turn)
+                    yield {"net": k, "n": len(x), "weights": net.weights()}
+
+        found = _by_part(rows, fit, "net int, n long, weights array<float>").select("net", "n", F.posexplode("weights").alias("pos", "w"))
+        mean = found.groupBy("net", "pos").agg((F.sum(F.col("n") * F.col("w").cast("double")) / F.sum("n")).alias("w")).collect()
+        for k in {r["net"] for r in mean}:
+            start[k] = np.array([r["w"] for r in sorted((r for r in mean if r["net"] == k), key=lambda r: r["pos"])])
+    return [CharCNN().load(w) for w in start]
+
+
+def _score_rows(view: int, scores: np.ndarray):
+    """Scores as the whole numbers of their bits, which sort alike (they are not negative)."""
+    return ({"view": view, "bits": b} for b in np.asarray(scores, np.float32).view(np.int32).tolist())
+
+
+def recall_bars(scores: DataFrame, recall: float) -> dict[int, float]:
+    """``recall_threshold`` of the scores (view, bits) of each view: a histogram by their upper bits, and one inside the cell met."""
+    cell = F.shiftright("bits", 14)
+    upper = scores.groupBy("view", cell.alias("cell")).count().collect()
+    met = {}
+    for view in {r["view"] for r in upper}:
+        own = sorted((r["cell"], r["count"]) for r in upper if r["view"] == view)
+        n = sum(m for _, m in own)
+        left = n - int(np.ceil(recall * n - 1e-9))
+        for at, m in own:
+            if left < m:
+                met[view] = (at, left)
+                break
+            left -= m
+    bars = {}
+    for view, (at, left) in met.items():
+        for r in scores.where((F.col("view") == view) & (cell == at)).groupBy("bits").count().orderBy("bits").collect():
+            if left < r["count"]:
+                bars[view] = float(np.array([r["bits"]], np.int32).view(np.float32)[0]) - 1e-6
+                break
+            left -= r["count"]
+    return bars
 
 
-def sure_negatives(positive: list, others: list) -> np.ndarray:
-    """Mask of the unlabelled candidates that score below the recall quantile of the positives in their surroundings, by a
+def sure_negatives(rows: DataFrame, parts: int) -> DataFrame:
+    """``rows`` with ``sure``: whether an unlabelled candidate scores below the recall quantile of the positives in their surroundings, by a
     network that was fitted on the other half of both."""
-    sure = np.ones(len(others), bool)
-    if min(len(positive), len(others)) < 4:
-        return sure
-    for k in (0, 1):
-        seen, rest = others[1 - k :: 2], others[k::2]
-        net = _fitted(positive[1 - k :: 2], seen, _codes(seen))
-        bar = recall_threshold(net.scores(elsewhere(positive[k::2], rest)), RECALL)
-        sure[k::2] = net.scores(rest) < bar
-    return sure if sure.any() else ~sure
+    halves = lambda given: list(zip(_halves(_class(given, 1), parts), _halves(_class(given, 0), parts)))
+    nets = _fitted(rows, parts, lambda given: [(p, o, o) for p, o in reversed(halves(given))], 2)
+
+    def shown(given):
+        for k, (positive, rest) in enumerate(halves(given)):
+            yield from _score_rows(k, nets[k].scores(elsewhere(positive, rest)))
+
+    bars = recall_bars(tb.materialized(_by_part(rows, shown, "view int, bits int"), "secret-scores"), RECALL)
+
+    def judge(given):
+        yield from _class(given, 1)
+        for k, (_, rest) in enumerate(halves(given)):
+            for r, score in zip(rest, nets[k].scores(rest)):
+                yield {**r, "sure": bool(score < bars.get(k, 2.0))}
+
+    names = {"context": "string", "at": "int", "length": "int", "label": "int", "h": "long", "held": "boolean", "sure": "boolean", "part": "int"}
+    return tb.materialized(_by_part(rows, judge, ", ".join(f"{k} {t}" for k, t in names.items())), "secret-judged")
 
 
 def train(found: DataFrame) -> CharCNN | None:
-    """Fit and calibrate on a bounded sample of labelled candidates; None if a class is missing."""
-    rows = sample(found)
-    held = held_out(rows)
-    part = {(k, side): [r for r, h in zip(rows, held) if r["label"] == k and h == side] for k in (0, 1) for side in (False, True)}
-    if not all(part.values()):
+    """Fit and calibrate on all different labelled candidates; None if a class is missing."""
+    given = dealt(found)
+    if given is None:
         return None
-    both = part[0, False] + part[0, True]
-    sure = sure_negatives(part[1, False] + part[1, True], both)
-    kept = {id(r) for r, m in zip(both, sure) if m}
-    negative = {side: [r for r in part[0, side] if id(r) in kept] or part[0, side] for side in (False, True)}
-    net = _fitted(part[1, False], part[0, False], _codes(negative[False]))
-    views = [part[1, True], elsewhere(part[1, True], part[0, True])]
-    codes = [_codes(v) for v in views]
-    x = np.concatenate([*codes, _codes(negative[True])])
-    net.calibrate(x, (np.arange(len(x)) < 2 * len(part[1, True])).astype(np.float32), codes, RECALL)
-    net.threshold = min(recall_threshold(net.scores(v), RECALL) for v in views)  # by whole candidates, as they are judged
+    rows, parts, enough = given
+    sure = (True, True)  # by side: whether there are sure negatives (if not, all unlabelled ones count)
+    if enough:
+        rows = sure_negatives(rows, parts)
+        left = {r["held"] for r in rows.where("label = 0 and sure").select("held").distinct().collect()}
+        sure = (False in left, True in left)
+    negatives = lambda given, held: [r for r in _class(given, 0, held) if r["sure"] or not sure[held]]
+    (net,) = _fitted(rows, parts, lambda given: [(_class(given, 1, False), _class(given, 0, False), negatives(given, False))], 1)
+    kept = rows.where("held")
+    views = lambda given: [_class(given, 1), elsewhere(_class(given, 1), _class(given, 0))]
+
+    def logits(given):
+        for y, part in ((1, views(given)[0]), (1, views(given)[1]), (0, negatives(given, True))):
+            for lo in range(0, len(part), 512):
+                z = net.forward(_codes(part[lo : lo + 512]))
+                yield from ({"y": y, "cell": c} for c in np.rint(np.clip(z, -32, 32) * 256).astype(int).tolist())
+
+    cells = _by_part(kept, logits, "y int, cell int").groupBy("y", "cell").count().orderBy("y", "cell").collect()
+    net.platt(*(np.array([f(r) for r in cells], float) for f in (lambda r: r["cell"] / 256, lambda r: r["y"], lambda r: r["count"])))
+
+    def shown(given):
+        for k, view in enumerate(views(given)):
+            yield from _score_rows(k, net.scores(view))
+
+    bars = recall_bars(tb.materialized(_by_part(kept, shown, "view int, bits int"), "secret-scores"), RECALL)
+    net.threshold = min(bars.values())  # by whole candidates, as they are judged
     return net
 
 

@@ -164,6 +164,34 @@ def test_secret_beside_base_spans(spark):
     assert secret_scan.blanked("abcdefgh", 1, 7, [(0, 2), (3, 4), (6, 9)]) == "\0c\0ef\0" and secret_scan.blanked("abc", 1, 3, [(0, 1)]) == "bc"
 
 
+def test_secret_training_takes_all_candidates(spark, monkeypatch):
+    """All different candidates are dealt into parts and fitted on, a rare class into every part; thresholds are quantiles of all scores."""
+    monkeypatch.setattr(secret_scan, "TRAIN_PER_CLASS", 40)
+    rng = random.Random(8)
+    prose = lambda: " ".join("".join(rng.choice("aeiounrstl") for _ in range(rng.randint(2, 8))) for _ in range(8))
+    key = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    texts = [f'{prose()} token = "{key(40)}" {prose()}' for _ in range(30)] + [f"{prose()} {rng.getrandbits(50):016d} {prose()}" for _ in range(160)]
+    found = secret_scan.findings(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    dealt, parts, enough = secret_scan.dealt(found)
+    got = dealt.collect()
+    assert parts == 4 and enough and len({r.context for r in got if r.label == 0}) == 160 and len({r.context for r in got if r.label == 1}) == 30
+    assert Counter(r.label for r in got) == {0: 160, 1: 30 * 3} and len({(r.context, r.part) for r in got}) == len(got)
+    assert {r.part for r in got if r.label == 1} == {0, 1, 2, 3}
+
+    fitted = []
+    fit = secret_scan._by_part
+    monkeypatch.setattr(secret_scan, "_by_part", lambda rows, run, schema: fitted.append(rows.select("context").distinct().count()) or fit(rows, run, schema))
+    net = secret_scan.train(found)
+    assert max(fitted) == 190
+    fresh = spark.createDataFrame([(i, f"{prose()} {key(31)} {prose()}") for i in range(100)] + [(100 + i, f"{prose()} {rng.getrandbits(50):016d} {prose()}") for i in range(100)], "doc_id long, text string")
+    hit = {r.doc_id for r in secret_scan.spans(secret_scan.findings(fresh), net).collect() if r["all"]}
+    assert len(hit & set(range(100))) >= 85 and len(hit - set(range(100))) <= 10
+
+    p = {v: np.random.default_rng(v).random(n).astype(np.float32) ** 9 for v, n in ((0, 500), (1, 7), (2, 1))}
+    scores = spark.createDataFrame([(v, r["bits"]) for v in p for r in secret_scan._score_rows(v, p[v])], "view int, bits int")
+    assert secret_scan.recall_bars(scores, 0.98) == {v: secret_scan.recall_threshold(p[v], 0.98) for v in p}
+
+
 def test_secret_empty(empty):
     assert rows(secret_scan.digest(secret_scan.secret_scan(empty))) == []
     assert secret_scan.redact(empty).columns == empty.columns
