@@ -266,7 +266,7 @@ def load_table(
     known, wm = _mark_of(spark, target_path, target)
     new = filter_new_rows(aligned, wm if watermark is None else watermark[0], inclusive=inclusive, lateness=lateness)
     staged = None
-    if spec is not None and target is not None:
+    if spec is not None and target is not None and not target.isEmpty():  # a target without rows holds no key
         # the increment is read three times below: cut its lineage at a stored copy
         if not stored:
             staged = f"{target_path.rstrip('/')}.__increment-{uuid.uuid4().hex[:10]}"

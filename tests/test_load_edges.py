@@ -534,3 +534,14 @@ def test_scratch_is_cleared(spark):
     assert spark.read.parquet(path).count() == 3
     assert clear_scratch(spark) >= 1
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_a_created_target_without_rows_is_not_searched(spark, tmp_dir, monkeypatch):
+    """A batch meets no key in an empty target: it is neither stored first nor joined; the next one is."""
+    path, calls, real = os.path.join(tmp_dir, "orders"), [], load.anti_existing
+    monkeypatch.setattr(load, "anti_existing", lambda new, *a: calls.append(1) or real(new, *a))
+    load.create_target(spark, path, TABLES["orders"])
+    batch = frame(spark, "orders", [order(1, "2012-01-01 00:00:00"), order(2, "2012-01-02 00:00:00")])
+    assert load.load_table(spark, batch, "orders", path).rows_inserted == 2 and not calls
+    assert load.load_table(spark, frame(spark, "orders", [order(2, "2012-01-02 00:00:00"), order(3, "2012-01-03 00:00:00")]), "orders", path, inclusive=True).rows_inserted == 1 and calls == [1]
+    assert sorted(r.order_id for r in load.read_target(spark, path, TABLES["orders"]).collect()) == [1, 2, 3]
