@@ -29,6 +29,7 @@ a range has about ``RANGE_ROWS`` of them however closely the values lie together
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -196,10 +197,21 @@ def balanced_bounds(keys: DataFrame, key: str, rows: int) -> list[float]:
 
 
 def refined_range(key: Column, bounds: Sequence[float], nulls_first: bool = True) -> Column:
-    """Number of bounds at or below the key: non-decreasing in it; a NULL goes with the first or the last."""
+    """Number of bounds at or below the key: non-decreasing in it; a NULL goes with the first or the last. A key is compared
+    with about twice the root of their number."""
     if not bounds:
         return F.lit(0)
-    below = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b <= key.cast("double")))
+    step = math.isqrt(len(bounds) - 1) + 1
+    blocks = [[F.lit(float(b)) for b in bounds[i : i + step]] for i in range(0, len(bounds), step)]
+    count = lambda found, x: F.size(F.filter(found, lambda b: b <= x))
+
+    def place(x: Column) -> Column:
+        # blocks that start at or below the key; all but the last of them lie below it, which is looked through
+        at = count(F.array(*[b[0] for b in blocks]), x)
+        inside = F.element_at(F.array(*[F.array(*b) for b in blocks]), F.greatest(at, F.lit(1)))
+        return F.greatest(at - 1, F.lit(0)) * step + count(inside, x)
+
+    below = F.transform(F.array(key.cast("double")), place)[0]  # the key is cast once
     return F.when(key.isNull(), F.lit(0 if nulls_first else len(bounds))).otherwise(below)
 
 

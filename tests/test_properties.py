@@ -234,3 +234,20 @@ def test_stored_forms_on_a_null_group_and_nothing(spark):
         order_stats.RANGE_ROWS = rows
         assert {r.g: float(r.m) for r in stored_median(df, ["g"], "v", "m").collect()} == {None: 1.5, 1: 5.0}
     order_stats.RANGE_ROWS = old
+
+
+def test_refined_range_counts_bounds_in_few_comparisons(spark):
+    """The number of bounds at or below each key, without comparing it with all of them."""
+    import bisect
+    import re
+
+    longest = lambda c: max(m.count(",") + 1 for m in re.findall(r"array\(([\d., E+-]+)\)", str(c)))
+    for n in (1, 2, 3, 16, 17, 255):
+        bounds = [float(3 * i) for i in range(n)]
+        rows = [r for r in range(-4, 3 * n + 4)]
+        df = spark.createDataFrame([(r,) for r in rows] + [(None,)], "v int").select(F.col("v").cast("decimal(12,2)").alias("v"))
+        got = df.select("v", order_stats.refined_range(F.col("v"), bounds).alias("r"), order_stats.refined_range(F.col("v"), bounds, False).alias("l")).collect()
+        assert {int(x.v): x.r for x in got if x.v is not None} == {r: bisect.bisect_right(bounds, r) for r in rows}
+        assert [(x.r, x.l) for x in got if x.v is None] == [(0, n)]
+    assert longest(F.array(*[F.lit(b) for b in bounds])) == 255
+    assert longest(order_stats.refined_range(F.col("v"), bounds)) <= 16
