@@ -45,3 +45,13 @@ def docs(spark):
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], DOC)
+
+
+@pytest.fixture(autouse=True)
+def embeddings_for_oracles(request, monkeypatch):
+    """The statements over ``embeddings`` read this table by its name; test_oracle makes views of the other tables only."""
+    if request.node.name.startswith("test_oracle["):
+        import pyarrow.parquet as pq
+        from tests_llm_support import SF
+
+        monkeypatch.setattr(request.module, "embeddings", pq.read_table(f"{SF}/embeddings.parquet"), raising=False)
