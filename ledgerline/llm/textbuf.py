@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_path
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _rng = np.random.RandomState(20240517)
 #: one random 64-bit value for each byte

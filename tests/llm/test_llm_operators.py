@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -893,3 +894,24 @@ def test_near_dedup_similar_but_not_enough(spark):
 def test_near_dedup_empty(empty):
     assert rows(near_dedup.near_duplicates(empty)) == []
     assert near_dedup.trees_for(near_dedup.RECALL, 0.8) == 3
+
+
+@pytest.mark.parametrize("measure", ["quality", "near_dedup"])
+def test_memory_of_a_batch_is_that_of_a_slice(measure):
+    """A batch of many megabytes is worked off in slices whose arrays (some tens of bytes for each byte of text) stay small."""
+    import tracemalloc
+
+    text = "".join(f"word{i} " for i in range(300)) + "\n"
+    n = 8_000_000 // len(text)
+    columns = {"doc_id": range(n), "lang": ["en"] * n, "source": ["web"] * n, "d1": range(n), "d2": range(n), "text": [text] * n}
+    batch = pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
+    run = quality._measure if measure == "quality" else near_dedup._signatures(2, 3)
+    list(run(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == n
+    assert peak < 64 << 20, peak
