@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from ledgerline.llm import textbuf as tb
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
+#: bytes of text encoded at once: the array steps of a slice are as many as its longest word has tokens, however many words it has
+SLICE = 1 << 20
 # fixed values: White_Space code points, contractions of the pattern
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -143,15 +145,15 @@ class WordCache:
     """Ids of the words seen by a worker, by ``word_keys``. The bytes of long words are kept and compared, so
     no two words share ids. Starts anew with more than WORDS words or BYTES bytes of long ones."""
 
-    WORDS, BYTES = 1 << 20, 1 << 26
+    WORDS, BYTES = 1 << 19, 1 << 25
 
     def __init__(self):
         self.clear()
 
     def clear(self) -> None:
         none = np.zeros(0, np.int64)
-        self.table = HashTable(none, none.astype(np.int32), 22)
-        self.ids, self.bytes = Growing(np.int32, 1 << 20), Growing(np.uint8, 1 << 20)
+        self.table = HashTable(none, none.astype(np.int32), 14)
+        self.ids, self.bytes = Growing(np.int32), Growing(np.uint8)
         self.start, self.size = Growing(np.int64), Growing(np.int32)
         #: the bytes of a long word; 0 of them for a short one
         self.at, self.length = Growing(np.int64), Growing(np.int64)
@@ -184,7 +186,7 @@ class WordCache:
         if (self.n + k) * 2 > len(self.table.keys):
             old = self.table
             live = old.keys >= 0
-            self.table = HashTable(old.keys[live], old.values[live], old.bits + 1)
+            self.table = HashTable(old.keys[live], old.values[live], ((self.n + k) * 4).bit_length())
         number = np.arange(self.n, self.n + k, dtype=np.int64)
         self.table.add(keys[first], number[first].astype(np.int32))
         n = np.diff(off)
@@ -475,7 +477,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         v = vocabulary(path)
-        for rows, data, off in tb.text_slices(batches):
+        for rows, data, off in tb.text_slices(batches, SLICE):
             ids, o = v.encode(data, off)
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.ListArray.from_arrays(pa.array(o, pa.int32()), pa.array(ids, pa.int32()))], ["doc_id", "ids"])
 
@@ -499,7 +501,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         v = vocabulary(path)
-        for rows, data, off in tb.text_slices(batches):
+        for rows, data, off in tb.text_slices(batches, SLICE):
             ids, o = v.encode(data, off)
             enc, dec = [], []
             for a, b in zip(o[:-1], o[1:]):

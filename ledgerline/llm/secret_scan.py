@@ -582,7 +582,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     at = names.index("text")
 
     def mask_out(batches):
-        for batch in batches:
+        for batch, _, _ in tb.text_slices(batches):
             texts = batch.column(at).to_pylist()
             ids = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), batch.column(at)], ["doc_id", "text"])
             hits = {}

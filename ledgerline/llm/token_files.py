@@ -35,7 +35,7 @@ def _encode(path: str, end_id: int):
     def run(batches):
         v = bpe.vocabulary(path)
         part, at = TaskContext.get().partitionId(), 0
-        for rows, data, off in tb.text_slices(batches):
+        for rows, data, off in tb.text_slices(batches, bpe.SLICE):
             ids, o = v.encode(data, off)
             n = len(o) - 1
             full = np.insert(ids, o[1:], end_id).astype(np.int32)

@@ -231,13 +231,15 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose text scores below 0.5."""
     model = train(docs, labels)
-    names = docs.columns
-    schema = docs.schema
+    return docs.mapInArrow(_keep(model), docs.schema)
 
-    def keep(batches):
-        for batch in batches:
-            data, off = tb.buffers(batch.column(names.index("text")))
-            ok = [not model or model.score(data[off[i] : off[i + 1]]) < 0.5 for i in range(batch.num_rows)]
-            yield batch.filter(pa.array(ok, pa.bool_()))
 
-    return docs.mapInArrow(keep, schema)
+def _keep(model: Model | None):
+    """Rows whose text scores below 0.5, handed on slice by slice: neither side holds a second copy of a whole batch."""
+
+    def run(batches):
+        for rows, data, off in tb.text_slices(batches):
+            ok = [not model or model.score(data[off[i] : off[i + 1]]) < 0.5 for i in range(rows.num_rows)]
+            yield rows.filter(pa.array(ok, pa.bool_()))
+
+    return run

@@ -915,3 +915,27 @@ def test_memory_of_a_batch_is_that_of_a_slice(measure):
         tracemalloc.stop()
     assert rows == n
     assert peak < 64 << 20, peak
+
+
+def test_bpe_word_cache_grows_with_the_words_seen():
+    """A new cache is small, and grows by what is put into it at once, also beyond twice its size; every word is found again."""
+    cache = bpe.WordCache()
+    assert cache.table.keys.nbytes + cache.table.values.nbytes + cache.ids.a.nbytes + cache.bytes.a.nbytes < 1 << 20
+    n = 70_000
+    data = np.frombuffer("".join(f"w{i:09d}" for i in range(n)).encode(), np.uint8)
+    off = np.arange(n + 1, dtype=np.int64) * 10
+    key = bpe.word_keys(data, off[:-1], off[1:])
+    cache.put(key, data, off, np.arange(n, dtype=np.int32), np.arange(n + 1, dtype=np.int64))
+    assert (cache.find(key, data, off[:-1], off[1:]) == np.arange(n)).all()
+    assert len(cache.table.keys) >= 2 * n
+
+
+def test_toxic_filter_hands_on_slices():
+    """Rows are handed on slice by slice, all of them and in their order, null and empty texts included."""
+    from ledgerline.llm import textbuf
+
+    texts = [None, "", *("word " * 20_000 for _ in range(30)), ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    out = list(toxicity._keep(None)(iter([batch])))
+    assert pa.Table.from_batches(out).to_pydict() == pa.Table.from_batches([batch]).to_pydict()
+    assert max(sum(len(t or "") for t in b.column("text").to_pylist()) for b in out) <= textbuf.SLICE_BYTES
