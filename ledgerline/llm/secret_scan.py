@@ -604,4 +604,4 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
             columns[at] = pa.array(texts, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(mask_out, schema)
+    return tb.bounded_batches(docs).mapInArrow(mask_out, schema)

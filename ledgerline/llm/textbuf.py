@@ -130,9 +130,21 @@ def lowered(data: np.ndarray) -> np.ndarray:
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+#: bytes of rows that Spark hands to a Python worker at once: both sides hold such a batch, Spark in memory outside its heap
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on cuts Arrow batches at BATCH_BYTES, if it has Spark's 64 MB; a value that the caller has set stays."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) in (None, "67108864b"):
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
 def id_text(docs: DataFrame, *more: Column) -> DataFrame:
     """doc_id (long) and text (string) of any documents table; other columns are left behind."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
+    return bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
 def free_name(df: DataFrame, name: str) -> str:

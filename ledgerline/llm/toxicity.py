@@ -231,7 +231,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose text scores below 0.5."""
     model = train(docs, labels)
-    return docs.mapInArrow(_keep(model), docs.schema)
+    return tb.bounded_batches(docs).mapInArrow(_keep(model), docs.schema)
 
 
 def _keep(model: Model | None):

@@ -939,3 +939,21 @@ def test_toxic_filter_hands_on_slices():
     out = list(toxicity._keep(None)(iter([batch])))
     assert pa.Table.from_batches(out).to_pydict() == pa.Table.from_batches([batch]).to_pydict()
     assert max(sum(len(t or "") for t in b.column("text").to_pylist()) for b in out) <= textbuf.SLICE_BYTES
+
+
+def test_batches_of_texts_are_bounded_in_bytes(spark):
+    """Spark hands a worker some megabytes of text at once, however long the rows are; a value that the caller has set stays."""
+    from ledgerline.llm import textbuf
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "bytes": [b.nbytes]})
+
+    session = spark.newSession()
+    docs = session.range(0, 2000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("abcde "), 1000).alias("text"))
+    got = rows(textbuf.id_text(docs).mapInArrow(sizes, "n long, bytes long"))
+    assert sum(n for n, _ in got) == 2000
+    assert max(b for _, b in got) <= textbuf.BATCH_BYTES + (1 << 16)
+    session.conf.set(textbuf.BATCH_SETTING, str(8 << 20))
+    textbuf.id_text(docs)
+    assert session.conf.get(textbuf.BATCH_SETTING) == str(8 << 20)
