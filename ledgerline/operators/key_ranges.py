@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.schemas import TableSpec
-from ledgerline.sources.files import delete_path, read_line, write_line
+from ledgerline.sources.files import PARQUET_OPTIONS, delete_path, read_line, write_line
 
 #: keys of a band, as a power of two
 BAND_BITS = 14
@@ -79,7 +79,7 @@ def add_new_files(spark: SparkSession, target_path: str, spec: TableSpec) -> Non
 
 def _write(ranges: DataFrame, target_path: str) -> str:
     name = uuid.uuid4().hex
-    ranges.select("file", "band", "low", "high").write.parquet(f"{_folder(target_path)}/{name}")
+    ranges.select("file", "band", "low", "high").write.options(**PARQUET_OPTIONS).parquet(f"{_folder(target_path)}/{name}")
     return name
 
 

@@ -40,7 +40,18 @@ from ledgerline.schemas import (
     spec_for,
     strategy_for,
 )
-from ledgerline.sources.files import current_snapshot, delete_path, path_exists, holds_table, publish_snapshot, read_line, write_line, write_snapshot
+from ledgerline.sources.files import (
+    PARQUET_OPTIONS,
+    current_snapshot,
+    delete_path,
+    holds_table,
+    move_folder,
+    path_exists,
+    publish_snapshot,
+    read_line,
+    write_line,
+    write_snapshot,
+)
 
 
 # ------------------------------------------------------------------ L1
@@ -228,6 +239,11 @@ def _count_observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def check_rows(table: str, staged: int, expected: int | None) -> None:
+    if expected is not None and staged != expected:
+        raise RuntimeError(f"{table}: {staged} rows staged of {expected}")
+
+
 def one_row_per_key(df: DataFrame, pk: str) -> DataFrame:
     """One row of each key of a batch without a stated order: the smallest by its columns. NULL keys
     cannot be loaded and are dropped."""
@@ -244,13 +260,15 @@ def load_table(
     unique_keys: bool = False,
     watermark: tuple[str | None] | None = None,
     stored: bool = False,
+    expected: int | None = None,
 ) -> LoadResult:
     """Strategy dispatch for one cleaned, validated frame (unknown tables are
     incremental). Returns how many rows were written.
 
     ``unique_keys``: the frame holds a key once. ``watermark``: a one-tuple with the mark to filter by
     instead of the stored one (a stream fixes it for a whole run). ``stored``: the frame is a scan
-    of a stored table, cheap to read again."""
+    of a stored table, cheap to read again. ``expected``: the number of rows of a full refresh or of a first load; it is
+    checked before they become visible, and another number fails the load."""
     spec = spec_for(table)
     strategy = strategy_for(table)
     aligned = align_columns(nan_to_null(df), spec)
@@ -259,7 +277,13 @@ def load_table(
 
     if strategy == FULL_REFRESH:
         out, obs = _count_observed(aligned)
-        publish_snapshot(spark, target_path, write_snapshot(out, target_path))
+        snapshot = write_snapshot(out, target_path)
+        try:
+            check_rows(table, obs.get["rows"], expected)
+        except RuntimeError:
+            delete_path(spark, snapshot)
+            raise
+        publish_snapshot(spark, target_path, snapshot)
         return LoadResult(table, FULL_REFRESH, "loaded", int(obs.get["rows"]), None)
 
     target = read_target(spark, target_path, spec)
@@ -282,9 +306,16 @@ def load_table(
     if spec is not None:
         # neighbours in time share row groups, so ranges of time (and of keys, which grow with it) prune them
         out = out.sortWithinPartitions(spec.watermark_column, spec.pk)
+    # a checked first load is written beside its path, and one rename makes it the target
+    first = f"{target_path.rstrip('/')}.__first-{uuid.uuid4().hex[:10]}" if expected is not None and not path_exists(spark, target_path) else None
     try:
-        out.write.mode("append").parquet(target_path)
+        out.write.mode("append").options(**PARQUET_OPTIONS).parquet(first or target_path)
+        if first:
+            check_rows(table, obs.get["rows"], expected)
+            move_folder(spark, first, target_path)
     finally:
+        if first:
+            delete_path(spark, first)
         if staged:
             delete_path(spark, staged)
     n = int(obs.get["rows"])

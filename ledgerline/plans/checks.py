@@ -427,15 +427,16 @@ def q_load_full_refresh(t: ShopTables) -> DataFrame:
 
 
 def _export_dirty_csv(t: ShopTables) -> str:
-    """Write the six corrupted raw tables as CSV landing files (concurrent
-    jobs, one per table)."""
+    """Write the six corrupted raw tables as CSV landing files, compressed (concurrent
+    jobs, one per table). The order lines, which three of them are built of, are numbered once."""
     from concurrent.futures import ThreadPoolExecutor
 
     folder = scratch_path(t.spark, "csv-src")
+    t.store_lines()
     with ThreadPoolExecutor(max_workers=3) as pool:
         list(
             pool.map(
-                lambda tb: csv_source.write_csv(_dirty(t, tb), csv_source.csv_path(folder, tb)),
+                lambda tb: csv_source.write_csv(_dirty(t, tb), csv_source.csv_path(folder, tb), "gzip"),
                 TABLE_ORDER,
             )
         )

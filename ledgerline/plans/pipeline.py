@@ -1,13 +1,13 @@
 """End-to-end load (L7) with its run summary (L8).
 
-Per table: CSV scan -> clean -> validate -> load. The source is scanned once: cleaned rows are stored with two row
-hashes, a few flags and their place in the files, and both steps read that table, so a row has one identity however
-the scan was split. Which rows are kept is decided on its narrow columns: exact copies collapse, then the first row of
-each key in file order wins. Full rows move only if they win *and* lie above the target's
-high water mark, so an incremental run shuffles 60 bytes of each old row and nothing of its columns.
-The winners are written once to a staging folder next to the targets, and their number is checked; the load then reads that
-Parquet (a lost executor re-reads it, not the CSV pipeline). All counts of the summary are exact
-aggregates of the stored narrow rows.
+Per table: CSV scan -> clean -> validate -> load. The source is scanned once: cleaned rows are stored with their
+hash, some marks and their place in the files, and both steps read that table, so a row has one identity however
+the scan was split. Which rows are kept is decided on its narrow columns, in one exchange by key: exact copies collapse, then the
+first row of each key in file order wins. The winners come back as bitmaps of positions, 4 KB for 32,768 positions, which are broadcast to the
+stored rows: full rows are not shuffled (beyond ``MAX_BROADCAST_BITMAPS`` they join by bitmap number).
+All failures are decided before a row is written. A first load and a full refresh then write the winners straight into the
+target, which becomes visible when their number is checked; an increment is staged next to the targets, since its load reads it
+several times. All counts of the summary are exact aggregates, stored with the bitmaps.
 
 A table that fails (missing file, malformed row, no rows, bad key, write error) is reported
 and does not stop the others.
@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import astuple, dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -33,12 +35,12 @@ from ledgerline.operators.clean import (
     row_hashes,
     strip_text_columns,
 )
-from ledgerline.operators.load import above_mark, filter_new_rows, load_table, read_target, target_watermark
-from ledgerline.operators.validate import FAIL, KEEP_FIRST, first_positions
-from ledgerline.schemas import INCREMENTAL, NUMERIC_COLUMNS, TABLE_ORDER, TIMESTAMP_COLUMNS, spec_for, strategy_for
+from ledgerline.operators.load import above_mark, check_rows, load_table, read_target, target_watermark
+from ledgerline.operators.validate import FAIL, KEEP_FIRST
+from ledgerline.schemas import FULL_REFRESH, INCREMENTAL, NUMERIC_COLUMNS, TABLE_ORDER, TIMESTAMP_COLUMNS, spec_for, strategy_for
 from ledgerline.sources import csv as csv_source
 from ledgerline.sources.csv import CORRUPT, FILE_ORDER, csv_path, read_csv, with_file_position
-from ledgerline.sources.files import delete_path, path_exists
+from ledgerline.sources.files import PARQUET_OPTIONS, delete_path, path_exists
 
 KEEP = "keep"
 _COUNTS = (
@@ -122,20 +124,113 @@ def _store_decoded(spark: SparkSession, raw: DataFrame, spec, path: str) -> tupl
     dates = [c for c in TIMESTAMP_COLUMNS if c in columns]
     money = [c for c in NUMERIC_COLUMNS if c in columns]
     total = lambda cs: sum((lost(c).cast("int") for c in cs), F.lit(0))
+    h1, h2 = row_hashes(before)
+    marks = (
+        (F.col(CORRUPT).isNotNull(), _MALFORMED),
+        (F.col(pk).isNull() if pk else F.lit(False), _NO_KEY),
+        (F.col(f"_raw_{pk}").isNull() if pk else F.lit(False), _NULL_KEY),
+        (lost(pk) if pk else F.lit(False), _BAD_KEY),
+    )
+    flags = sum((c.cast("int") * bit for c, bit in marks), F.lit(0))
     decoded = typed.select(
         *columns,
-        *row_hashes(before),
-        F.col(CORRUPT).isNotNull().alias("_malformed"),
-        total(dates).alias("_dates"),
-        total(money).alias("_money"),
-        (F.col(f"_raw_{pk}").isNull() if pk else F.lit(False)).alias("_null_key"),
-        (lost(pk) if pk else F.lit(False)).alias("_bad_key"),
+        h1,
+        # key and hash name a row; one without a key is named by two hashes
+        (F.when(F.col(pk).isNull(), h2) if pk else h2).alias("_h2"),
+        (flags + total(dates) * _DATES + total(money) * _MONEY).alias("_marks"),
         FILE_ORDER,
     )
-    decoded.write.mode("overwrite").parquet(path)
+    decoded.write.mode("overwrite").options(**PARQUET_OPTIONS).parquet(path)
     return with_file_position(spark.read.schema(decoded.schema).parquet(path), "_at"), columns
 
 
+#: ``_marks`` of a row: flags, then how many dates and money values were lost
+_MALFORMED, _NO_KEY, _NULL_KEY, _BAD_KEY, _NEW, _DATES, _MONEY = 1, 2, 4, 8, 16, 1 << 8, 1 << 16
+_SUMS = ("malformed", "rows_in", "rows", "dates", "money", "null_keys", "bad_keys", "clean", "keys", "new")
+#: positions of one bitmap (as the bitmap functions fix it), and bitmaps of 4 KB up to which they are broadcast
+_BITS = 32768
+MAX_BROADCAST_BITMAPS = 25_000
+
+
+def _decide(spark: SparkSession, stored: DataFrame, pk: str | None, watermark: str | None, path: str) -> tuple[dict[str, int], DataFrame]:
+    """The counts of a stored scan, and its rows to load: of each key the first row in file order, if that is above
+    ``watermark``. Narrow rows meet once, by key (rows without one by their hash); there exact copies collapse and the first
+    row of the key is taken. Its position comes back as a bit of a bitmap, which is stored at ``path``
+    next to the counts, so no full row moves to its key."""
+    above = above_mark(watermark) if "created_at" in stored.columns else F.lit(watermark is None)
+    flag = lambda bit: F.col("_marks").bitwiseAND(F.lit(bit)) != 0
+    narrow = stored.select(
+        (F.coalesce(F.col(pk).cast("long"), F.col("_h1")) if pk else F.col("_h1")).alias("_key"),
+        (F.col("_marks") + above.cast("int") * _NEW).alias("_marks"),
+        "_h1",
+        "_h2",
+        "_at",
+    ).repartition("_key")
+    # equal rows have equal marks
+    rows = narrow.groupBy("_key", "_marks", "_h1", "_h2").agg(F.min("_at").alias("_at"), F.count(F.lit(1)).alias("_copies"))
+    ok = ~flag(_MALFORMED)
+    part = lambda shift: F.shiftright("_marks", shift).bitwiseAND(F.lit(255))
+    one = lambda c: F.sum(c.cast("long"))
+    keyed = ok & ~flag(_NO_KEY)
+    # winners are told by an aggregate: a filter on group keys would move below the exchange, and then it is not shared
+    keys = rows.groupBy("_key", "_h2", keyed.alias("_keyed")).agg(
+        F.min("_at").alias("_at"),
+        F.min_by(keyed & flag(_NEW), "_at").alias("_won"),
+        one(F.when(ok, 0).otherwise(F.col("_copies"))).alias("malformed"),
+        one(F.when(ok, F.col("_copies")).otherwise(0)).alias("rows_in"),
+        one(ok).alias("rows"),
+        one(F.when(ok, part(8)).otherwise(0)).alias("dates"),
+        one(F.when(ok, part(16)).otherwise(0)).alias("money"),
+        one(ok & flag(_NULL_KEY)).alias("null_keys"),
+        one(ok & flag(_BAD_KEY)).alias("bad_keys"),
+        one(ok & ~flag(_NO_KEY)).alias("clean"),
+    )
+    sums = keys.agg(*[F.sum(c).alias(c) for c in _SUMS[:-2]], F.count_if("_keyed").alias("keys"), F.count_if("_won").alias("new"))
+    # positions move to their bitmap first: a task has few of each
+    places = keys.filter("_won").select(F.shiftright("_at", 15).alias("_bitmap"), F.col("_at").bitwiseAND(F.lit(_BITS - 1)).alias("_bit"))
+    bitmaps = places.repartition("_bitmap").groupBy("_bitmap").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    decided = bitmaps.unionByName(sums, allowMissingColumns=True)
+    decided.write.mode("overwrite").options(**PARQUET_OPTIONS).parquet(path)
+    found = spark.read.schema(decided.schema).parquet(path)
+    counts = {c: int(v or 0) for c, v in found.filter(F.col("_bitmap").isNull()).select(*_SUMS).first().asDict().items()}
+    bitmaps = found.filter(F.col("_bitmap").isNotNull()).select("_bitmap", "_bits")
+    few = bitmaps.limit(MAX_BROADCAST_BITMAPS + 1).count() <= MAX_BROADCAST_BITMAPS
+    place = F.col("_at").bitwiseAND(F.lit(_BITS - 1)).cast("int")
+    byte = F.ascii(F.decode(F.substring("_bits", F.shiftright(place, 3) + 1, F.lit(1)), "ISO-8859-1"))
+    won = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), place.bitwiseAND(F.lit(7)))) != 0
+    full = stored.withColumn("_bitmap", F.shiftright("_at", 15)).join(F.broadcast(bitmaps) if few else bitmaps, "_bitmap")
+    return counts, full.filter(won)
+
+
+@contextmanager
+def clean_rows(
+    spark: SparkSession, raw: DataFrame, table: str, scratch: str, run_ts: str, watermark: str | None = None
+) -> Iterator[tuple[Counts, int, DataFrame]]:
+    """The counts of ``raw`` (with its file order) cleaned, the number of rows to load, and these rows: the first row
+    per key, if above ``watermark`` (all without one). They are read from tables that stay as long as the context."""
+    spec = spec_for(table)
+    decoded_path, decided_path = f"{scratch}.__decoded", f"{scratch}.__decided"
+    try:
+        stored, columns = _store_decoded(spark, raw, spec, decoded_path)
+        n, full = _decide(spark, stored, spec.pk if spec else None, watermark, decided_path)
+        full = add_audit_columns(full.select(*columns), table, run_ts)
+        counts = Counts(
+            n["malformed"],
+            n["rows_in"],
+            n["rows_in"] - n["rows"],
+            n["dates"],
+            n["money"],
+            n["null_keys"],
+            n["bad_keys"],
+            n["clean"],
+            n["clean"] - n["keys"],
+        )
+        yield counts, n["new"], full
+    finally:
+        delete_path(spark, decided_path)
+        delete_path(spark, decoded_path)
+
+
 def stage_clean_table(
     spark: SparkSession,
     raw: DataFrame,
@@ -144,68 +239,17 @@ def stage_clean_table(
     run_ts: str,
     watermark: str | None = None,
 ) -> Counts:
-    """Clean ``raw`` (with its file order), keep the first row per key, write the rows above
-    ``watermark`` (all without one) to ``staging_path``; returns the counts. Fails if it staged another number of rows than
-    it decided on."""
-    spec = spec_for(table)
-    pk = spec.pk if spec else None
-    decoded_path, rows_path = f"{staging_path}.__decoded", f"{staging_path}.__rows"
-    try:
-        stored, columns = _store_decoded(spark, raw, spec, decoded_path)
-        has_time = "created_at" in columns
-        flags = ("_pk", "created_at", "_malformed", "_dates", "_money", "_null_key", "_bad_key")
-        narrow = stored.select(
-            "_h1",
-            "_h2",
-            "_at",
-            (F.col(pk) if pk else F.lit(0)).alias("_pk"),
-            (F.col("created_at") if has_time else F.lit(None).cast("timestamp_ntz")).alias("created_at"),
-            *flags[2:],
-        )
-        # equal rows have equal flags: any copy's will do
-        distinct = narrow.groupBy("_h1", "_h2").agg(
-            F.min("_at").alias("_at"), F.count(F.lit(1)).alias("_copies"), *[F.first(c).alias(c) for c in flags]
-        )
-        distinct = distinct.drop("_h1", "_h2")
-        distinct.write.mode("overwrite").parquet(rows_path)
-        rows = spark.read.schema(distinct.schema).parquet(rows_path)
-        good = rows.filter(~F.col("_malformed"))
-        clean = good.filter(F.col("_pk").isNotNull()) if pk else good
-        winners = first_positions(clean, "_pk", "_at", "created_at") if pk else clean.select("_at", "created_at")
-        decided = winners.agg(F.count(F.lit(1)), F.count_if(above_mark(watermark))).first()
-        winners = filter_new_rows(winners, watermark).select("_at")
-        full = filter_new_rows(add_audit_columns(stored.select(*columns, "_at"), table, run_ts), watermark)
-        staged = Observation()
-        full.join(winners, "_at", "left_semi").drop("_at").observe(staged, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(staging_path)
-        if staged.get["n"] != decided[1]:
-            raise RuntimeError(f"{table}: {staged.get['n']} rows staged of {decided[1]}")
-
-        ok = ~F.col("_malformed")
-        seen = rows.agg(
-            F.sum(F.when(ok, 0).otherwise(F.col("_copies"))).alias("malformed"),
-            F.sum(F.when(ok, F.col("_copies")).otherwise(0)).alias("rows_in"),
-            F.count_if(ok).alias("rows"),
-            F.sum(F.when(ok, F.col("_dates"))).alias("dates"),
-            F.sum(F.when(ok, F.col("_money"))).alias("money"),
-            F.count_if(ok & F.col("_null_key")).alias("null_keys"),
-            F.count_if(ok & F.col("_bad_key")).alias("bad_keys"),
-            F.count_if(ok & F.col("_pk").isNotNull()).alias("clean"),
-        ).first()
-    finally:
-        delete_path(spark, rows_path)
-        delete_path(spark, decoded_path)
-    n = {k: int(v or 0) for k, v in seen.asDict().items()}
-    return Counts(
-        n["malformed"],
-        n["rows_in"],
-        n["rows_in"] - n["rows"],
-        n["dates"],
-        n["money"],
-        n["null_keys"],
-        n["bad_keys"],
-        n["clean"],
-        n["clean"] - decided[0],
-    )
+    """Write the rows of ``clean_rows`` to ``staging_path``; returns the counts. Fails if it staged another number of
+    rows than it decided on."""
+    with clean_rows(spark, raw, table, staging_path, run_ts, watermark) as (counts, new, full):
+        _stage(full, table, new, staging_path)
+    return counts
+
+
+def _stage(full: DataFrame, table: str, new: int, path: str) -> None:
+    staged = Observation()
+    full.observe(staged, F.count(F.lit(1)).alias("n")).write.mode("overwrite").options(**PARQUET_OPTIONS).parquet(path)
+    check_rows(table, staged.get["n"], new)
 
 
 @dataclass(frozen=True)
@@ -241,14 +285,18 @@ def _load_one(spark: SparkSession, table: str, source_dir: str, target_dir: str,
         spec = spec_for(table)
         mark = target_watermark(spark, target_path, spec) if strategy == INCREMENTAL else None
         raw = read_csv(spark, path, with_order=True, multiline=options.multiline, malformed=options.malformed)
-        counts = stage_clean_table(spark, raw, table, staging, run_ts, mark)
-        if counts.rows_clean == 0:
-            return failed("no rows", counts)
-        if options.on_duplicate == FAIL and counts.duplicate_pks:
-            return failed("duplicate keys", counts)
-        if options.on_bad_value == FAIL and (counts.bad_keys or counts.bad_money):
-            return failed(f"{counts.bad_keys} bad keys, {counts.bad_money} bad money values", counts)
-        res = load_table(spark, spark.read.parquet(staging), table, target_path, unique_keys=True, stored=True)
+        with clean_rows(spark, raw, table, staging, run_ts, mark) as (counts, new, rows):
+            if counts.rows_clean == 0:
+                return failed("no rows", counts)
+            if options.on_duplicate == FAIL and counts.duplicate_pks:
+                return failed("duplicate keys", counts)
+            if options.on_bad_value == FAIL and (counts.bad_keys or counts.bad_money):
+                return failed(f"{counts.bad_keys} bad keys, {counts.bad_money} bad money values", counts)
+            if strategy == FULL_REFRESH or not path_exists(spark, target_path):
+                res = load_table(spark, rows, table, target_path, unique_keys=True, expected=new)
+            else:  # an increment is read several times
+                _stage(rows, table, new, staging)
+                res = load_table(spark, spark.read.parquet(staging), table, target_path, unique_keys=True, stored=True)
         return TableRun(table, res.strategy, res.status, counts, res.rows_inserted, res.watermark)
     except Exception as exc:  # one table's failure does not stop the rest
         return failed(f"{type(exc).__name__}: {exc}")

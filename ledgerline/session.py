@@ -78,10 +78,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back: its plan runs once, whatever reads it afterwards."""
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` below the shared folder (with these writer options) and read it back: its plan runs once, whatever reads it afterwards."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -149,7 +149,14 @@ def csv_path(folder: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{table}.csv"
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+#: rows of one compressed part file: such a file is read by one task
+MAX_RECORDS_COMPRESSED = 1_000_000
+
+
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     """Write a DataFrame as a header CSV folder (standard quoting, the layout ``read_csv``
-    scans). NULL is written as an empty field."""
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    scans). NULL is written as an empty field. Compressed parts hold a bounded number of rows."""
+    writer = df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", MAX_RECORDS_COMPRESSED)
+    writer.csv(path)

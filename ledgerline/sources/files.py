@@ -25,6 +25,9 @@ SNAPSHOTS, COMMITS = "_snapshots", "_commits"
 KEEP_SNAPSHOTS = 2
 #: entries that stay in a log; a reader that is overtaken by more of them looks again
 KEEP_ENTRIES = 8
+#: writer options of targets and of tables that a job stores for its next step: keys, times and positions lie close together, so
+#: their differences are stored
+PARQUET_OPTIONS = {"compression": "zstd", "parquet.writer.version": "v2"}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -54,6 +57,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a completely written folder to a path that does not exist."""
+    fs, p, jvm = _fs(spark, path)
+    target = jvm.org.apache.hadoop.fs.Path(to)
+    if fs.exists(target) or not fs.rename(p, target):
+        raise OSError(f"could not move {path} to {to}: is there another writer?")
+
+
 def _names(spark: SparkSession, folder: str) -> list[str]:
     """Names in a folder; none if it does not exist."""
     fs, p, _ = _fs(spark, folder)
@@ -180,7 +191,7 @@ def write_snapshot(df: DataFrame, path: str) -> str:
     """Write ``df`` as a new, not yet published snapshot of ``path``; a failed write leaves nothing behind."""
     snapshot = new_snapshot(path)
     try:
-        df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(snapshot)
+        df.write.options(**PARQUET_OPTIONS).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(snapshot)
     except BaseException:
         delete_path(df.sparkSession, snapshot)
         raise

@@ -19,6 +19,9 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerline.session import stored
+from ledgerline.sources.files import PARQUET_OPTIONS
+
 # Fixed values of the derivation (channel and device mapping).
 PRIORITY_TO_SOURCE = {"1-URGENT": "gsearch", "2-HIGH": "bsearch", "3-MEDIUM": "socialbook"}
 STATUS_TO_CAMPAIGN = {"F": "brand", "O": "nonbrand"}
@@ -95,6 +98,18 @@ class ShopTables:
     def _order_dates(self) -> DataFrame:
         return self._read("orders").select("o_orderkey", "o_orderdate")
 
+    def store_lines(self) -> None:
+        """Number the lines once for all tables that are built of them: they are written with the dates of their order (none,
+        or several, if its key is missing or repeats) and read from there."""
+        dates = self._order_dates.groupBy("o_orderkey").agg(F.collect_list(F.struct("o_orderdate")).alias("_dates"))
+        lines = self._numbered_lines
+        kept = lines.join(dates, F.col("l_orderkey") == F.col("o_orderkey"), "left").select(*lines.columns, "_dates")
+        saved = stored(kept, "numbered-lines", **PARQUET_OPTIONS)
+        self.__dict__["_numbered_lines"] = saved.drop("_dates")
+        self.__dict__["_items_with_dates"] = saved.select("*", F.explode("_dates").alias("_date")).select(
+            *lines.columns, F.col("l_orderkey").alias("o_orderkey"), F.col("_date.o_orderdate").alias("o_orderdate")
+        )
+
     @cached_property
     def _items_with_dates(self) -> DataFrame:
         return self._numbered_lines.join(
