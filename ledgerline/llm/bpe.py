@@ -31,7 +31,7 @@ from ledgerline.llm import textbuf as tb
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 #: bytes of text encoded at once: the array steps of a slice are as many as its longest word has tokens, however many words it has
-SLICE = 1 << 20
+SLICE = 1 << 19
 # fixed values: White_Space code points, contractions of the pattern
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -145,7 +145,7 @@ class WordCache:
     """Ids of the words seen by a worker, by ``word_keys``. The bytes of long words are kept and compared, so
     no two words share ids. Starts anew with more than WORDS words or BYTES bytes of long ones."""
 
-    WORDS, BYTES = 1 << 19, 1 << 25
+    WORDS, BYTES = 1 << 18, 1 << 24
 
     def __init__(self):
         self.clear()

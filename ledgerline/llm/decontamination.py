@@ -134,11 +134,11 @@ def _cut(batches):
 def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(terms, group) of the different windows, and (group, item)."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text")).distinct()
-    owned = tb.materialized(items.mapInArrow(_cut, "item string, terms array<long>").distinct(), "benchmark-windows")
+    owned = tb.materialized(items.mapInArrow(_cut, "item string, terms array<long>").distinct(), "benchmark-windows", narrow=True)
     owners = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("item")).alias("h"), F.bit_xor(F.xxhash64(F.lit(1), "item")).alias("g")]
-    windows = tb.materialized(owned.groupBy("terms").agg(*owners).withColumn("window", F.monotonically_increasing_id()), "benchmark-owners")
+    windows = tb.materialized(owned.groupBy("terms").agg(*owners).withColumn("window", F.monotonically_increasing_id()), "benchmark-owners", narrow=True)
     groups = windows.groupBy("n", "h", "g").agg(F.min("window").alias("group"))
-    grouped = tb.materialized(windows.join(groups, ["n", "h", "g"]).select("window", "terms", "group"), "benchmark-groups")
+    grouped = tb.materialized(windows.join(groups, ["n", "h", "g"]).select("window", "terms", "group"), "benchmark-groups", narrow=True)
     return grouped.select("terms", "group"), grouped.where("window = group").join(owned, "terms").select("group", "item")
 
 
@@ -274,7 +274,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, ranges (hit word ranges), items, near of every row."""
     index = build_index(docs)
     windows, owners = benchmark_windows(benchmark)
-    hits = docs.sparkSession.createDataFrame([], HITS)
+    hits = tb.no_rows(docs.sparkSession, HITS)
     for q in _blocks(windows):
         hits = hits.unionByName(tb.materialized(index.mapInArrow(_query(q), HITS), "benchmark-hits"))
     directory = index.select("segment", "doc_ids", "nulls", "n_words").mapInArrow(_directory, "segment long, place int, doc_id long, n_words long")

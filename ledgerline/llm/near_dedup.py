@@ -351,7 +351,7 @@ def one_text(texts: DataFrame, reps: DataFrame, names: DataFrame) -> tuple[DataF
     """(id, d1, d2, text of the documents that stand for the classes ``reps``, each once; rep, id, d1, d2 of those classes).
 
     A filter of their keys goes to the scan of the texts, so others are not shuffled, however many classes are named."""
-    named = tb.materialized(names.join(reps, "rep", "left_semi"), "named")
+    named = tb.materialized(names.join(reps, "rep", "left_semi"), "named", narrow=True)
     some, _ = tb.split_by_filter(texts, tb.key_filter(named, *KEY), *KEY)
     return some.groupBy(*KEY).agg(F.first("text").alias("text")), named
 
@@ -360,7 +360,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, names: DataFrame, n: int, percen
     """Pairs (a, b) of classes confirmed on the full sets. ``texts``: id, d1, d2, text of all rows; ``names``: rep and the
     key (id, d1, d2) of the document that stands for each class. A named text moves once to its key, and once for each pair to the
     partner's."""
-    pairs = tb.materialized(pairs.select("a", "b").distinct(), "pairs")
+    pairs = tb.materialized(pairs.select("a", "b").distinct(), "pairs", narrow=True)
     reps = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     found, named = one_text(texts, reps, names)
     key = lambda x: {"rep": x} | {k: f"{k}_{x}" for k in KEY}
@@ -377,7 +377,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     Alternates large-star and small-star rounds until nothing changes; every round is written to the
     shared folder. Each round is two group minima and joins, so a hub's links are never gathered in one task."""
     edges = links.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).where("x > y").distinct()
-    edges = tb.materialized(edges, name)
+    edges = tb.materialized(edges, name, narrow=True)
     if edges.isEmpty():
         return edges.select(F.col("x").alias("node"), F.col("y").alias("component"))
     seen = None
@@ -388,7 +388,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         low2 = large.groupBy(F.col("x").alias("k")).agg(F.min("y").alias("m"))
         j = large.join(low2, large["x"] == low2["k"])
         small = j.where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y")).union(low2.select(F.col("k").alias("x"), F.col("m").alias("y")))
-        edges = tb.materialized(small.where("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), name)
+        edges = tb.materialized(small.where("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), name, narrow=True)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
         if now == seen:
             return edges.select(F.col("x").alias("node"), F.col("y").alias("component"))
@@ -419,7 +419,7 @@ def links(classes: DataFrame, texts: DataFrame, names: DataFrame, n: int, percen
     small, confirmed, frontier = [], [], None
     for level in range(LEVELS):
         frontier = tb.materialized(grown.mapInArrow(_expand(trees, level), FRONTIER), "frontier")
-        big = tb.materialized(frontier.groupBy("path").agg(F.count("*").alias("c"), F.max("u").alias("open"), F.min("rep").alias("p")).where(F.col("c") > NODE), "large-nodes")
+        big = tb.materialized(frontier.groupBy("path").agg(F.count("*").alias("c"), F.max("u").alias("open"), F.min("rep").alias("p")).where(F.col("c") > NODE), "large-nodes", narrow=True)
         paths = tb.checked_broadcast(big.select("path"), MAX_BROADCAST_NODES)
         small.append(frontier.join(paths, "path", "left_anti"))
         pivots = big.where("open").select("path", "p").join(reps.select(F.col("rep").alias("p"), F.col("n").alias("pn"), *[F.col(x).alias(f"p{x[1]}") for x in PLANES]), "p")
@@ -500,7 +500,7 @@ def _components(docs: DataFrame, shingle: int, percent: int, recall: float) -> t
     names = classes.select(F.col("doc_id").alias("rep"), *KEY)
     comp = component_of(*links(classes, texts.select(*KEY, "text"), names, shingle, percent, trees))
     of_class = classes.select("k1", "k2", "least", F.col("doc_id").alias("node")).join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    of_class = tb.materialized(of_class.select("k1", "k2", "least", "component"), "class-components")
+    of_class = tb.materialized(of_class.select("k1", "k2", "least", "component"), "class-components", narrow=True)
     smallest = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
     return signed.drop(*PLANES, "coords"), of_class.join(smallest, "component").select("k1", "k2", "component", "component_id")
 
@@ -521,11 +521,11 @@ def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFram
     signed, comp = _components(docs, shingle, percent, RECALL)
     rows = signed.where("n_shingles > 0").join(comp, ["k1", "k2"]).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("doc_id").isNull().alias("unnamed"), "d1", "d2", "component")
     documents = rows.groupBy(*KEY, "unnamed").agg(F.first("component").alias("component"), F.count("*").alias("copies"))
-    documents = tb.materialized(documents, "documents")
+    documents = tb.materialized(documents, "documents", narrow=True)
     first = documents.groupBy("component").agg(F.min(F.struct("unnamed", *KEY)).alias("f")).select("f.*", F.lit(True).alias("first"))
     judged = documents.join(first, ["unnamed", *KEY], "left").where("first is null or copies > 1")
     # documents that go, and those that stay but occur more than once
-    marks = tb.materialized(judged.select(*KEY, F.col("first").isNull().alias("gone")), "marks")
+    marks = tb.materialized(judged.select(*KEY, F.col("first").isNull().alias("gone")), "marks", narrow=True)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     held = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("d1"), F.xxhash64(F.lit(1), text).alias("d2"))
     some, untouched = tb.split_by_filter(held, tb.key_filter(marks, *KEY), *KEY)

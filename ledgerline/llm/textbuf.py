@@ -7,6 +7,7 @@ bounded by ``SLICE_BYTES`` (one longer text makes a slice of its own).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,6 +67,17 @@ def text_slices(batches, limit: int = SLICE_BYTES, column: str = "text"):
         data, off = buffers(batch.column(column))
         for lo, hi in slices(off, limit):
             yield batch.slice(lo, hi - lo), data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
+    give_back()
+
+
+def give_back() -> None:
+    """Hand memory that a task has freed back to the system: a worker that waits for its next task otherwise keeps what its
+    largest slice took (where the C library is not glibc, only Arrow's part goes)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass
 
 
 def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,15 +167,30 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def materialized(df: DataFrame, name: str) -> DataFrame:
+#: shuffle partitions that share a file of a narrow table, as long as every core has a file to write
+PARTITIONS_A_FILE = 16
+
+
+def materialized(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back: later
-    steps start from that table, so a lost executor costs no more than its own tasks."""
+    steps start from that table, so a lost executor costs no more than its own tasks.
+
+    ``narrow``: rows of a few numbers that come out of a shuffle. One task writes those of several partitions: on a local file
+    system an executor starts three processes (to set permissions) for each file."""
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
+    if narrow:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, shuffle_tasks(spark) // PARTITIONS_A_FILE))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty frame of ``schema`` that no Python worker takes part in (one made of a Python list starts a daemon and two
+    workers of its own in every executor)."""
+    return spark.range(0).select(F.from_json(F.lit("{}"), schema).alias("row")).select("row.*")
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table that ``materialized`` wrote and nothing reads any more."""
     from ledgerline.sources.files import delete_path
@@ -193,7 +220,7 @@ def key_filter(keys: DataFrame, *names: str) -> DataFrame:
     key and, the more keys there are, some others; exact joins follow on what it lets through."""
     word, bit = _bit(*names)
     bits = keys.select(word.alias("llm_word"), bit.alias("llm_bit")).groupBy("llm_word").agg(F.bit_or("llm_bit").alias("llm_mask"))
-    return F.broadcast(materialized(bits, "key-filter"))
+    return F.broadcast(materialized(bits, "key-filter", narrow=True))
 
 
 def split_by_filter(df: DataFrame, bits: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
