@@ -79,7 +79,8 @@ def add_new_files(spark: SparkSession, target_path: str, spec: TableSpec) -> Non
 
 def _write(ranges: DataFrame, target_path: str) -> str:
     name = uuid.uuid4().hex
-    ranges.select("file", "band", "low", "high").write.options(**PARQUET_OPTIONS).parquet(f"{_folder(target_path)}/{name}")
+    # in this order neighbours differ by little, and their differences are what is stored
+    ranges.select("file", "band", "low", "high").sortWithinPartitions("file", "band").write.options(**PARQUET_OPTIONS).parquet(f"{_folder(target_path)}/{name}")
     return name
 
 

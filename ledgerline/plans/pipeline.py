@@ -159,11 +159,12 @@ def _decide(spark: SparkSession, stored: DataFrame, pk: str | None, watermark: s
     next to the counts, so no full row moves to its key."""
     above = above_mark(watermark) if "created_at" in stored.columns else F.lit(watermark is None)
     flag = lambda bit: F.col("_marks").bitwiseAND(F.lit(bit)) != 0
+    # what is alike in most rows comes first and what differs last, so shuffled rows compress well
     narrow = stored.select(
-        (F.coalesce(F.col(pk).cast("long"), F.col("_h1")) if pk else F.col("_h1")).alias("_key"),
+        "_h2",
         (F.col("_marks") + above.cast("int") * _NEW).alias("_marks"),
+        (F.coalesce(F.col(pk).cast("long"), F.col("_h1")) if pk else F.col("_h1")).alias("_key"),
         "_h1",
-        "_h2",
         "_at",
     ).repartition("_key")
     # equal rows have equal marks

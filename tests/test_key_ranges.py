@@ -83,3 +83,18 @@ def test_increments_give_what_the_whole_target_gives(spark, tmp_dir, monkeypatch
         low, high = want.get((r.file, r.order_id >> 3), (r.order_id, r.order_id))
         want[r.file, r.order_id >> 3] = (min(low, r.order_id), max(high, r.order_id))
     assert listed == want
+
+
+def test_stored_ranges_lie_in_order(spark, tmp_dir, monkeypatch):
+    """Neighbours differ by little, so their differences store small: items whose keys have a band each."""
+    monkeypatch.setattr(key_ranges, "BAND_BITS", 0)
+    path = os.path.join(tmp_dir, "orders")
+    keys = list(range(3000))
+    random.Random(3).shuffle(keys)
+    _load(spark, path, keys, 1)
+    rows = key_ranges.key_ranges(spark, path).select(F.col("_metadata.file_name").alias("part"), "file", "band", F.monotonically_increasing_id().alias("at"))
+    parts: dict = {}
+    for r in rows.orderBy("at").collect():
+        parts.setdefault(r.part, []).append((r.file, r.band))
+    assert sum(map(len, parts.values())) == 3000
+    assert all(p == sorted(p) for p in parts.values())

@@ -120,3 +120,15 @@ def test_landing_files_are_compressed(spark):
     folder = checks._export_dirty_csv(ShopTables(spark, "/root/testdata/sf0.001"))
     parts = glob.glob(f"{folder.removeprefix('file:')}/*.csv/part-*")
     assert parts and all(p.endswith(".csv.gz") for p in parts)
+
+
+def test_narrow_rows_end_with_what_differs(spark, tmp_dir, monkeypatch):
+    """Values that are alike in most rows lie together in a shuffled row, so it compresses."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    src, seen = os.path.join(tmp_dir, "orders.csv"), []
+    _orders_csv(src, [(k, k) for k in range(10)])
+    before = DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda self, *a: (seen.append((self.columns, a)), before(self, *a))[1])
+    pipeline.stage_clean_table(spark, read_csv(spark, src, with_order=True), "orders", os.path.join(tmp_dir, "staged"), "2024-01-01 00:00:00")
+    assert (["_h2", "_marks", "_key", "_h1", "_at"], ("_key",)) in seen
