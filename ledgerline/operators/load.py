@@ -153,7 +153,9 @@ def anti_existing(new_rows: DataFrame, target: DataFrame | None, pk: str) -> Dat
     and their number. The bounds go to the target scan as literals, so files and row groups
     without such keys are skipped; only the key column is read. Up to ``MAX_BROADCAST_KEYS`` keys are
     broadcast to that scan (the target is not shuffled), and the few keys found are broadcast
-    back; larger increments join by key. Hand in a stored increment: it is read twice."""
+    back. Larger increments and the target's keys are sorted and merged by key, which is asked for: Spark estimates a
+    key column by its small compressed file and would gather millions of keys in the driver to broadcast them.
+    Hand in a stored increment: it is read twice."""
     if target is None:
         return new_rows
     incoming = new_rows.select(pk).filter(F.col(pk).isNotNull())
@@ -161,9 +163,10 @@ def anti_existing(new_rows: DataFrame, target: DataFrame | None, pk: str) -> Dat
     if not n:
         return new_rows
     held = target.select(pk).filter((F.col(pk) >= F.lit(low)) & (F.col(pk) <= F.lit(high)))
-    small = n <= MAX_BROADCAST_KEYS
-    existing = held.join(F.broadcast(incoming) if small else incoming, pk, "left_semi")
-    return new_rows.join(F.broadcast(existing) if small else existing, pk, "left_anti")
+    if n > MAX_BROADCAST_KEYS:
+        return new_rows.join(held.hint("merge"), pk, "left_anti")
+    existing = held.join(F.broadcast(incoming), pk, "left_semi")
+    return new_rows.join(F.broadcast(existing), pk, "left_anti")
 
 
 # ------------------------------------------------------------------ L4

@@ -102,6 +102,21 @@ def test_small_increment_does_not_shuffle_the_target(spark, tmp_dir):
     assert scan and "LessThanOrEqual(order_id" in scan[0]
 
 
+def test_large_increment_is_never_broadcast(spark, tmp_dir, monkeypatch):
+    """Above the bound no key is gathered in the driver, however small Spark takes the key columns to be; null keys and
+    repeated ones stay as they are."""
+    monkeypatch.setattr(load, "MAX_BROADCAST_KEYS", 3)
+    target, stored = os.path.join(tmp_dir, "target"), os.path.join(tmp_dir, "increment")
+    spark.range(50).selectExpr("id % 40 AS order_id").write.parquet(target)
+    spark.range(30, 60).selectExpr("nullif(id, 59) AS order_id", "'x' AS more").unionAll(spark.sql("SELECT 45L, 'y'")).write.parquet(stored)
+    with _conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "10m"}):
+        df = load.anti_existing(spark.read.parquet(stored), spark.read.parquet(target), "order_id")
+        plan = _final_plan(df)
+        got = sorted((r.order_id or 0, r.more) for r in df.collect())
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan and "LeftAnti" in plan
+    assert got == sorted([(0, "x"), (45, "y"), *((k, "x") for k in range(40, 59))])
+
+
 def test_incremental_run_moves_full_rows_only_above_the_mark(spark, tmp_dir):
     """Shuffled bytes of a run over loaded history: narrow rows only."""
     from ledgerline.plans.pipeline import stage_clean_table
