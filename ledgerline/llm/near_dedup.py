@@ -9,16 +9,18 @@ BRANCHES * s; at s = 0.8 and 3 branches a tree loses a pair with probability q =
 0.0083 at most (over any depth), three trees with 6e-7. ``trees_for`` derives the number of trees from the target recall.
 
 Nodes of at most ``NODE`` members are compared exhaustively inside a task, by two-bit minwise sketches of 128
-functions whose bar lies 4.5 standard deviations beyond the mean at the threshold. In a first round each member
-offers one pair a node, its first similar member; these pairs are confirmed on full shingle sets
-and joined into components. A second round over the same nodes offers every similar pair that lies in
-different components, so what is skipped cannot change a component; a node in which such pairs are many (documents that are
+functions whose bar lies 4.5 standard deviations beyond the mean at the threshold. In a first round a node offers its similar
+pairs, or, if they are many, one a member, its first similar one; the first pair of each member is confirmed on full shingle sets,
+and these are joined into components. A second round offers every similar pair that lies in
+different components, so what is skipped cannot change a component: nodes whose pairs are all known are not compared again, and
+a node in which such pairs are many (documents that are
 similar, but not enough) offers its members instead, and their full sets are compared inside one task by products of
 their incidence matrix, at most NODE rows wide, which returns a forest of links. A larger node first tries to link
 every member to the node's smallest id. Members confirmed as linked need no comparison with each other;
 the node goes on branching only if unlinked members are left, and children without an unlinked
 member end. So a group of near copies of any size costs about one link per member, never all pairs. Nodes still
-large after ``LEVELS`` levels are finished exactly: their unlinked members, in blocks, against every member.
+large after ``LEVELS`` levels are finished exactly: their unlinked members meet every member, each two blocks of them in a small
+node of its own.
 
 Components come from alternating large-star / small-star rounds of joins.
 
@@ -43,7 +45,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerline.llm import textbuf as tb
 
@@ -55,7 +56,8 @@ DEVIATIONS = 4.5
 SMALL = 12
 #: a node with more candidate pairs a member in the second round is compared on full sets as a whole
 DENSE = 4
-BLOCK = 256
+#: pairs of a node whose sketches are compared at once
+BLOCK_PAIRS = 1 << 15
 MAX_BROADCAST_NODES = 200_000
 
 _g = np.random.RandomState(99)
@@ -82,10 +84,10 @@ def sketch_bar(similarity: float) -> int:
 def shingle_hashes(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, offsets): for each row its sorted distinct shingle hashes."""
     low = tb.lowered(data)
-    s, e = tb.runs(tb.WORD_BYTE[low], off)
+    s, e = tb.runs(np.take(tb.WORD_BYTE, low, mode="clip"), off)
     h = tb.run_hashes(low, s, e)
     rows = len(off) - 1
-    words = np.bincount(tb.row_of(s, off), minlength=rows) if len(s) else np.zeros(rows, np.int64)
+    words = np.diff(np.searchsorted(s, off))
     first = np.concatenate([[0], np.cumsum(words)])
     row = np.repeat(np.arange(rows), words)
     place = np.arange(len(h)) - first[row]
@@ -94,13 +96,14 @@ def shingle_hashes(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarra
         whole = words[row] < n
         for k in range(n):
             nxt = np.zeros(len(h), np.uint64)
-            nxt[: len(h) - k] = h[k:]
+            nxt[: max(len(h) - k, 0)] = h[k:]
             inside = place + k < words[row]
             x = np.where(inside, tb.mix64(x * np.uint64(0x100000001B3) + nxt + np.uint64(k + 1)), x)
     start = np.where(whole, place == 0, place + n <= words[row])
     x, row = x[start], row[start]
-    order = np.lexsort((x, row))
-    x, row = x[order], row[order]
+    bounds = np.searchsorted(row, np.arange(rows + 1)).tolist()
+    for a, b in zip(bounds, bounds[1:]):
+        x[a:b].sort()
     new = np.ones(len(x), bool)
     new[1:] = (x[1:] != x[:-1]) | (row[1:] != row[:-1])
     x, row = x[new], row[new]
@@ -189,16 +192,33 @@ FRONTIER = "path long, tree int, rep long, n long, s0 long, s1 long, s2 long, s3
 
 
 def _compare_nodes(similarity: float, bar: int, across: bool):
-    """Rows sorted by (path, rep): pairs (a < b) of similar members of a node. One a member, its first similar one; or,
-    ``across`` components, all that lie in different ones. Of nodes with very many such pairs, the members: (a, null, path)."""
-
-    def near(c, i, j):
+    """Rows sorted by (path, rep): pairs (a < b) of similar members of a node. All of them if they are few; else one a member, its
+    first similar one, and the node itself to come back to: (null, null, path). ``across`` components: those that lie in
+    different ones, or the members of nodes with very many such pairs: (a, null, path)."""
+
+    def similar(c, i, j):
+        """Those pairs of rows that are similar: half of the sketch leaves few to look at."""
+        some = np.bitwise_count((c["s0"][i] ^ c["s0"][j]) | (c["s2"][i] ^ c["s2"][j])) <= bar
+        i, j = i[some], j[some]
         ok = np.bitwise_count((c["s0"][i] ^ c["s0"][j]) | (c["s2"][i] ^ c["s2"][j])).astype(np.int16)
         ok = ok + np.bitwise_count((c["s1"][i] ^ c["s1"][j]) | (c["s3"][i] ^ c["s3"][j])) <= bar
         a, b = c["n"][i], c["n"][j]
         ok &= np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9
         ok &= (c["u"][i] | c["u"][j]) & (c["rep"][i] != c["rep"][j])
-        return ok & (c["comp"][i] != c["comp"][j]) if across else ok
+        if across:
+            ok &= c["comp"][i] != c["comp"][j]
+        return i[ok], j[ok]
+
+    def blocks(c, a, b):
+        """Similar pairs of the rows a to b, block by block of the later member; in a block by later member, then earlier one."""
+        step = max(1, BLOCK_PAIRS // (b - a))
+        for lo in range(a, b, step):
+            hi = min(lo + step, b)
+            x = c["s0"][lo:hi, None] ^ c["s0"][a:hi]
+            x |= c["s2"][lo:hi, None] ^ c["s2"][a:hi]
+            at = np.flatnonzero(np.bitwise_count(x) <= bar)
+            j, i = lo + at // (hi - a), a + at % (hi - a)
+            yield similar(c, i[i < j], j[i < j])
 
     def pairs(c: dict):
         path = c["path"]
@@ -207,48 +227,42 @@ def _compare_nodes(similarity: float, bar: int, across: bool):
         end = np.repeat(hi, hi - lo)
         row = np.arange(len(path))
         small = end - np.repeat(lo, hi - lo) <= SMALL
-        best = np.full(len(path), -1, np.int64)
-        found = []
+        found, members, again = [], [row[:0]], [row[:0]]
         for d in range(1, SMALL):
             i = row[small & (row + d < end)]
             if not len(i):
                 break
-            i = i[near(c, i, i + d)]
-            if across:
-                found.append((i, i + d))
-            else:
-                best[i + d] = i  # a larger distance is an earlier member
-        dense = []
-        for a, b in zip(lo, hi):
-            if b - a <= SMALL:
+            found.append(similar(c, i, i + d))
+        wide = hi - lo > SMALL
+        for a, b in zip(lo[wide].tolist(), hi[wide].tolist()):
+            if across and (c["comp"][a:b] == c["comp"][a]).all():
                 continue
-            own, offered = [], 0
-            for j in range(a + 1, b):
-                hit = a + np.flatnonzero(near(c, slice(a, j), j))
-                if not len(hit):
-                    continue
-                if across:
-                    own.append((hit, np.full(len(hit), j)))
-                    offered += len(hit)
-                else:
-                    best[j] = hit[0]
-            if offered > DENSE * (b - a):
-                dense.append(np.unique(np.concatenate([k for pair in own for k in pair])))
-            else:
+            own, firsts, offered, met = [], [], 0, np.zeros(b - a, bool)
+            for i, j in blocks(c, a, b):
+                offered += len(i)
+                if offered <= DENSE * (b - a):
+                    own.append((i, j))
+                met[i - a] = met[j - a] = True
+                if not across:
+                    _, k = np.unique(j, return_index=True)
+                    firsts.append((i[k], j[k]))
+            if offered <= DENSE * (b - a):
                 found += own
-        if not across:
-            j = np.flatnonzero(best >= 0)
-            found = [(best[j], j)]
+            elif across:
+                members.append(a + np.flatnonzero(met))
+            else:
+                found += firsts
+                again.append(row[a : a + 1])
         i = np.concatenate([x for x, _ in found]) if found else row[:0]
         j = np.concatenate([y for _, y in found]) if found else row[:0]
         x, y = c["rep"][i], c["rep"][j]
         both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-        members = np.concatenate(dense) if dense else row[:0]
+        members, again = np.concatenate(members), np.concatenate(again)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([both[:, 0], c["rep"][members]])),
-                pa.concat_arrays([pa.array(both[:, 1]), pa.nulls(len(members), pa.int64())]),
-                pa.concat_arrays([pa.nulls(len(both), pa.int64()), pa.array(path[members])]),
+                pa.concat_arrays([pa.array(both[:, 0]), pa.array(c["rep"][members]), pa.nulls(len(again), pa.int64())]),
+                pa.concat_arrays([pa.array(both[:, 1]), pa.nulls(len(members) + len(again), pa.int64())]),
+                pa.concat_arrays([pa.nulls(len(both), pa.int64()), pa.array(path[np.concatenate([members, again])])]),
             ],
             ["a", "b", "path"],
         )
@@ -278,25 +292,25 @@ def _compare_nodes(similarity: float, bar: int, across: bool):
 def _confirm(n: int, percent: int):
     """Rows (a, b, text_a, text_b) -> a, b of those whose shingle sets are similar enough."""
 
+    def sets(texts: pa.Array) -> list[np.ndarray]:
+        x, o = shingle_hashes(*tb.buffers(texts), n)
+        return [x[i:j] for i, j in zip(o[:-1], o[1:])]
+
     def run(batches):
         for batch in batches:
-            ta, tb_ = batch.column("text_a"), batch.column("text_b")
+            a, texts = batch.column("a").to_numpy(), [batch.column(k) for k in ("text_a", "text_b")]
             keep = []
-            cache: dict = {}
-            a = batch.column("a").to_pylist()
-            for i in range(batch.num_rows):
-                sets = []
-                for k, col in (("a", ta), ("b", tb_)):
-                    if k == "a" and a[i] in cache:
-                        sets.append(cache[a[i]])
-                        continue
-                    data, off = tb.buffers(col.slice(i, 1))
-                    sets.append(shingle_hashes(data, off, n)[0])
-                cache = {a[i]: sets[0]}
-                inter = len(np.intersect1d(*sets, assume_unique=True))
-                keep.append(inter > 0 and 100 * inter >= percent * (len(sets[0]) + len(sets[1]) - inter))
+            for lo, hi in tb.slices(sum(tb.buffers(t)[1] for t in texts)):
+                # neighbours of one text share its set
+                new = np.ones(hi - lo, bool)
+                new[1:] = a[lo + 1 : hi] != a[lo : hi - 1]
+                of_a = sets(texts[0].slice(lo, hi - lo).filter(pa.array(new)))
+                for x, y in zip((of_a[k] for k in np.cumsum(new) - 1), sets(texts[1].slice(lo, hi - lo))):
+                    inter = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(inter > 0 and 100 * inter >= percent * (len(x) + len(y) - inter))
             m = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(m), batch.column("b").filter(m)], ["a", "b"])
+        tb.give_back()
 
     return run
 
@@ -402,6 +416,19 @@ def _nodes(rows: DataFrame, similarity: float, bar: int, across: bool) -> DataFr
     return sorted_rows.mapInArrow(_compare_nodes(similarity, bar, across), "a long, b long, path long").distinct()
 
 
+def _blocks(frontier: DataFrame) -> DataFrame:
+    """Large nodes as small ones: unlinked and linked members are dealt into blocks, and each two blocks, of which one is unlinked,
+    make a node. So every pair that is to be compared meets in one, and no task holds a large node."""
+    half = max(1, NODE * 3 // 8)  # blocks are dealt by a hash: two of them stay below NODE
+    number = lambda u: F.ceil(F.count_if(u) / half).alias
+    numbers = frontier.groupBy("path").agg(number(F.col("u"))("open"), number(~F.col("u"))("linked"))
+    numbers = tb.checked_broadcast(tb.materialized(numbers, "blocks", narrow=True), MAX_BROADCAST_NODES)
+    own = F.when(F.col("u"), F.pmod(F.xxhash64("rep"), F.col("open"))).otherwise(F.col("open") + F.pmod(F.xxhash64("rep"), F.col("linked")))
+    others = F.sequence(F.lit(0).cast("long"), F.col("open") + F.when(F.col("u"), F.col("linked")).otherwise(0) - 1)
+    met = frontier.join(numbers, "path").withColumn("own", own).withColumn("other", F.explode(others)).where("own <> other")
+    return met.withColumn("path", F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"))).select(frontier.columns)
+
+
 def links(classes: DataFrame, texts: DataFrame, names: DataFrame, n: int, percent: int, trees: int) -> tuple[DataFrame, DataFrame]:
     """Links among class representatives that decide the components: (node, component) of a first round of
     confirmed links, and the confirmed links (a, b) of the second round between those components.
@@ -439,21 +466,20 @@ def links(classes: DataFrame, texts: DataFrame, names: DataFrame, n: int, percen
         frontier = state.join(going, "path", "left_semi")
         grown = frontier.join(coords, "rep")
     if frontier is not None:
-        m = F.struct(F.col("rep").alias("r"), F.col("n").alias("n"), *[F.col(x).alias(x[1]) for x in PLANES])
-        rest = frontier.where("u").select("path", m.alias("m")).withColumn("salt", F.pmod(F.xxhash64("m.r"), F.lit(tb.shuffle_tasks(classes.sparkSession))))
-        block = F.floor(F.row_number().over(Window.partitionBy("path", "salt").orderBy("m.r")) / BLOCK)
-        blocks = rest.withColumn("block", block).groupBy("path", "salt", "block").agg(F.collect_list("m").alias("ms"))
-        test = near("", "m.").replace("m.0", "m.`0`").replace("m.1", "m.`1`").replace("m.2", "m.`2`").replace("m.3", "m.`3`")
-        hits = frontier.join(blocks, "path").select("rep", F.explode(F.expr(f"filter(ms, m -> m.r <> rep and {test})")).alias("m"))
-        confirmed.append(tb.materialized(confirm(hits.select(F.least("rep", "m.r").alias("a"), F.greatest("rep", "m.r").alias("b")).distinct(), texts, names, n, percent), "rest"))
+        small.append(_blocks(frontier))
     rows = _all(small)
+    near_pairs = tb.materialized(_nodes(rows, similarity, bar, across=False), "first-candidates", narrow=True)
+    known_pairs = near_pairs.where("path is null").select("a", "b")
     # the smallest partner of every member, over all nodes
-    first = _nodes(rows, similarity, bar, across=False).groupBy("b").agg(F.min("a").alias("a"))
+    first = known_pairs.groupBy("b").agg(F.min("a").alias("a"))
     confirmed.append(tb.materialized(confirm(first, texts, names, n, percent), "first-links"))
     so_far = tb.materialized(components(_all(confirmed)), "first-components")
-    known = rows.join(so_far.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
+    # nodes whose pairs are all known need no second look
+    again = tb.checked_broadcast(near_pairs.where("path is not null").select("path"), MAX_BROADCAST_NODES)
+    known = rows.join(again, "path", "left_semi").join(so_far.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
     found = tb.materialized(_nodes(known, similarity, bar, across=True), "second-candidates")
-    pairs = confirm(found.where("path is null").select("a", "b"), texts, names, n, percent)
+    second_pairs = between(known_pairs, so_far).where("ca <> cb").select("a", "b").unionByName(found.where("path is null").select("a", "b"))
+    pairs = confirm(second_pairs, texts, names, n, percent)
     members = found.where("path is not null").select("path", F.col("a").alias("rep"))
     members = members.join(so_far.withColumnRenamed("node", "rep"), "rep", "left").select("path", "rep", F.coalesce("component", "rep").alias("comp"))
     found_texts, named = one_text(texts, members.select("rep").distinct(), names)
@@ -469,11 +495,15 @@ def _all(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def between(pairs: DataFrame, so_far: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the components ca, cb of both sides."""
+    side = lambda k: so_far.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
+    return pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+
+
 def component_of(so_far: DataFrame, more: DataFrame) -> DataFrame:
     """node, component over both rounds: the second one's links are joined as links of first components."""
-    side = lambda k: so_far.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
-    between = more.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    upper = tb.materialized(components(between), "second-components")
+    upper = tb.materialized(components(between(more, so_far).select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "second-components")
     moved = so_far.join(upper.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
     return moved.unionByName(upper.join(moved, "node", "left_anti"))
 

@@ -24,6 +24,7 @@ _rng = np.random.RandomState(20240517)
 #: one random 64-bit value for each byte
 BYTE_VALUE = (_rng.randint(0, 1 << 32, 256, dtype=np.uint64) << np.uint64(32)) | _rng.randint(0, 1 << 32, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -96,26 +97,41 @@ def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse modulo 2^64."""
+    out = []
+    with np.errstate(over="ignore"):
+        for base in (_BASE, _INVERSE):
+            power = np.full(n, base, np.uint64)
+            power[:1] = 1
+            out.append(np.multiply.accumulate(power, out=power))
+    return out[0], out[1]
+
+
+#: powers for a whole slice, made when first needed; a longer text makes its own
+_SLICE_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
+
+
 def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hash of the bytes of each run (runs ascending, not empty)."""
+    """64-bit polynomial hash of the bytes of each run (runs ascending, not empty): the difference of two running sums of
+    byte values times powers of the base, divided by the power at its start."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
-    lengths = ends - starts
-    longest = int(lengths.max())
+    lo, hi = int(starts[0]), int(ends[-1])
+    if hi - lo > SLICE_BYTES:
+        power, inverse = _powers(hi - lo)
+    else:
+        if not _SLICE_POWERS:
+            _SLICE_POWERS.append(_powers(SLICE_BYTES))
+        power, inverse = _SLICE_POWERS[0]
+    first = starts - lo
     with np.errstate(over="ignore"):
-        power = np.empty(longest, np.uint64)
-        power[0] = 1
-        if longest > 1:
-            power[1:] = _BASE
-            np.multiply.accumulate(power, out=power)
-        total = int(lengths.sum())
-        first = np.zeros(len(starts), np.int64)
-        np.cumsum(lengths[:-1], out=first[1:])
-        local = np.arange(total, dtype=np.int64) - np.repeat(first, lengths)
-        v = BYTE_VALUE[data[np.repeat(starts, lengths) + local]]
-        v *= power[local]
-        h = np.add.reduceat(v, first)
-        h += lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        total = np.zeros(hi - lo + 1, np.uint64)
+        np.take(BYTE_VALUE, data[lo:hi], out=total[1:], mode="clip")  # "clip" saves a copy
+        total[1:] *= power[: hi - lo]
+        np.cumsum(total, out=total)
+        h = (total[ends - lo] - total[first]) * inverse[first]
+        h += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     return mix64(h)
 
 

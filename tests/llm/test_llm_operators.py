@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, chat_format, decontamination, near_dedup, quality, queries, repeats, secret_scan, token_files, toxicity, url_filter
+from ledgerline.llm import textbuf as tb
 from ledgerline.llm.queries import tokenizer_path
 
 sha = lambda b: hashlib.sha256(b).hexdigest()
@@ -891,6 +892,80 @@ def test_near_dedup_similar_but_not_enough(spark):
     check_components(spark, data)
 
 
+def node_rows(*nodes):
+    """A batch for _compare_nodes of nodes given as lists of sketch numbers (equal numbers: similar members); rep counts rows, the
+    component is that number's."""
+    rng = np.random.RandomState(5)
+    value = {k: rng.randint(0, 1 << 62, 4) for k in sorted({k for x in nodes for k in x})}
+    flat = [k for x in nodes for k in x]
+    planes = np.array([value[k] for k in flat], np.int64).T
+    of_node = np.repeat(np.arange(len(nodes)), [len(x) for x in nodes])
+    return pa.RecordBatch.from_pydict(
+        {"path": pa.array(of_node), "rep": pa.array(np.arange(len(flat))), "n": pa.array(np.full(len(flat), 9)), "u": pa.array(np.ones(len(flat), bool)), "comp": pa.array(np.arange(len(flat)) % 2)}
+        | {f"s{i}": pa.array(x) for i, x in enumerate(planes)}
+    )
+
+
+def compared(batch, across):
+    run = near_dedup._compare_nodes(0.8, near_dedup.sketch_bar(0.8), across)
+    return sorted((r for b in run(iter([batch.slice(0, 20), batch.slice(20)])) for r in zip(*(c.to_pylist() for c in b.columns))), key=repr)
+
+
+def test_near_dedup_compares_a_node_of_few_pairs_once():
+    """The first round returns all pairs of such nodes, narrow or wide; only a node full of pairs is named to come back to."""
+    wide = [*range(100, 127), 7, 7, 7]  # rows 5 to 34
+    batch = node_rows([1, 2, 1, 3, 1], wide, [9] * 40)  # 40 members alike, rows 35 to 74
+    want = [(0, 2), (0, 4), (2, 4), (32, 33), (32, 34), (33, 34), *((35, k) for k in range(36, 75))]
+    assert compared(batch, False) == sorted([(*p, None) for p in want] + [(None, None, 2)], key=repr)
+
+
+def test_near_dedup_second_round_takes_pairs_of_different_components():
+    batch = node_rows([1, 2, 1, 1], [*range(100, 117), 7, 7, 7], [9] * 40)
+    want = [(0, 3, None), (2, 3, None), (21, 22, None), (22, 23, None), *((k, None, 2) for k in range(24, 64))]
+    assert compared(batch, True) == sorted(want, key=repr)
+
+
+def test_near_dedup_blocks_of_large_nodes(spark):
+    """A node that stays large becomes nodes of bounded size in which each pair with an unlinked member meets; linked ones never pair up."""
+    planes = {f"s{i}": F.lit(0).cast("long") for i in range(4)}
+    node = lambda path, n, linked: spark.range(n).select(F.lit(path).cast("long").alias("path"), F.lit(0).alias("tree"), F.col("id").alias("rep"), F.col("id").alias("n"), *[c.alias(k) for k, c in planes.items()], (F.col("id") >= linked).alias("u"))
+    met = near_dedup._blocks(node(1, 5000, 0).union(node(2, 30_000, 29_990))).select("path", "rep", "u").toPandas()
+    sizes = met.groupby("path").size()
+    assert sizes.max() <= near_dedup.NODE and len(met) < 5000 * 8 + 30_000 + 10 * 41
+    pairs = set()
+    for _, x in met.groupby("path"):
+        if x.rep.max() < 5000 and x.u.all():
+            r = np.sort(x.rep.to_numpy())
+            pairs.add(tuple(r))
+        else:
+            assert x.u.sum() == 10 and set(x.rep[x.u]) == set(range(29_990, 30_000))
+    linked = met[~met.u]
+    assert sorted(linked.rep) == list(range(29_990))
+    seen = np.zeros((5000, 5000), bool)
+    for r in pairs:
+        seen[np.ix_(r, r)] = True
+    assert seen.all()
+
+
+@pytest.mark.parametrize("n", [2, 5])
+def test_shingles_of_a_slice_of_few_words(n):
+    """Fewer words in all texts of a slice than a shingle has; the hash of a run does not depend on where it lies."""
+    for t in ("", "a", "a b", "a b c", "a b c d", "a b c d e f"):
+        x, o = near_dedup.shingle_hashes(*tb.buffers(pa.array([t])), n)
+        y, p = near_dedup.shingle_hashes(*tb.buffers(pa.array([None, "zz" * 300_000 + " zz" * 9, t.upper(), ""])), n)
+        assert len(x) == len(shingles(t, n)) and o.tolist() == [0, len(x)] and y[p[2] : p[3]].tolist() == x.tolist()
+
+
+def test_confirm_compares_full_sets():
+    base = [f"w{i}" for i in range(30)]
+    texts = [" ".join([*base[: 30 - k], *[f"x{j}" for j in range(k)]]) for k in range(6)]
+    rows_ = [(a, b, texts[a], texts[b]) for a in range(6) for b in range(6)] + [(9, 8, "", ""), (9, 7, "", "one")]
+    batch = pa.RecordBatch.from_pydict({k: pa.array([r[i] for r in rows_]) for i, k in enumerate(("a", "b", "text_a", "text_b"))})
+    got = [r for out in near_dedup._confirm(2, 80)(iter([batch.slice(1)])) for r in zip(*(c.to_pylist() for c in out.columns))]
+    sets = [shingles(t, 2) for t in texts]
+    assert got == [(a, b) for a, b, *_ in rows_[1:36] if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+
+
 def test_near_dedup_empty(empty):
     assert rows(near_dedup.near_duplicates(empty)) == []
     assert near_dedup.trees_for(near_dedup.RECALL, 0.8) == 3
