@@ -113,28 +113,46 @@ _SLICE_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hash of the bytes of each run (runs ascending, not empty): the difference of two running sums of
-    byte values times powers of the base, divided by the power at its start."""
+    """64-bit polynomial hash of the bytes of each run (runs not empty). Runs that cover most of the bytes between them are
+    differences of running sums of byte values times powers of the base, divided by the power at their start; others are summed up one by one."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
-    lo, hi = int(starts[0]), int(ends[-1])
-    if hi - lo > SLICE_BYTES:
-        power, inverse = _powers(hi - lo)
-    else:
-        if not _SLICE_POWERS:
-            _SLICE_POWERS.append(_powers(SLICE_BYTES))
-        power, inverse = _SLICE_POWERS[0]
-    first = starts - lo
+    lengths = ends - starts
+    lo, hi = int(starts.min()), int(ends.max())
     with np.errstate(over="ignore"):
-        total = np.zeros(hi - lo + 1, np.uint64)
-        np.take(BYTE_VALUE, data[lo:hi], out=total[1:], mode="clip")  # "clip" saves a copy
-        total[1:] *= power[: hi - lo]
-        np.cumsum(total, out=total)
-        h = (total[ends - lo] - total[first]) * inverse[first]
-        h += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        h = _dense_sums(data[lo:hi], starts - lo, ends - lo) if 2 * int(lengths.sum()) > hi - lo else _sparse_sums(data, starts, lengths)
+        h += lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     return mix64(h)
 
 
+def _dense_sums(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    n = len(data)
+    if n <= SLICE_BYTES and not _SLICE_POWERS:
+        _SLICE_POWERS.append(_powers(SLICE_BYTES))
+    power, inverse = _SLICE_POWERS[0] if n <= SLICE_BYTES else _powers(n)
+    total = np.zeros(n + 1, np.uint64)
+    np.take(BYTE_VALUE, data, out=total[1:], mode="clip")  # "clip" saves a copy
+    total[1:] *= power[:n]
+    np.cumsum(total, out=total)
+    return (total[ends] - total[starts]) * inverse[starts]
+
+
+def _sparse_sums(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    longest = int(lengths.max())
+    power = np.empty(longest, np.uint64)
+    power[0] = 1
+    if longest > 1:
+        power[1:] = _BASE
+        np.multiply.accumulate(power, out=power)
+    total = int(lengths.sum())
+    first = np.zeros(len(starts), np.int64)
+    np.cumsum(lengths[:-1], out=first[1:])
+    local = np.arange(total, dtype=np.int64) - np.repeat(first, lengths)
+    v = BYTE_VALUE[data[np.repeat(starts, lengths) + local]]
+    v *= power[local]
+    return np.add.reduceat(v, first)
+
+
 def row_of(positions: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Row index of each position (positions lie inside texts)."""
     return np.searchsorted(offsets, positions, side="right") - 1

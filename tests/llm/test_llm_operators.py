@@ -956,6 +956,21 @@ def test_shingles_of_a_slice_of_few_words(n):
         assert len(x) == len(shingles(t, n)) and o.tolist() == [0, len(x)] and y[p[2] : p[3]].tolist() == x.tolist()
 
 
+def test_run_hashes_of_few_and_of_many_runs():
+    """Runs that cover little or most of the bytes, in any order and overlapping, are hashed by the same polynomial."""
+    rng = np.random.RandomState(4)
+    data = rng.randint(0, 256, tb.SLICE_BYTES + 1000).astype(np.uint8)
+
+    def hashed(a, b):
+        h = sum(int(tb.BYTE_VALUE[x]) * pow(0x9E3779B97F4A7C15, k, 1 << 64) for k, x in enumerate(data[a:b].tolist()))
+        return int(tb.mix64(np.array([(h + (b - a) * 0xD6E8FEB86659FD93) % (1 << 64)], np.uint64))[0])
+
+    for wide in (0, 1):  # one long run makes the runs cover most of the bytes
+        starts = np.concatenate([rng.randint(0, len(data) - 50, 40), [9] * wide])
+        ends = np.concatenate([starts[:40] + rng.randint(1, 50, 40), [len(data) - 3] * wide])
+        assert tb.run_hashes(data, starts, ends).tolist()[:40] == [hashed(a, b) for a, b in zip(starts[:40], ends[:40])]
+
+
 def test_confirm_compares_full_sets():
     base = [f"w{i}" for i in range(30)]
     texts = [" ".join([*base[: 30 - k], *[f"x{j}" for j in range(k)]]) for k in range(6)]
