@@ -120,7 +120,7 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     lengths = ends - starts
     lo, hi = int(starts.min()), int(ends.max())
     with np.errstate(over="ignore"):
-        h = _dense_sums(data[lo:hi], starts - lo, ends - lo) if 2 * int(lengths.sum()) > hi - lo else _sparse_sums(data, starts, lengths)
+        h = _dense_sums(data[lo:hi], starts - lo, ends - lo) if 3 * int(lengths.sum()) > 2 * (hi - lo) else _sparse_sums(data, starts, lengths)
         h += lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     return mix64(h)
 

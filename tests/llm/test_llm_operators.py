@@ -966,9 +966,9 @@ def test_run_hashes_of_few_and_of_many_runs():
         return int(tb.mix64(np.array([(h + (b - a) * 0xD6E8FEB86659FD93) % (1 << 64)], np.uint64))[0])
 
     for wide in (0, 1):  # one long run makes the runs cover most of the bytes
-        starts = np.concatenate([rng.randint(0, len(data) - 50, 40), [9] * wide])
-        ends = np.concatenate([starts[:40] + rng.randint(1, 50, 40), [len(data) - 3] * wide])
-        assert tb.run_hashes(data, starts, ends).tolist()[:40] == [hashed(a, b) for a, b in zip(starts[:40], ends[:40])]
+        starts = np.concatenate([rng.randint(0, len(data) - 50, 40), np.full(wide, 9)])
+        ends = np.concatenate([starts[:40] + rng.randint(1, 50, 40), np.full(wide, len(data) - 3)])
+        assert tb.run_hashes(data, starts, ends).tolist()[:40] == [hashed(a, b) for a, b in zip(starts[:40].tolist(), ends[:40].tolist())]
 
 
 def test_confirm_compares_full_sets():
